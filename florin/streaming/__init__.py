@@ -1,0 +1 @@
+"""Reserved: the reconciliation is a daily batch, so there is no streaming operator to offer."""
