@@ -6,6 +6,7 @@ projections, rounded to cents.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -20,23 +21,24 @@ def amount(col: Column | str) -> Column:
     return (F.col(col) if isinstance(col, str) else col).cast(AMOUNT)
 
 
-def line(value: Column) -> Column:
-    return value.cast(LINE)
+def line(sql: str) -> str:
+    """SQL of a value at statement precision."""
+    return f"CAST({sql} AS {LINE})"
 
 
-def convert(balance: Column, rate: Column) -> Column:
-    """Balance times exchange rate; both narrowed so that the product stays exact."""
-    return line(balance.cast("decimal(20,4)") * rate.cast("decimal(14,4)"))
+def convert(balance: str, rate: str) -> str:
+    """SQL of balance times exchange rate, both narrowed so that the product stays exact."""
+    return line(f"CAST({balance} AS DECIMAL(20,4)) * CAST({rate} AS DECIMAL(14,4))")
 
 
-def total(values: list[Column]) -> Column:
-    """Row-wise total, NULL counted as zero, without losing scale on the way."""
-    return reduce(lambda a, b: line(a + b), [F.coalesce(v, line(F.lit(0))) for v in values])
+def total(names: Iterable[str]) -> str:
+    """SQL of a row-wise total, NULL counted as zero, without losing scale on the way."""
+    return reduce(lambda a, b: line(f"{a} + {b}"), [line(f"COALESCE({n}, 0)") for n in names])
 
 
-def money(value: Column) -> Column:
-    """Final projection of an amount: cents, as DOUBLE."""
-    return F.round(value, 2).cast("double")
+def money(sql: str) -> str:
+    """SQL of a final amount: cents, as DOUBLE."""
+    return f"CAST(ROUND({sql}, 2) AS DOUBLE)"
 
 
 def drop_last_two(text: Column) -> Column:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from florin import params
-from florin.functions.amounts import FACT, LINE, amount, convert, line
+from florin.functions.amounts import FACT, amount, convert, line
 from florin.operators.facts import entry, one_of, pivoted, tagged
 from florin.operators.report_dates import BANK_T0, BANK_T1, PREVIOUS, REPORT, ReportSpan, on_dates
 
@@ -52,9 +52,9 @@ def balance_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def net_of_clearing(group: str, prefix: str = "") -> Column:
+def net_of_clearing(group: str, prefix: str = "") -> str:
     """USD balance: sum of final balances minus the magnitude of the summed clearing."""
-    return (F.col(f"{prefix}{group}") - F.abs(F.col(f"{prefix}{group}_clearing"))).cast(FACT)
+    return f"({prefix}{group} - ABS({prefix}{group}_clearing))"
 
 
 def bank_account_balances(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
@@ -66,8 +66,8 @@ def bank_account_balances(span: ReportSpan, src: Mapping[str, DataFrame]) -> Dat
         F.lit(None).cast(FACT).alias("amount"),
     )
     wide = pivoted(balance_facts(span, src).unionByName(present), BALANCE_METRICS, "report_date", "cut")
-    return wide.select(
-        "report_date", "cut", *CENTRAL, *COMMERCIAL, *[net_of_clearing(g).alias(g) for g in USD]
+    return wide.selectExpr(
+        "report_date", "cut", *CENTRAL, *COMMERCIAL, *[f"CAST({net_of_clearing(g)} AS {FACT}) AS {g}" for g in USD]
     )
 
 
@@ -89,25 +89,15 @@ def rate_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     return tagged(rows, [entry(F.when(F.col("cut") == PREVIOUS, "rate_t0").otherwise("rate_t1"), amount("valor"))])
 
 
-def available_columns(prefix: str, rate: Column) -> dict[str, Column]:
-    """The five available-funds measures from wide balance columns, before rounding."""
-
-    def add(names: list[str]) -> Column:
-        result = F.col(prefix + names[0])
-        for name in names[1:]:
-            result = result + F.col(prefix + name)
-        return line(result)
-
-    net = net_of_clearing(USD[0], prefix)
-    for group in USD[1:]:
-        net = net + net_of_clearing(group, prefix)
-    central, commercial, usd = add(CENTRAL), add(COMMERCIAL), convert(net, rate)
+def available_expressions(cut: str) -> dict[str, str]:
+    """SQL of the available-funds measures of one cut over the wide balances, unrounded."""
+    prefix, rate = f"{cut}_", f"rate_{cut}"
+    net = " + ".join(net_of_clearing(g, prefix) for g in USD)
     return {
-        "banco_republica": central,
-        "bancos_comerciales": commercial,
-        "bancos_usd": usd,
-        "trm": rate.cast(LINE),
-        "total": line(central + commercial + usd),
+        "banco_republica": line(" + ".join(prefix + g for g in CENTRAL)),
+        "bancos_comerciales": line(" + ".join(prefix + g for g in COMMERCIAL)),
+        "bancos_usd": convert(net, rate),
+        "trm": line(rate),
     }
 
 

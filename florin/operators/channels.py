@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florin import params
-from florin.functions.amounts import FACT, amount
+from florin.functions.amounts import amount
 from florin.operators.facts import compact, entry, one_of, per_report_date, tagged
 from florin.operators.report_dates import REPORT, ReportSpan, on_dates
 
@@ -138,16 +138,15 @@ def sebra_transfer_totals(span: ReportSpan, src: Mapping[str, DataFrame]) -> Dat
     return per_report_date(span, channel_facts(span, src), TRANSFER_METRICS)
 
 
-def credit_outcome() -> Column:
-    return (F.col("deposit_cros") - F.col("credit_negative")).cast(FACT)
+CREDIT_OUTCOME = "deposit_cros - credit_negative"
 
 
 def credit_confirming(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     wide = per_report_date(span, channel_facts(span, src), CREDIT_METRICS)
-    return wide.select(
+    return wide.selectExpr(
         "report_date",
         "credit_income",
-        credit_outcome().alias("credit_outcome"),
+        f"{CREDIT_OUTCOME} AS credit_outcome",
         "confirming_income",
-        (-F.col("confirming_negative")).alias("confirming_outcome"),
+        "-confirming_negative AS confirming_outcome",
     )

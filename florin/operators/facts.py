@@ -63,8 +63,7 @@ def times_n(amount: str = "amount") -> Column:
 def pivoted(facts: DataFrame, names: Sequence[str], *dims: str) -> DataFrame:
     """One row per dims, one DECIMAL column per metric, 0 where a metric has no rows."""
     wide = facts.groupBy(*dims).pivot("metric", list(names)).agg(F.sum("amount"))
-    zero = F.lit(0).cast(FACT)
-    return wide.select(*dims, *[F.coalesce(F.col(f"`{n}`").cast(FACT), zero).alias(n) for n in names])
+    return wide.selectExpr(*dims, *[f"CAST(COALESCE({n}, 0) AS {FACT}) AS {n}" for n in names])
 
 
 def per_report_date(span: ReportSpan, facts: DataFrame, names: Sequence[str]) -> DataFrame:

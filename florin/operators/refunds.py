@@ -109,17 +109,16 @@ def refund_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     return tagged(rows, [entry(cycle_metric, F.col("amount")), entry(adaptor, -paid)]).unionByName(matched)
 
 
-def send_columns() -> list[Column]:
-    """Returns to send: late ones of yesterday still unmatched, today's early cycles, today's matches."""
-    first = F.col("late_yesterday") - F.col("matched_yesterday")
-    early = [F.col(f"cud_{i}") for i in CYCLES if i < params.LATE_CYCLE]
-    columns = [first, *early, F.col("matched_today")]
-    return [c.cast(FACT).alias(f"send_{i}") for i, c in enumerate(columns)]
+# Returns to send: late ones of yesterday still unmatched, today's early cycles, today's matches.
+SEND = ["late_yesterday - matched_yesterday"]
+SEND += [f"cud_{i}" for i in CYCLES if i < params.LATE_CYCLE]
+SEND += ["matched_today"]
 
 
 def ach_refunds(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     wide = per_report_date(span, refund_facts(span, src), METRICS)
-    return wide.select("report_date", *[f"cud_{i}" for i in CYCLES], *send_columns())
+    sends = [f"{sql} AS send_{i}" for i, sql in enumerate(SEND)]
+    return wide.selectExpr("report_date", *[f"cud_{i}" for i in CYCLES], *sends)
 
 
 def credit_adaptor_outcome(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from florin import params
@@ -99,17 +99,12 @@ def issuance_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def issuance_value(name: str) -> Column:
+def issuance_value(name: str) -> str:
     """A single row counts with its value rounded to cents, several with their plain sum."""
-    value = F.col(name)
-    return F.when(F.col(f"{name}_n") == 1, F.bround(value, 2)).otherwise(value).cast(FACT)
+    return f"CASE WHEN {name}_n = 1 THEN BROUND({name}, 2) ELSE {name} END"
 
 
 def issuance_repurchase(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     wide = per_report_date(span, issuance_facts(span, src), ISSUANCE_METRICS)
-    return wide.select(
-        "report_date",
-        issuance_value("iss_repurchases").alias("repurchases"),
-        issuance_value("iss_cdt").alias("cdt_issuances"),
-        issuance_value("iss_bonds").alias("bond_issuances"),
-    )
+    names = {"iss_repurchases": "repurchases", "iss_cdt": "cdt_issuances", "iss_bonds": "bond_issuances"}
+    return wide.selectExpr("report_date", *[f"{issuance_value(m)} AS {name}" for m, name in names.items()])

@@ -6,11 +6,11 @@ from collections.abc import Mapping
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from florin import params
-from florin.functions.amounts import FACT, LINE, convert, line, money, total
+from florin.functions.amounts import FACT, convert, line, money, total
 from florin.operators import banks, channels, deposits, market, movements, refunds, securities
 from florin.operators.facts import per_report_date
 from florin.operators.report_dates import ReportSpan
@@ -75,207 +75,201 @@ def without_day_inputs(metrics: DataFrame, as_of: date | None) -> DataFrame:
     return metrics.withColumns(zeroed)
 
 
-# --- expressions over daily_metrics -----------------------------------------
+# --- statements over daily_metrics: SQL text per column, in output order ---------------
 
+CUTS = {"t0": params.AVAILABLE_T0, "t1": params.AVAILABLE_T1}
 
-def _m(name: str) -> Column:
-    return F.col(name)
 
+def _plus(prefix: str, numbers) -> str:
+    return " + ".join(f"{prefix}_{i}" for i in numbers)
 
-def _zero() -> Column:
-    return line(F.lit(0))
 
+# First step: values that need nothing but metrics.
+BASICS = {
+    "account_variation": deposits.VARIATION,
+    "credit_outcome": channels.CREDIT_OUTCOME,
+    "returns_to_send": " + ".join(refunds.SEND),
+    "cdt_issued": securities.issuance_value("iss_cdt"),
+    "bonds_issued": securities.issuance_value("iss_bonds"),
+    "dollar_comp": "mm_dollar_sell - ABS(mm_dollar_buy) + sd_dollar_sell - sd_dollar_buy",
+    "usd_income": convert("usd_in", "rate_t0"),
+    "usd_outcome": convert("ABS(usd_out)", "rate_t0"),
+    **{f"{cut}_{name}": sql for cut in CUTS for name, sql in banks.available_expressions(cut).items()},
+}
 
-def _sum(prefix: str, numbers) -> Column:
-    return reduce(lambda a, b: a + b, [_m(f"{prefix}_{i}") for i in numbers])
-
-
-def dollar_compensation() -> Column:
-    return (_m("mm_dollar_sell") - _m("mm_dollar_buy")) + _m("sd_dollar_sell") - _m("sd_dollar_buy")
-
-
-def returns_to_send() -> Column:
-    early = [i for i in refunds.CYCLES if i < params.LATE_CYCLE]
-    return _m("late_yesterday") - _m("matched_yesterday") + _sum("cud", early) + _m("matched_today")
-
-
-def income_ach() -> Column:
-    slots = range(len(params.DEPOSIT_SLOTS))
-    received = _sum("dep", slots) + _sum("dev", slots) + _sum("cud", refunds.CYCLES)
-    return line(received - (_m("credit_income") + _m("confirming_income")) - deposits.variation())
-
-
-def outcome_ach() -> Column:
-    """Withdrawals and returns net of credit and confirming (originated credit cancels out)."""
-    sent = _sum("ret", range(len(params.WITHDRAWAL_SLOTS))) + returns_to_send()
-    return line(sent - (F.abs(channels.credit_outcome()) + F.abs(_m("confirming_negative"))))
-
-
-def ach_withdrawals() -> Column:
-    positive = F.abs(outcome_ach())
-    return F.when(income_ach() >= 0, positive).otherwise(line(outcome_ach() + F.abs(income_ach())))
+# Second step: values over the first.
+FLOWS = {
+    "income_ach": _plus("dep", range(5))
+    + f" + {_plus('dev', range(5))} + {_plus('cud', refunds.CYCLES)}"
+    + " - (credit_income + confirming_income) - account_variation",
+    # The originated credit is added and taken away again, so it does not appear.
+    "outcome_ach": f"{_plus('ret', range(5))} + returns_to_send - (ABS(credit_outcome) + ABS(confirming_negative))",
+    "dollar_variation": "t0_bancos_usd - t1_bancos_usd",
+    "change_variation": "(usd_income - usd_outcome) - (t0_bancos_usd - t1_bancos_usd)",
+    **{f"{cut}_total": f"{cut}_banco_republica + {cut}_bancos_comerciales + {cut}_bancos_usd" for cut in CUTS},
+}
 
+INCOME = dict(
+    zip(
+        params.INCOME_LINES,
+        [
+            "credit_income",
+            "confirming_income",
+            "mm_sell_tes + sd_sell_tes",
+            "mm_sell_priv + sd_sell_priv",
+            "yields",
+            "mm_sim_tes_active",
+            "mm_sim_priv_active",
+            "mm_repo_active + sd_repo_active_sell",
+            "sd_sim_tes_passive",
+            "sd_sim_priv_passive",
+            "sd_repo_passive_sell",
+            "mm_ttv_sell + sd_ttv_sell",
+            "account_variation",
+            "renewals",
+            "cdt_issued",
+            "GREATEST(pnl, 0)",
+            "otc_in",
+            "bonds_issued",
+            "0",
+            "income_ach",
+            f"cop_in + {params.INSTANT_PAYMENT_INCOME}",
+            "usd_income",
+            "dollar_comp",
+            "sebra_fx_in",
+            "other_in + other_ops_in + third_in + LEAST(change_variation, 0)",
+        ],
+        strict=True,
+    )
+)
 
-def usd_income() -> Column:
-    return convert(_m("usd_in"), _m("rate_t0"))
+# Movement expenses are negative metrics, market metrics are unsigned.
+EXPENSE = dict(
+    zip(
+        params.EXPENSE_LINES,
+        [
+            "ABS(mm_sim_tes_passive)",
+            "ABS(mm_sim_priv_passive)",
+            "ABS(mm_repo_passive) + sd_repo_passive_buy",
+            "ABS(mm_ttv_buy) + sd_ttv_buy",
+            "sd_sim_tes_active",
+            "sd_sim_priv_active",
+            "sd_repo_active_buy",
+            "ABS(renewals - due_cdt)",
+            "0",
+            "ABS(repurchases)",
+            "ABS(LEAST(pnl, 0))",
+            "-otc_out",
+            "0",
+            "0",
+            "ABS(credit_outcome) + ABS(adaptor)",
+            "ABS(confirming_negative)",
+            "ABS(mm_buy_tes) + sd_buy_tes",
+            "ABS(mm_buy_priv) + sd_buy_priv",
+            "ABS(pay_findeter)",
+            "CASE WHEN income_ach >= 0 THEN ABS(outcome_ach) ELSE outcome_ach + ABS(income_ach) END",
+            "ABS(gmf)",
+            f"ABS(cop_out) + {params.INSTANT_PAYMENT_EXPENSE}",
+            "usd_outcome",
+            "ABS(LEAST(dollar_comp, 0))",
+            "ABS(expense_sebra)",
+            "ABS(sebra_fx_out)",
+            "ABS(third_out - other_out - other_ops_out) + GREATEST(change_variation, 0)",
+        ],
+        strict=True,
+    )
+)
 
 
-def usd_outcome() -> Column:
-    return convert(F.abs(_m("usd_out")), _m("rate_t0"))
+def with_flows(metrics: DataFrame) -> DataFrame:
+    """Metrics plus the derived values the statements share."""
+    basics = metrics.selectExpr("*", *[f"{line(sql)} AS {name}" for name, sql in BASICS.items()])
+    return basics.selectExpr("*", *[f"{line(sql)} AS {name}" for name, sql in FLOWS.items()])
 
 
-def usd_available(cut: str) -> Column:
-    return banks.available_columns(f"{cut}_", _m(f"rate_{cut}"))["bancos_usd"]
+def _income(name: str) -> str:
+    return f"`income_{name}`"
 
 
-def change_variation() -> Column:
-    return line((usd_income() - usd_outcome()) - (usd_available("t0") - usd_available("t1")))
+def _expense(name: str) -> str:
+    return f"`expense_{name}`"
 
 
-def income_lines() -> dict[str, Column]:
-    """Income statement in output order."""
-    values = [
-        _m("credit_income"),
-        _m("confirming_income"),
-        _m("mm_sell_tes") + _m("sd_sell_tes"),
-        _m("mm_sell_priv") + _m("sd_sell_priv"),
-        _m("yields"),
-        _m("mm_sim_tes_active"),
-        _m("mm_sim_priv_active"),
-        _m("mm_repo_active") + _m("sd_repo_active_sell"),
-        _m("sd_sim_tes_passive"),
-        _m("sd_sim_priv_passive"),
-        _m("sd_repo_passive_sell"),
-        _m("mm_ttv_sell") + _m("sd_ttv_sell"),
-        deposits.variation(),
-        _m("renewals"),
-        securities.issuance_value("iss_cdt"),
-        F.greatest(_m("pnl"), F.lit(0)),
-        _m("otc_in"),
-        securities.issuance_value("iss_bonds"),
-        F.lit(0),
-        income_ach(),
-        _m("cop_in") + params.INSTANT_PAYMENT_INCOME,
-        usd_income(),
-        dollar_compensation(),
-        _m("sebra_fx_in"),
-        line(_m("other_in") + _m("other_ops_in") + _m("third_in")) + F.least(change_variation(), _zero()),
-    ]
-    return dict(zip(params.INCOME_LINES, map(line, values), strict=True))
+def statements(metrics: DataFrame) -> DataFrame:
+    """Unrounded statements, available funds and summary, one row per report date."""
+    lines = with_flows(metrics).selectExpr(
+        "report_date",
+        *[f"{cut}_{name}" for cut in CUTS for name in params.AVAILABLE_COLUMNS],
+        *[f"{line(sql)} AS {_income(name)}" for name, sql in INCOME.items()],
+        *[f"{line(sql)} AS {_expense(name)}" for name, sql in EXPENSE.items()],
+    )
+    totals = lines.selectExpr(
+        "*",
+        f"{total(map(_income, INCOME))} AS income_total",
+        f"{total(map(_expense, EXPENSE))} AS expense_total",
+        f"{line('t0_total - t1_total')} AS variation",
+    )
+    flows = totals.selectExpr("*", f"{line('income_total - expense_total')} AS flow")
+    difference = flows.selectExpr("*", f"{line('variation - flow')} AS difference")
+    ratio = f"CAST(CAST(difference AS {FACT}) AS DOUBLE) / CAST(CAST(variation AS {FACT}) AS DOUBLE)"
+    return difference.selectExpr(
+        "*", f"CASE WHEN variation <> 0 THEN BROUND({ratio} * 100, 3) END AS percentage"
+    )
 
 
-def expense_lines() -> dict[str, Column]:
-    """Expense statement in output order. Movement expenses arrive negative."""
-    other_outflow = F.abs(-_m("other_out") - _m("other_ops_out") + _m("third_out"))
-    values = [
-        F.abs(_m("mm_sim_tes_passive")),
-        F.abs(_m("mm_sim_priv_passive")),
-        F.abs(_m("mm_repo_passive")) + _m("sd_repo_passive_buy"),
-        F.abs(_m("mm_ttv_buy")) + _m("sd_ttv_buy"),
-        _m("sd_sim_tes_active"),
-        _m("sd_sim_priv_active"),
-        _m("sd_repo_active_buy"),
-        F.abs(_m("renewals") - _m("due_cdt")),
-        F.lit(0),
-        F.abs(_m("repurchases")),
-        F.abs(F.least(_m("pnl"), F.lit(0))),
-        -_m("otc_out"),
-        F.lit(0),
-        F.lit(0),
-        F.abs(channels.credit_outcome()) + F.abs(_m("adaptor")),
-        F.abs(_m("confirming_negative")),
-        F.abs(_m("mm_buy_tes")) + _m("sd_buy_tes"),
-        F.abs(_m("mm_buy_priv")) + _m("sd_buy_priv"),
-        F.abs(_m("pay_findeter")),
-        ach_withdrawals(),
-        F.abs(_m("gmf")),
-        F.abs(_m("cop_out")) + params.INSTANT_PAYMENT_EXPENSE,
-        usd_outcome(),
-        F.abs(F.least(dollar_compensation(), F.lit(0))),
-        F.abs(_m("expense_sebra")),
-        F.abs(_m("sebra_fx_out")),
-        line(other_outflow) + F.greatest(change_variation(), _zero()),
-    ]
-    return dict(zip(params.EXPENSE_LINES, map(line, values), strict=True))
-
-
-def _balance_columns(cut: str) -> dict[str, Column]:
-    return banks.available_columns(f"{cut}_", _m(f"rate_{cut}"))
+# Output tables: column -> SQL over statements().
+INCOME_TABLE = {**{f"`{n}`": money(_income(n)) for n in INCOME}, "total": money("income_total")}
+EXPENSE_TABLE = {**{f"`{n}`": money(_expense(n)) for n in EXPENSE}, "total": money("expense_total")}
+SUMMARY_TABLE = {
+    "variacion_disponible": money("variation"),
+    "total_flujo": money("flow"),
+    "diferencia": money("difference"),
+    params.PERCENTAGE_COLUMN: "percentage",
+}
 
 
-def statements(metrics: DataFrame) -> DataFrame:
-    """Unrounded statements of each report date: structs income, expense, t0, t1, summary."""
-    income, expense = income_lines(), expense_lines()
-    parts = metrics.select(
-        "report_date",
-        F.struct(*[c.alias(n) for n, c in income.items()]).alias("income"),
-        F.struct(*[c.alias(n) for n, c in expense.items()]).alias("expense"),
-        *[F.struct(*[c.alias(n) for n, c in _balance_columns(cut).items()]).alias(cut) for cut in ("t0", "t1")],
-    )
+def available_table(cut: str) -> dict[str, str]:
+    return {name: money(f"{cut}_{name}") for name in params.AVAILABLE_COLUMNS}
 
-    def field(part: str, name: str) -> Column:
-        return F.col(part).getField(name)
 
-    totals = parts.withColumns(
-        {
-            "income_total": total([field("income", n) for n in income]),
-            "expense_total": total([field("expense", n) for n in expense]),
-        }
-    )
-    flows = totals.withColumns(
-        {
-            "variation": line(field("t0", "total") - field("t1", "total")),
-            "flow": line(F.col("income_total") - F.col("expense_total")),
-        }
-    ).withColumn("difference", line(F.col("variation") - F.col("flow")))
-    percent = F.when(
-        F.col("variation") != 0,
-        F.bround(
-            F.col("difference").cast(FACT).cast("double") / F.col("variation").cast(FACT).cast("double") * 100, 3
-        ),
-    )
-    return flows.withColumn("percentage", percent)
+def _table(stated: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return stated.selectExpr(*[f"{sql} AS {name}" for name, sql in columns.items()], "report_date AS fecha_reporte")
 
 
 def income_statement(stated: DataFrame) -> DataFrame:
-    lines = [money(F.col("income").getField(n)).alias(n) for n in params.INCOME_LINES]
-    return stated.select(*lines, money(F.col("income_total")).alias("total"), F.col("report_date").alias("fecha_reporte"))
+    return _table(stated, INCOME_TABLE)
 
 
 def expense_statement(stated: DataFrame) -> DataFrame:
-    lines = [money(F.col("expense").getField(n)).alias(n) for n in params.EXPENSE_LINES]
-    return stated.select(*lines, money(F.col("expense_total")).alias("total"), F.col("report_date").alias("fecha_reporte"))
+    return _table(stated, EXPENSE_TABLE)
 
 
 def cash_summary(stated: DataFrame) -> DataFrame:
-    return stated.select(
-        money(F.col("variation")).alias("variacion_disponible"),
-        money(F.col("flow")).alias("total_flujo"),
-        money(F.col("difference")).alias("diferencia"),
-        F.col("percentage").alias("porcentaje_diferencia"),
-        F.col("report_date").alias("fecha_reporte"),
-    )
+    return _table(stated, SUMMARY_TABLE)
 
 
-def available_funds(metrics: DataFrame, cut: str) -> DataFrame:
-    """Available funds of one cut (t0 or t1)."""
-    values = _balance_columns(cut)
-    return metrics.select(
-        *[money(values[n]).alias(n) for n in params.AVAILABLE_COLUMNS], F.col("report_date").alias("fecha_reporte")
+def available_balances(metrics: DataFrame) -> DataFrame:
+    """Unrounded available funds of both cuts over ``available_metrics``."""
+    parts = metrics.selectExpr(
+        "report_date",
+        *[f"{sql} AS {cut}_{name}" for cut in CUTS for name, sql in banks.available_expressions(cut).items()],
     )
+    totals = {name: sql for name, sql in FLOWS.items() if name.endswith("_total")}
+    return parts.selectExpr("*", *[f"{line(sql)} AS {name}" for name, sql in totals.items()])
 
 
-def available_union(metrics: DataFrame) -> DataFrame:
-    """Both cuts with their type, in one pass over the metrics."""
+def available_funds(balances: DataFrame, cut: str) -> DataFrame:
+    """Available funds of one cut (t0 or t1) over ``available_balances`` or ``statements``."""
+    return _table(balances, available_table(cut))
 
-    def typed(cut: str, kind: str) -> Column:
-        values = _balance_columns(cut)
-        return F.struct(
-            *[money(values[n]).alias(n) for n in params.AVAILABLE_COLUMNS], F.lit(kind).alias("tipo_disponible")
-        )
 
-    rows = F.array(typed("t0", params.AVAILABLE_T0), typed("t1", params.AVAILABLE_T1))
-    return metrics.select(F.col("report_date").alias("fecha_reporte"), F.inline(rows)).select(
+def available_union(balances: DataFrame) -> DataFrame:
+    """Both cuts with their type, in one pass."""
+    rows = ", ".join(
+        "STRUCT(" + ", ".join(f"{sql} AS {n}" for n, sql in available_table(cut).items()) + f", '{kind}' AS tipo_disponible)"
+        for cut, kind in CUTS.items()
+    )
+    return balances.selectExpr("report_date AS fecha_reporte", f"INLINE(ARRAY({rows}))").select(
         *params.AVAILABLE_COLUMNS, "tipo_disponible", "fecha_reporte"
     )
 
@@ -285,69 +279,57 @@ def stamped(table: DataFrame) -> DataFrame:
     return table.withColumn("fecha_generacion", F.current_date())
 
 
-# The assembled inputs: same-day market by cash-flow meaning, and what is joined to it.
-ZERO_INPUTS = [
-    "incomeComercialesCop",
-    "incomeCreditoCapital",
-    "incomeCreditoINT8ereses",
-    "outcomeEncaje",
-    "outcomeComercialesCop",
-    "outcomeDepositoRemunerado",
-    "outcomeDesembolsos",
-    "outcomeSEBRA",
-]
+# Inputs of the statements by cash-flow category, as the report's users know them.
+DAILY_INPUTS = {
+    "incomeComercialesCop": "0",
+    "incomeRepos": "sd_repo_passive_sell",
+    "incomeSimultaneaTES": "sd_sim_tes_passive",
+    "incomeSimultaneaPrivada": "sd_sim_priv_passive",
+    "incomeVentaDivisas": "sd_dollar_sell",
+    "incomeSwapCaja": "sd_repo_active_sell",
+    "incomeCDT": securities.issuance_value("iss_cdt"),
+    "incomeBonos": securities.issuance_value("iss_bonds"),
+    "incomeCreditoCapital": "0",
+    "incomeCreditoINT8ereses": "0",
+    "incomeTIDIS": "sd_sell_tes",
+    "incomeTCO": "sd_sell_priv",
+    "incomeTDA": "sd_ttv_sell",
+    "outcomeEncaje": "0",
+    "outcomeComercialesCop": "0",
+    "outcomeDepositoRemunerado": "0",
+    "outcomeRepos": "sd_repo_active_buy",
+    "outcomeSimultaneaTES": "sd_sim_tes_active",
+    "outcomeSimultaneaPrivada": "sd_sim_priv_active",
+    "outcomeCompraDivisas": "sd_dollar_buy",
+    "outcomeSwapCaja": "sd_repo_passive_buy",
+    "outcomeRecompras": securities.issuance_value("iss_repurchases"),
+    "outcomeDesembolsos": "0",
+    "outcomeTIDIS": "sd_buy_tes",
+    "outcomeTCO": "sd_buy_priv",
+    "outcomeTDA": "sd_ttv_buy",
+    "outcomeSEBRA": "0",
+    "BancosCopIncome": "cop_in",
+    "BancosCopOutcome": "-cop_out",
+    "BancosUsdIncome": "usd_in",
+    "BancosUsdOutcome": "-usd_out",
+    "account_variation": deposits.VARIATION,
+    "sebra_in": "third_in",
+    "sebra_out": "third_out",
+}
 
 
 def daily_inputs(metrics: DataFrame) -> DataFrame:
-    """Named inputs of the statements: 27 cash-flow categories and four bank totals, then
-    the account variation and the netted third-party movements."""
-    named = {
-        "incomeRepos": _m("sd_repo_passive_sell"),
-        "incomeSimultaneaTES": _m("sd_sim_tes_passive"),
-        "incomeSimultaneaPrivada": _m("sd_sim_priv_passive"),
-        "incomeVentaDivisas": _m("sd_dollar_sell"),
-        "incomeSwapCaja": _m("sd_repo_active_sell"),
-        "incomeCDT": securities.issuance_value("iss_cdt"),
-        "incomeBonos": securities.issuance_value("iss_bonds"),
-        "incomeTIDIS": _m("sd_sell_tes"),
-        "incomeTCO": _m("sd_sell_priv"),
-        "incomeTDA": _m("sd_ttv_sell"),
-        "outcomeRepos": _m("sd_repo_active_buy"),
-        "outcomeSimultaneaTES": _m("sd_sim_tes_active"),
-        "outcomeSimultaneaPrivada": _m("sd_sim_priv_active"),
-        "outcomeCompraDivisas": _m("sd_dollar_buy"),
-        "outcomeSwapCaja": _m("sd_repo_passive_buy"),
-        "outcomeRecompras": securities.issuance_value("iss_repurchases"),
-        "outcomeTIDIS": _m("sd_buy_tes"),
-        "outcomeTCO": _m("sd_buy_priv"),
-        "outcomeTDA": _m("sd_ttv_buy"),
-        **{name: F.lit(0) for name in ZERO_INPUTS},
-        "BancosCopIncome": _m("cop_in"),
-        "BancosCopOutcome": -_m("cop_out"),
-        "BancosUsdIncome": _m("usd_in"),
-        "BancosUsdOutcome": -_m("usd_out"),
-        "account_variation": deposits.variation(),
-        "sebra_in": _m("third_in"),
-        "sebra_out": _m("third_out"),
-    }
-    return metrics.select("report_date", *[money(c.cast(LINE)).alias(n) for n, c in named.items()])
+    return metrics.selectExpr("report_date", *[f"{money(line(sql))} AS {n}" for n, sql in DAILY_INPUTS.items()])
 
 
 def ach_net_flow(metrics: DataFrame) -> DataFrame:
-    return metrics.select(
-        "report_date",
-        money(dollar_compensation()).alias("dollar_comp"),
-        money(income_ach()).alias("income_ach"),
-        money(outcome_ach()).alias("outcome_ach"),
-        money(ach_withdrawals()).alias("retiros_ach"),
+    names = ["dollar_comp", "income_ach", "outcome_ach"]
+    withdrawals = EXPENSE["045_retiros_ach"]
+    return with_flows(metrics).selectExpr(
+        "report_date", *[f"{money(n)} AS {n}" for n in names], f"{money(withdrawals)} AS retiros_ach"
     )
 
 
 def fx_variation(metrics: DataFrame) -> DataFrame:
-    return metrics.select(
-        "report_date",
-        money(usd_income()).alias("usd_in"),
-        money(usd_outcome()).alias("usd_out"),
-        money(line(usd_available("t0") - usd_available("t1"))).alias("dollar_variation"),
-        money(change_variation()).alias("change_variation"),
-    )
+    names = ["usd_income", "usd_outcome", "dollar_variation", "change_variation"]
+    return with_flows(metrics).selectExpr("report_date", *[f"{money(n)} AS {n}" for n in names])

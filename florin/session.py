@@ -18,6 +18,8 @@ def build_session(app: str = "florin", **confs: str) -> SparkSession:
         "spark.sql.parquet.datetimeRebaseModeInWrite": "CORRECTED",
         "spark.sql.parquet.datetimeRebaseModeInRead": "CORRECTED",
         "spark.ui.enabled": "false",
+        # Call-site capture on every column expression is only useful while debugging.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **confs,
     }
     builder = SparkSession.builder.appName(app)
