@@ -11,7 +11,8 @@ from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from florin.functions import calendar
@@ -27,11 +28,14 @@ CUTS = [REPORT, PREVIOUS, BANK_T0, BANK_T1, MOVEMENTS, STATEMENTS]
 
 # Source dates never lie further from their report date than this.
 REACH = timedelta(days=calendar.NEIGHBOUR_DAYS)
+MAX_ROWS_PER_DATE = 4 + 2 * calendar.NEIGHBOUR_DAYS
 
 # A bridge row is two dates and a short tag. 500 000 of them (40 years of report
 # dates) stay around 20 MB; a longer backfill is computed and joined by shuffle.
-MAX_BROADCAST_ROWS = 500_000
-MAX_ROWS_PER_DATE = 4 + 2 * calendar.NEIGHBOUR_DAYS
+MAX_HELD_ROWS = 500_000
+
+# Up to this many source dates a scan names each one, beyond it their range.
+MAX_LISTED_DATES = 200
 
 
 @dataclass(frozen=True)
@@ -42,32 +46,44 @@ class ReportSpan:
     first: date
     last: date
 
+    @property
+    def source_bounds(self) -> tuple[date, date]:
+        return self.first - REACH, self.last + REACH
+
+    @property
+    def max_bridge_rows(self) -> int:
+        return ((self.last - self.first).days + 1) * MAX_ROWS_PER_DATE
+
+    @property
+    def is_held(self) -> bool:
+        """Whether the dates are computed once and held as local tables: their number is
+        bounded by the run's arguments alone. Beyond the bound they stay a lazy plan."""
+        return self.max_bridge_rows <= MAX_HELD_ROWS
+
     @cached_property
     def dates(self) -> DataFrame:
         """One row per report date with every offset as a column."""
-        return self._held(calendar.with_report_dates(self.anchors, "report_date"))
+        computed = calendar.with_report_dates(self.anchors, "report_date")
+        return computed.sparkSession.createDataFrame(computed.toArrow()) if self.is_held else computed
 
     @cached_property
     def listed(self) -> DataFrame:
         """The report dates alone."""
         return self.dates.select("report_date")
 
-    def _held(self, small: DataFrame) -> DataFrame:
-        """Dates computed once and held as a local table, while their number, known from
-        the run's arguments alone, is bounded; a longer span stays a lazy plan."""
-        if self.max_bridge_rows > MAX_BROADCAST_ROWS:
-            return small
-        return small.sparkSession.createDataFrame(small.toArrow())
-
-    @property
-    def source_bounds(self) -> tuple[date, date]:
-        return self.first - REACH, self.last + REACH
-
     @cached_property
     def bridge(self) -> DataFrame:
         """(report_date, cut, source_date), one row per source date a report date reads."""
+        if self.is_held:
+            return self.anchors.sparkSession.createDataFrame(self._held_bridge)
+        return self._computed_bridge()
 
-        def rows(cut: str, days) -> F.Column:
+    @cached_property
+    def _held_bridge(self) -> pa.Table:
+        return self._computed_bridge().toArrow()
+
+    def _computed_bridge(self) -> DataFrame:
+        def rows(cut: str, days: Column) -> Column:
             return F.transform(days, lambda d: F.struct(F.lit(cut).alias("cut"), d.alias("source_date")))
 
         entries = F.concat(
@@ -78,15 +94,24 @@ class ReportSpan:
             rows(MOVEMENTS, F.sequence("unity_from", "unity_to")),
             rows(STATEMENTS, F.sequence("tx_from", "tx_to")),
         )
-        return self._held(self.dates.select("report_date", F.inline(entries)))
+        return self.dates.select("report_date", F.inline(entries))
 
     def bridge_for(self, cuts: Iterable[str]) -> DataFrame:
         part = self.bridge.where(F.col("cut").isin(list(cuts)))
-        return F.broadcast(part) if self.max_bridge_rows <= MAX_BROADCAST_ROWS else part
-
-    @property
-    def max_bridge_rows(self) -> int:
-        return ((self.last - self.first).days + 1) * MAX_ROWS_PER_DATE
+        return F.broadcast(part) if self.is_held else part
+
+    def reads(self, day: str, cuts: Iterable[str]) -> Column:
+        """Literal predicate on a source date, for the scan: the exact dates of the cuts,
+        their range when there are many, the reachable range when they are not held."""
+        column = F.col(day)
+        if not self.is_held:
+            return column.between(*map(F.lit, self.source_bounds))
+        named = set(cuts)
+        rows = zip(self._held_bridge["cut"].to_pylist(), self._held_bridge["source_date"].to_pylist(), strict=True)
+        found = sorted({source_date for cut, source_date in rows if cut in named})
+        if len(found) <= MAX_LISTED_DATES:
+            return column.isin(found)
+        return column.between(F.lit(found[0]), F.lit(found[-1]))
 
 
 def window_span(spark: SparkSession, report_date: date, count: int = 4) -> ReportSpan:
@@ -119,22 +144,14 @@ def _one_row(spark: SparkSession) -> DataFrame:
 def on_dates(source: DataFrame, day: str, span: ReportSpan, cuts: Iterable[str]) -> DataFrame:
     """Source rows per report date and cut that reads them.
 
-    The literal bounds reach the file scan (row groups, partitions); the join
-    then keeps the exact dates and prunes partitions at run time.
+    The literal dates reach the file scan (partitions, row groups); the join then
+    gives every row its report dates.
     """
-    low, high = span.source_bounds
     bridge = span.bridge_for(cuts)
-    return (
-        source.where(F.col(day).between(F.lit(low), F.lit(high)))
-        .join(bridge, F.col(day) == bridge["source_date"])
-        .drop("source_date")
-    )
+    return source.where(span.reads(day, cuts)).join(bridge, F.col(day) == bridge["source_date"]).drop("source_date")
 
 
 def read_dates(source: DataFrame, day: str, span: ReportSpan, cuts: Iterable[str]) -> DataFrame:
     """Source rows that some report date reads, each once and without the report date."""
-    low, high = span.source_bounds
-    bridge = span.bridge_for(cuts).select("source_date").distinct()
-    return source.where(F.col(day).between(F.lit(low), F.lit(high))).join(
-        bridge, F.col(day) == bridge["source_date"], "left_semi"
-    )
+    bridge = span.bridge_for(cuts)
+    return source.where(span.reads(day, cuts)).join(bridge, F.col(day) == bridge["source_date"], "left_semi")

@@ -1,0 +1,126 @@
+from datetime import date
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from florin import params
+from florin.operators.merge import merge_by_keys, merge_into, read_partitioned, schema_sync, unique_by, upsert_partitioned
+from florin.operators.report_dates import window_span
+from florin.plans import daily, job
+from florin.sources.samples import sample_sources
+
+SF_DIR = "/root/testdata/sf0.001"
+A, B, C = date(2024, 1, 10), date(2024, 1, 11), date(2024, 1, 12)
+KEYS, PARTITIONS = ["fecha_reporte", "tipo"], ["fecha_reporte"]
+
+
+def frame(spark, *rows, columns="total double, tipo string, fecha_reporte date"):
+    return spark.createDataFrame(list(rows), columns)
+
+
+def rows_of(df, *columns):
+    return sorted((tuple(r) for r in df.select(*columns).collect()), key=repr)
+
+
+def files_of(path, day):
+    return sorted((path / f"fecha_reporte={day}").glob("*.parquet"))
+
+
+def test_upsert_creates_updates_inserts_and_leaves_the_rest(spark, tmp_path):
+    path = tmp_path / "table"
+    upsert_partitioned(frame(spark, (1.0, "x", A), (2.0, "y", A), (3.0, "x", B)), str(path), KEYS, PARTITIONS)
+    untouched = files_of(path, B)
+    # Replaces one of two rows of A and adds a date.
+    upsert_partitioned(frame(spark, (20.0, "y", A), (4.0, "x", C)), str(path), KEYS, PARTITIONS)
+    table = read_partitioned(spark, str(path))
+    assert rows_of(table, "total", "tipo", "fecha_reporte") == [
+        (1.0, "x", A),
+        (20.0, "y", A),
+        (3.0, "x", B),
+        (4.0, "x", C),
+    ]
+    assert files_of(path, B) == untouched
+    assert dict(table.dtypes)["fecha_reporte"] == "date"
+
+
+def test_upsert_is_idempotent(spark, tmp_path):
+    path, batch = str(tmp_path / "table"), frame(spark, (1.0, "x", A), (2.0, "y", A))
+    for _ in range(2):
+        upsert_partitioned(batch, path, KEYS, PARTITIONS)
+    assert read_partitioned(spark, path).count() == 2
+
+
+def test_upsert_adds_late_columns(spark, tmp_path):
+    path = str(tmp_path / "table")
+    upsert_partitioned(frame(spark, (1.0, "x", A), (2.0, "x", B)), path, KEYS, PARTITIONS)
+    wider = frame(spark, (5.0, "y", "new", A), columns="total double, tipo string, nota string, fecha_reporte date")
+    upsert_partitioned(wider, path, KEYS, PARTITIONS)
+    table = read_partitioned(spark, path)
+    assert rows_of(table, "total", "tipo", "nota", "fecha_reporte") == [
+        (1.0, "x", None, A),
+        (2.0, "x", None, B),
+        (5.0, "y", "new", A),
+    ]
+
+
+def test_repeated_keys_in_a_batch_are_rejected_before_anything_is_written(spark, tmp_path):
+    path = tmp_path / "table"
+    with pytest.raises(PySparkException, match="several rows for one key"):
+        upsert_partitioned(frame(spark, (1.0, "x", A), (2.0, "x", A)), str(path), KEYS, PARTITIONS)
+    assert not path.exists()
+
+
+def test_unique_batch_passes_unchanged(spark):
+    batch = frame(spark, (1.0, None, A), (None, "x", A))
+    assert rows_of(unique_by(batch, KEYS), *batch.columns) == rows_of(batch, *batch.columns)
+
+
+def test_merge_plan(spark):
+    current = frame(spark, (1.0, "x", A), (2.0, "y", A))
+    merged = merge_by_keys(current, frame(spark, (9.0, "y", A)), KEYS)
+    assert rows_of(merged, "total", "tipo") == [(1.0, "x"), (9.0, "y")]
+
+
+def test_schema_sync_fills_both_sides(spark):
+    left = frame(spark, (1, 2), columns="a int, b int")
+    right = frame(spark, (3, "z"), columns="a int, c string")
+    assert rows_of(schema_sync(left, right), "a", "b", "c") == [(1, 2, None), (3, None, "z")]
+
+
+def test_merge_into_needs_a_table_format_that_merges(spark):
+    spark.sql("DROP TABLE IF EXISTS florin_plain")
+    spark.sql("CREATE TABLE florin_plain (total DOUBLE, tipo STRING, fecha_reporte DATE) USING parquet")
+    try:
+        with pytest.raises(PySparkException, match="(?i)merge"):
+            merge_into(frame(spark, (1.0, "x", A)), "florin_plain", KEYS)
+    finally:
+        spark.sql("DROP TABLE florin_plain")
+
+
+def test_whole_job(spark, tmp_path):
+    names = ["income", "expense", "available", "summary", "report"]
+    paths = {n: str(tmp_path / n) for n in names}
+    span = window_span(spark, C)
+    src = sample_sources(spark, SF_DIR)
+    for _ in range(2):  # the second run merges over the first
+        stated = job.run_report(span, src, job.Targets(**paths))
+    counts = {n: read_partitioned(spark, paths[n]).count() for n in names[:-1]}
+    assert counts == {"income": 5, "expense": 5, "available": 10, "summary": 5}
+    available = read_partitioned(spark, paths["available"])
+    assert {r[0] for r in available.select("tipo_disponible").distinct().collect()} == {
+        params.AVAILABLE_T0,
+        params.AVAILABLE_T1,
+    }
+    written = read_partitioned(spark, paths["summary"]).select(*params.SUMMARY_COLUMNS, "fecha_reporte")
+    assert rows_of(written, "*") == rows_of(daily.cash_summary(stated), "*")
+
+    lines = spark.read.option("header", "true").csv(paths["report"])
+    assert lines.columns == ["section_no", "line_no", "section", "metric", "format"] + [
+        f"2024-01-{d:02d}" for d in (5, 9, 10, 11, 12)
+    ]
+    assert lines.count() == 26 + 28 + 5 + 5 + 4
+    percentage = lines.where(F.col("format") == "percentage").collect()
+    assert [r.metric for r in percentage] == [params.PERCENTAGE_COLUMN]
+    order = [r.section for r in lines.dropDuplicates(["section"]).orderBy(F.col("section_no").cast("int")).collect()]
+    assert order == [params.SECTION_INCOME, params.SECTION_EXPENSE, params.SECTION_T0, params.SECTION_T1, params.SECTION_SUMMARY]
