@@ -83,13 +83,12 @@ def process_value(moves: DataFrame, homologation: DataFrame) -> DataFrame:
 
 
 def summed_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
-    """Movements of each report date, summed before and after the join with operations.
+    """Movements of each report date with their operations, summed before the join.
 
-    Columns: report_date, code, name, sign, match_amount, amount (signed sum),
-    gross (unsigned sum), n_rows. ``match_amount`` keeps the single signed amount
-    of third-party movements, which are netted by amount later; all other rows
-    collapse per operation and concept. Only a movement whose concept is, or can
-    still become, the third-party one keeps its amount through the join.
+    Columns: report_date, code, has_yield, sign, match_amount, amount (signed sum),
+    gross (unsigned sum), n_rows. All rows of an operation and concept collapse,
+    except that a movement whose concept is, or can still become, the third-party
+    one keeps its signed amount in ``match_amount``: those are netted by amount.
     """
     third_codes = (
         src["homologation"]
@@ -124,21 +123,35 @@ def summed_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFram
         F.sum("value").cast(FACT).alias("gross"),
         F.count(F.lit(1)).alias("n_rows"),
     )
-    operations = count_by(src["unity_operations"].select("consecutivo", derived_code().alias("derived")), "consecutivo", "derived")
-    joined = per_operation.join(
-        operations, per_operation["operacion"] == operations["consecutivo"], "left"
-    ).withColumns({"n": F.coalesce("n", F.lit(1)), "code": F.coalesce("concepto", "derived")})
-    named = joined.join(src["homologation"], F.col("code") == F.col("codigo_contable"), "left")
+    derived = src["unity_operations"].select("consecutivo", derived_code().alias("derived"))
+    operations = count_by(derived, "consecutivo", "derived")
+    joined = per_operation.join(operations, per_operation["operacion"] == operations["consecutivo"], "left").withColumn(
+        "n", F.coalesce("n", F.lit(1))
+    )
+    return joined.select(
+        "report_date",
+        F.coalesce("concepto", "derived").alias("code"),
+        "has_yield",
+        "sign",
+        "match_amount",
+        times_n(),
+        times_n("gross"),
+        (F.col("n_rows") * F.col("n")).alias("n_rows"),
+    )
+
+
+def named_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+    """``summed_movements`` under their concept names; only third-party ones keep a match_amount."""
+    summed = summed_movements(span, src)
+    named = summed.join(src["homologation"], summed["code"] == src["homologation"]["codigo_contable"], "left")
     name = concept_name(F.col("code"), F.col("concepto_cud"), F.col("has_yield"))
     return named.select(
         "report_date",
-        "code",
         name.alias("name"),
         "sign",
         F.when(name == params.THIRD_PARTY_CONCEPT, F.col("match_amount")).alias("match_amount"),
-        times_n(),
-        times_n("gross"),
-        (F.col("n_rows") * F.col("n")).alias("n_rows"),
+        "amount",
+        "n_rows",
     )
 
 
@@ -151,7 +164,7 @@ def concept_derivation(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFr
 
 def concept_homologation(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Signed movements per concept name."""
-    return summed_movements(span, src).groupBy("report_date", F.col("name").alias("concepto")).agg(
+    return named_movements(span, src).groupBy("report_date", F.col("name").alias("concepto")).agg(
         F.sum("n_rows").alias("n_rows"), F.sum("amount").alias("total")
     )
 
@@ -172,7 +185,7 @@ def movement_facts(
     family = one_of({m: name.isin(c) for m, c in SIGNED_CONCEPTS.items()})
     value_metric = one_of({m: name.isin(c) for m, c in VALUE_CONCEPTS.items()})
     entries = [entry(value_metric, F.col("amount")), entry(F.concat(family, way), F.col("amount"))]
-    rows = summed_movements(span, src)
+    rows = named_movements(span, src)
     if credits is None:
         return tagged(rows, entries)
     third = F.when(name == params.THIRD_PARTY_CONCEPT, F.concat(F.lit("third"), way))

@@ -85,9 +85,11 @@ def matched_by_date(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame
 
 
 def matched_refunds(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
-    """Matched amount per report date and day (today, yesterday), for days with adapter rows."""
-    rows = on_dates(matched_by_date(span, src), "fecha_consulta", span, [REPORT, PREVIOUS])
-    return rows.select("report_date", _which_day().alias("which_day"), "matched")
+    """Matched amount of each report date's two days (today, yesterday), 0 where nothing matches."""
+    days = span.bridge.where(F.col("cut").isin(REPORT, PREVIOUS))
+    rows = days.join(matched_by_date(span, src), F.col("source_date") == F.col("fecha_consulta"), "left")
+    none = F.lit(0).cast(FACT)
+    return rows.select("report_date", _which_day().alias("which_day"), F.coalesce("matched", none).alias("matched"))
 
 
 def refund_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:

@@ -47,7 +47,7 @@ def _parents(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _children(src: Mapping[str, DataFrame]) -> DataFrame:
-    kind = F.col("tipo_participacion").cast("int")
+    kind = F.col("tipo_participacion").try_cast("int")
     return src["operations_b"].withColumn("tipo_participacion", kind).where(
         kind.isin(params.REPURCHASE_PARTICIPATION, params.ISSUANCE_PARTICIPATION)
         & (F.col("nombre_inversion") == params.INVESTMENT_HOLDER)

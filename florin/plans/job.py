@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
@@ -35,6 +36,14 @@ class Targets:
     report: str
 
 
+def parse_report_date(text: str) -> date:
+    """The date of an ISO date or timestamp, with or without ``Z`` or a leading ``DATE``."""
+    found = re.match(r"\s*(?:DATE\s+)?(\d{4}-\d{2}-\d{2})", text, re.IGNORECASE)
+    if not found:
+        raise ValueError(f"not a report date: {text!r}")
+    return date.fromisoformat(found[1])
+
+
 def report_days(span: ReportSpan) -> list[date]:
     """The report dates in order: column heads of the transposed report."""
     return sorted(row[0] for row in span.listed.collect())
@@ -57,6 +66,7 @@ def run_report(
     ]
     for table, path, keys in tables:
         upsert_partitioned(daily.stamped(table), path, keys, params.PARTITION_KEYS)
+    # 68 lines, whatever the size of the sources: one file for its readers.
     ordered = transposed_report(span, stated).orderBy("section_no", "line_no")
     ordered.coalesce(1).write.mode("overwrite").option("header", "true").csv(targets.report)
     return stated

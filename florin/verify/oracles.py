@@ -409,7 +409,7 @@ MATCHED = f"""
       FROM refund_rows WHERE transaction_type = '_ach_dev_enviada' GROUP BY ALL),
     matched AS (
       SELECT x.report_date, x.which_day, {zsum('CASE WHEN s.n IS NOT NULL THEN LEAST(o.n, s.n) * o.amount END')} AS matched
-      FROM (SELECT DISTINCT report_date, which_day FROM refund_rows) x
+      FROM (SELECT report_date, unnest(['today', 'yesterday']) AS which_day FROM rd) x
       LEFT JOIN out_groups o ON o.report_date = x.report_date AND o.which_day = x.which_day
       LEFT JOIN sent_groups s ON s.report_date = o.report_date AND s.which_day = o.which_day AND s.k1 = o.k1 AND s.k2 = o.k2
         AND s.k3 = o.k3 AND s.k4 = o.k4 AND s.k5 = o.k5 AND s.k6 = o.k6 AND s.amount = o.amount
@@ -417,7 +417,7 @@ MATCHED = f"""
 """
 _ORIGINATED = (
     "CASE WHEN which_day = 'today' AND ltrim(trim(reg5_datos_originador), '0') = '62015991' THEN -(CASE WHEN length(trim(reg6_valor_transaccion)) > 2 "
-    "THEN CAST(left(trim(reg6_valor_transaccion), length(trim(reg6_valor_transaccion)) - 2) AS DECIMAL(18,4)) ELSE 0 END) END"
+    "THEN TRY_CAST(left(trim(reg6_valor_transaccion), length(trim(reg6_valor_transaccion)) - 2) AS DECIMAL(18,4)) ELSE 0 END) END"
 )
 REFUNDS = f"""
     refund AS (
@@ -591,7 +591,7 @@ EVERYTHING = ", ".join(
 )
 _PERCENT = (
     "CASE WHEN v <> 0 THEN round_even(CAST(CAST(diff AS DECIMAL(28,4)) AS DOUBLE) / "
-    "CAST(CAST(v AS DECIMAL(28,4)) AS DOUBLE) * 100, 3) END"
+    "CAST(CAST(v AS DECIMAL(28,4)) AS DOUBLE) * 100, 3) + 0 END"
 )
 _SUMMARY = (
     f"SELECT {out('v')} AS variacion_disponible, {out('f')} AS total_flujo, {out('diff')} AS diferencia, "

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 import duckdb
 from pyspark.sql import DataFrame
 
@@ -17,15 +15,10 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return connection
 
 
-def _normal(value):
-    if isinstance(value, float):
-        return None if math.isnan(value) else round(value, 6) + 0.0
-    return value
-
-
 def _sorted_rows(columns, rows):
+    """Rows as exact text, columns by name: 1.0 and -0.0 differ from 1 and 0.0."""
     order = sorted(range(len(columns)), key=lambda i: columns[i])
-    return sorted((tuple(_normal(row[i]) for i in order) for row in rows), key=repr)
+    return sorted(repr(tuple(row[i] for i in order)) for row in rows)
 
 
 def assert_same(df: DataFrame, connection: duckdb.DuckDBPyConnection, sql: str) -> int:
