@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,16 +36,25 @@ def merge_by_keys(current: DataFrame, batch: DataFrame, keys: Sequence[str]) ->
     return schema_sync(kept, batch)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
-
-
 def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
     """The table with the columns of all its files."""
     return spark.read.option("mergeSchema", "true").parquet(path)
 
 
+def affected_partitions(current: DataFrame, batch: DataFrame, partition_keys: Sequence[str]) -> DataFrame:
+    """Current rows of the partitions that the batch touches.
+
+    The touched partitions are listed on the driver, as the partition overwrite
+    does anyway, so that the scan reads no other directory.
+    """
+    touched = batch.select(*partition_keys).distinct()
+    values = touched.collect()
+    listed = current
+    for position, key in enumerate(partition_keys):
+        listed = listed.where(F.col(key).isin({row[position] for row in values}))
+    return listed.join(touched, list(partition_keys), "left_semi") if len(partition_keys) > 1 else listed
+
+
 def upsert_partitioned(
     batch: DataFrame, path: str, keys: Sequence[str], partition_keys: Sequence[str]
 ) -> None:
@@ -53,15 +63,10 @@ def upsert_partitioned(
     The merge writes whole partitions, so a task that is lost and retried ends in
     the same result, and running the same batch again changes nothing.
     """
-    spark = batch.sparkSession
-    checked = cut_lineage(unique_by(batch, keys))
-    if table_exists(spark, path):
-        current = read_partitioned(spark, path)
-        touched = checked.select(*partition_keys).distinct()
-        affected = current.join(touched, list(partition_keys), "left_semi")
-        result = merge_by_keys(affected, checked, keys)
-    else:
-        result = checked
+    result = checked = cut_lineage(unique_by(batch, keys))
+    current = _existing(batch.sparkSession, path)
+    if current is not None:
+        result = merge_by_keys(affected_partitions(current, checked, partition_keys), checked, keys)
     # Few files per partition, while a large partition is still split over tasks.
     (
         result.hint("rebalance", *partition_keys)
@@ -72,6 +77,16 @@ def upsert_partitioned(
     )
 
 
+def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table, or None where there is none yet or a first write left no data."""
+    try:
+        return read_partitioned(spark, path)
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
 def merge_into(batch: DataFrame, table: str, keys: Sequence[str]) -> None:
     """The same merge for a catalog table whose format supports ``MERGE INTO``."""
     unique_by(batch, keys).createOrReplaceTempView("florin_batch")

@@ -18,6 +18,8 @@ def build_session(app: str = "florin", **confs: str) -> SparkSession:
         "spark.sql.parquet.datetimeRebaseModeInWrite": "CORRECTED",
         "spark.sql.parquet.datetimeRebaseModeInRead": "CORRECTED",
         "spark.ui.enabled": "false",
+        # The whole report generates more classes than the default cache holds.
+        "spark.sql.codegen.cache.maxEntries": "2000",
         # Call-site capture on every column expression is only useful while debugging.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
         **confs,
@@ -48,7 +50,7 @@ def shared_dir(spark: SparkSession) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Compute once into reliable storage, so later actions do not recompute the plan."""
     context = df.sparkSession.sparkContext
-    if context._jsc.sc().getCheckpointDir().isEmpty():
+    if not context.getCheckpointDir():
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
 

@@ -82,6 +82,7 @@ def test_partitions_and_columns_are_pruned(spark, tmp_path):
     scan = next(line for line in plan.splitlines() if "FileScan" in line)
     assert re.search(r"PartitionFilters: \[isnotnull\(fecha_operacion#\d+\), \(fecha_operacion#\d+ = 2024-01-10\)\]", scan)
     assert "ReadSchema: struct<total_renovacion:double>" in scan
+    assert "BroadcastHashJoin" in plan
 
 
 def test_date_bounds_reach_the_row_groups(spark, tmp_path):
@@ -205,7 +206,7 @@ def test_hot_account_in_channel_transactions(spark):
     assert (totals["n_rows"], totals["total"]) == (N, -N)
 
 
-def test_hot_operation_in_movements(spark):
+def movements_with_a_hot_operation(spark):
     """A third of the movements hang on one operation, with distinct amounts; another third on none."""
     rows = spark.range(N)
     moves = rows.select(
@@ -229,9 +230,12 @@ def test_hot_operation_in_movements(spark):
         [(params.CODE_TTV, "h", params.THIRD_PARTY_CONCEPT)],
         "codigo_contable string, codigo_cud string, concepto_cud string",
     )
-    src = sources_with(spark, cc_movements=moves, unity_operations=operations, homologation=third)
-    span = span_of(spark, DAY)
-    credits = rows.where("id % 2 = 0").select(F.lit(DAY).alias("report_date"), (F.col("id") + 1).cast("decimal(18,4)").alias("amount"))
+    return sources_with(spark, cc_movements=moves, unity_operations=operations, homologation=third)
+
+
+def test_hot_operation_in_movements(spark):
+    src, span = movements_with_a_hot_operation(spark), span_of(spark, DAY)
+    credits = spark.range(0, N, 2).select(F.lit(DAY).alias("report_date"), (F.col("id") + 1).cast("decimal(18,4)").alias("amount"))
     facts = movements.movement_facts(span, src, credits)
     row = one(per_report_date(span, facts, movements.THIRD_METRICS))
     hot = sum(i + 1 for i in range(0, N, 3) if i % 2) * (N // 3)  # the hot operation exists N/3 times
@@ -241,6 +245,27 @@ def test_hot_operation_in_movements(spark):
     assert {r.concepto: r.n_rows for r in rows} == {None: N // 3, params.CODE_TTV: (N // 3) ** 2 + N // 3}
 
 
+def test_a_hot_operation_with_distinct_amounts_is_split_over_tasks(spark):
+    """The one join whose rows cannot all be summed first: adaptive execution may split it."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "40KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        result = movements.concept_derivation(span_of(spark, DAY), movements_with_a_hot_operation(spark))
+        assert sum(r.n_rows for r in result.collect()) == (N // 3) ** 2 + 2 * (N // 3)
+        assert "skew=true" in plan_of(result)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_hot_refund_group_and_hot_statement_account(spark):
     rows = spark.range(N)
     adapter = rows.select(

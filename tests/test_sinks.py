@@ -5,7 +5,15 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from florin import params
-from florin.operators.merge import merge_by_keys, merge_into, read_partitioned, schema_sync, unique_by, upsert_partitioned
+from florin.operators.merge import (
+    affected_partitions,
+    merge_by_keys,
+    merge_into,
+    read_partitioned,
+    schema_sync,
+    unique_by,
+    upsert_partitioned,
+)
 from florin.operators.report_dates import window_span
 from florin.plans import daily, job
 from florin.sources.samples import sample_sources
@@ -64,6 +72,30 @@ def test_upsert_adds_late_columns(spark, tmp_path):
     ]
 
 
+def test_upsert_reads_only_the_touched_partitions(spark, tmp_path):
+    path = str(tmp_path / "table")
+    upsert_partitioned(frame(spark, (1.0, "x", A), (2.0, "x", B), (3.0, "x", C)), path, KEYS, PARTITIONS)
+    affected = affected_partitions(read_partitioned(spark, path), frame(spark, (9.0, "y", A), (9.0, "x", C)), PARTITIONS)
+    plan = affected._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [fecha_reporte" in plan and " IN (2024-01-1" in plan
+    assert rows_of(affected, "total") == [(1.0,), (3.0,)]
+
+
+def test_upsert_with_two_partition_keys(spark, tmp_path):
+    path = str(tmp_path / "table")
+    for batch in (frame(spark, (1.0, "x", A), (2.0, "y", B), (3.0, "x", B)), frame(spark, (9.0, "x", A), (8.0, "y", B))):
+        upsert_partitioned(batch, path, KEYS, KEYS)
+    table = read_partitioned(spark, path)
+    assert rows_of(table, "total", "tipo", "fecha_reporte") == [(3.0, "x", B), (8.0, "y", B), (9.0, "x", A)]
+
+
+def test_upsert_after_a_first_write_that_left_no_data(spark, tmp_path):
+    path = tmp_path / "table"
+    (path / "_temporary").mkdir(parents=True)
+    upsert_partitioned(frame(spark, (1.0, "x", A)), str(path), KEYS, PARTITIONS)
+    assert read_partitioned(spark, str(path)).count() == 1
+
+
 def test_repeated_keys_in_a_batch_are_rejected_before_anything_is_written(spark, tmp_path):
     path = tmp_path / "table"
     with pytest.raises(PySparkException, match="several rows for one key"):
