@@ -41,6 +41,7 @@ def _parents(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     isin = F.col("codigo_isin")
     kind = F.when(isin.startswith(params.CERTIFICATE_ISIN), "cdt").when(isin.startswith(params.BOND_ISIN), "bonds")
     rows = src["operations_a"].withColumn("kind", kind).where(F.col("kind").isNotNull())
+    rows = rows.where(span.reads("fecha_operacion", [REPORT]))
     agreed = span.bridge_for([REPORT]).select(F.col("source_date").alias("agreed_on"))
     rows = on_dates(rows, "fecha_inicio", span, [REPORT]).drop("cut")
     return rows.join(agreed, F.col("fecha_operacion") == F.col("agreed_on"), "left_semi")

@@ -1,16 +1,15 @@
 """Business parameters of the report.
 
 Everything an institution would configure lives here: account groups, concept
-lists, channel names, time slots, statement line names.
+lists, channel names, time slots, statement line names. All of them are fixed
+values: texts and numbers that the sources contain or the report's readers expect.
 """
 
 from __future__ import annotations
 
 from datetime import date
 
-# ---------------------------------------------------------------------------
-# Fixed values (holder, accounts, products, codes)
-# ---------------------------------------------------------------------------
+# Holder, accounts, products
 HOLDER = "HOLDER SA"
 INVESTMENT_HOLDER = "HOLDER S.A"
 ACTIVE = "ACTIVA"

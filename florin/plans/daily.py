@@ -279,7 +279,7 @@ def stamped(table: DataFrame) -> DataFrame:
     return table.withColumn("fecha_generacion", F.current_date())
 
 
-# Inputs of the statements by cash-flow category, as the report's users know them.
+# Inputs of the statements by cash-flow category (fixed values: names as the report's users know them).
 DAILY_INPUTS = {
     "incomeComercialesCop": "0",
     "incomeRepos": "sd_repo_passive_sell",

@@ -5,6 +5,7 @@ sides of every join, any column may be NULL, text may be malformed, and a third
 of the rows share one key.
 """
 
+import os
 import random
 from datetime import date, datetime, timedelta
 
@@ -208,7 +209,10 @@ def raw_sql(sql):
     return sql
 
 
-@pytest.fixture(scope="module", params=[1, 2])
+SEEDS = [int(seed) for seed in os.environ.get("FLORIN_SEEDS", "1").split(",")]
+
+
+@pytest.fixture(scope="module", params=SEEDS)
 def engines(spark, request):
     tables = Dirty(request.param).tables()
     duck = duckdb.connect()

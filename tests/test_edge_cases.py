@@ -626,6 +626,11 @@ def test_empty_sources_give_zero_rows_per_date(spark):
         assert row.porcentaje_diferencia is None and row.variacion_disponible == 0.0
 
 
+def test_a_span_without_business_days_gives_no_rows(spark):
+    weekend = business_day_span(spark, date(2024, 1, 6), date(2024, 1, 8))
+    assert daily.cash_summary(daily.statements(daily.daily_metrics(weekend, tiny_sources(spark)))).count() == 0
+
+
 def test_output_schemas(spark):
     span, src = span_of(spark, DAY), tiny_sources(spark)
     stated = daily.statements(daily.daily_metrics(span, src))
