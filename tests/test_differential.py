@@ -48,7 +48,8 @@ class Dirty:
         return base + timedelta(seconds=seconds, microseconds=self.random.choice([0, 500000]))
 
     def tables(self, n=400):
-        accounts = [a for g in (params.CENTRAL_BANK_ACCOUNTS, params.COMMERCIAL_ACCOUNTS, params.USD_ACCOUNTS) for v in g.values() for a in v]
+        groups = (params.CENTRAL_BANK_ACCOUNTS, params.COMMERCIAL_ACCOUNTS, params.USD_ACCOUNTS)
+        accounts = [account for group in groups for numbers in group.values() for account in numbers]
         codes = ["310", "389", "366", "362", "7001", "7002", "7003", "9999"]
         derived = ["44206", "43422", "43420", "45495", "45435", "44495", "44435", "44211", "44481", "45431"]
         concepts = [
@@ -169,7 +170,11 @@ class Dirty:
             for code in codes[:-2] + derived[:-2] + codes[4:6]  # some unmapped, some mapped twice
         ]
         tables["umbrella"] = [
-            {"cuenta_bancaria": a, "titular": self.pick(params.HOLDER, params.HOLDER, "OTHER"), "estado": self.pick("ACTIVA", "ACTIVA", "INACTIVA")}
+            {
+                "cuenta_bancaria": a,
+                "titular": self.pick(params.HOLDER, params.HOLDER, "OTHER"),
+                "estado": self.pick("ACTIVA", "ACTIVA", "INACTIVA"),
+            }
             for a in ["777", "000777", "062015991", "888", "5", "05", None]
         ]
         starts = [date(2023, 12, 20) + timedelta(days=3 * i) for i in range(12)]

@@ -235,7 +235,9 @@ def movements_with_a_hot_operation(spark):
 
 def test_hot_operation_in_movements(spark):
     src, span = movements_with_a_hot_operation(spark), span_of(spark, DAY)
-    credits = spark.range(0, N, 2).select(F.lit(DAY).alias("report_date"), (F.col("id") + 1).cast("decimal(18,4)").alias("amount"))
+    credits = spark.range(0, N, 2).select(
+        F.lit(DAY).alias("report_date"), (F.col("id") + 1).cast("decimal(18,4)").alias("amount")
+    )
     facts = movements.movement_facts(span, src, credits)
     row = one(per_report_date(span, facts, movements.THIRD_METRICS))
     hot = sum(i + 1 for i in range(0, N, 3) if i % 2) * (N // 3)  # the hot operation exists N/3 times
@@ -282,7 +284,10 @@ def test_hot_refund_group_and_hot_statement_account(spark):
         F.lit(DAY).alias("fecha_consulta"),
     )
     statements = rows.select(
-        F.lit("777").alias("cuenta_bancaria"), F.lit("COP").alias("moneda"), F.lit(1.0).alias("monto"), F.lit(DAY).alias("fecha_mvto")
+        F.lit("777").alias("cuenta_bancaria"),
+        F.lit("COP").alias("moneda"),
+        F.lit(1.0).alias("monto"),
+        F.lit(DAY).alias("fecha_mvto"),
     )
     own = spark.createDataFrame(
         [("0777", params.HOLDER, params.ACTIVE)] * 2, "cuenta_bancaria string, titular string, estado string"
