@@ -56,20 +56,19 @@ class ReportSpan:
 
     @property
     def is_held(self) -> bool:
-        """Whether the dates are computed once and held as local tables: their number is
-        bounded by the run's arguments alone. Beyond the bound they stay a lazy plan."""
+        """Whether the bridge is computed once and held as a local table: its size is
+        bounded by the run's arguments alone. Beyond the bound it stays a lazy plan."""
         return self.max_bridge_rows <= MAX_HELD_ROWS
 
     @cached_property
     def dates(self) -> DataFrame:
         """One row per report date with every offset as a column."""
-        computed = calendar.with_report_dates(self.anchors, "report_date")
-        return computed.sparkSession.createDataFrame(computed.toArrow()) if self.is_held else computed
+        return calendar.with_report_dates(self.anchors, "report_date")
 
     @cached_property
     def listed(self) -> DataFrame:
         """The report dates alone."""
-        return self.dates.select("report_date")
+        return self.bridge.where(F.col("cut") == REPORT).select("report_date")
 
     @cached_property
     def bridge(self) -> DataFrame:
