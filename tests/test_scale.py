@@ -12,7 +12,7 @@ from florin.operators.facts import per_report_date
 from florin.operators.report_dates import business_day_span, on_dates, window_span
 from florin.plans import daily
 from florin.plans.registry import QUERIES
-from florin.sources.catalog import CONTRACTS, from_frames, from_paths
+from florin.sources.catalog import CONTRACTS, from_frames, from_paths, from_tables
 from florin.sources.samples import sample_sources
 from tiny import one, schema_of, span_of
 
@@ -109,6 +109,31 @@ def test_long_spans_prune_by_range(spark, tmp_path):
         assert result.where("renewals > 0").count() == 7
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path):
+    """Movements and operations bucketed by operation number: only the final totals are exchanged."""
+    keys = {"cc_movements": "operacion", "unity_operations": "consecutivo"}
+    sample = sample_sources(spark, "/root/testdata/sf0.01")
+    span = window_span(spark, date(2024, 1, 12))
+    expected = {tuple(r) for r in movements.concept_derivation(span, sample).collect()}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20KB")  # the concept master, not more
+    try:
+        plain = plan_of(movements.concept_derivation(span, sample))
+        for table, key in keys.items():
+            writer = sample[table].write.bucketBy(4, key).sortBy(key).mode("overwrite")
+            writer.option("path", str(tmp_path / table)).saveAsTable(f"florin_{table}")
+        names = {table: f"florin_{table}" for table in keys}
+        frames = {**{n: sample[n] for n in CONTRACTS}, **{n: from_tables(spark, names)[n] for n in keys}}
+        result = movements.concept_derivation(span, from_frames(spark, frames))
+        bucketed = plan_of(result)
+        assert {tuple(r) for r in result.collect()} == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for table in keys:
+            spark.sql(f"DROP TABLE IF EXISTS florin_{table}")
+    on_operation = re.compile(r"Exchange hashpartitioning\((operacion|consecutivo)")
+    assert len(on_operation.findall(plain)) >= 3 and not on_operation.findall(bucketed)
+
+
 def test_missing_columns_are_reported(spark):
     src = from_frames(spark, {"trm": spark.range(1)})
     with pytest.raises(ValueError, match="trm lacks columns"):
