@@ -89,3 +89,73 @@ class HashIndex:
             if not len(open_at):
                 break
         return found
+
+
+# --- words -----------------------------------------------------------------
+
+_BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+_BASE_INVERSE = np.uint64(pow(int(_BASE), -1, 2**64))
+_powers = np.ones(1, np.uint64)
+_inverse_powers = np.ones(1, np.uint64)
+
+
+def _grow_powers(n: int) -> None:
+    global _powers, _inverse_powers
+    if len(_powers) < n:
+        size = 1 << int(n - 1).bit_length()
+        _powers = np.concatenate([np.ones(1, np.uint64), np.full(size - 1, _BASE)]).cumprod(dtype=np.uint64)
+        _inverse_powers = np.concatenate([np.ones(1, np.uint64), np.full(size - 1, _BASE_INVERSE)]).cumprod(
+            dtype=np.uint64
+        )
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """64-bit numbers spread over all bits."""
+    values = (values ^ (values >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    values = (values ^ (values >> np.uint64(29))) * np.uint64(0xA0761D6478BD642F)
+    return values ^ (values >> np.uint64(32))
+
+
+class Words:
+    """The words of many texts: where each starts and ends, its text, and a 64-bit hash of its bytes.
+
+    ``in_word`` and ``folded`` are tables of 256: whether a byte belongs to a word, and
+    the byte it counts as. ``first`` has the offsets (n + 1) of each text's words.
+    """
+
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray, folded: np.ndarray):
+        inside = in_word[data]
+        border = np.zeros(len(data) + 1, bool)
+        border[offsets] = True
+        before = np.concatenate([[False], inside[:-1]]) if len(inside) else inside
+        after = np.concatenate([inside[1:], [False]]) if len(inside) else inside
+        self.start = np.flatnonzero(inside & (~before | border[:-1]))
+        self.end = np.flatnonzero(inside & (~after | border[1:])) + 1
+        self.first = np.searchsorted(self.start, offsets)
+        self.text = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
+        _grow_powers(len(data) + 1)
+        weighted = (folded[data].astype(np.uint64) + np.uint64(1)) * _powers[: len(data)]
+        running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(weighted, dtype=np.uint64)])
+        own = (running[self.end] - running[self.start]) * _inverse_powers[self.start]
+        self.hash = mixed(own + (self.end - self.start).astype(np.uint64))
+
+    def grams(self, k: int) -> np.ndarray:
+        """Hash of the k words from every word on; the last k - 1 of all have none and are cut."""
+        n = max(0, len(self.hash) - k + 1)
+        total = np.zeros(n, np.uint64)
+        for j in range(k):
+            total = total * _BASE + self.hash[j : j + n]
+        return mixed(total + np.uint64(k))
+
+
+def folded_ascii() -> np.ndarray:
+    """Every byte as itself, A-Z as a-z."""
+    table = np.arange(256, dtype=np.uint8)
+    table[65:91] += 32
+    return table
+
+
+def byte_set(text: bytes) -> np.ndarray:
+    table = np.zeros(256, bool)
+    table[np.frombuffer(text, np.uint8)] = True
+    return table
