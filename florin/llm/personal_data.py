@@ -107,8 +107,8 @@ def _starts(lengths: Column) -> Column:
 
 
 def spans_of(text: Column, kind: Kind) -> Column:
-    """Confirmed spans of a kind: array of (start, end, kind, score), in text order."""
-    none = F.array().cast("array<struct<start:bigint,end:bigint,rank:int,kind:string,score:double>>")
+    """Confirmed spans of a kind: array of (start, rank, end, kind, score), in text order."""
+    none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string,score:double>>")
     found = F.regexp_extract_all(text, F.lit(kind.pattern), 0)
     # One piece before every match; the piece behind the last is not needed.
     pieces = F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(found))
@@ -122,8 +122,8 @@ def spans_of(text: Column, kind: Kind) -> Column:
         start = row["at"] + F.length(row["p"])
         return F.struct(
             start.alias("start"),
-            (start + F.length(row["m"])).alias("end"),
             F.lit(rank).alias("rank"),
+            (start + F.length(row["m"])).alias("end"),
             F.lit(kind.name).alias("kind"),
             F.least(score, F.lit(1.0)).alias("score"),
         )
@@ -141,7 +141,7 @@ def listed(spans: Column) -> Column:
 
 
 def found_spans(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with ``spans``: array of (start, end, rank, kind, score), by start, then kind."""
+    """``docs`` with ``spans``: array of (start, rank, end, kind, score), by start, then kind."""
     whole = F.coalesce(F.col(text), F.lit(""))
     columns = {f"_{kind.name}": spans_of(whole, kind) for kind in KINDS}
     kept = [F.col(f"`{c}`") for c in docs.columns if c != "spans"]
@@ -149,23 +149,14 @@ def found_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.select(*kept, *[c.alias(name) for name, c in columns.items()]).select(*kept, every.alias("spans"))
 
 
-def masked(text: Column) -> Column:
-    """The text with every confirmed span replaced by its kind.
-
-    Kinds are masked one after the other, the one that can contain others first: a card
-    or an address inside a phone goes with it, and digits before an e-mail's are seen whole.
-    """
-    by_name = {kind.name: kind for kind in KINDS}
-    result = text
-    for name in ("iban", "phone", "card", "email", "ip", "tel"):
-        result = _masked_kind(result, by_name[name])
-    return result
+# The kind that can contain others comes first: a card or an address inside a phone goes
+# with it, and digits before an e-mail's are seen whole.
+MASK_ORDER = ("iban", "phone", "card", "email", "ip", "tel")
 
 
 def _masked_kind(text: Column, kind: Kind) -> Column:
     found = F.regexp_extract_all(text, F.lit(kind.pattern), 0)
     pieces = F.split(text, kind.pattern, -1)
-    near = rf"(?i)\b(?:{kind.context}).{{0,{CONTEXT_CHARS}}}$"
 
     def replaced(piece: Column, match: Column) -> Column:
         sure = confirmed(kind.name, match)
@@ -182,10 +173,11 @@ def _masked_kind(text: Column, kind: Kind) -> Column:
 
 
 def without_personal_data(docs: DataFrame) -> DataFrame:
-    """``docs`` with masked texts; ``n_chars`` follows the text where it is a column."""
+    """``docs`` with every confirmed span replaced by its kind; ``n_chars`` follows the text where it is a column."""
     step = docs
     by_name = {kind.name: kind for kind in KINDS}
-    for name in ("iban", "phone", "card", "email", "ip", "tel"):
+    for name in MASK_ORDER:
+        # A step of its own each: the text is used several times in one expression.
         step = step.withColumn("text", _masked_kind(F.col("text"), by_name[name]))
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
@@ -197,9 +189,11 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id, counts of the base kinds, base_sha256, spans, scored of every row."""
     spans = found_spans(docs.select("doc_id", "text")).select("doc_id", "spans")
     base = F.filter("spans", lambda s: s["kind"].isin(*BASE_KINDS))
-    counts = [
-        F.size(F.filter("spans", lambda s, k=kind: s["kind"] == k)).cast("long").alias(f"n_{kind}") for kind in BASE_KINDS
-    ]
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in BASE_KINDS]
     return spans.select(
         "doc_id",
         *counts,
