@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from florin.llm import language_id, packing, personal_data, quality, sharding, token_counts, url_filter
+from florin.llm import decontamination, fingerprints, language_id, packing, personal_data, quality, sharding, token_counts, url_filter
 from florin.llm.shipping import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,9 +20,17 @@ def _over(table: str, build: Callable[[DataFrame], DataFrame]) -> Query:
     return query
 
 
+def _decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    documents, benchmark = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("documents", "benchmark"))
+    return decontamination.decontamination(documents, benchmark)
+
+
 QUERIES: dict[str, Query] = {
     "op1_language_id": _over("documents", language_id.language_id),
     "op2_personal_data": _over("documents", personal_data.personal_data),
+    "op3_document_fingerprints": _over("documents", fingerprints.document_fingerprints),
+    "op6_decontamination": _decontamination,
     "op5_best_fit_packing": _over("documents", packing.best_fit_packing),
     "op7_token_counts": _over("documents", token_counts.token_counts),
     "op8_url_filter": _over("pages", url_filter.url_filter),
