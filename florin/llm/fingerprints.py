@@ -1,7 +1,7 @@
 """Document fingerprints: improbable features in chained Bloom filters.
 
-Every window of 64 bytes has an entropy; how often each entropy occurs in the corpus
-gives its rank, the rarest first. Among every 64 neighbouring windows the rarest counts,
+Every window of 32 bytes has an entropy; how often each entropy occurs in the corpus
+gives its rank, the rarest first. Among every 32 neighbouring windows the rarest counts,
 and windows that count often enough are a text's features. Their hashes go into Bloom
 filters of 256 bytes, 160 features each, chained in text order. Two fingerprints are
 alike as far as the bits of their filters overlap beyond chance.
@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from florin.llm.textbytes import flat, mixed, slices
 
-WINDOW = 64
-NEIGHBOURS = 64
-POPULARITY = 16  # of NEIGHBOURS that a window must win
+WINDOW = 32
+NEIGHBOURS = 32
+POPULARITY = 8  # of NEIGHBOURS that a window must win
 LEVELS = 1000  # of entropy
 LEAST_LEVEL = 100  # below, windows are too plain to tell texts apart
 FILTER_BYTES, FILTER_FEATURES, HASHES = 256, 160, 5
@@ -45,7 +45,7 @@ def entropy_levels(data: np.ndarray) -> np.ndarray:
     n = len(data)
     if n < WINDOW:
         return np.zeros(0, np.int64)
-    # Same bytes within 63 places: positions sorted by byte, then counted by bisection.
+    # Same bytes within a window's reach: positions sorted by byte, then counted by bisection.
     order = np.argsort(data, kind="stable")
     key = data[order].astype(np.int64) * (n + 2 * WINDOW) + order + WINDOW
     at = np.arange(n)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from florin.llm import decontamination, fingerprints, language_id, packing, personal_data, quality, sharding, token_counts, url_filter
+from florin.llm import decontamination, fingerprints, jaccard_join, language_id, packing, personal_data, quality, sharding, token_counts, url_filter
 from florin.llm.shipping import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,7 @@ QUERIES: dict[str, Query] = {
     "op1_language_id": _over("documents", language_id.language_id),
     "op2_personal_data": _over("documents", personal_data.personal_data),
     "op3_document_fingerprints": _over("documents", fingerprints.document_fingerprints),
+    "op4_ngram_jaccard": _over("documents", jaccard_join.ngram_jaccard),
     "op6_decontamination": _decontamination,
     "op5_best_fit_packing": _over("documents", packing.best_fit_packing),
     "op7_token_counts": _over("documents", token_counts.token_counts),
