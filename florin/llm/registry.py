@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from florin.llm import decontamination, fingerprints, jaccard_join, language_id, packing, personal_data, quality, sharding, token_counts, url_filter
 from florin.llm.shipping import ship_package
 
@@ -37,6 +38,7 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": _over("pages", url_filter.url_filter),
     "op9_sharding": _over("documents", sharding.sharding),
     "op10_quality_classifier": _over("documents", quality.quality_classifier),
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLES: dict[str, str] = {}
