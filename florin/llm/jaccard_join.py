@@ -111,7 +111,7 @@ def _packed_blocks(n_parts: int) -> Callable:
                     for p, at in _by_part((hashes % np.uint64(n_parts)).astype(np.int32), n_parts)
                 ]
                 ids = batch.column("doc_id")[start:stop]
-                table = pa.table({"doc_id": ids, "n": size, "node": digests(sets), "here": here})
+                table = pa.table({"doc_id": ids, "n": size, "digest": digests(sets), "here": here})
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, table.schema) as out:
                     out.write_table(table)
@@ -187,21 +187,38 @@ def _documents_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 
 def documents_able_to_link(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, node, able) of every row; ``node`` names its shingle set."""
+    """(doc_id, n, digest, able) of every row; ``digest`` names its shingle set."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     packed = docs.select("doc_id", "text").mapInArrow(_packed_blocks(parts), PACKED)
     counted = packed.repartitionById(parts, "part").mapInArrow(_shared_in_part, "block long, kind int, payload binary")
     by_block = counted.repartition(parts, "block").sortWithinPartitions("block", F.desc("kind"))
-    return by_block.mapInArrow(_documents_of_blocks, f"doc_id {kind}, n long, node string, able boolean")
+    return by_block.mapInArrow(_documents_of_blocks, f"doc_id {kind}, n long, digest string, able boolean")
 
 
-def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(node, n, tokens) of ``wanted`` (id, node): the sets are made again from the texts named.
+def node_table(rows: DataFrame) -> DataFrame:
+    """(node, digest, id, copies): a number for every distinct set of documents able to link.
+
+    ``id`` is the least doc_id with the set, ``copies`` how many rows have both.
+    """
+    each = rows.where("able").groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("copies"))
+    known = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "copies"))
+    least = cut_lineage(each.groupBy("digest").agg(F.min(known).alias("first")))
+    # Numbers of rows already written: they stay the same however often a task runs.
+    numbered = least.withColumn("node", F.monotonically_increasing_id())
+    return cut_lineage(
+        numbered.select(
+            "node", "digest", F.col("first.doc_id").alias("id"), F.coalesce("first.copies", F.lit(2)).alias("copies")
+        )
+    )
+
+
+def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, n, tokens) of ``nodes``: the sets are made again from the texts named.
 
     Texts of other documents are left out before the shuffle, by a bit set of fixed size.
     """
-    known = docs.sparkSession.sparkContext.broadcast(bitset_of(wanted.select(F.xxhash64("id").alias("h")), "h"))
+    known = docs.sparkSession.sparkContext.broadcast(bitset_of(nodes.select(F.xxhash64("id").alias("h")), "h"))
 
     @F.arrow_udf("boolean")
     def may_be_wanted(hashes: pa.Array) -> pa.Array:
@@ -212,38 +229,46 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for start, stop in slices(batch.column("text")):
                 sets = shingle_sets(*flat(batch.column("text")[start:stop]))
                 own = digests(sets)
-                named = batch.column("node")[start:stop].to_pylist()
+                named = batch.column("digest")[start:stop].to_pylist()
                 # Rows of one doc_id can have different texts.
                 right = [i for i in range(stop - start) if own[i] == named[i]]
+                sizes = np.array([len(sets[i]) for i in right], np.int64)
+                values = np.concatenate([sets[i] for i in right]) if right else np.zeros(0, np.uint64)
+                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([named[i] for i in right], pa.string()),
-                        pa.array([len(sets[i]) for i in right], pa.int64()),
-                        pa.array([sets[i].tobytes() for i in right], pa.binary()),
+                        batch.column("node")[start:stop].take(pa.array(right, pa.int64())),
+                        pa.array(sizes),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(values.view(np.int64))),
                     ],
                     names=["node", "n", "tokens"],
                 )
 
     texts = docs.select("doc_id", "text").where(may_be_wanted(F.xxhash64("doc_id")))
-    return (
-        texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")))
-        .select("node", "text")
-        .mapInArrow(tokens, "node string, n long, tokens binary")
-        .dropDuplicates(["node"])
-    )
+    joined = texts.join(nodes, F.col("doc_id").eqNullSafe(F.col("id")))
+
+    def made(rows: DataFrame) -> DataFrame:
+        return rows.select("node", "digest", "text").mapInArrow(tokens, "node long, n long, tokens array<long>")
+
+    return made(joined.where("copies = 1")).union(made(joined.where("copies > 1")).dropDuplicates(["node"]))
+
+
+def _token_arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
+    column = batch.column("tokens")
+    values = column.values.to_numpy().view(np.uint64)
+    borders = column.offsets.to_numpy()
+    return [values[a:b] for a, b in zip(borders[:-1].tolist(), borders[1:].tolist(), strict=True)]
 
 
 def _min_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, which, key): the least hash of every set under several orders."""
+    orders = [mixed(np.array([i + 1], np.uint64)) for i in range(MIN_HASHES)]
     for batch in batches:
-        nodes, keys = batch.column("node").to_pylist(), []
-        for raw in batch.column("tokens"):
-            s = np.frombuffer(raw.as_buffer(), np.uint64)
-            keys.append([int(mixed(s ^ mixed(np.array([i + 1], np.uint64))).min()) for i in range(MIN_HASHES)])
-        table = np.array(keys, np.uint64).reshape(-1, MIN_HASHES)
-        for i in range(MIN_HASHES):
+        sets = _token_arrays(batch)
+        for i, order in enumerate(orders):
+            keys = np.array([mixed(s ^ order).min() for s in sets], np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(nodes, pa.string()), pa.array(np.full(len(nodes), i, np.int32)), pa.array(table[:, i].copy().view(np.int64))],
+                [batch.column("node"), pa.array(np.full(len(sets), i, np.int32)), pa.array(keys.view(np.int64))],
                 names=["node", "which", "key"],
             )
 
@@ -251,24 +276,24 @@ def _min_hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _tree_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Links (u, v) inside every block; the rows of a block follow each other."""
 
-    def links(nodes: list[str], labels: list[str], sets: list[np.ndarray]) -> pa.RecordBatch:
-        found = SignatureTree(sets).links(PERCENT, np.array(labels, object)) if len(sets) > 1 else []
+    def links(nodes: list[int], labels: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        found = SignatureTree(sets).links(PERCENT, np.array(labels))
         return pa.RecordBatch.from_arrays(
-            [pa.array([nodes[i] for i, _ in found], pa.string()), pa.array([nodes[j] for _, j in found], pa.string())],
+            [pa.array([nodes[i] for i, _ in found], pa.int64()), pa.array([nodes[j] for _, j in found], pa.int64())],
             names=["u", "v"],
         )
 
     block, nodes, labels, sets = None, [], [], []
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("block", "node", "label", "tokens"))
-        for own, node, label, raw in zip(*columns, strict=True):
+        columns = (batch.column(c).to_pylist() for c in ("block", "node", "label"))
+        for own, node, label, tokens in zip(*columns, _token_arrays(batch), strict=True):
             if own != block:
                 if len(set(labels)) > 1:
                     yield links(nodes, labels, sets)
                 block, nodes, labels, sets = own, [], [], []
             nodes.append(node)
             labels.append(label)
-            sets.append(np.frombuffer(raw, np.uint64))
+            sets.append(tokens)
     if len(set(labels)) > 1:
         yield links(nodes, labels, sets)
 
@@ -276,12 +301,12 @@ def _tree_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def links_in_blocks(sets: DataFrame, members: DataFrame) -> DataFrame:
     """Links among the sets of every block of ``members`` (node, label, block)."""
     joined = members.join(sets.select("node", "tokens"), "node")
-    return joined.repartition("block").sortWithinPartitions("block").mapInArrow(_tree_links, "u string, v string")
+    return joined.repartition("block").sortWithinPartitions("block").mapInArrow(_tree_links, "u long, v long")
 
 
 def near_members(sets: DataFrame) -> DataFrame:
     """(node, label, block): every set with the first set of those that share a minimum hash with it."""
-    keys = cut_lineage(sets.select("node", "tokens").mapInArrow(_min_hashes, "node string, which int, key long"))
+    keys = cut_lineage(sets.select("node", "tokens").mapInArrow(_min_hashes, "node long, which int, key long"))
     first = keys.groupBy("which", "key").agg(F.min("node").alias("first"), F.count(F.lit(1)).alias("size"))
     pairs = keys.join(first.where("size > 1"), ["which", "key"]).select("node", "first").distinct()
     parts = pairs.groupBy("first").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("parts"))
@@ -295,38 +320,33 @@ def near_members(sets: DataFrame) -> DataFrame:
 
 def rare_members(sets: DataFrame, labels: DataFrame) -> DataFrame:
     """(node, label, block) such that two sets of different labels that link share a block."""
-    tokens = F.col("tokens")
-    words = F.sequence(F.lit(0), F.col("n") - 1)
-    labelled = sets.join(labels, "node", "left").select(
-        "node", "n", F.coalesce("root", "node").alias("label"), "tokens"
-    )
-
-    def exploded(frame: DataFrame, count) -> DataFrame:
-        # Eight bytes a hash, low byte first; the text form names it.
-        upto = F.transform(F.slice(words, F.lit(1), count), lambda i: F.hex(F.substring(tokens, (i * 8 + 1).cast("int"), F.lit(8))))
-        return frame.select("node", "n", "label", F.explode(upto).alias("token"))
+    labelled = sets.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
 
-    def across(frame: DataFrame) -> DataFrame:
-        """Hashes that sets of different labels have, and how many sets have them."""
-        spread = frame.groupBy("token").agg(
-            F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("holders")
+    def marked(tokens: DataFrame) -> DataFrame:
+        """With how many sets have the token: 0 where all that have it are of one label."""
+        placed = tokens.repartition("token")
+        spread = placed.groupBy("token").agg(
+            F.when(F.min("label") < F.max("label"), F.count(F.lit(1))).otherwise(0).alias("holders")
         )
-        return spread.where("a <> b").select("token", "holders")
+        return placed.join(spread, "token")
 
-    half = exploded(labelled, F.ceil(F.col("n") / 2).cast("int"))
-    enough = half.join(across(half), "token", "left_semi").groupBy("node", "n").agg(F.count(F.lit(1)).alias("c"))
-    able = enough.where("16 * c >= 3 * n").select("node")
-    whole = cut_lineage(exploded(labelled.join(able, "node", "left_semi"), F.col("n").cast("int")))
-    ranked = whole.join(across(whole), "token", "left").withColumn("holders", F.coalesce("holders", F.lit(0)))
+    half = F.explode(F.slice("tokens", F.lit(1), F.ceil(F.col("n") / 2).cast("int"))).alias("token")
+    counted = marked(labelled.select("node", "label", half)).where("holders > 0").groupBy("node").agg(F.count(F.lit(1)).alias("c"))
+    # The smaller half of a linked set has at least 3/16 of its size in common tokens.
+    able = labelled.join(counted, "node").where("16 * c >= 3 * n")
+    whole = marked(able.select("node", "n", "label", F.explode("tokens").alias("token")))
     # Of two linked sets' tokens in any common order, the first quarter and one more share one.
     order = Window.partitionBy("node").orderBy("holders", "token")
-    first = ranked.withColumn("place", F.row_number().over(order)).where("holders > 0 AND place <= n div 4 + 1")
-    # Hashes with the same holders make one block.
+    first = whole.withColumn("place", F.row_number().over(order)).where("holders > 0 AND place <= n div 4 + 1")
+    first = cut_lineage(first.select("node", "label", "token"))
+    # Tokens with the same holders make one block.
     alike = first.groupBy("token").agg(
-        F.count(F.lit(1)).alias("size"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("names"), F.min("label").alias("a"),
+        F.count(F.lit(1)).alias("size"),
+        F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("names"),
+        F.min("label").alias("a"),
         F.max("label").alias("b"),
-    )
-    blocks = alike.where("a <> b").groupBy("size", "names").agg(F.min("token").alias("token"))
+    )
+    blocks = alike.where("a < b").groupBy("size", "names").agg(F.min("token").alias("token"))
     parts = F.ceil(F.col("size") / CHUNK).cast("int")
     placed = first.join(blocks.select("token", parts.alias("parts")), "token")
     own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
@@ -340,20 +360,19 @@ def rare_members(sets: DataFrame, labels: DataFrame) -> DataFrame:
 def components(docs: DataFrame) -> DataFrame:
     """(doc_id, n, component_id) of every row of ``docs`` (doc_id, text)."""
     rows = cut_lineage(documents_able_to_link(docs))
-    nodes = rows.where("able").groupBy("node").agg(F.min("doc_id").alias("id"))
-    nodes = cut_lineage(nodes)
+    nodes = node_table(rows)
     sets = cut_lineage(sets_of(docs, nodes))
     near = cut_lineage(links_in_blocks(sets, near_members(sets)))
     labels = connected_components(near)
     rare = links_in_blocks(sets, rare_members(sets, labels))
     roots = connected_components(near.union(rare))
-    named = nodes.join(roots, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
+    named = nodes.join(roots, "node", "left").select("digest", "id", F.coalesce("root", "node").alias("root"))
     least = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    by_node = named.join(least, "root").select("node", "component_id")
-    # A third of all rows may be copies of one text: their node is salted.
+    by_node = named.join(least, "root").select("digest", "component_id")
+    # A third of all rows may be copies of one text: their set is salted.
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int")
-    joined = rows.withColumn("salt", salt).join(by_node.select("*", every_salt), ["node", "salt"], "left")
+    joined = rows.withColumn("salt", salt).join(by_node.select("*", every_salt), ["digest", "salt"], "left")
     own = F.when(F.col("able"), F.col("component_id")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", "n", own.alias("component_id"))
 
