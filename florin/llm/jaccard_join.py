@@ -11,7 +11,7 @@ connected.
    signature tree per block finds its links, and connected sets get one label.
 4. Again, a set can only link to another label if enough of its hashes occur there. Those
    that can fall into blocks by their rarest hashes, of which two sets that link share
-   one; trees find the links across labels.
+   one; overlapping blocks are joined, and trees find the links across labels.
 
 Blocks larger than ``CHUNK`` are split: in step 3 each part keeps the block's first set,
 in step 4 every two parts meet. Defined results: a document of fewer than five words has
@@ -336,8 +336,12 @@ def rare_members(sets: DataFrame, labels: DataFrame) -> DataFrame:
     able = labelled.join(counted, "node").where("16 * c >= 3 * n")
     whole = marked(able.select("node", "n", "label", F.explode("tokens").alias("token")))
     # Of two linked sets' tokens in any common order, the first quarter and one more share one.
-    order = Window.partitionBy("node").orderBy("holders", "token")
-    first = whole.withColumn("place", F.row_number().over(order)).where("holders > 0 AND place <= n div 4 + 1")
+    by_node = Window.partitionBy("node")
+    ranked = whole.withColumn("place", F.row_number().over(by_node.orderBy("holders", "token"))).withColumn(
+        "across", F.count_if(F.col("holders") > 0).over(by_node)
+    )
+    # All that a linked set has in common with the other is common across labels.
+    first = ranked.where(f"holders > 0 AND 100 * across >= {PERCENT} * n AND place <= n div 4 + 1")
     first = cut_lineage(first.select("node", "label", "token"))
     # Tokens with the same holders make one block.
     alike = first.groupBy("token").agg(
@@ -347,14 +351,19 @@ def rare_members(sets: DataFrame, labels: DataFrame) -> DataFrame:
         F.max("label").alias("b"),
     )
     blocks = alike.where("a < b").groupBy("size", "names").agg(F.min("token").alias("token"))
-    parts = F.ceil(F.col("size") / CHUNK).cast("int")
-    placed = first.join(blocks.select("token", parts.alias("parts")), "token")
-    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    placed = cut_lineage(first.join(blocks.select("token", "size"), "token"))
+    # Blocks that overlap become one, so that a set moves once; very large ones stay apart.
+    stars = placed.join(placed.groupBy("token").agg(F.min("node").alias("v")), "token").select(F.col("node").alias("u"), "v")
+    joined = placed.join(connected_components(stars).withColumnRenamed("root", "whole"), "node")
+    small = joined.groupBy("whole").agg(F.count_distinct("node").alias("sets")).where(f"sets <= {CHUNK}").select("whole")
+    together = joined.join(small, "whole").select("node", "label", F.concat(F.lit("="), F.col("whole")).alias("block")).distinct()
+    apart = joined.join(small, "whole", "left_anti").withColumn("parts", F.ceil(F.col("size") / CHUNK).cast("int"))
+    apart = apart.withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     pair = F.transform(
         F.sequence(F.lit(0), F.col("parts") - 1), lambda j: F.concat_ws("-", F.least(F.col("own"), j), F.greatest(F.col("own"), j))
     )
-    met = placed.withColumn("own", own).select("node", "label", "token", F.explode(pair).alias("pair"))
-    return met.select("node", "label", F.concat_ws("/", "token", "pair").alias("block"))
+    met = apart.select("node", "label", "token", F.explode(pair).alias("pair"))
+    return together.union(met.select("node", "label", F.concat_ws("/", "token", "pair").alias("block")))
 
 
 def components(docs: DataFrame) -> DataFrame:
