@@ -7,22 +7,21 @@ from pyspark.sql import functions as F
 
 from florin.session import cut_lineage
 
-
-def _least_neighbour(edges: DataFrame) -> DataFrame:
-    return edges.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+ROWS_PER_TASK = 200_000
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of u is linked to the least of u and its neighbours."""
-    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    joined = both.join(_least_neighbour(both), "u").where(F.col("v") > F.col("u"))
-    return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).repartition("u")
+    least = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
+    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    """u and its smaller neighbours are linked to the least of them."""
-    down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v")
-    joined = down.join(_least_neighbour(down), "u")
+    """u and its smaller neighbours are linked to the least of them; v < u throughout."""
+    down = edges.repartition("u")
+    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    joined = down.join(least, "u")
     own = joined.select("u", F.col("m").alias("v"))
     others = joined.select(F.col("v").alias("u"), F.col("m").alias("v"))
     return own.union(others).where("u <> v").distinct()
@@ -33,13 +32,15 @@ def connected_components(links: DataFrame) -> DataFrame:
 
     The driver sees a count and a checksum per round; a round halves the distances at least.
     """
-    edges = cut_lineage(links.select("u", "v").where("u <> v").distinct())
-    before = None
+    edges = links.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    edges, before = cut_lineage(edges), None
     while True:
         state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
         if before == (state["n"], state["s"]):
             break
         before = (state["n"], state["s"])
-        edges = cut_lineage(_small_star(_large_star(edges)))
+        # As many tasks as the links need: most tables of links are small.
+        tasks = max(2, -(-state["n"] // ROWS_PER_TASK))
+        edges = cut_lineage(_small_star(_large_star(edges.coalesce(tasks))).coalesce(tasks))
     roots = edges.select(F.col("v").alias("u"), "v").distinct()
-    return edges.union(roots).select(F.col("u").alias("node"), F.col("v").alias("root")).distinct()
+    return edges.union(roots).select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -84,7 +84,7 @@ class SignatureTree:
         )
 
     def links(self, percent: int, groups: np.ndarray | None = None) -> list[tuple[int, int]]:
-        """Links that connect all that links connect: pairs already connected are not compared again.
+        """Pairs that connect all that links connect: sets already connected are not compared again.
 
         A link: 100 x common tokens >= percent x tokens of either. ``groups``: sets of one
         group count as connected.
@@ -110,7 +110,14 @@ class SignatureTree:
                 stack.extend((a, y) for a in x.children)
             else:
                 stack.extend((x, b) for b in y.children)
-        return found
+        return self._stars(found)
+
+    def _stars(self, found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """The same connections, each set with the first of those it is connected to."""
+        linked = UnionFind(len(self.sets))
+        for i, j in found:
+            linked.join(i, j)
+        return [(linked.root(i), i) for i in range(len(self.sets)) if linked.root(i) != i]
 
     @staticmethod
     def _may_link(x: Node, y: Node, percent: int) -> bool:
