@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 24  # 2 MB, whatever the number of hashes; a fuller set only lets more others pass
@@ -28,3 +31,14 @@ def in_bitset(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     bits = int(len(table)).bit_length() - 1 + 6
     place = hashes.astype(np.uint64) >> np.uint64(64 - bits)
     return (table[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def membership(hashes: DataFrame, column: str, bits: int = BITS) -> Callable[[Column], Column]:
+    """A column function: whether a 64-bit hash may be among ``hashes``."""
+    shared = hashes.sparkSession.sparkContext.broadcast(bitset_of(hashes, column, bits))
+
+    @F.arrow_udf("boolean")
+    def may_be_in(asked: pa.Array) -> pa.Array:
+        return pa.array(in_bitset(shared.value, asked.to_numpy(zero_copy_only=False).view(np.uint64)))
+
+    return may_be_in

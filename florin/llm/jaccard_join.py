@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from florin.llm.bitset import bitset_of, in_bitset
+from florin.llm.bitset import membership
 from florin.llm.components import connected_components
 from florin.llm.signature_tree import SignatureTree
 from florin.llm.textbytes import Words, byte_set, flat, folded_ascii, mixed, slices
@@ -111,7 +111,7 @@ def _packed_blocks(n_parts: int) -> Callable:
                     for p, at in _by_part((hashes % np.uint64(n_parts)).astype(np.int32), n_parts)
                 ]
                 ids = batch.column("doc_id")[start:stop]
-                table = pa.table({"doc_id": ids, "n": size, "digest": digests(sets), "here": here})
+                table = pa.table({"doc_id": ids, "h": batch.column("h")[start:stop], "n": size, "digest": digests(sets), "here": here})
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, table.schema) as out:
                     out.write_table(table)
@@ -187,13 +187,13 @@ def _documents_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
 
 
 def documents_able_to_link(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, digest, able) of every row; ``digest`` names its shingle set."""
+    """(doc_id, h, n, digest, able) of every row; ``h`` hashes its text, ``digest`` names its shingle set."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    packed = docs.select("doc_id", "text").mapInArrow(_packed_blocks(parts), PACKED)
+    packed = docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(_packed_blocks(parts), PACKED)
     counted = packed.repartitionById(parts, "part").mapInArrow(_shared_in_part, "block long, kind int, payload binary")
     by_block = counted.repartition(parts, "block").sortWithinPartitions("block", F.desc("kind"))
-    return by_block.mapInArrow(_documents_of_blocks, f"doc_id {kind}, n long, digest string, able boolean")
+    return by_block.mapInArrow(_documents_of_blocks, f"doc_id {kind}, h long, n long, digest string, able boolean")
 
 
 def node_table(rows: DataFrame) -> DataFrame:
@@ -218,11 +218,7 @@ def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     Texts of other documents are left out before the shuffle, by a bit set of fixed size.
     """
-    known = docs.sparkSession.sparkContext.broadcast(bitset_of(nodes.select(F.xxhash64("id").alias("h")), "h"))
-
-    @F.arrow_udf("boolean")
-    def may_be_wanted(hashes: pa.Array) -> pa.Array:
-        return pa.array(in_bitset(known.value, hashes.to_numpy(zero_copy_only=False).view(np.uint64)))
+    may_be_wanted = membership(nodes.select(F.xxhash64("id").alias("h")), "h")
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -367,7 +363,7 @@ def rare_members(sets: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def components(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, component_id) of every row of ``docs`` (doc_id, text)."""
+    """(doc_id, h, n, component_id) of every row of ``docs`` (doc_id, text); ``h`` hashes the text."""
     rows = cut_lineage(documents_able_to_link(docs))
     nodes = node_table(rows)
     sets = cut_lineage(sets_of(docs, nodes))
@@ -383,27 +379,35 @@ def components(docs: DataFrame) -> DataFrame:
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int")
     joined = rows.withColumn("salt", salt).join(by_node.select("*", every_salt), ["digest", "salt"], "left")
     own = F.when(F.col("able"), F.col("component_id")).otherwise(F.col("doc_id"))
-    return joined.select("doc_id", "n", own.alias("component_id"))
+    return joined.select("doc_id", "h", "n", own.alias("component_id"))
 
 
 def ngram_jaccard(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every row."""
-    return components(docs).withColumnRenamed("n", "n_shingles")
+    return components(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose doc_id is the least of their component.
 
-    Rows without doc_id go when their component has a known one, else all stay; of
-    rows with equal doc_id and text one stays.
+    Rows without doc_id go when their component has a known one, else they stay; of
+    rows with equal doc_id and text one stays. Only texts that may go are shuffled: a bit
+    set of fixed size lets the others pass.
     """
-    found = components(docs)
-    stay = found.where("doc_id IS NULL OR doc_id = component_id").where(
-        "doc_id IS NOT NULL OR component_id IS NULL"
+    found = components(docs).groupBy("doc_id", "h").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("component_id")
+    )
+    goes = F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
+    doubtful = found.select(
+        F.col("doc_id").alias("_id"), F.col("h").alias("_h"), goes.alias("_goes"), (F.col("rows") > 1).alias("_twice")
     )
-    kept = stay.select(F.col("doc_id").alias("_id")).distinct()
-    own = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi")
-    twice = own.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL").select("doc_id")
-    single = own.join(twice, "doc_id", "left_anti")
-    repeated = own.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
-    return single.unionByName(repeated)
+    doubtful = cut_lineage(doubtful.where("_goes OR (_twice AND _id IS NOT NULL)"))
+    may_go = membership(doubtful.select(F.xxhash64("_id", "_h").alias("k")), "k")
+    keyed = docs.withColumn("_k", F.xxhash64("text"))
+    asked = keyed.withColumn("_m", may_go(F.xxhash64("doc_id", "_k")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_h"))
+    checked = asked.where("_m").join(doubtful, same, "left")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    once = checked.where("_goes IS NULL").select(*own)
+    repeated = checked.where("_twice AND NOT _goes").select(*own).dropDuplicates(["doc_id", "text"])
+    return asked.where("NOT _m").select(*own).union(once).union(repeated)
