@@ -23,7 +23,7 @@ from collections import Counter
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -73,34 +73,39 @@ def best_fit(sizes: Sequence[int], sources: Sequence, clusters: Sequence, capaci
     return chosen
 
 
-def pack_group(rows: pd.DataFrame, capacity: int, per_source: int) -> pd.DataFrame:
+def pack_group(rows: pa.Table, capacity: int, per_source: int) -> pa.Table:
     """PLACED of one group's rows (group, doc_id, source, cluster, size)."""
     # An order of the rows' own, so that a repeated task ends in the same bins.
-    rows = rows.sort_values(["size", "doc_id", "cluster", "source"], ascending=[False, True, True, True])
-    size = rows["size"].to_numpy(np.int64)
+    rows = rows.sort_by([("size", "descending"), ("doc_id", "ascending"), ("cluster", "ascending"), ("source", "ascending")])
+    size = rows.column("size").to_numpy()
     full = np.where(size > 0, (size - 1) // capacity, 0)  # full bins before the last piece
     rest = size - full * capacity
-    known = [None if pd.isna(v) else v for v in rows["source"]]
-    clusters = [None if pd.isna(v) else v for v in rows["cluster"]]
-    bins = np.asarray(best_fit(rest.tolist(), known, clusters, capacity, per_source), np.int64)
+    sources, clusters = rows.column("source").to_pylist(), rows.column("cluster").to_pylist()
+    bins = np.asarray(best_fit(rest.tolist(), sources, clusters, capacity, per_source), np.int64)
     packed = int(bins.max()) + 1
-    row = np.concatenate([np.arange(len(rows)), np.repeat(np.arange(len(rows)), full)])
-    ends = np.cumsum(full)
-    inner = np.arange(int(full.sum())) - np.repeat(ends - full, full)
+    n = len(size)
+    row = np.concatenate([np.arange(n), np.repeat(np.arange(n), full)])
+    inner = np.arange(int(full.sum())) - np.repeat(np.cumsum(full) - full, full)
+    bin_id = np.concatenate([bins, packed + np.arange(len(inner))])
     piece = np.concatenate([full, inner])
-    placed = pd.DataFrame(
+    length = np.concatenate([rest, np.full(len(inner), capacity, np.int64)])
+    # Where a piece starts in its bin: the lengths of the pieces before it.
+    order = np.argsort(bin_id, kind="stable")
+    before = np.cumsum(length[order]) - length[order]
+    first = np.concatenate([[True], bin_id[order][1:] != bin_id[order][:-1]])
+    place = np.empty_like(length)
+    place[order] = before - before[first][np.cumsum(first) - 1]
+    group = rows.column("group")[0].as_py()
+    return pa.table(
         {
-            "doc_id": rows["doc_id"].astype("Int64").to_numpy()[row],
-            "bin_id": np.concatenate([bins, packed + np.arange(len(inner))])
-            + (int(rows["group"].iloc[0]) << 32),
+            "doc_id": rows.column("doc_id").take(pa.array(row)),
+            "bin_id": bin_id + (group << 32),
             "piece": piece,
             "start": piece * capacity,
-            "length": np.concatenate([rest, np.full(len(inner), capacity, np.int64)]),
+            "length": length,
+            "place": place,
         }
     )
-    placed["doc_id"] = placed["doc_id"].astype("Int64")
-    placed["place"] = placed.groupby("bin_id")["length"].cumsum() - placed["length"]
-    return placed
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURCE,
@@ -112,7 +117,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURC
     return (
         known.withColumn("group", dealt)
         .groupBy("group")
-        .applyInPandas(lambda rows: pack_group(rows, capacity, per_source), PLACED)
+        .applyInArrow(lambda rows: pack_group(rows, capacity, per_source), PLACED)
     )
 
 

@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 from florin.llm.textbytes import Words, byte_set, flat, folded_ascii, mixed, slices, sums
 
 THRESHOLD = 0.4
-SAMPLE_DOCS = 4000  # training documents at most
-SLOTS = 4096  # hashed features
+SAMPLE_DOCS = 3000  # training documents at most
+SLOTS = 2048  # hashed features
 ROUNDS = 100  # of expectation maximisation, and of the scorer's training
 BAD, ABSTAIN, GOOD = 0, 1, 2
 
@@ -219,12 +219,13 @@ def _sampled(docs: DataFrame, text: str, sample_docs: int) -> DataFrame:
 
 def train(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -> Scorer | None:
     """Vote statistics of all rows; the driver gets their patterns (at most 3^heuristics) and the sample."""
-    patterns = docs.where(F.length(text) > 0).groupBy(vote_pattern(F.col(text)).alias("pattern")).count().toPandas()
-    if patterns.empty:
+    patterns = docs.where(F.length(text) > 0).groupBy(vote_pattern(F.col(text)).alias("pattern")).count().toArrow()
+    if not patterns.num_rows:
         return None
-    patterns = patterns.sort_values("pattern")
-    good, table = posteriors(patterns["pattern"].to_numpy(), patterns["count"].to_numpy(float))
-    label_of = dict(zip(patterns["pattern"].tolist(), good.tolist(), strict=True))
+    patterns = patterns.sort_by("pattern")
+    known = patterns.column("pattern").to_numpy()
+    good, table = posteriors(known, patterns.column("count").to_numpy().astype(float))
+    label_of = dict(zip(known.tolist(), good.tolist(), strict=True))
 
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -244,7 +245,9 @@ def train(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -
 
     rows = _sampled(docs, text, sample_docs).mapInArrow(featured, "h long, pattern int, x binary").toArrow()
     rows = rows.sort_by("h")
-    x = np.frombuffer(b"".join(rows.column("x").to_pylist()), np.float16).reshape(-1, SLOTS).astype(np.float32)
+    x = np.empty((rows.num_rows, SLOTS), np.float32)
+    for i, row in enumerate(rows.column("x")):
+        x[i] = np.frombuffer(row.as_buffer(), np.float16)
     label = np.array([label_of[p] for p in rows.column("pattern").to_pylist()], np.float32)
     return Scorer(*fit(x, label), table)
 
