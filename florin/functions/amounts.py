@@ -42,8 +42,15 @@ def money(sql: str) -> str:
 
 
 def drop_last_two(text: Column) -> Column:
-    """Numeric text without its last two digits; NULL where nothing numeric remains."""
-    return F.substring(text, F.lit(1), F.length(text) - 2).try_cast(AMOUNT)
+    """Numeric text without its last two digits, as FACT; NULL where nothing numeric remains.
+
+    A number too large for FACT fails the run, with ANSI mode or without.
+    """
+    kept = F.substring(text, F.lit(1), F.length(text) - 2)
+    size = F.abs(kept.try_cast("double"))
+    is_number = size.isNotNull() & ~F.isnan(size) & (size < F.lit(float("inf")))
+    message = F.concat(F.lit("amount out of range: "), kept)
+    return F.when(is_number, F.coalesce(kept.try_cast(FACT), F.raise_error(message).cast(FACT)))
 
 
 def second_token_int(name: Column) -> Column:

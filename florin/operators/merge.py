@@ -7,10 +7,13 @@ dynamic partition overwrite.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from florin.session import cut_lineage
@@ -22,7 +25,7 @@ def schema_sync(current: DataFrame, batch: DataFrame) -> DataFrame:
 
 
 def unique_by(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The batch itself; running it fails when two rows share a key."""
+    """The batch itself; running it fails when two rows share a key, NULLs counting as equal."""
     rest = [c for c in batch.columns if c not in keys]
     counted = batch.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in rest])
     message = F.lit(f"the batch has several rows for one key {list(keys)}")
@@ -30,9 +33,24 @@ def unique_by(batch: DataFrame, keys: Sequence[str]) -> DataFrame:
     return counted.where(single).select(*batch.columns)
 
 
+def _same(keys: Sequence[str]) -> Column:
+    """Equal keys, NULLs counting as equal; the other side's keys are named by ``_named``."""
+    return reduce(and_, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+
+
+def _named(rows: DataFrame, keys: Sequence[str], *others: str) -> DataFrame:
+    return rows.select(*[F.col(k).alias(f"_key_{k}") for k in keys], *others)
+
+
 def merge_by_keys(current: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Batch rows replace current rows of the same key; all others stay."""
-    kept = current.join(batch.select(*keys), list(keys), "left_anti")
+    """Batch rows replace current rows of the same key; all others stay.
+
+    A column that the batch does not have keeps its stored value.
+    """
+    kept = current.join(_named(batch, keys), _same(keys), "left_anti")
+    absent = [c for c in current.columns if c not in batch.columns]
+    if absent:
+        batch = batch.join(_named(current, keys, *absent), _same(keys), "left").select(*batch.columns, *absent)
     return schema_sync(kept, batch)
 
 
@@ -51,8 +69,12 @@ def affected_partitions(current: DataFrame, batch: DataFrame, partition_keys: Se
     values = touched.collect()
     listed = current
     for position, key in enumerate(partition_keys):
-        listed = listed.where(F.col(key).isin({row[position] for row in values}))
-    return listed.join(touched, list(partition_keys), "left_semi") if len(partition_keys) > 1 else listed
+        found = {row[position] for row in values}
+        among = F.col(key).isin(found - {None})
+        listed = listed.where(among | F.col(key).isNull() if None in found else among)
+    if len(partition_keys) == 1:
+        return listed
+    return listed.join(_named(touched, partition_keys), _same(partition_keys), "left_semi")
 
 
 def upsert_partitioned(
@@ -61,12 +83,14 @@ def upsert_partitioned(
     """Create the table, or merge the batch into it; new columns are added.
 
     The merge writes whole partitions, so a task that is lost and retried ends in
-    the same result, and running the same batch again changes nothing.
+    the same result, and running the same batch again changes nothing. The overwrite is
+    not atomic: a driver lost while it commits can leave a partition without its old rows.
     """
     result = checked = cut_lineage(unique_by(batch, keys))
     current = _existing(batch.sparkSession, path)
     if current is not None:
-        result = merge_by_keys(affected_partitions(current, checked, partition_keys), checked, keys)
+        # Stored before the overwrite: the rows survive in the checkpoint if the commit fails.
+        result = cut_lineage(merge_by_keys(affected_partitions(current, checked, partition_keys), checked, keys))
     # Few files per partition, while a large partition is still split over tasks.
     (
         result.hint("rebalance", *partition_keys)
@@ -89,9 +113,14 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
 
 def merge_into(batch: DataFrame, table: str, keys: Sequence[str]) -> None:
     """The same merge for a catalog table whose format supports ``MERGE INTO``."""
-    unique_by(batch, keys).createOrReplaceTempView("florin_batch")
-    same_key = " AND ".join(f"t.`{k}` = b.`{k}`" for k in keys)
-    batch.sparkSession.sql(
-        f"MERGE WITH SCHEMA EVOLUTION INTO {table} AS t USING florin_batch AS b ON {same_key} "
-        "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
-    )
+    view = f"batch_{uuid.uuid4().hex}"
+    unique_by(batch, keys).createOrReplaceTempView(view)
+    same_key = " AND ".join(f"t.`{k}` <=> b.`{k}`" for k in keys)
+    spark = batch.sparkSession
+    try:
+        spark.sql(
+            f"MERGE WITH SCHEMA EVOLUTION INTO {table} AS t USING {view} AS b ON {same_key} "
+            "WHEN MATCHED THEN UPDATE SET * WHEN NOT MATCHED THEN INSERT *"
+        )
+    finally:
+        spark.catalog.dropTempView(view)

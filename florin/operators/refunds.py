@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florin import params
-from florin.functions.amounts import AMOUNT, FACT, drop_last_two, second_token_int
+from florin.functions.amounts import FACT, drop_last_two, second_token_int
 from florin.operators.facts import entry, per_report_date, tagged
 from florin.operators.report_dates import PREVIOUS, REPORT, ReportSpan, on_dates, read_dates
 
@@ -103,7 +103,7 @@ def refund_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     )
     originator = F.ltrim(F.trim("reg5_datos_originador"), F.lit("0"))
     text = F.trim("reg6_valor_transaccion")
-    paid = F.when(F.length(text) > 2, drop_last_two(text)).otherwise(F.lit(0).cast(AMOUNT))
+    paid = F.when(F.length(text) > 2, drop_last_two(text)).otherwise(F.lit(0).cast(FACT))
     adaptor = F.when(today & (originator == params.ORIGINATOR_ACCOUNT), "adaptor")
     matched = matched_refunds(span, src).select(
         "report_date", F.concat(F.lit("matched_"), "which_day").alias("metric"), F.col("matched").alias("amount")

@@ -24,11 +24,13 @@ BANK_T0 = "bank_t0"
 BANK_T1 = "bank_t1"
 MOVEMENTS = "movements"  # catch-up interval of account movements
 STATEMENTS = "statements"  # run-out interval of bank statements
-CUTS = [REPORT, PREVIOUS, BANK_T0, BANK_T1, MOVEMENTS, STATEMENTS]
+AGREED = "agreed"  # the business days before it on which an operation may have been agreed, and itself
+AGREED_DAYS = 4
+CUTS = [REPORT, PREVIOUS, BANK_T0, BANK_T1, MOVEMENTS, STATEMENTS, AGREED]
 
 # Source dates never lie further from their report date than this.
-REACH = timedelta(days=calendar.NEIGHBOUR_DAYS)
-MAX_ROWS_PER_DATE = 4 + 2 * calendar.NEIGHBOUR_DAYS
+REACH = timedelta(days=max(calendar.NEIGHBOUR_DAYS, calendar.window_lookback(AGREED_DAYS)))
+MAX_ROWS_PER_DATE = 5 + AGREED_DAYS + 2 * calendar.NEIGHBOUR_DAYS
 
 # A bridge row is two dates and a short tag. 500 000 of them (40 years of report
 # dates) stay around 20 MB; a longer backfill is computed and joined by shuffle.
@@ -92,6 +94,7 @@ class ReportSpan:
             rows(BANK_T1, F.array("bank_t1")),
             rows(MOVEMENTS, F.sequence("unity_from", "unity_to")),
             rows(STATEMENTS, F.sequence("tx_from", "tx_to")),
+            rows(AGREED, calendar.business_window(F.col("report_date"), AGREED_DAYS)),
         )
         return self.dates.select("report_date", F.inline(entries))
 

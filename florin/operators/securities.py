@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from florin import params
 from florin.functions.amounts import FACT, amount
 from florin.operators.facts import entry, per_report_date, tagged
-from florin.operators.report_dates import PREVIOUS, REPORT, ReportSpan, on_dates
+from florin.operators.report_dates import AGREED, PREVIOUS, REPORT, ReportSpan, on_dates
 
 ISSUANCE_METRICS = ["iss_repurchases", "iss_repurchases_n", "iss_cdt", "iss_cdt_n", "iss_bonds", "iss_bonds_n"]
 
@@ -37,14 +37,18 @@ def derivatives_pnl(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame
 
 
 def _parents(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
-    """Operations starting on a report date and agreed on any report date of the run."""
+    """Operations starting on a report date and agreed on it or on one of the business days before it.
+
+    The days belong to the report date, so its result does not depend on the run's other dates.
+    """
     isin = F.col("codigo_isin")
     kind = F.when(isin.startswith(params.CERTIFICATE_ISIN), "cdt").when(isin.startswith(params.BOND_ISIN), "bonds")
     rows = src["operations_a"].withColumn("kind", kind).where(F.col("kind").isNotNull())
-    rows = rows.where(span.reads("fecha_operacion", [REPORT]))
-    agreed = span.bridge_for([REPORT]).select(F.col("source_date").alias("agreed_on"))
+    rows = rows.where(span.reads("fecha_operacion", [AGREED]))
+    agreed = span.bridge_for([AGREED]).select(F.col("report_date").alias("agreed_for"), F.col("source_date").alias("agreed_on"))
     rows = on_dates(rows, "fecha_inicio", span, [REPORT]).drop("cut")
-    return rows.join(agreed, F.col("fecha_operacion") == F.col("agreed_on"), "left_semi")
+    same = (F.col("report_date") == F.col("agreed_for")) & (F.col("fecha_operacion") == F.col("agreed_on"))
+    return rows.join(agreed, same, "left_semi")
 
 
 def _children(src: Mapping[str, DataFrame]) -> DataFrame:

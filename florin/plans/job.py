@@ -7,11 +7,12 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from florin import params
+from florin.operators import refunds
 from florin.operators.merge import upsert_partitioned
-from florin.operators.report_dates import ReportSpan
+from florin.operators.report_dates import ReportSpan, window_span
 from florin.operators.transpose import Section, transposed
 from florin.plans import daily
 from florin.session import cut_lineage
@@ -38,12 +39,23 @@ class Targets:
 
 def parse_report_date(text: str) -> date:
     """The date of an ISO date or timestamp, with or without ``Z`` or a leading ``DATE``."""
-    found = re.match(r"\s*(?:DATE\s+)?(\d{4}-\d{2}-\d{2})", text, re.IGNORECASE)
+    clock = r"(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?:Z|[+-]\d{2}:?\d{2})?)?"
+    found = re.fullmatch(rf"\s*(?:DATE\s+)?'?(\d{{4}}-\d{{2}}-\d{{2}}){clock}Z?'?\s*", text, re.IGNORECASE)
     if not found:
         raise ValueError(f"not a report date: {text!r}")
     return date.fromisoformat(found[1])
 
 
+def requested_span(spark: SparkSession, src: Mapping[str, DataFrame], text: str | None = None) -> ReportSpan:
+    """The window of a report date given as text, or of the latest adapter date when none is given."""
+    if text:
+        return window_span(spark, parse_report_date(text))
+    latest = refunds.latest_date(src).first()["latest"]
+    if latest is None:
+        raise ValueError("no report date given and the adapter source is empty")
+    return window_span(spark, latest)
+
+
 def report_days(span: ReportSpan) -> list[date]:
     """The report dates in order: column heads of the transposed report."""
     return sorted(row[0] for row in span.listed.collect())

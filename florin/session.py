@@ -1,17 +1,19 @@
-"""Session defaults and lineage cutting."""
+"""Session defaults, the shared folder, lineage cutting."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(app: str = "florin", **confs: str) -> SparkSession:
     """A session with the settings the plans expect; extra confs override them."""
     settings = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -33,26 +35,39 @@ def build_session(app: str = "florin", **confs: str) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only an all-in-one local
-    session without that setting gets a fresh temporary folder; there, driver
-    and executors are one process on one machine.
+    The cluster names it in ``spark.checkpoint.dir``; without that setting it lies in the
+    warehouse, which driver and executors share, too.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="florin-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_florin"
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Compute once into reliable storage, so later actions do not recompute the plan."""
-    context = df.sparkSession.sparkContext
+    """Compute once into reliable storage, so later actions do not recompute the plan.
+
+    The plan's shuffle files go as soon as the result is stored; nothing reads them again.
+    """
+    spark = df.sparkSession
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+        context.setCheckpointDir(shared_dir(spark))
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        own_plan = df.select("*")
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
+    return own_plan.checkpoint(eager=True)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

@@ -80,7 +80,7 @@ SAMPLE_SQL = {
     "operations_a": """
         SELECT p_partkey AS id,
           CASE p_partkey % 3 WHEN 0 THEN 'COB70CD' WHEN 1 THEN 'COB70CB' ELSE 'XXX' END || CAST(p_partkey AS STRING) AS codigo_isin,
-          (DATE '2024-01-01' + CAST(p_partkey % 30 AS INT)) AS fecha_operacion, (DATE '2024-01-01' + CAST(p_partkey % 30 AS INT)) AS fecha_inicio, p_retailprice AS precio_contado
+          (DATE '2024-01-01' + CAST(p_partkey % 30 AS INT)) - CAST(p_size % 7 AS INT) AS fecha_operacion, (DATE '2024-01-01' + CAST(p_partkey % 30 AS INT)) AS fecha_inicio, p_retailprice AS precio_contado
         FROM {part}
     """,
     "operations_b": """

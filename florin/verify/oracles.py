@@ -389,7 +389,7 @@ NET = f"""
 
 _AMOUNT = (
     "TRY_CAST(CASE WHEN length(reg6_valor_transaccion) > 2 "
-    "THEN left(reg6_valor_transaccion, length(reg6_valor_transaccion) - 2) END AS DECIMAL(18,4))"
+    "THEN left(reg6_valor_transaccion, length(reg6_valor_transaccion) - 2) END AS DECIMAL(28,4))"
 )
 _ADAPTER_ROWS = f"a.*, TRY_CAST(string_split(a.name, '.')[2] AS INTEGER) AS cycle, {_AMOUNT} AS amount"
 REFUND_ROWS = f"""
@@ -417,7 +417,7 @@ MATCHED = f"""
 """
 _ORIGINATED = (
     "CASE WHEN which_day = 'today' AND ltrim(trim(reg5_datos_originador), '0') = '62015991' THEN -(CASE WHEN length(trim(reg6_valor_transaccion)) > 2 "
-    "THEN TRY_CAST(left(trim(reg6_valor_transaccion), length(trim(reg6_valor_transaccion)) - 2) AS DECIMAL(18,4)) ELSE 0 END) END"
+    "THEN TRY_CAST(left(trim(reg6_valor_transaccion), length(trim(reg6_valor_transaccion)) - 2) AS DECIMAL(28,4)) ELSE 0 END) END"
 )
 REFUNDS = f"""
     refund AS (
@@ -470,14 +470,25 @@ SECURITIES = f"""
       FROM rd r LEFT JOIN derivatives x ON x.fecha_inicial = r.prev_bd AND x.descripcion = 'HOLDER SA'
         AND x.tipo_cumplimiento = 'F' GROUP BY r.report_date)
 """
+# Days on which an operation of a report date may have been agreed: the four business days
+# before it and itself, by counting the business days in between.
+AGREED = """
+    work AS (SELECT CAST(x AS DATE) AS d FROM generate_series(DATE '2023-12-01', DATE '2024-02-15', INTERVAL 1 DAY) AS g(x)
+             WHERE isodow(x) <= 5
+             AND CAST(x AS DATE) NOT IN (DATE '2023-12-08', DATE '2023-12-25', DATE '2024-01-01', DATE '2024-01-08')),
+    agreed AS (SELECT report_date, report_date AS source_date FROM rd
+               UNION ALL SELECT r.report_date, w.d FROM rd r JOIN work w ON w.d < r.report_date
+               WHERE (SELECT COUNT(*) FROM work n WHERE n.d >= w.d AND n.d < r.report_date) <= 4)
+"""
 PAPERS = f"""
+    {AGREED.strip()},
     papers AS (
       SELECT a.fecha_inicio AS report_date, CASE WHEN a.codigo_isin LIKE 'COB70CD%' THEN 'cdt' ELSE 'bonds' END AS kind,
         b.tipo_participacion, {d('a.precio_contado')} AS price, {d('b.saldo')} AS saldo
       FROM operations_a a JOIN operations_b b ON a.id = b.id_padre
       WHERE (a.codigo_isin LIKE 'COB70CD%' OR a.codigo_isin LIKE 'COB70CB%') AND b.tipo_participacion IN (1, 2)
         AND b.nombre_inversion = 'HOLDER S.A'
-        AND a.fecha_operacion IN (SELECT report_date FROM rd) AND a.fecha_inicio IN (SELECT report_date FROM rd)),
+        AND EXISTS (SELECT 1 FROM agreed g WHERE g.report_date = a.fecha_inicio AND g.source_date = a.fecha_operacion)),
     issued AS (
       SELECT r.report_date, {', '.join(
         f"CASE WHEN COUNT(CASE WHEN {cond} THEN 1 END) = 1 THEN round_even(MAX(CASE WHEN {cond} THEN {value} END), 2) "
@@ -724,13 +735,14 @@ ORACLES: dict[str, str] = {
         rd=None,
     ),
     "date_bridge": _query(
-        """WITH bridge AS (
+        f"""WITH {AGREED.strip()}, bridge AS (
           SELECT report_date, 'report' AS cut, report_date AS source_date FROM rd
           UNION ALL SELECT report_date, 'previous', prev_bd FROM rd
           UNION ALL SELECT report_date, 'bank_t0', bank_t0 FROM rd
           UNION ALL SELECT report_date, 'bank_t1', bank_t1 FROM rd
           UNION ALL SELECT report_date, 'movements', CAST(unnest(generate_series(unity_from, unity_to, INTERVAL 1 DAY)) AS DATE) FROM rd
-          UNION ALL SELECT report_date, 'statements', CAST(unnest(generate_series(tx_from, tx_to, INTERVAL 1 DAY)) AS DATE) FROM rd)
+          UNION ALL SELECT report_date, 'statements', CAST(unnest(generate_series(tx_from, tx_to, INTERVAL 1 DAY)) AS DATE) FROM rd
+          UNION ALL SELECT report_date, 'agreed', source_date FROM agreed)
         SELECT report_date, cut, source_date, (SELECT COUNT(*) FROM cc_movements WHERE fecha = source_date) AS n_rows
         FROM bridge""",
         "cc_movements",

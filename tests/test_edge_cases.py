@@ -9,7 +9,7 @@ from florin import params
 from florin.operators import banks, channels, deposits, market, movements, refunds, securities
 from florin.operators.facts import per_report_date
 from florin.operators.report_dates import business_day_span
-from florin.plans import daily
+from florin.plans import daily, job
 from tiny import one, span_of, tiny_sources
 
 DAY = date(2024, 1, 10)
@@ -597,7 +597,7 @@ def test_single_rows_are_rounded_and_several_are_summed(spark):
 def test_repurchases_are_certificates_only(spark):
     src = tiny_sources(
         spark,
-        operations_a=[paper(1), paper(2, "COB70CBX"), paper(3, agreed=BEFORE), paper(4, start=BEFORE)],
+        operations_a=[paper(1), paper(2, "COB70CBX"), paper(3, agreed=date(2024, 1, 2)), paper(4, start=BEFORE)],
         operations_b=[child(i, 1, 0.0) for i in (1, 2, 3, 4)] + [child(1, 1, 0.0, "OTHER"), child(1, 3, 0.0)],
     )
     row = one(securities.issuance_repurchase(span_of(spark, DAY), src))
@@ -692,7 +692,47 @@ def test_each_date_is_the_same_alone_and_in_a_backfill(spark):
     by_day = {r.report_date: r.asDict() for r in together}
     for day in (date(2024, 1, 9), date(2024, 1, 22)):
         alone = daily.statements(daily.daily_metrics(span_of(spark, day), src)).first().asDict()
-        # Agreed-on dates are looked up among the dates of the run; here they equal the start dates.
+        # The samples agree operations up to six days before they start.
         assert alone == by_day[day]
 
 
+
+
+def test_large_refund_amounts_are_summed(spark):
+    def refund(amount):
+        return {"fecha_consulta": DAY, "name": f"x.1{params.OUT_SUFFIX}", "status": params.UNAUTHORIZED, "reg6_valor_transaccion": amount}
+
+    src = tiny_sources(spark, adapter=[refund("100000"), refund("99999999999999999999"), refund("abc"), refund("NaN00")])
+    row = refunds.refund_parse(span_of(spark, DAY), src).collect()
+    assert sum(r["n_amounts"] for r in row) == 2 and sum(r["total"] for r in row if r["total"] is not None) == 10**18 - 1 + 1000
+
+
+def test_amounts_out_of_range_fail_without_ansi_mode(spark):
+    from florin.functions.amounts import drop_last_two
+
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="out of range"):
+            spark.createDataFrame([("9" * 40,)], "t string").select(drop_last_two(F.col("t"))).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+
+
+def test_agreed_days_belong_to_the_report_date(spark):
+    start, before = date(2024, 1, 10), date(2024, 1, 9)
+    src = tiny_sources(
+        spark,
+        operations_a=[paper(1, agreed=before, start=start)],
+        operations_b=[{"id_padre": 1, "saldo": 50.0, "tipo_participacion": params.ISSUANCE_PARTICIPATION, "nombre_inversion": params.INVESTMENT_HOLDER}],
+    )
+    for days in ([start], [before, start]):
+        rows = securities.issuance_repurchase(span_of(spark, *days), src).collect()
+        assert {r["report_date"]: float(r["cdt_issuances"]) for r in rows}[start] == 50.0
+
+
+def test_requested_span(spark):
+    src = tiny_sources(spark, adapter=[{"fecha_consulta": DAY}])
+    assert job.requested_span(spark, src).last == DAY
+    assert job.requested_span(spark, src, "DATE 2024-01-12").last == date(2024, 1, 12)
+    with pytest.raises(ValueError):
+        job.parse_report_date("2024-01-12garbage")

@@ -156,3 +156,22 @@ def test_whole_job(spark, tmp_path):
     assert [r.metric for r in percentage] == [params.PERCENTAGE_COLUMN]
     order = [r.section for r in lines.dropDuplicates(["section"]).orderBy(F.col("section_no").cast("int")).collect()]
     assert order == [params.SECTION_INCOME, params.SECTION_EXPENSE, params.SECTION_T0, params.SECTION_T1, params.SECTION_SUMMARY]
+
+
+def test_null_keys_and_partitions_are_merged(spark, tmp_path):
+    path = str(tmp_path / "t")
+    rows = "d int, k string, v int"
+    upsert_partitioned(spark.createDataFrame([(None, "a", 1), (None, "b", 1), (1, None, 1)], rows), path, ["k"], ["d"])
+    upsert_partitioned(spark.createDataFrame([(None, "a", 2), (1, None, 2)], rows), path, ["k"], ["d"])
+    assert sorted(map(str, spark.read.parquet(path).select("d", "k", "v").collect())) == [
+        "Row(d=1, k=None, v=2)",
+        "Row(d=None, k='a', v=2)",
+        "Row(d=None, k='b', v=1)",
+    ]
+
+
+def test_absent_columns_keep_their_stored_values(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_partitioned(spark.createDataFrame([(1, "a", "keep")], "d int, k string, extra string"), path, ["k"], ["d"])
+    upsert_partitioned(spark.createDataFrame([(1, "a"), (1, "b")], "d int, k string"), path, ["k"], ["d"])
+    assert sorted((r.k, r.extra) for r in spark.read.parquet(path).collect()) == [("a", "keep"), ("b", None)]
