@@ -29,7 +29,8 @@ AGREED_DAYS = 4
 CUTS = [REPORT, PREVIOUS, BANK_T0, BANK_T1, MOVEMENTS, STATEMENTS, AGREED]
 
 # Source dates never lie further from their report date than this.
-REACH = timedelta(days=max(calendar.NEIGHBOUR_DAYS, calendar.window_lookback(AGREED_DAYS)))
+REACH = timedelta(days=calendar.NEIGHBOUR_DAYS)
+AGREED_REACH = timedelta(days=calendar.window_lookback(AGREED_DAYS))  # that of the agreed days
 MAX_ROWS_PER_DATE = 5 + AGREED_DAYS + 2 * calendar.NEIGHBOUR_DAYS
 
 # A bridge row is two dates and a short tag. 500 000 of them (40 years of report
@@ -106,9 +107,12 @@ class ReportSpan:
         """Literal predicate on a source date, for the scan: the exact dates of the cuts,
         their range when there are many, the reachable range when they are not held."""
         column = F.col(day)
-        if not self.is_held:
-            return column.between(*map(F.lit, self.source_bounds))
         named = set(cuts)
+        if not self.is_held:
+            first, last = self.source_bounds
+            if AGREED in named:
+                first = self.first - AGREED_REACH
+            return column.between(F.lit(first), F.lit(last))
         rows = zip(self._held_bridge["cut"].to_pylist(), self._held_bridge["source_date"].to_pylist(), strict=True)
         found = sorted({source_date for cut, source_date in rows if cut in named})
         if len(found) <= MAX_LISTED_DATES:
