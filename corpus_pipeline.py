@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from florin.llm import decontamination, jaccard_join, packing, personal_data, quality
 from florin.llm.shipping import ship_package
-from florin.session import fresh_path
+from florin.session import fresh_path, remove
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -60,10 +60,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; every stage is written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The last stage's rows; every stage is written to the shared folder and read again.
+
+    A stage's table goes when the next one is written; the last one stays for the caller.
+    """
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = fresh_path(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
