@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from florin.llm import decontamination, fingerprints, jaccard_join, language_id, packing, personal_data, quality, sharding, token_counts, url_filter
+from florin.llm.oracles import ORACLES as ORACLES
 from florin.llm.shipping import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,5 +41,3 @@ QUERIES: dict[str, Query] = {
     "op10_quality_classifier": _over("documents", quality.quality_classifier),
     "pipeline": corpus_pipeline.run,
 }
-
-ORACLES: dict[str, str] = {}

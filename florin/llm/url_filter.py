@@ -136,7 +136,7 @@ class Ratio:
         # One foldable text, so that the plan holds a single array constant.
         table = F.split(F.lit(",".join(map(str, self.weights))), ",").cast("array<bigint>")
         total = F.aggregate(grams(url), F.lit(0).cast("long"), lambda sum_, gram: sum_ + F.get(table, gram))
-        size = F.size(grams(url))
+        size = F.size(grams(url)).cast("long")
         return F.when(size > 0, total / (size * UNIT)).otherwise(F.lit(0.0))
 
     def allows(self, difference: Column) -> Column:
