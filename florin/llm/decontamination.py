@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from florin.llm.bitset import bitset_of, in_bitset
+from florin.llm.columns import free_name
 from florin.llm.textbytes import Words, byte_set, flat, folded_ascii, slices
 from florin.session import cut_lineage
 
@@ -194,6 +195,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that share no window with the benchmark."""
     dirty = contamination(docs, benchmark).where("contaminated").select("doc_id", "h").distinct()
-    marked = docs.withColumn("_h", F.xxhash64("text"))
-    same = docs["doc_id"].eqNullSafe(dirty["doc_id"]) & (F.col("_h") == dirty["h"])
-    return marked.join(dirty, same, "left_anti").drop("_h")
+    own = free_name(docs, "_h")
+    marked = docs.withColumn(own, F.xxhash64("text"))
+    same = docs["doc_id"].eqNullSafe(dirty["doc_id"]) & (F.col(own) == dirty["h"])
+    return marked.join(dirty, same, "left_anti").drop(own)

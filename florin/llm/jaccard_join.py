@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from florin.llm.bitset import membership
+from florin.llm.columns import free_name
 from florin.llm.components import connected_components
 from florin.llm.signature_tree import SignatureTree
 from florin.llm.textbytes import Words, byte_set, flat, folded_ascii, mixed, slices
@@ -398,16 +399,17 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("component_id")
     )
     goes = F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
+    named_id, named_h, gone, twice, key, asked_for = (free_name(docs, c) for c in ("_id", "_h", "_goes", "_twice", "_k", "_m"))
     doubtful = found.select(
-        F.col("doc_id").alias("_id"), F.col("h").alias("_h"), goes.alias("_goes"), (F.col("rows") > 1).alias("_twice")
+        F.col("doc_id").alias(named_id), F.col("h").alias(named_h), goes.alias(gone), (F.col("rows") > 1).alias(twice)
     )
-    doubtful = cut_lineage(doubtful.where("_goes OR (_twice AND _id IS NOT NULL)"))
-    may_go = membership(doubtful.select(F.xxhash64("_id", "_h").alias("k")), "k")
-    keyed = docs.withColumn("_k", F.xxhash64("text"))
-    asked = keyed.withColumn("_m", may_go(F.xxhash64("doc_id", "_k")))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_h"))
-    checked = asked.where("_m").join(doubtful, same, "left")
+    doubtful = cut_lineage(doubtful.where(F.col(gone) | (F.col(twice) & F.col(named_id).isNotNull())))
+    may_go = membership(doubtful.select(F.xxhash64(named_id, named_h).alias("k")), "k")
+    keyed = docs.withColumn(key, F.xxhash64("text"))
+    asked = keyed.withColumn(asked_for, may_go(F.xxhash64("doc_id", key)))
+    same = F.col("doc_id").eqNullSafe(F.col(named_id)) & (F.col(key) == F.col(named_h))
+    checked = asked.where(F.col(asked_for)).join(doubtful, same, "left")
     own = [F.col(f"`{c}`") for c in docs.columns]
-    once = checked.where("_goes IS NULL").select(*own)
-    repeated = checked.where("_twice AND NOT _goes").select(*own).dropDuplicates(["doc_id", "text"])
-    return asked.where("NOT _m").select(*own).union(once).union(repeated)
+    once = checked.where(F.col(gone).isNull()).select(*own)
+    repeated = checked.where(F.col(twice) & ~F.col(gone)).select(*own).dropDuplicates(["doc_id", "text"])
+    return asked.where(~F.col(asked_for)).select(*own).union(once).union(repeated)

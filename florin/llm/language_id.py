@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from florin.llm.columns import free_name
 from florin.llm.textbytes import HashIndex, flat, slices, sums
 
 ORDER = 4  # bytes of the longest context
@@ -227,8 +228,9 @@ def predictor(docs: DataFrame, model: Model | None):
 def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``bits_per_byte``, from the text alone."""
     found = predictor(docs, model)(F.col(text))
-    return docs.withColumn("_found", found).select(
-        *[F.col(f"`{c}`") for c in docs.columns if c not in RESULT.names], "_found.*"
+    name = free_name(docs, "_found")
+    return docs.withColumn(name, found).select(
+        *[F.col(f"`{c}`") for c in docs.columns if c not in RESULT.names], f"{name}.*"
     )
 
 

@@ -22,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from florin.llm.columns import free_name
+
 _LOCAL = "[A-Za-z0-9._%+-]"
 _OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 
@@ -143,7 +145,7 @@ def listed(spans: Column) -> Column:
 def found_spans(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with ``spans``: array of (start, rank, end, kind, score), by start, then kind."""
     whole = F.coalesce(F.col(text), F.lit(""))
-    columns = {f"_{kind.name}": spans_of(whole, kind) for kind in KINDS}
+    columns = {free_name(docs, f"_{kind.name}"): spans_of(whole, kind) for kind in KINDS}
     kept = [F.col(f"`{c}`") for c in docs.columns if c != "spans"]
     every = F.array_sort(F.concat(*[F.col(name) for name in columns]))
     return docs.select(*kept, *[c.alias(name) for name, c in columns.items()]).select(*kept, every.alias("spans"))

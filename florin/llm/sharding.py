@@ -55,14 +55,14 @@ def interleave(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, identifi
     kept = [c for c in rows.columns if c not in ("shard", "slot")]
     # The prefix keeps a NULL source apart from every text.
     source = F.coalesce(F.concat(F.lit("="), F.col(f"`{stratum}`").cast("string")), F.lit(""))
-    hashed = (
-        rows.select(*[F.col(f"`{c}`") for c in kept])
-        .withColumn("_source", source)
-        .withColumn("_hash", F.xxhash64(F.lit(seed), identifier, *content))
-        .withColumn("_range", F.pmod(F.shiftright("_hash", 32), F.lit(RANGES)))
-    )
+    # The caller's columns travel as one, so that their names are free for the ranks.
+    hashed = rows.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"),
+        source.alias("_source"),
+        F.xxhash64(F.lit(seed), identifier, *content).alias("_hash"),
+    ).withColumn("_range", F.pmod(F.shiftright("_hash", 32), F.lit(RANGES)))
     hashed = cut_lineage(hashed)
-    ties = [F.col("_hash"), F.col(f"`{identifier}`"), *[F.col(f"`{c}`") for c in content]]
+    ties = [F.col("_hash"), *[F.col("_row").getField(c) for c in (identifier, *content)]]
     ranked = _numbered(hashed, ["_source"], ties, "_rank")
     shift = F.pmod(F.xxhash64(F.lit(seed), "_source"), F.lit(1 << 20)) / F.lit(float(1 << 20))
     fraction = (F.col("_rank") - shift) / F.col("_total")
@@ -74,7 +74,7 @@ def interleave(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, identifi
     sorted_ = _numbered(placed, ["_whole"], order, "_place").withColumn("_place", F.col("_place") - 1)
     exact = sorted_.withColumn("shard", F.expr(f"cast((_place * {shards}) div _total as int)"))
     first = F.expr(f"(shard * _total + {shards - 1}) div {shards}")
-    return exact.withColumn("slot", F.col("_place") - first).select(*kept, "shard", "slot")
+    return exact.withColumn("slot", F.col("_place") - first).select("_row.*", "shard", "slot")
 
 
 def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED) -> None:
