@@ -37,9 +37,6 @@ MAX_ROWS_PER_DATE = 5 + AGREED_DAYS + 2 * calendar.NEIGHBOUR_DAYS
 # dates) stay around 20 MB; a longer backfill is computed and joined by shuffle.
 MAX_HELD_ROWS = 500_000
 
-# Up to this many source dates a scan names each one, beyond it their range.
-MAX_LISTED_DATES = 200
-
 
 @dataclass(frozen=True)
 class ReportSpan:
@@ -48,6 +45,7 @@ class ReportSpan:
     anchors: DataFrame  # one column, report_date, distinct
     first: date
     last: date
+    at_most: int | None = None  # report dates; as many as days from first to last where unknown
 
     @property
     def source_bounds(self) -> tuple[date, date]:
@@ -55,7 +53,8 @@ class ReportSpan:
 
     @property
     def max_bridge_rows(self) -> int:
-        return ((self.last - self.first).days + 1) * MAX_ROWS_PER_DATE
+        days = (self.last - self.first).days + 1
+        return min(days, days if self.at_most is None else self.at_most) * MAX_ROWS_PER_DATE
 
     @property
     def is_held(self) -> bool:
@@ -104,8 +103,8 @@ class ReportSpan:
         return F.broadcast(part) if self.is_held else part
 
     def reads(self, day: str, cuts: Iterable[str]) -> Column:
-        """Literal predicate on a source date, for the scan: the exact dates of the cuts,
-        their range when there are many, the reachable range when they are not held."""
+        """Literal predicate on a source date, for the scan: the exact dates of the cuts, or
+        the reachable range when they are not held."""
         column = F.col(day)
         named = set(cuts)
         if not self.is_held:
@@ -115,9 +114,10 @@ class ReportSpan:
             return column.between(F.lit(first), F.lit(last))
         rows = zip(self._held_bridge["cut"].to_pylist(), self._held_bridge["source_date"].to_pylist(), strict=True)
         found = sorted({source_date for cut, source_date in rows if cut in named})
-        if len(found) <= MAX_LISTED_DATES:
-            return column.isin(found)
-        return column.between(F.lit(found[0]), F.lit(found[-1]))
+        if not found:
+            return F.lit(False)
+        # As text: one call, whatever the number of dates.
+        return F.expr(f"`{day}` IN ({', '.join(f"DATE '{d}'" for d in found)})")
 
 
 def window_span(spark: SparkSession, report_date: date, count: int = 4) -> ReportSpan:
@@ -125,7 +125,7 @@ def window_span(spark: SparkSession, report_date: date, count: int = 4) -> Repor
     anchors = _one_row(spark).select(
         F.explode(calendar.business_window(F.lit(report_date), count)).alias("report_date")
     )
-    return ReportSpan(anchors, report_date - timedelta(days=calendar.window_lookback(count)), report_date)
+    return ReportSpan(anchors, report_date - timedelta(days=calendar.window_lookback(count)), report_date, count + 1)
 
 
 def business_day_span(spark: SparkSession, first: date, last: date) -> ReportSpan:
@@ -140,7 +140,7 @@ def listed_span(spark: SparkSession, days: Iterable[date]) -> ReportSpan:
     """An explicit list of report dates."""
     listed = sorted(set(days))
     anchors = _one_row(spark).select(F.explode(F.array(*[F.lit(d) for d in listed])).alias("report_date"))
-    return ReportSpan(anchors, listed[0], listed[-1])
+    return ReportSpan(anchors, listed[0], listed[-1], len(listed))
 
 
 def _one_row(spark: SparkSession) -> DataFrame:

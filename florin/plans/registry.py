@@ -90,9 +90,9 @@ def report_dates(src: Sources) -> DataFrame:
 
 
 def bank_dates(src: Sources) -> DataFrame:
-    """Bank dates around year end and cut-over, for days spread over the balance rows."""
-    day = F.date_add(F.lit(date(2025, 12, 20)), (F.col("id_cuenta") % 100).cast("int"))
-    days = src["balance"].groupBy(day.alias("report_date")).agg(F.count(F.lit(1)).alias("n_rows"))
+    """Bank dates of the account-modification dates, 25 years on: over year ends and the cut-over."""
+    day = F.add_months(F.col("fecha_ultima_modificacion").cast("date"), 25 * 12)
+    days = src["accounts"].groupBy(day.alias("report_date")).agg(F.count(F.lit(1)).alias("n_rows"))
     return calendar.with_report_dates(days, "report_date").select("report_date", "n_rows", "bank_t0", "bank_t1")
 
 
@@ -138,6 +138,27 @@ def scan_adapter(span: ReportSpan, src: Sources) -> DataFrame:
     return refunds.scan_adapter(span, src).groupBy("report_date", "which_day").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+# The rows of the scans themselves, as the joins define them.
+
+
+def _channel_rows(span: ReportSpan, src: Sources) -> DataFrame:
+    rows = channels.scan_channel_transactions(span, src)
+    return rows.withColumn("hora", F.date_format("fecha_hora_valor", "HH:mm:ss")).drop("fecha_hora_valor")
+
+
+def _concept_rows(span: ReportSpan, src: Sources) -> DataFrame:
+    return movements.process_concept(movements.scan_unity_movements(span, src))
+
+
+def _value_rows(span: ReportSpan, src: Sources) -> DataFrame:
+    return movements.process_value(_concept_rows(span, src), src["homologation"])
+
+
+def daily_inputs_as_of(span: ReportSpan, src: Sources) -> DataFrame:
+    """The inputs as the last report date itself sees them: its own are not there yet."""
+    return daily.daily_inputs(daily.daily_metrics(span, src, REPORT_DATE))
+
+
 def rates(span: ReportSpan, src: Sources) -> DataFrame:
     return per_report_date(span, banks.rate_facts(span, src), banks.RATE_METRICS)
 
@@ -196,6 +217,13 @@ QUERIES: dict[str, Query] = {
     "scan_money_market": _over_window(market.scan_totals),
     "scan_unity_movements": _over_window(scan_unity_movements),
     "scan_bank_transactions": _over_window(deposits.scan_transaction_totals),
+    "scan_money_market_rows": _over_window(market.scan_money_market),
+    "scan_unity_movements_rows": _over_window(movements.scan_unity_movements),
+    "scan_bank_transactions_rows": _over_window(deposits.scan_bank_transactions),
+    "scan_channel_transactions_rows": _over_window(_channel_rows),
+    "scan_repurchases_rows": _over_window(securities.scan_repurchases),
+    "process_concept": _over_window(_concept_rows),
+    "process_value": _over_window(_value_rows),
     "trm_validity_join": _over_window(rates),
     "scan_repurchases": _over_window(securities.scan_totals),
     "latest_account_version": _over_sources(lambda src: channels.latest_accounts(src["accounts"])),
@@ -227,6 +255,7 @@ QUERIES: dict[str, Query] = {
     "sebra_net_movements": _over_window(sebra_net_movements),
     "bank_transaction_totals": _over_window(deposits.bank_transaction_totals),
     "daily_inputs": _over_window(lambda span, src: daily.daily_inputs(_metrics(span, src))),
+    "daily_inputs_as_of": _over_window(daily_inputs_as_of),
     "ach_net_flow": _over_window(lambda span, src: daily.ach_net_flow(_metrics(span, src))),
     "fx_variation": _over_window(lambda span, src: daily.fx_variation(_metrics(span, src))),
     "income_statement": _over_window(lambda span, src: daily.income_statement(_statements(span, src))),

@@ -1,6 +1,7 @@
 """Sample treasury tables derived from the benchmark tables.
 
-The SQL text means the same in Spark and in DuckDB, so that a check can run both
+No date is a function of a join key alone, so a date filter does not cross a join by
+itself. The SQL text means the same in Spark and in DuckDB, so that a check can run both
 engines on identical inputs. ``{name}`` stands for a benchmark table.
 """
 
@@ -18,20 +19,24 @@ SAMPLE_SQL = {
           0 - o_totalprice/100 AS saldo_en_canje, (DATE '2024-01-01' + CAST(o_orderkey % 30 AS INT)) AS fecha_movimiento
         FROM {orders} JOIN (VALUES (0,'62015990','BANREP','CUD'),(1,'62015991','BANREP','CUD'),(2,'64011480','BANREP','CUD'),
           (3,'570033570004227','DAV','Ahorros'),(4,'423816990','OCC','Ahorros'),(5,'61100001064','BANC','Adm'),
-          (6,'86110','CAYMAN','USD'),(7,'1901751916','BOFA','USD'),(8,'99999','OTRO','Ahorros'))
-          AS a(idx,numero_cuenta,nombre_banco,tipo_cuenta) ON o_custkey % 9 = a.idx
+          (6,'86110','CAYMAN','USD'),(7,'1901751916','BOFA','USD'),(8,'99999','OTRO','Ahorros'),
+          (9,'434381323','BOG','Ahorros'),(10,'61100001577','BANC','Ahorros'),(11,'560033569994602','DAV','Adm'),
+          (12,'434394037','BOG','Adm'),(13,'14674340','CITI','USD'),(14,'36442812','CITI','USD'),(15,'36506441','CITI','USD'),
+          (16,'80110003748','PANAMA','USD'),(17,'30863139','BRADESCO','USD'))
+          AS a(idx,numero_cuenta,nombre_banco,tipo_cuenta) ON o_custkey % 18 = a.idx
     """,
     "unity_operations": """
-        SELECT o_orderkey AS consecutivo, (DATE '2024-01-01' + CAST(o_orderkey % 30 AS INT)) AS fecha_cuadre,
+        SELECT o_orderkey AS consecutivo, (DATE '2024-01-01' + CAST((o_orderkey + o_custkey % 5) % 30 AS INT)) AS fecha_cuadre,
           CASE o_orderkey % 4 WHEN 0 THEN 'NORMAL' WHEN 1 THEN 'SIM' WHEN 2 THEN 'REPO' ELSE 'TTV' END AS clasificacion,
           CASE o_custkey % 3 WHEN 0 THEN 'T0SB' WHEN 1 THEN 'T1OF' ELSE 'T2XX' END AS liquidacion,
           CASE WHEN o_orderkey % 8 < 4 THEN 'C' ELSE 'V' END AS tipo_operacion,
-          CASE WHEN o_orderpriority LIKE '1%' THEN NULL ELSE (DATE '2024-01-01' + CAST(o_orderkey % 30 AS INT)) END AS fecha_futura
+          CASE WHEN o_orderpriority LIKE '1%' THEN NULL ELSE (DATE '2024-01-01' + CAST((o_orderkey + o_custkey % 5) % 30 AS INT)) END AS fecha_futura
         FROM {orders}
     """,
     "money_market": """
         SELECT l_orderkey AS consecutivo,
-          (DATE '2024-01-01' + CAST(l_orderkey % 30 AS INT)) - CAST(l_linenumber % 2 AS INT) AS fecha_operacion, (DATE '2024-01-01' + CAST(l_orderkey % 30 AS INT)) AS fecha_cumplimiento,
+          (DATE '2024-01-01' + CAST((l_orderkey + l_suppkey % 5) % 30 AS INT)) - CAST(l_linenumber % 2 AS INT) AS fecha_operacion,
+          (DATE '2024-01-01' + CAST((l_orderkey + l_suppkey % 5) % 30 AS INT)) AS fecha_cumplimiento,
           CASE l_suppkey % 3 WHEN 0 THEN 'DCV' WHEN 1 THEN 'DVL' ELSE 'XXX' END AS cod_central_deposito,
           CASE l_partkey % 4 WHEN 0 THEN 'SIM' WHEN 1 THEN 'NORMAL' WHEN 2 THEN 'REPO' ELSE 'TTV' END AS clasificacion,
           CASE WHEN l_suppkey % 2 = 0 THEN 'A' ELSE 'P' END AS tipo_sim,
@@ -46,7 +51,7 @@ SAMPLE_SQL = {
           CASE o_custkey % 8 WHEN 0 THEN NULL WHEN 1 THEN '310' WHEN 2 THEN '389' WHEN 3 THEN '366' WHEN 4 THEN '362'
             WHEN 5 THEN '7001' WHEN 6 THEN '7002' ELSE '9999' END AS concepto,
           CASE WHEN o_custkey % 8 = 6 THEN CAST(1 + o_orderkey % 50 AS DOUBLE) ELSE o_totalprice END AS valor,
-          CASE WHEN o_orderstatus = 'F' THEN 'ND' ELSE 'NC' END AS cod_tipo_movimiento, (DATE '2024-01-01' + CAST(o_orderkey % 30 AS INT)) AS fecha,
+          CASE WHEN o_orderstatus = 'F' THEN 'ND' ELSE 'NC' END AS cod_tipo_movimiento, (DATE '2024-01-01' + CAST((o_orderkey + 7 * o_custkey) % 30 AS INT)) AS fecha,
           CAST(o_custkey AS STRING) AS cuenta_bancaria,
           CASE WHEN o_custkey % 11 = 0 THEN CAST(1.5 AS DOUBLE) ELSE NULL END AS rendimiento
         FROM {orders}
@@ -80,7 +85,8 @@ SAMPLE_SQL = {
     "operations_a": """
         SELECT p_partkey AS id,
           CASE p_partkey % 3 WHEN 0 THEN 'COB70CD' WHEN 1 THEN 'COB70CB' ELSE 'XXX' END || CAST(p_partkey AS STRING) AS codigo_isin,
-          (DATE '2024-01-01' + CAST(p_partkey % 30 AS INT)) - CAST(p_size % 7 AS INT) AS fecha_operacion, (DATE '2024-01-01' + CAST(p_partkey % 30 AS INT)) AS fecha_inicio, p_retailprice AS precio_contado
+          (DATE '2024-01-01' + CAST((p_partkey + p_size) % 30 AS INT)) - CAST(p_size % 7 AS INT) AS fecha_operacion,
+          (DATE '2024-01-01' + CAST((p_partkey + p_size) % 30 AS INT)) AS fecha_inicio, p_retailprice AS precio_contado
         FROM {part}
     """,
     "operations_b": """
@@ -90,7 +96,7 @@ SAMPLE_SQL = {
     """,
     "derivatives": """
         SELECT CASE WHEN s_suppkey % 5 = 0 THEN 'OTHER' ELSE 'HOLDER SA' END AS descripcion,
-          CASE WHEN s_suppkey % 3 = 0 THEN 'N' ELSE 'F' END AS tipo_cumplimiento, s_acctbal AS utilidad,
+          CASE WHEN s_suppkey % 3 = 0 THEN 'N' ELSE 'F' END AS tipo_cumplimiento, s_acctbal - 4500 AS utilidad,
           (DATE '2024-01-01' + CAST(s_suppkey % 30 AS INT)) AS fecha_inicial
         FROM {supplier}
     """,

@@ -259,10 +259,7 @@ SD = f"""
 
 # --- movements ----------------------------------------------------------------------------
 
-MOVES = f"""
-    moves AS (
-      SELECT r.report_date, m.valor, m.cod_tipo_movimiento, m.rendimiento,
-        CASE WHEN m.concepto IS NOT NULL THEN m.concepto
+_CODE = """CASE WHEN m.concepto IS NOT NULL THEN m.concepto
              WHEN o.clasificacion = 'NORMAL' THEN
                CASE WHEN right(o.liquidacion, 2) = 'SB' THEN '44206'
                     WHEN right(o.liquidacion, 2) <> 'SB' AND right(o.liquidacion, 2) <> 'OF' THEN '43422'
@@ -275,7 +272,11 @@ MOVES = f"""
              WHEN o.clasificacion = 'TTV' THEN '44211'
              WHEN o.clasificacion = 'REPO' THEN
                CASE o.tipo_operacion WHEN 'C' THEN '44481' WHEN 'V' THEN '45431' END
-        END AS code
+        END"""
+MOVES = f"""
+    moves AS (
+      SELECT r.report_date, m.valor, m.cod_tipo_movimiento, m.rendimiento,
+        {_CODE} AS code
       FROM rd r JOIN cc_movements m ON m.fecha BETWEEN r.unity_from AND r.unity_to
       LEFT JOIN unity_operations o ON m.operacion = o.consecutivo),
     named AS (
@@ -322,6 +323,30 @@ UNITY = f"""
       FROM rd r LEFT JOIN named n ON n.report_date = r.report_date GROUP BY r.report_date)
 """
 
+# The movements themselves, with every column.
+MOVE_ROWS = f"""
+    move_rows AS (
+      SELECT r.report_date, 'movements' AS cut, m.*, o.clasificacion, o.liquidacion, o.tipo_operacion, o.fecha_futura
+      FROM rd r JOIN cc_movements m ON m.fecha BETWEEN r.unity_from AND r.unity_to
+      LEFT JOIN unity_operations o ON m.operacion = o.consecutivo)
+"""
+CONCEPT_ROWS = f"""
+    {MOVE_ROWS},
+    concept_rows AS (
+      SELECT m.* EXCLUDE (concepto), {_CODE.replace('o.', 'm.')} AS concepto FROM move_rows m)
+"""
+VALUE_ROWS = f"""
+    {CONCEPT_ROWS}
+    SELECT c.* EXCLUDE (concepto, valor), h.*,
+      CASE WHEN c.rendimiento IS NOT NULL THEN 'PAGO RENDIMIENTOS'
+           WHEN c.concepto = '310' THEN 'DIVISAS SEBRA'
+           WHEN c.concepto IN ('389', '366') THEN 'DERIVADOS OTC'
+           WHEN c.concepto = '362' THEN 'INTERESES REMUNERADO'
+           ELSE COALESCE(h.concepto_cud, 'Falta Homologación: ' || c.concepto) END AS concepto,
+      CASE WHEN c.cod_tipo_movimiento = 'ND' THEN -c.valor ELSE c.valor END AS valor
+    FROM concept_rows c LEFT JOIN homologation h ON c.concepto = h.codigo_contable
+"""
+
 # --- channels -----------------------------------------------------------------------------
 
 LATEST = """
@@ -614,7 +639,7 @@ def _whole(body: str, rd: str = RD_WINDOW) -> str:
     return _query(f"WITH {EVERYTHING}, {STATED} {body}", *ALL_TABLES, rd=rd)
 
 
-def _inputs() -> str:
+def _inputs(as_of: str | None = None) -> str:
     columns = {
         "incomeComercialesCop": "0",
         "incomeRepos": "sd_repo_passive_sell",
@@ -651,6 +676,8 @@ def _inputs() -> str:
         "sebra_in": "sebra_in",
         "sebra_out": "sebra_out",
     }
+    if as_of:
+        columns = {n: f"CASE WHEN report_date = DATE '{as_of}' THEN 0 ELSE {sql} END" for n, sql in columns.items()}
     return "SELECT report_date, " + ", ".join(f'{out(sql)} AS "{n}"' for n, sql in columns.items()) + " FROM m"
 
 
@@ -720,13 +747,13 @@ ORACLES: dict[str, str] = {
         rd=None,
     ),
     "bank_dates": _query(
-        f"""WITH {_calendar(2024, 2027)}, anchors AS (
-          SELECT CAST(DATE '2025-12-20' + CAST(id_cuenta % 100 AS INT) AS DATE) AS report_date, COUNT(*) AS n_rows
-          FROM balance GROUP BY 1)
+        f"""WITH {_calendar(2019, 2027)}, anchors AS (
+          SELECT CAST(CAST(fecha_ultima_modificacion AS DATE) + INTERVAL 25 YEAR AS DATE) AS report_date, COUNT(*) AS n_rows
+          FROM accounts GROUP BY 1)
         SELECT a.report_date, n_rows, {_bank_date('a.report_date', 'prev_bd')} AS bank_t0,
           {_bank_date('next_bd', 'a.report_date')} AS bank_t1
         FROM anchors a JOIN cal ON cal.d = a.report_date""",
-        "balance",
+        "accounts",
         rd=None,
     ),
     "parse_report_dates": _query(
@@ -777,6 +804,39 @@ ORACLES: dict[str, str] = {
         "operations_a",
         "operations_b",
     ),
+    "scan_money_market_rows": _query(f"WITH {TRADES} SELECT * FROM trades", "money_market", "unity_operations"),
+    "scan_unity_movements_rows": _query(f"WITH {MOVE_ROWS} SELECT * FROM move_rows", "cc_movements", "unity_operations"),
+    "process_concept": _query(f"WITH {CONCEPT_ROWS} SELECT * FROM concept_rows", "cc_movements", "unity_operations"),
+    "process_value": _query(f"WITH {VALUE_ROWS}", "cc_movements", "unity_operations", "homologation"),
+    "scan_bank_transactions_rows": _query(
+        """SELECT r.report_date, m.cuenta_bancaria, m.moneda, m.monto, m.fecha_mvto
+        FROM rd r JOIN multicash m ON m.fecha_mvto BETWEEN r.tx_from AND r.tx_to
+        JOIN umbrella c ON m.cuenta_bancaria = regexp_replace(c.cuenta_bancaria, '^0+', '')
+        WHERE c.titular = 'HOLDER SA' AND c.estado = 'ACTIVA'""",
+        "multicash",
+        "umbrella",
+    ),
+    "scan_channel_transactions_rows": _query(
+        f"""WITH {LATEST}
+        SELECT r.report_date, t.clave_cuenta_padre, t.monto, t.fecha_valor, c.nombre AS canal, a.id,
+          strftime(t.fecha_hora_valor, '%H:%M:%S') AS hora
+        FROM rd r JOIN transactions t ON t.fecha_valor = r.report_date
+        JOIN latest a ON t.clave_cuenta_padre = a.clave_codificada JOIN channels c ON t.clave_canal = c.clave_codificada""",
+        "transactions",
+        "accounts",
+        "channels",
+    ),
+    "scan_repurchases_rows": _query(
+        f"""WITH {AGREED.strip()}
+        SELECT r.report_date, a.*, CASE WHEN a.codigo_isin LIKE 'COB70CD%' THEN 'cdt' ELSE 'bonds' END AS kind,
+          b.saldo, b.tipo_participacion, b.nombre_inversion
+        FROM rd r JOIN operations_a a ON a.fecha_inicio = r.report_date JOIN operations_b b ON a.id = b.id_padre
+        WHERE (a.codigo_isin LIKE 'COB70CD%' OR a.codigo_isin LIKE 'COB70CB%') AND b.tipo_participacion IN (1, 2)
+          AND b.nombre_inversion = 'HOLDER S.A'
+          AND EXISTS (SELECT 1 FROM agreed g WHERE g.report_date = r.report_date AND g.source_date = a.fecha_operacion)""",
+        "operations_a",
+        "operations_b",
+    ),
     "latest_account_version": _query(f"WITH {LATEST} SELECT clave_codificada, id, version FROM latest", "accounts", rd=None),
     "scan_channel_transactions": _query(
         f"WITH {TX} SELECT report_date, canal, COUNT(*) AS n_rows, {out('SUM(monto)')} AS total FROM tx GROUP BY 1, 2",
@@ -896,6 +956,7 @@ ORACLES: dict[str, str] = {
         "umbrella",
     ),
     "daily_inputs": _whole(_inputs()),
+    "daily_inputs_as_of": _whole(_inputs("2024-01-12")),
     "ach_net_flow": _whole(
         f"SELECT report_date, {outs('dollar_comp', 'income_ach', 'outcome_ach')}, {out(EXPENSE['045_retiros_ach'])} AS retiros_ach FROM m"
     ),
