@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from florin import params
 from florin.functions.amounts import amount
-from florin.operators.facts import compact, entry, one_of, per_report_date, tagged
+from florin.operators.facts import compact, entry, of_window, one_of, per_report_date, tagged
 from florin.operators.report_dates import REPORT, ReportSpan, on_dates
 
 SLOT_METRICS = [f"{kind}_{i}" for kind in ("ret", "dep", "dev") for i in range(len(params.DEPOSIT_SLOTS))]
@@ -31,6 +31,12 @@ def latest_accounts(accounts: DataFrame) -> DataFrame:
     )
 
 
+def _used_accounts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+    """All versions of the accounts that the report dates' transactions are on."""
+    transactions = on_dates(src["transactions"], "fecha_valor", span, [REPORT])
+    return of_window(src["accounts"], "clave_codificada", transactions, "clave_cuenta_padre")
+
+
 def _with_channel(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     transactions = on_dates(src["transactions"], "fecha_valor", span, [REPORT])
     channels = src["channels"].select(F.col("clave_codificada").alias("_channel"), F.col("nombre").alias("canal"))
@@ -39,7 +45,7 @@ def _with_channel(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
 
 def scan_channel_transactions(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Row-level transactions with channel name and account id."""
-    latest = latest_accounts(src["accounts"]).drop("version")
+    latest = latest_accounts(_used_accounts(span, src)).drop("version")
     rows = _with_channel(span, src)
     return rows.join(latest, rows["clave_cuenta_padre"] == latest["clave_codificada"]).drop("clave_codificada")
 
@@ -49,7 +55,7 @@ def scan_totals(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     per_account = _with_channel(span, src).groupBy("clave_cuenta_padre", "report_date", "canal").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(amount("monto")).alias("amount")
     )
-    keys = src["accounts"].select(F.col("clave_codificada").alias("clave_cuenta_padre")).distinct()
+    keys = _used_accounts(span, src).select(F.col("clave_codificada").alias("clave_cuenta_padre")).distinct()
     return per_account.join(keys, "clave_cuenta_padre").groupBy("report_date", "canal").agg(
         F.sum("n_rows").alias("n_rows"), F.sum("amount").alias("total")
     )
@@ -99,7 +105,7 @@ def channel_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
         [entry(metric, metric_value), entry(by_account, value)],
         keep=("clave_cuenta_padre", "report_date"),
     )
-    latest = latest_accounts(src["accounts"]).select(F.col("clave_codificada").alias("clave_cuenta_padre"), "id")
+    latest = latest_accounts(_used_accounts(span, src)).select(F.col("clave_codificada").alias("clave_cuenta_padre"), "id")
     known = compact(facts, "clave_cuenta_padre").join(latest, "clave_cuenta_padre")
     owner = F.when(F.col("id") == params.CREDIT_ACCOUNT, "credit").when(
         F.col("id") == params.CONFIRMING_ACCOUNT, "confirming"
@@ -120,7 +126,7 @@ def credit_amounts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
         .select("clave_cuenta_padre", "report_date", amount("monto").alias("amount"))
         .distinct()
     )
-    own = latest_accounts(src["accounts"]).where(
+    own = latest_accounts(_used_accounts(span, src)).where(
         F.col("id").isin(params.CREDIT_ACCOUNT, params.CONFIRMING_ACCOUNT)
     )
     return (

@@ -8,7 +8,9 @@ aggregate, whatever the number of metrics, sources or report dates.
 Where a metric needs a join, the facts are summed per join key first
 (``compact``) and the other side is reduced to a row count per key, so a key
 that holds a third of the rows reaches the join as a handful of rows and equal
-keys on both sides never multiply out.
+keys on both sides never multiply out. A side without a date of its own is a whole
+history: ``of_window`` sorts out the rows whose key the report dates do not have before
+anything of it is summed or shuffled.
 """
 
 from __future__ import annotations
@@ -17,11 +19,57 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from florin.functions.amounts import FACT
 from florin.operators.report_dates import ReportSpan
 
 
+# A set of key hashes is 2^KEY_BITS bits in rows of 64: at most 262 144 rows to broadcast,
+# whatever the number of keys. A fuller set only lets more rows pass.
+KEY_BITS = 24
+# Estimated size from which on sorting out a history is worth reading the window's keys for it.
+HISTORY_BYTES = 10 << 30
+HASHED_KEYS = (T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType(), T.StringType(), T.DateType())
+
+
+def estimated_bytes(rows: DataFrame) -> int:
+    """The optimizer's estimate, for files their size; rows of unknown size count as very large."""
+    return int(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def of_window(history: DataFrame, key: str, window: DataFrame, window_key: str) -> DataFrame:
+    """Rows of ``history`` whose key may be among the keys of ``window``; none of those is lost.
+
+    For the side of an equality join that is not kept whole. The history stays where it
+    is: sums on the map side and their handling of hot keys come after it. Keys of two
+    different types, which a join would convert first, are not sorted out, nor is a history
+    estimated below HISTORY_BYTES; the result is the same either way.
+    """
+    kinds = history.schema[key].dataType, window.schema[window_key].dataType
+    if kinds[0] != kinds[1] or kinds[0] not in HASHED_KEYS:
+        return history
+    if estimated_bytes(history) < HISTORY_BYTES:
+        return history
+
+    def place(column: str) -> Column:
+        return F.shiftrightunsigned(F.xxhash64(column), 64 - KEY_BITS)
+
+    def bit(at: Column) -> Column:
+        return (at % 64).cast("int")
+
+    one = F.lit(1).cast("bigint")
+    words = (
+        window.where(F.col(window_key).isNotNull())
+        .select(place(window_key).alias("_place"))
+        .groupBy(F.shiftright("_place", 6).alias("_word"))
+        .agg(F.bit_or(F.call_function("shiftleft", one, bit(F.col("_place")))).alias("_bits"))
+    )
+    set_bit = F.call_function("shiftright", F.col("_bits"), bit(place(key))).bitwiseAND(one) == 1
+    joined = history.join(F.broadcast(words), (F.shiftright(place(key), 6) == F.col("_word")) & set_bit)
+    return joined.select(*[history[c] for c in history.columns])
+
+
 def one_of(cases: Mapping[str, Column]) -> Column:
     """Name of the first true predicate; NULL when none is true."""
     pairs = iter(cases.items())

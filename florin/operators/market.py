@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from florin import params
 from florin.functions.amounts import amount
-from florin.operators.facts import compact, count_by, entry, per_report_date, tagged, times_n
+from florin.operators.facts import compact, count_by, entry, of_window, per_report_date, tagged, times_n
 from florin.operators.report_dates import REPORT, ReportSpan, on_dates
 
 SETTLING = [
@@ -64,12 +64,13 @@ def operation_counts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFram
 def scan_money_market(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Row-level join of traded operations with their control dates."""
     control = on_dates(src["unity_operations"], "fecha_cuadre", span, [REPORT]).select("consecutivo", "fecha_cuadre")
-    return _traded(src).join(control, "consecutivo")
+    return of_window(_traded(src), "consecutivo", control, "consecutivo").join(control, "consecutivo")
 
 
 def scan_totals(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Rows and turnover of ``scan_money_market`` per control date, without building its rows."""
-    per_operation = _traded(src).groupBy("consecutivo").agg(
+    control = on_dates(src["unity_operations"], "fecha_cuadre", span, [REPORT])
+    per_operation = of_window(_traded(src), "consecutivo", control, "consecutivo").groupBy("consecutivo").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(amount("valor_de_giro")).alias("amount")
     )
     joined = per_operation.join(operation_counts(span, src), "consecutivo")

@@ -111,6 +111,59 @@ def _existing(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def is_path(target: str) -> bool:
+    """Whether a target names a folder; a catalog table's name has no slash."""
+    return "/" in target
+
+
+def upsert(batch: DataFrame, target: str, keys: Sequence[str], partition_keys: Sequence[str]) -> None:
+    """Create or merge into a folder of files, or into a catalog table of the name."""
+    if is_path(target):
+        upsert_partitioned(batch, target, keys, partition_keys)
+    else:
+        upsert_table(batch, target, keys, partition_keys)
+
+
+def upsert_table(batch: DataFrame, table: str, keys: Sequence[str], partition_keys: Sequence[str]) -> None:
+    """Create the catalog table, or add the batch's new columns and merge the batch into it.
+
+    A table whose format takes row-level changes gets ``MERGE INTO``. Tables of plain files
+    get the touched partitions rewritten, as ``upsert_partitioned`` does.
+    """
+    spark = batch.sparkSession
+    if not spark.catalog.tableExists(table):
+        checked = cut_lineage(unique_by(batch, keys))
+        checked.hint("rebalance", *partition_keys).write.partitionBy(*partition_keys).saveAsTable(table)
+        return
+    if table_format(spark, table) not in PLAIN_FORMATS:
+        merge_into(batch, table, keys)
+        return
+    stored = spark.table(table)
+    added = [f for f in batch.schema if f.name not in stored.columns]
+    if added:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({columns})")
+    checked = cut_lineage(unique_by(batch, keys))
+    current = spark.table(table)
+    result = cut_lineage(merge_by_keys(affected_partitions(current, checked, partition_keys), checked, keys))
+    ordered = result.hint("rebalance", *partition_keys).select(*[f"`{c}`" for c in current.columns])
+    before = spark.conf.get(OVERWRITE_MODE)
+    spark.conf.set(OVERWRITE_MODE, "dynamic")
+    try:
+        ordered.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(OVERWRITE_MODE, before)
+
+
+OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+PLAIN_FORMATS = {"parquet", "orc", "csv", "json", "hive"}
+
+
+def table_format(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Provider'").collect()
+    return rows[0]["data_type"].lower() if rows else "hive"
+
+
 def merge_into(batch: DataFrame, table: str, keys: Sequence[str]) -> None:
     """The same merge for a catalog table whose format supports ``MERGE INTO``."""
     view = f"batch_{uuid.uuid4().hex}"

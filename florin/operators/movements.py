@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from florin import params
 from florin.functions.amounts import AMOUNT, FACT, amount
-from florin.operators.facts import count_by, entry, one_of, per_report_date, tagged, times_n
+from florin.operators.facts import count_by, entry, of_window, one_of, per_report_date, tagged, times_n
 from florin.operators.report_dates import MOVEMENTS, ReportSpan, on_dates
 
 VALUE_CONCEPTS = {
@@ -66,7 +66,7 @@ def signed(value: Column) -> Column:
 def scan_unity_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Row-level left join of the movements of each report date with their operations."""
     moves = on_dates(src["cc_movements"], "fecha", span, [MOVEMENTS])
-    operations = src["unity_operations"].drop("fecha_cuadre")
+    operations = of_window(src["unity_operations"].drop("fecha_cuadre"), "consecutivo", moves, "operacion")
     return moves.join(operations, moves["operacion"] == operations["consecutivo"], "left").drop("consecutivo")
 
 
@@ -123,7 +123,9 @@ def summed_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFram
         F.sum("value").cast(FACT).alias("gross"),
         F.count(F.lit(1)).alias("n_rows"),
     )
-    derived = src["unity_operations"].select("consecutivo", derived_code().alias("derived"))
+    asked = on_dates(src["cc_movements"], "fecha", span, [MOVEMENTS])
+    known = of_window(src["unity_operations"], "consecutivo", asked, "operacion")
+    derived = known.select("consecutivo", derived_code().alias("derived"))
     operations = count_by(derived, "consecutivo", "derived")
     joined = per_operation.join(operations, per_operation["operacion"] == operations["consecutivo"], "left").withColumn(
         "n", F.coalesce("n", F.lit(1))

@@ -37,6 +37,9 @@ MAX_ROWS_PER_DATE = 5 + AGREED_DAYS + 2 * calendar.NEIGHBOUR_DAYS
 # dates) stay around 20 MB; a longer backfill is computed and joined by shuffle.
 MAX_HELD_ROWS = 500_000
 
+# Beyond this many dates their range is named, too: file readers push no long list down.
+MAX_PUSHED_DATES = 200
+
 
 @dataclass(frozen=True)
 class ReportSpan:
@@ -117,7 +120,11 @@ class ReportSpan:
         if not found:
             return F.lit(False)
         # As text: one call, whatever the number of dates.
-        return F.expr(f"`{day}` IN ({', '.join(f"DATE '{d}'" for d in found)})")
+        listed = F.expr(f"`{day}` IN ({', '.join(f"DATE '{d}'" for d in found)})")
+        if len(found) <= MAX_PUSHED_DATES:
+            return listed
+        # Row groups are skipped by range only.
+        return column.between(F.lit(found[0]), F.lit(found[-1])) & listed
 
 
 def window_span(spark: SparkSession, report_date: date, count: int = 4) -> ReportSpan:

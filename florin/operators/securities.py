@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from florin import params
 from florin.functions.amounts import FACT, amount
-from florin.operators.facts import entry, per_report_date, tagged
+from florin.operators.facts import entry, of_window, per_report_date, tagged
 from florin.operators.report_dates import AGREED, PREVIOUS, REPORT, ReportSpan, on_dates
 
 ISSUANCE_METRICS = ["iss_repurchases", "iss_repurchases_n", "iss_cdt", "iss_cdt_n", "iss_bonds", "iss_bonds_n"]
@@ -42,8 +42,8 @@ def _parents(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     The days belong to the report date, so its result does not depend on the run's other dates.
     """
     isin = F.col("codigo_isin")
-    kind = F.when(isin.startswith(params.CERTIFICATE_ISIN), "cdt").when(isin.startswith(params.BOND_ISIN), "bonds")
-    rows = src["operations_a"].withColumn("kind", kind).where(F.col("kind").isNotNull())
+    certificate, bond = isin.startswith(params.CERTIFICATE_ISIN), isin.startswith(params.BOND_ISIN)
+    rows = src["operations_a"].where(certificate | bond).withColumn("kind", F.when(certificate, "cdt").otherwise("bonds"))
     rows = rows.where(span.reads("fecha_operacion", [AGREED]))
     agreed = span.bridge_for([AGREED]).select(F.col("report_date").alias("agreed_for"), F.col("source_date").alias("agreed_on"))
     rows = on_dates(rows, "fecha_inicio", span, [REPORT]).drop("cut")
@@ -51,9 +51,9 @@ def _parents(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     return rows.join(agreed, same, "left_semi")
 
 
-def _children(src: Mapping[str, DataFrame]) -> DataFrame:
+def _children(parents: DataFrame, src: Mapping[str, DataFrame]) -> DataFrame:
     kind = F.col("tipo_participacion").try_cast("int")
-    return src["operations_b"].withColumn("tipo_participacion", kind).where(
+    return of_window(src["operations_b"], "id_padre", parents, "id").withColumn("tipo_participacion", kind).where(
         kind.isin(params.REPURCHASE_PARTICIPATION, params.ISSUANCE_PARTICIPATION)
         & (F.col("nombre_inversion") == params.INVESTMENT_HOLDER)
     )
@@ -61,7 +61,8 @@ def _children(src: Mapping[str, DataFrame]) -> DataFrame:
 
 def scan_repurchases(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Row-level join of parent and child operations."""
-    parents, children = _parents(span, src), _children(src)
+    parents = _parents(span, src)
+    children = _children(parents, src)
     return parents.join(children, parents["id"] == children["id_padre"]).drop("id_padre")
 
 
@@ -70,7 +71,7 @@ def _summed(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     parents = _parents(span, src).groupBy("id", "report_date", "kind").agg(
         F.count(F.lit(1)).alias("n_parents"), F.sum(amount("precio_contado")).alias("price")
     )
-    children = _children(src).groupBy("id_padre", "tipo_participacion").agg(
+    children = _children(_parents(span, src), src).groupBy("id_padre", "tipo_participacion").agg(
         F.count(F.lit(1)).alias("n_children"), F.sum(amount("saldo")).alias("balance")
     )
     joined = parents.join(children, parents["id"] == children["id_padre"])

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from florin import params
 from florin.operators import refunds
-from florin.operators.merge import upsert_partitioned
+from florin.operators.merge import upsert
 from florin.operators.report_dates import ReportSpan, window_span
-from florin.operators.transpose import Section, transposed
+from florin.operators.transpose import Section, transposed, unpivoted
 from florin.plans import daily
 from florin.session import cut_lineage
 
@@ -28,13 +28,14 @@ SECTIONS: list[Section] = [
 
 @dataclass(frozen=True)
 class Targets:
-    """Where the outputs go."""
+    """Where the outputs go: folders, or names of catalog tables (``report`` is a folder)."""
 
     income: str
     expense: str
     available: str
     summary: str
-    report: str
+    report: str | None = None  # one CSV with a column per report date, for its readers
+    long_report: str | None = None  # its lines by report date, for spans of any length
 
 
 def parse_report_date(text: str) -> date:
@@ -76,9 +77,22 @@ def run_report(
         (daily.available_union(stated), targets.available, params.MERGE_KEYS_AVAILABLE),
         (daily.cash_summary(stated), targets.summary, params.MERGE_KEYS),
     ]
-    for table, path, keys in tables:
-        upsert_partitioned(daily.stamped(table), path, keys, params.PARTITION_KEYS)
-    # 68 lines, whatever the size of the sources: one file for its readers.
-    ordered = transposed_report(span, stated).orderBy("section_no", "line_no")
-    ordered.coalesce(1).write.mode("overwrite").option("header", "true").csv(targets.report)
+    for table, target, keys in tables:
+        upsert(daily.stamped(table), target, keys, params.PARTITION_KEYS)
+    if targets.report:
+        # 68 lines, whatever the size of the sources.
+        ordered = transposed_report(span, stated).orderBy("section_no", "line_no")
+        ordered.coalesce(1).write.mode("overwrite").option("header", "true").csv(targets.report)
+    if targets.long_report:
+        lines = unpivoted(stated, SECTIONS).hint("rebalance", "report_date")
+        lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("report_date").parquet(
+            targets.long_report
+        )
     return stated
+
+
+def run_for(
+    spark: SparkSession, src: Mapping[str, DataFrame], targets: Targets, text: str | None = None, as_of: date | None = None
+) -> DataFrame:
+    """The whole job from a report date given as text, or from the latest adapter date."""
+    return run_report(requested_span(spark, src, text), src, targets, as_of)

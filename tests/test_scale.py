@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from florin import params
-from florin.operators import channels, deposits, market, movements, refunds, securities
-from florin.operators.facts import per_report_date
-from florin.operators.report_dates import business_day_span, on_dates, window_span
+from florin.operators import channels, deposits, facts, market, movements, refunds, securities
+from florin.operators.facts import of_window, per_report_date
+from florin.operators.report_dates import business_day_span, listed_span, on_dates, window_span
 from florin.plans import daily
 from florin.plans.registry import QUERIES
 from florin.sources.catalog import CONTRACTS, from_frames, from_paths, from_tables
@@ -332,3 +332,74 @@ def test_bridge_serves_overlapping_intervals(spark):
     span = span_of(spark, date(2024, 1, 6), date(2024, 1, 9))
     rows = on_dates(source, "fecha", span, ["movements"]).collect()
     assert sorted(r.report_date.day for r in rows) == [6, 9]
+
+
+# A column that only the history has, and a result that needs it.
+HISTORIES = {
+    "valor_de_giro": market.scan_totals,
+    "clasificacion": movements.concept_derivation,
+    "fecha_ultima_modificacion": channels.ach_time_slots,
+    "nombre_inversion": securities.scan_totals,
+}
+
+
+@pytest.mark.parametrize("column", sorted(HISTORIES))
+def test_a_large_history_is_sorted_out_where_it_is_read(spark, monkeypatch, tmp_path, column):
+    """Keys that no report date has are gone before the history's first sum and shuffle."""
+    sample = sample_sources(spark, SF_DIR)
+    for name in CONTRACTS:
+        sample[name].write.parquet(str(tmp_path / name))
+    src, span = from_paths(spark, str(tmp_path)), window_span(spark, date(2024, 1, 12))
+    build = HISTORIES[column]
+    whole = build(span, src)
+    expected = sorted(map(repr, whole.collect()))
+    monkeypatch.setattr(facts, "HISTORY_BYTES", 1)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = build(span, src)
+        plan = plan_of(result)
+        assert sorted(map(repr, result.collect())) == expected and expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and f"{column}#" in line)
+    above = [re.sub(r"^[ :+-]*(\*\(\d+\) )?", "", line).split(" ")[0] for line in lines[:scan]]
+    assert next(a for a in reversed(above) if a not in ("Filter", "Project", "ColumnarToRow")) == "BroadcastHashJoin"
+
+
+def test_sorting_out_loses_no_matching_row(spark, monkeypatch):
+    monkeypatch.setattr(facts, "HISTORY_BYTES", 1)
+    history = spark.range(-5000, 5000).selectExpr("id AS k", "CAST(id AS STRING) AS s", "CAST(id AS INT) AS i", "id AS v")
+    history = history.unionByName(history.limit(1).selectExpr("CAST(NULL AS BIGINT) AS k", "CAST(NULL AS STRING) AS s", "i", "v"))
+    window = spark.range(0, 4000, 40).selectExpr("id AS w", "CAST(id AS STRING) AS t")
+    for key, other in (("k", "w"), ("s", "t")):
+        kept = of_window(history, key, window, other)
+        assert kept.columns == history.columns
+        found = {r[0] for r in kept.select(key).collect()}
+        assert {r[0] for r in window.select(other).collect()} <= found and len(found) < 200
+    # Keys of two types meet in a join only after a conversion: all rows stay.
+    assert of_window(history, "i", window, "w").count() == history.count()
+    assert of_window(history, "k", window.limit(0), "w").count() == 0
+
+
+@pytest.mark.parametrize(
+    "days",
+    [
+        [date(2004 + i // 12, 1 + i % 12, 28) for i in range(240)],
+        [date(1960, 3, 1), date(2024, 1, 12)],
+    ],
+)
+def test_scattered_report_dates_read_their_own_partitions_only(spark, tmp_path, days):
+    rows = spark.range(1960 * 12, 2025 * 12).selectExpr(
+        "CAST(1 AS DOUBLE) AS total_renovacion", "make_date(CAST(id DIV 12 AS INT), CAST(id % 12 AS INT) + 1, 28) AS fecha_operacion"
+    )
+    own = spark.createDataFrame([(2.0, d) for d in days], rows.schema)
+    rows.unionByName(own).coalesce(1).write.partitionBy("fecha_operacion").parquet(str(tmp_path / "renewals"))
+    span = listed_span(spark, days)
+    assert span.is_held
+    source = from_paths(spark, str(tmp_path))["renewals"]
+    read = source.where(span.reads("fecha_operacion", ["report"]))
+    assert {r[0] for r in read.select("fecha_operacion").distinct().collect()} == set(days)
+    assert re.search(r"PartitionFilters: \[\S", plan_of(read)) and "PartitionFilters: []" not in plan_of(read)
+    totals = securities.cdt_renewals(span, from_paths(spark, str(tmp_path)))
+    assert totals.count() == len(days) and totals.where("renewals >= 2").count() == len(days)

@@ -13,6 +13,7 @@ from florin.operators.merge import (
     schema_sync,
     unique_by,
     upsert_partitioned,
+    upsert_table,
 )
 from florin.operators.report_dates import window_span
 from florin.plans import daily, job
@@ -175,3 +176,52 @@ def test_absent_columns_keep_their_stored_values(spark, tmp_path):
     upsert_partitioned(spark.createDataFrame([(1, "a", "keep")], "d int, k string, extra string"), path, ["k"], ["d"])
     upsert_partitioned(spark.createDataFrame([(1, "a"), (1, "b")], "d int, k string"), path, ["k"], ["d"])
     assert sorted((r.k, r.extra) for r in spark.read.parquet(path).collect()) == [("a", "keep"), ("b", None)]
+
+
+def test_catalog_table_gives_the_same_rows_as_files(spark, tmp_path):
+    path, name = str(tmp_path / "files"), "florin_upserted"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    wide = "total double, nota string, tipo string, fecha_reporte date"
+    batches = [
+        frame(spark, (1.0, "x", A), (2.0, "y", A), (3.0, "x", B)),
+        frame(spark, (9.0, "new", "y", A), (4.0, "new", "x", C), columns=wide),
+        frame(spark, (7.0, "y", A), (8.0, None, B), (8.0, "x", None)),
+        frame(spark, (6.0, None, B), (6.0, "x", None)),
+    ]
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    try:
+        for batch in batches:
+            upsert_partitioned(batch, path, KEYS, PARTITIONS)
+            upsert_table(batch, name, KEYS, PARTITIONS)
+        columns = ["total", "tipo", "nota", "fecha_reporte"]
+        rows = rows_of(spark.table(name), *columns)
+        assert rows == rows_of(read_partitioned(spark, path), *columns)
+        assert (7.0, "y", "new", A) in rows and len(rows) == 6
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == mode
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
+def test_job_from_a_text_date_to_catalog_tables(spark, tmp_path):
+    tables = {n: f"florin_job_{n}" for n in ("income", "expense", "available", "summary")}
+    long_report = str(tmp_path / "long")
+    for name in tables.values():
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    try:
+        src, targets = sample_sources(spark, SF_DIR), job.Targets(**tables, long_report=long_report)
+        stated = job.run_for(spark, src, targets, "2024-01-12T00:00:00.000Z")
+        assert {n: spark.table(t).count() for n, t in tables.items()} == {"income": 5, "expense": 5, "available": 10, "summary": 5}
+        summary = spark.table(tables["summary"]).select(*params.SUMMARY_COLUMNS, "fecha_reporte")
+        assert rows_of(summary, "*") == rows_of(daily.cash_summary(stated), "*")
+        assert spark.read.parquet(long_report).groupBy("report_date").count().select("count").distinct().collect() == [(68,)]
+    finally:
+        for name in tables.values():
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_job_without_a_date_takes_the_latest_of_the_adapter(spark):
+    src = sample_sources(spark, SF_DIR)
+    latest = src["adapter"].agg(F.max("fecha_consulta")).first()[0]
+    assert job.report_days(job.requested_span(spark, src))[-1] == latest
+    with pytest.raises(ValueError, match="not a report date"):
+        job.requested_span(spark, src, "2024-01-12garbage")
