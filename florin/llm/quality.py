@@ -25,8 +25,8 @@ from pyspark.sql import types as T
 from florin.llm.textbytes import Words, byte_set, flat, folded_ascii, mixed, slices, sums
 
 THRESHOLD = 0.4
-SAMPLE_DOCS = 3000  # training documents at most
-SLOTS = 2048  # hashed features
+SAMPLE_DOCS = 4000  # training documents at most
+SLOTS = 4096  # hashed features
 ROUNDS = 100  # of expectation maximisation, and of the scorer's training
 BAD, ABSTAIN, GOOD = 0, 1, 2
 
@@ -249,6 +249,7 @@ def train(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -
     for i, row in enumerate(rows.column("x")):
         x[i] = np.frombuffer(row.as_buffer(), np.float16)
     label = np.array([label_of[p] for p in rows.column("pattern").to_pylist()], np.float32)
+    del rows
     return Scorer(*fit(x, label), table)
 
 
