@@ -26,11 +26,12 @@ from pyspark.sql.window import Window
 
 from florin.llm.columns import free_name
 from florin.llm.textbytes import HashIndex, flat, slices, sums
+from florin.session import cut_lineage
 
 ORDER = 4  # bytes of the longest context
 SAMPLE_DOCS = 300  # training documents per language at most
 MAX_LANGUAGES = 250  # languages learned at most, the most frequent ones
-MAX_GRAMS = 1_000_000  # rows of the frozen model at most, shorter contexts first
+LANGUAGES_AT_ONCE = 4  # languages that share tables
 UNKNOWN = "und"
 
 RESULT = T.StructType(
@@ -134,6 +135,20 @@ class Model:
         return sums(cost.astype(np.float64), offsets)
 
 
+@dataclass
+class Models:
+    """Trees of any number of languages, a few languages to a model, so that tables grow by what each has seen."""
+
+    parts: list[Model]
+
+    @property
+    def languages(self) -> list[str]:
+        return [name for part in self.parts for name in part.languages]
+
+    def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return np.hstack([part.code_lengths(data, offsets) for part in self.parts])
+
+
 def build_model(lang: np.ndarray, k: np.ndarray, gram: np.ndarray, n: np.ndarray, order: int) -> Model:
     languages = sorted(set(lang.tolist()))
     number = {name: i for i, name in enumerate(languages)}
@@ -171,21 +186,23 @@ def build_model(lang: np.ndarray, k: np.ndarray, gram: np.ndarray, n: np.ndarray
 
 
 def train(docs: DataFrame, order: int = ORDER, sample_docs: int = SAMPLE_DOCS,
-          max_languages: int = MAX_LANGUAGES, max_grams: int = MAX_GRAMS) -> Model | None:
+          max_languages: int = MAX_LANGUAGES) -> Models | None:
     """The model of ``docs`` (doc_id, lang, text); None where nothing can be learned.
 
     The counts are made where the texts are; what reaches the driver is the frozen
-    model, at most ``max_grams`` rows.
+    model, which the sample bounds.
     """
-    counts = gram_counts(training_rows(docs, sample_docs, max_languages), order)
-    kept = counts.orderBy("k", F.desc("n"), "lang", "gram").limit(max_grams).toArrow()
-    if not kept.num_rows:
-        return None
-    columns = {name: kept.column(name).to_numpy() for name in kept.column_names}
-    return build_model(columns["lang"], columns["k"], columns["gram"], columns["n"], order)
+    counts = cut_lineage(gram_counts(training_rows(docs, sample_docs, max_languages), order))
+    languages = sorted(row["lang"] for row in counts.select("lang").distinct().collect())
+    parts = []
+    for first in range(0, len(languages), LANGUAGES_AT_ONCE):
+        kept = counts.where(F.col("lang").isin(languages[first : first + LANGUAGES_AT_ONCE])).toArrow()
+        columns = {name: kept.column(name).to_numpy() for name in kept.column_names}
+        parts.append(build_model(columns["lang"], columns["k"], columns["gram"], columns["n"], order))
+    return Models(parts) if parts else None
 
 
-def predicted(model: Model | None, texts: pa.Array) -> pa.Array:
+def predicted(model: Models | None, texts: pa.Array) -> pa.Array:
     """RESULT of every text under the model."""
     names, scores, rates = [], [], []
     for start, stop in slices(texts):
@@ -214,7 +231,7 @@ def predicted(model: Model | None, texts: pa.Array) -> pa.Array:
     )
 
 
-def predictor(docs: DataFrame, model: Model | None):
+def predictor(docs: DataFrame, model: Models | None):
     """A column function: text -> RESULT. The model travels once per executor."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -225,7 +242,7 @@ def predictor(docs: DataFrame, model: Model | None):
     return predict
 
 
-def identify(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+def identify(docs: DataFrame, model: Models | None, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``bits_per_byte``, from the text alone."""
     found = predictor(docs, model)(F.col(text))
     name = free_name(docs, "_found")
