@@ -4,7 +4,9 @@ Every language has a tree of byte contexts of order 0 to ``order`` with frozen
 counts. A byte after a context costs -log2(count / (total + distinct)); a byte the
 context has not seen costs the escape, -log2(distinct / (total + distinct)), and is
 then looked up in the next shorter context, down to 1/256 for any byte. The language
-whose tree gives a text the fewest bits wins.
+whose tree gives a text the fewest bits wins. Every labelled language is learned, from a
+bounded number of its texts, and every gram counted in them; the model grows with the
+number of languages.
 
 Defined results: NULL text, empty text and text without a letter give ``und`` and
 score 0; equal code lengths give the first language by name; without any training row
@@ -30,7 +32,6 @@ from florin.session import cut_lineage
 
 ORDER = 4  # bytes of the longest context
 SAMPLE_DOCS = 300  # training documents per language at most
-MAX_LANGUAGES = 250  # languages learned at most, the most frequent ones
 LANGUAGES_AT_ONCE = 4  # languages that share tables
 UNKNOWN = "und"
 
@@ -57,21 +58,22 @@ def offsets_in_text(offsets: np.ndarray) -> np.ndarray:
     return np.arange(offsets[-1]) - np.repeat(offsets[:-1], lengths)
 
 
-def training_rows(docs: DataFrame, sample_docs: int, max_languages: int) -> DataFrame:
-    """(lang, text) of a bounded, seeded sample: whole texts, the same number of rows per language."""
+def training_rows(docs: DataFrame, sample_docs: int) -> DataFrame:
+    """(lang, text) of a bounded, seeded sample: whole texts, the same number of rows per language, every language."""
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
-    frequent = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(max_languages)
+    place = F.struct(F.xxhash64("doc_id", F.lit(11)).alias("h"), "doc_id")
     by_hash = Window.partitionBy("lang").orderBy("h", "doc_id")
-    chosen = (
-        labelled.select("doc_id", "lang", F.xxhash64("doc_id", F.lit(11)).alias("h"))
-        .join(F.broadcast(frequent.select("lang")), "lang", "left_semi")
-        .withColumn("place", F.row_number().over(by_hash))
-        .where(F.col("place") <= sample_docs)
-        .select("doc_id", "lang")
-        .distinct()
+    last = (
+        labelled.select("lang", place.alias("place"))
+        .select("lang", "place", "place.*")
+        .withColumn("nth", F.row_number().over(by_hash))
+        .where(F.col("nth") <= sample_docs)
+        .groupBy("lang")
+        .agg(F.max("place").alias("last"))
     )
-    # At most sample_docs x max_languages pairs of a number and a short text.
-    return labelled.select("doc_id", "lang", "text").join(F.broadcast(chosen), ["doc_id", "lang"]).select("lang", "text")
+    # One row per language.
+    chosen = labelled.select("lang", "text", place.alias("place")).join(F.broadcast(last), "lang")
+    return chosen.where(F.col("place") <= F.col("last")).select("lang", "text")
 
 
 def gram_counts(rows: DataFrame, order: int) -> DataFrame:
@@ -185,14 +187,13 @@ def build_model(lang: np.ndarray, k: np.ndarray, gram: np.ndarray, n: np.ndarray
     return model
 
 
-def train(docs: DataFrame, order: int = ORDER, sample_docs: int = SAMPLE_DOCS,
-          max_languages: int = MAX_LANGUAGES) -> Models | None:
+def train(docs: DataFrame, order: int = ORDER, sample_docs: int = SAMPLE_DOCS) -> Models | None:
     """The model of ``docs`` (doc_id, lang, text); None where nothing can be learned.
 
     The counts are made where the texts are; what reaches the driver is the frozen
     model, which the sample bounds.
     """
-    counts = cut_lineage(gram_counts(training_rows(docs, sample_docs, max_languages), order))
+    counts = cut_lineage(gram_counts(training_rows(docs, sample_docs), order))
     languages = sorted(row["lang"] for row in counts.select("lang").distinct().collect())
     parts = []
     for first in range(0, len(languages), LANGUAGES_AT_ONCE):

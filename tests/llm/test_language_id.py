@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from florin.llm import language_id
 
@@ -27,3 +28,19 @@ def test_every_counted_gram_is_learned(make_documents):
     data = np.frombuffer(b"abcdefg hijkl" + labelled(languages, 1, 50)[0][1].encode(), np.uint8)
     offsets = np.array([0, 13, len(data)])
     assert np.allclose(model.code_lengths(data, offsets), whole.code_lengths(data, offsets), rtol=1e-5)
+
+
+def test_every_language_is_learned(make_documents):
+    languages = [f"l{i:03}" for i in range(260)]
+    model = language_id.train(make_documents([(i, f"text {i}", name) for i, name in enumerate(languages)]))
+    assert model.languages == languages
+
+
+def test_sample_is_the_first_rows_by_hash(make_documents):
+    """Rows of one doc_id come together, other languages' rows do not count."""
+    rows = [(i % 50, f"{name} {i}", name) for name in ("aa", "bb") for i in range(60)]
+    docs = make_documents(rows)
+    hashed = sorted(map(tuple, docs.where("lang = 'aa'").select(F.xxhash64("doc_id", F.lit(11)), "doc_id").collect()))
+    first = {doc_id for _, doc_id in hashed[:20]}
+    found = [(r["lang"], r["text"]) for r in language_id.training_rows(docs, 20).collect()]
+    assert sorted(found) == sorted((name, text) for doc_id, text, name in rows if doc_id in first)
