@@ -2,9 +2,14 @@
 
 Base kinds, leftmost and non-overlapping per kind: email, ip (every part at most 255),
 card (12 to 19 digits passing Luhn), phone (9 to 15 digits). Added by the method: iban
-(mod 97) and tel (a number in national notation, taken when context words near it raise
+(mod 97) and tel (a number in national notation, taken when a context word before it raises
 its score to the threshold).
 
+A context word counts within 32 characters before a span, as far as the span of the same
+pattern before it. Where no letter stands between the two, and no more than 32 characters,
+the later one goes on with a list and has the context of the one before. Words behind a
+span do not count.
+
 The expressions are the plain ones in a form that a backtracking engine runs in linear
 time: a run of characters is entered at its first character or where the last match
 ended, and never given back. Positions are code points and come from the lengths of the
@@ -17,6 +22,7 @@ whole; masking changes no text without spans.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -86,28 +92,46 @@ def confirmed(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
-def _starts(lengths: Column) -> Column:
-    """Running sum before every element, in two levels so that long arrays stay cheap."""
+def _before(values: Column, zero: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """All values before every element, added up, in two levels so that long arrays stay cheap."""
 
     def running(values: Column, first: Column) -> Column:
         empty = F.struct(F.array().cast("array<bigint>").alias("before"), first.alias("sum"))
         return F.aggregate(
             values,
             empty,
-            lambda state, v: F.struct(F.concat(state["before"], F.array(state["sum"])).alias("before"), (state["sum"] + v).alias("sum")),
+            lambda state, v: F.struct(F.concat(state["before"], F.array(state["sum"])).alias("before"), add(state["sum"], v).alias("sum")),
             lambda state: state["before"],
         )
 
-    n_chunks = F.ceil(F.size(lengths) / CHUNK).cast("int")
+    n_chunks = F.ceil(F.size(values) / CHUNK).cast("int")
     chunks = F.transform(
-        F.sequence(F.lit(0), n_chunks - 1), lambda i: F.slice(lengths, i * CHUNK + 1, F.lit(CHUNK))
+        F.sequence(F.lit(0), n_chunks - 1), lambda i: F.slice(values, i * CHUNK + 1, F.lit(CHUNK))
     )
-    zero = F.lit(0).cast("bigint")
-    sums = F.transform(chunks, lambda c: F.aggregate(c, zero, lambda a, b: a + b))
+    sums = F.transform(chunks, lambda c: F.aggregate(c, zero, add))
     pairs = F.arrays_zip(chunks.alias("chunk"), running(sums, zero).alias("first"))
     return F.flatten(F.transform(pairs, lambda p: running(p["chunk"], p["first"])))
 
 
+def _starts(lengths: Column) -> Column:
+    return _before(lengths, F.lit(0).cast("bigint"), lambda a, b: a + b)
+
+
+def _contexts(pieces: Column, kind: Kind) -> Column:
+    """Whether a context word stands before every match, from the pieces before the matches."""
+
+    def own(piece: Column, i: Column) -> Column:
+        near = F.lower(F.substring(piece, F.greatest(F.length(piece) - CONTEXT_CHARS + 1, F.lit(1)), F.lit(CONTEXT_CHARS)))
+        listed_on = (F.length(piece) <= CONTEXT_CHARS) & ~piece.rlike(r"\p{L}")
+        known = 2 * i.cast("bigint") + F.when(near.rlike(rf"\b(?:{kind.context})"), 1).otherwise(0)
+        return F.when(listed_on, F.lit(-1).cast("bigint")).otherwise(known)
+
+    # The last piece that has a say is the largest number; odd ones have a word.
+    values = F.transform(pieces, own)
+    before = _before(values, F.lit(-1).cast("bigint"), lambda a, b: F.greatest(a, b))
+    return F.zip_with(before, values, lambda a, b: F.greatest(a, b) % 2 == 1)
+
+
 def spans_of(text: Column, kind: Kind) -> Column:
     """Confirmed spans of a kind: array of (start, rank, end, kind, score), in text order."""
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string,score:double>>")
@@ -115,12 +139,11 @@ def spans_of(text: Column, kind: Kind) -> Column:
     # One piece before every match; the piece behind the last is not needed.
     pieces = F.slice(F.split(text, kind.pattern, -1), F.lit(1), F.size(found))
     sizes = F.zip_with(pieces, found, lambda p, m: (F.length(p) + F.length(m)).cast("bigint"))
-    rows = F.arrays_zip(found.alias("m"), pieces.alias("p"), _starts(sizes).alias("at"))
+    rows = F.arrays_zip(found.alias("m"), pieces.alias("p"), _starts(sizes).alias("at"), _contexts(pieces, kind).alias("near"))
     rank = [k.name for k in KINDS].index(kind.name)
 
     def span(row: Column) -> Column:
-        near = F.lower(F.substring(row["p"], F.greatest(F.length(row["p"]) - CONTEXT_CHARS + 1, F.lit(1)), F.lit(CONTEXT_CHARS)))
-        score = F.lit(kind.base) + F.when(near.rlike(rf"\b(?:{kind.context})"), CONTEXT_BONUS).otherwise(0.0)
+        score = F.lit(kind.base) + F.when(row["near"], CONTEXT_BONUS).otherwise(0.0)
         start = row["at"] + F.length(row["p"])
         return F.struct(
             start.alias("start"),
@@ -160,16 +183,21 @@ def _masked_kind(text: Column, kind: Kind) -> Column:
     found = F.regexp_extract_all(text, F.lit(kind.pattern), 0)
     pieces = F.split(text, kind.pattern, -1)
 
-    def replaced(piece: Column, match: Column) -> Column:
-        sure = confirmed(kind.name, match)
-        if kind.name not in BASE_KINDS and kind.base < THRESHOLD:
-            tail = F.substring(piece, F.greatest(F.length(piece) - CONTEXT_CHARS + 1, F.lit(1)), F.lit(CONTEXT_CHARS))
-            sure = sure & F.lower(tail).rlike(rf"\b(?:{kind.context})")
-        return F.concat(piece, F.when(sure, F.lit(kind.mask)).otherwise(match))
+    before = F.slice(pieces, F.lit(1), F.size(found))
+    rows = F.arrays_zip(before.alias("p"), found.alias("m"))
+    scored = kind.name not in BASE_KINDS and kind.base < THRESHOLD
+    if scored:
+        rows = F.arrays_zip(before.alias("p"), found.alias("m"), _contexts(before, kind).alias("near"))
+
+    def replaced(row: Column) -> Column:
+        sure = confirmed(kind.name, row["m"])
+        if scored:
+            sure = sure & row["near"]
+        return F.concat(row["p"], F.when(sure, F.lit(kind.mask)).otherwise(row["m"]))
 
     last = F.element_at(pieces, -1)
     joined = F.concat(
-        F.array_join(F.zip_with(F.slice(pieces, F.lit(1), F.size(found)), found, replaced), ""), last
+        F.array_join(F.transform(rows, replaced), ""), last
     )
     return F.when(F.size(found) > 0, joined).otherwise(text)
 
