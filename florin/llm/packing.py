@@ -113,7 +113,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, per_source: int = PER_SOURC
     """PLACED of ``items`` (doc_id, source, cluster, size)."""
     known = cut_lineage(items.select("doc_id", "source", "cluster", "size"))
     groups = max(1, -(-known.count() // group_rows))
-    dealt = F.pmod(F.xxhash64(F.lit(5), "doc_id", "cluster", "size"), F.lit(groups))
+    # Rows equal in all columns are told apart by their place in the stored table.
+    dealt = F.pmod(F.xxhash64(F.lit(5), "doc_id", "cluster", "size", F.monotonically_increasing_id()), F.lit(groups))
     return (
         known.withColumn("group", dealt)
         .groupBy("group")
