@@ -363,8 +363,8 @@ def rare_members(sets: DataFrame, labels: DataFrame) -> DataFrame:
     return together.union(met.select("node", "label", F.concat_ws("/", "token", "pair").alias("block")))
 
 
-def components(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, n, component_id) of every row of ``docs`` (doc_id, text); ``h`` hashes the text."""
+def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """documents_able_to_link() of ``docs``, and (digest, id, root) of every set able to link: ``root`` names its component."""
     rows = cut_lineage(documents_able_to_link(docs))
     nodes = node_table(rows)
     sets = cut_lineage(sets_of(docs, nodes))
@@ -372,13 +372,22 @@ def components(docs: DataFrame) -> DataFrame:
     labels = connected_components(near)
     rare = links_in_blocks(sets, rare_members(sets, labels))
     roots = connected_components(near.union(rare))
-    named = nodes.join(roots, "node", "left").select("digest", "id", F.coalesce("root", "node").alias("root"))
-    least = named.groupBy("root").agg(F.min("id").alias("component_id"))
-    by_node = named.join(least, "root").select("digest", "component_id")
+    return rows, nodes.join(roots, "node", "left").select("digest", "id", F.coalesce("root", "node").alias("root"))
+
+
+def _with_sets(rows: DataFrame, by_set: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``by_set``, NULL for sets not in it."""
     # A third of all rows may be copies of one text: their set is salted.
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")
     salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int")
-    joined = rows.withColumn("salt", salt).join(by_node.select("*", every_salt), ["digest", "salt"], "left")
+    return rows.withColumn("salt", salt).join(by_set.select("*", every_salt), ["digest", "salt"], "left")
+
+
+def components(docs: DataFrame) -> DataFrame:
+    """(doc_id, h, n, component_id) of every row of ``docs`` (doc_id, text); ``h`` hashes the text."""
+    rows, named = _groups(docs)
+    least = named.groupBy("root").agg(F.min("id").alias("component_id"))
+    joined = _with_sets(rows, named.join(least, "root").select("digest", "component_id"))
     own = F.when(F.col("able"), F.col("component_id")).otherwise(F.col("doc_id"))
     return joined.select("doc_id", "h", "n", own.alias("component_id"))
 
@@ -389,21 +398,28 @@ def ngram_jaccard(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is the least of their component.
+    """One row of every component: of the least doc_id, NULL after all others, and then of the least text hash.
 
-    Rows without doc_id go when their component has a known one, else they stay; of
-    rows with equal doc_id and text one stays. Only texts that may go are shuffled: a bit
-    set of fixed size lets the others pass.
+    A document without words is its own component; of its rows with equal, known doc_id
+    and text one stays. Only texts that may go are shuffled: a bit set of fixed size lets
+    the others pass.
     """
-    found = components(docs).groupBy("doc_id", "h").agg(
-        F.count(F.lit(1)).alias("rows"), F.min("component_id").alias("component_id")
+    rows, named = _groups(docs)
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "h")
+    by_set = named.join(rows.where("able").groupBy("digest").agg(F.min(place).alias("first")), "digest")
+    first = by_set.groupBy("root").agg(F.min("first").alias("first"))
+    found = _with_sets(rows, named.join(first, "root").select("digest", "first")).groupBy("doc_id", "h").agg(
+        F.count(F.lit(1)).alias("rows"), F.min("first").alias("first")
     )
-    goes = F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
+    linked = F.col("first").isNotNull()
+    goes = linked & ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("h") == F.col("first.h")))
     named_id, named_h, gone, twice, key, asked_for = (free_name(docs, c) for c in ("_id", "_h", "_goes", "_twice", "_k", "_m"))
+    # Of texts without words, rows without doc_id are not known to be the same document.
+    repeated_rows = (F.col("rows") > 1) & (linked | F.col("doc_id").isNotNull())
     doubtful = found.select(
-        F.col("doc_id").alias(named_id), F.col("h").alias(named_h), goes.alias(gone), (F.col("rows") > 1).alias(twice)
+        F.col("doc_id").alias(named_id), F.col("h").alias(named_h), goes.alias(gone), repeated_rows.alias(twice)
     )
-    doubtful = cut_lineage(doubtful.where(F.col(gone) | (F.col(twice) & F.col(named_id).isNotNull())))
+    doubtful = cut_lineage(doubtful.where(F.col(gone) | F.col(twice)))
     may_go = membership(doubtful.select(F.xxhash64(named_id, named_h).alias("k")), "k")
     keyed = docs.withColumn(key, F.xxhash64("text"))
     asked = keyed.withColumn(asked_for, may_go(F.xxhash64("doc_id", key)))
