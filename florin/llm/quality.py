@@ -157,13 +157,15 @@ def features(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     n = len(offsets) - 1
     shape = _SHAPE[data]
     row = np.repeat(np.arange(n), np.diff(offsets))
+    place = np.arange(len(data)) - np.repeat(offsets[:-1], np.diff(offsets))
     table = np.zeros((n, SLOTS), np.float32)
     for length in (1, 3):
         gram = shape.copy()
         for back in range(1, length):
             gram[back:] |= shape[:-back] << np.uint64(8 * back)
         slot = (mixed(gram + np.uint64(length)) % np.uint64(SLOTS - 2)).astype(np.int64)
-        counted = np.bincount(row * SLOTS + slot, minlength=n * SLOTS).reshape(n, SLOTS)
+        own = place >= length - 1  # grams within one text
+        counted = np.bincount((row * SLOTS + slot)[own], minlength=n * SLOTS).reshape(n, SLOTS)
         table += counted
     measured = measures(data, offsets)
     size = np.maximum(np.diff(offsets), 1)

@@ -1,4 +1,7 @@
+import pyarrow as pa
+
 from florin.llm import quality
+from florin.llm.textbytes import flat
 
 
 def test_sample_and_slots(make_documents, monkeypatch):
@@ -7,3 +10,10 @@ def test_sample_and_slots(make_documents, monkeypatch):
     words = ["alpha", "beta", "gamma", "delta", "epsilon"]
     quality.train(make_documents([(i, " ".join(words[i // 5**j % 5] for j in range(6))) for i in range(4500)]))
     assert seen == [(4000, 4096)]
+
+
+def test_features_are_of_the_text_alone():
+    texts = pa.array(["Some short text, 1.", "??", "", "x", "a longer one of three lines\n\n- so"])
+    together = quality.features(*flat(texts))
+    for i in range(len(texts)):
+        assert (quality.features(*flat(texts[i : i + 1])) == together[i]).all()
