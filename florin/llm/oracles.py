@@ -6,6 +6,7 @@ links are followed by recursion, windows are compared as texts.
 
 from __future__ import annotations
 
+from florin.llm.license_scan import BASE, NOTICES, SHORT_WORD, allowed_edits
 from florin.llm.url_filter import ALPHABET, BINS, CLASSES, GRAMS, LOWER, MERGED, MERGED_TO, PRIOR, UNIT, UPPER
 
 _LOWERED = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
@@ -124,7 +125,68 @@ SELECT page_id, host, path, rule,
 FROM scored CROSS JOIN border
 """
 
+
+def _notices() -> str:
+    rows = (
+        f"('{phrase}', '{label}', {(phrase, label) in BASE}, {allowed_edits(phrase)}, {len(phrase.split())}, "
+        f"{[w for w in phrase.split() if len(w) < SHORT_WORD]}::VARCHAR[])"
+        for phrase, label in NOTICES
+    )
+    return ", ".join(rows)
+
+
+# A notice is a run of whole words within so many edits of the phrase, with its short words as they are.
+LICENSE_SCAN = rf"""
+WITH
+d AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({_LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+notices(phrase, label, base, edits, words, short) AS (VALUES {_notices()}),
+forms AS (SELECT *, unnest(range(greatest(words - edits, 1), words + edits + 1)) AS width FROM notices),
+widths AS (SELECT DISTINCT width FROM forms),
+starts AS (SELECT r, w, len(w) AS n_words, unnest(range(1, len(w) + 1)) AS k FROM d),
+runs AS (SELECT r, k - 1 AS word, width, array_to_string(w[k : k + width - 1], ' ') AS span FROM starts JOIN widths ON k + width - 1 <= n_words),
+near AS (
+  SELECT r, word, span, phrase, label, base, edits, short
+  FROM runs JOIN forms USING (width) WHERE length(span) BETWEEN length(phrase) - edits AND length(phrase) + edits),
+found AS MATERIALIZED (
+  SELECT r, word, phrase, label, base, levenshtein(span, phrase) AS distance
+  FROM near WHERE levenshtein(span, phrase) <= edits AND list_has_all(string_split(span, ' '), short)),
+by_row AS (
+  SELECT r, count(*) FILTER (base AND distance = 0) AS n_base,
+         min(word) FILTER (base AND distance = 0) AS first_word, max(word) FILTER (base AND distance = 0) AS last_word,
+         coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base AND distance = 0), '') AS base_labels,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(1.0::DOUBLE - distance / length(phrase)) AS score
+  FROM found GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
+       coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0) AS score
+FROM d LEFT JOIN by_row USING (r)
+"""
+
+HARD_NEGATIVES = """
+WITH
+e AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(CAST(c AS DOUBLE) * 256) FOR c IN embedding] AS x
+  FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len([c FOR c IN embedding IF c IS NULL OR NOT isfinite(c)]) = 0),
+scored AS MATERIALIZED (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS alike,
+         CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+  FROM e a JOIN e b ON a.r <> b.r WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT * FROM scored WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id NULLS LAST, r) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, n.vec_id AS negative_id, p.score AS positive_score, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor, p.r ORDER BY n.score DESC, n.vec_id NULLS LAST, n.r) AS rank
+  FROM positives p JOIN scored n ON n.anchor = p.anchor AND NOT n.alike
+   AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM ranked WHERE rank <= 3
+"""
+
 ORACLES: dict[str, str] = {
+    "op11_license_scan": LICENSE_SCAN,
+    "op13_hard_negatives": HARD_NEGATIVES,
     "op4_ngram_jaccard": NGRAM_JACCARD,
     "op6_decontamination": DECONTAMINATION,
     "op8_url_filter": URL_FILTER,

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from florin.llm import decontamination, fingerprints, jaccard_join, language_id, packing, personal_data, quality, sharding, token_counts, url_filter
+from florin.llm import (
+    decontamination,
+    fingerprints,
+    hard_negatives,
+    jaccard_join,
+    language_id,
+    license_scan,
+    packing,
+    personal_data,
+    quality,
+    sharding,
+    token_counts,
+    url_filter,
+    whitening,
+)
 from florin.llm.oracles import ORACLES as ORACLES
 from florin.llm.shipping import ship_package
 
@@ -39,5 +53,8 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": _over("pages", url_filter.url_filter),
     "op9_sharding": _over("documents", sharding.sharding),
     "op10_quality_classifier": _over("documents", quality.quality_classifier),
+    "op11_license_scan": _over("documents", license_scan.license_scan),
+    "op12_embedding_whitening": _over("embeddings", whitening.embedding_whitening),
+    "op13_hard_negatives": _over("embeddings", hard_negatives.hard_negatives),
     "pipeline": corpus_pipeline.run,
 }
