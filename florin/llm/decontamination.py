@@ -13,7 +13,9 @@ salted against passages that many documents hold.
 Defined results: NULL and empty texts have no words and are clean; an item of fewer than
 ten words is one window of its own length, an item without words none; repeated rows get
 equal results, each its own row; items that share an identifier count once; an item
-without one marks words but is not listed; an empty benchmark leaves all clean.
+without one marks words but is not listed; an empty benchmark leaves all clean; a window
+that several items hold counts for each; texts are read whole, a very long one by itself;
+other columns do not matter, and ``clean`` carries them along.
 """
 
 from __future__ import annotations
@@ -151,16 +153,17 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     item_windows = cut_lineage(benchmark_windows(benchmark))
     spans = sorted(r["span"] for r in item_windows.select("span").distinct().collect())
     known, windows = bitset_of(item_windows, "fingerprint"), bitset_of(item_windows, "hash")
-    rows = cut_lineage(scanned(docs, spans, known, windows))
+    # Numbers of rows already written; by them copies of one text are told apart and dealt out.
+    rows = cut_lineage(scanned(docs, spans, known, windows)).withColumn("row", F.monotonically_increasing_id())
 
-    salted = rows.where(F.size("found") > 0).select("doc_id", "h", F.inline("found"))
-    salted = salted.withColumn("salt", F.pmod("h", F.lit(SALT)).cast("int"))
+    salted = rows.where(F.size("found") > 0).select("row", F.inline("found"))
+    salted = salted.withColumn("salt", F.pmod("row", F.lit(SALT)).cast("int"))
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")
     owned = item_windows.groupBy("span", "window").agg(F.collect_set(F.col("item_id").cast("string")).alias("items"))
     hits = salted.join(owned.select("*", every_salt), ["span", "window", "salt"])
 
     places = F.array_sort(F.collect_set(F.struct("at", "span")))
-    by_row = hits.groupBy("doc_id", "h").agg(
+    by_row = hits.groupBy("row").agg(
         places.alias("places"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
     )
@@ -174,11 +177,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         ),
         lambda s: s["n"],
     )
-    by_row = by_row.select(
-        F.col("doc_id").alias("_id"), F.col("h").alias("_h"), covered.alias("n_hit"), "items"
-    )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_h"))
-    whole = rows.select("doc_id", "h", "n_words").join(by_row, same, "left")
+    by_row = by_row.select("row", covered.alias("n_hit"), "items")
+    whole = rows.select("row", "doc_id", "h", "n_words").join(by_row, "row", "left")
     n_hit = F.coalesce("n_hit", zero)
     items = F.coalesce("items", F.array().cast("array<string>"))
     return whole.select(
@@ -194,8 +194,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that share no window with the benchmark."""
-    dirty = contamination(docs, benchmark).where("contaminated").select("doc_id", "h").distinct()
-    own = free_name(docs, "_h")
-    marked = docs.withColumn(own, F.xxhash64("text"))
-    same = docs["doc_id"].eqNullSafe(dirty["doc_id"]) & (F.col(own) == dirty["h"])
-    return marked.join(dirty, same, "left_anti").drop(own)
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")
+    dirty = contamination(docs, benchmark).where("contaminated").select("doc_id", "h").distinct().select("*", every_salt)
+    own, salt = free_name(docs, "_h"), free_name(docs, "_salt")
+    marked = docs.withColumn(own, F.xxhash64("text")).withColumn(salt, F.pmod(F.monotonically_increasing_id(), F.lit(SALT)))
+    same = docs["doc_id"].eqNullSafe(dirty["doc_id"]) & (F.col(own) == dirty["h"]) & (F.col(salt) == dirty["salt"])
+    return marked.join(dirty, same, "left_anti").drop(own, salt)

@@ -2,7 +2,8 @@
 
 Two documents link when 100 x |common shingles| >= 75 x |shingles of either|. The result
 is exact: every link between different texts is found or lies inside a group already
-connected.
+connected. Shingles are compared as 64-bit and sets as 128-bit hashes under a seed that is
+drawn anew for every run, so that no text can be made to collide.
 
 1. Every document's set of shingle hashes; equal sets are one from here on.
 2. A document can only link if enough of the smaller half of its hashes occur in another
@@ -17,11 +18,14 @@ Blocks larger than ``CHUNK`` are split: in step 3 each part keeps the block's fi
 in step 4 every two parts meet. Defined results: a document of fewer than five words has
 its whole word sequence as one shingle; without words, or NULL, it has none and is its
 own component; a NULL doc_id has the least known doc_id of its component, else NULL;
-repeated rows are copies of each other.
+repeated rows are copies of each other; a tie between rows of one doc_id goes to the least
+text hash; very long texts are read whole, one at a time where need be; other columns do
+not matter, and ``one_of_each`` carries them along.
 """
 
 from __future__ import annotations
 
+import secrets
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -47,11 +51,12 @@ SALT = 16
 IN_WORD = ~byte_set(b" \t\n\x0b\x0c\r")
 FOLDED = folded_ascii()
 SHARED_HERE = 65535  # in place of a document: the hash has several in its block
+BLOCK_DOCS = 60_000  # of a block, whose documents are numbered in 16 bits
 
 
-def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+def shingle_sets(data: np.ndarray, offsets: np.ndarray, seed: int) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of every text."""
-    words = Words(data, offsets, IN_WORD, FOLDED)
+    words = Words(data, offsets, IN_WORD, FOLDED, seed)
     grams = words.grams(SHINGLE)
     short = {n: words.grams(n) for n in range(1, SHINGLE)}
     found = []
@@ -86,13 +91,13 @@ PACKED = "block long, part int, kind int, payload binary"
 HASHES, DOCUMENTS = 0, 1
 
 
-def _packed_blocks(n_parts: int) -> Callable:
+def _packed_blocks(n_parts: int, seed: int) -> Callable:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for start, stop in slices(batch.column("text")):
+            for start, stop in slices(batch.column("text"), rows=BLOCK_DOCS):
                 texts = batch.column("text")[start:stop]
-                sets = shingle_sets(*flat(texts))
+                sets = shingle_sets(*flat(texts), seed)
                 size = np.array([len(s) for s in sets], np.int64)
                 half = [s[: (len(s) + 1) // 2] for s in sets]
                 hashes = np.concatenate(half)
@@ -187,47 +192,42 @@ def _documents_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         yield finished(table, count)
 
 
-def documents_able_to_link(docs: DataFrame) -> DataFrame:
+def documents_able_to_link(docs: DataFrame, seed: int) -> DataFrame:
     """(doc_id, h, n, digest, able) of every row; ``h`` hashes its text, ``digest`` names its shingle set."""
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    packed = docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(_packed_blocks(parts), PACKED)
+    packed = docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(_packed_blocks(parts, seed), PACKED)
     counted = packed.repartitionById(parts, "part").mapInArrow(_shared_in_part, "block long, kind int, payload binary")
     by_block = counted.repartition(parts, "block").sortWithinPartitions("block", F.desc("kind"))
     return by_block.mapInArrow(_documents_of_blocks, f"doc_id {kind}, h long, n long, digest string, able boolean")
 
 
 def node_table(rows: DataFrame) -> DataFrame:
-    """(node, digest, id, copies): a number for every distinct set of documents able to link.
+    """(node, digest, id, h): a number for every distinct set of documents able to link.
 
-    ``id`` is the least doc_id with the set, ``copies`` how many rows have both.
+    ``id`` and ``h`` are those of the row with the least doc_id, NULL after all others, and then the least text hash.
     """
-    each = rows.where("able").groupBy("digest", "doc_id").agg(F.count(F.lit(1)).alias("copies"))
-    known = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "copies"))
-    least = cut_lineage(each.groupBy("digest").agg(F.min(known).alias("first")))
+    place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "h")
+    least = cut_lineage(rows.where("able").groupBy("digest").agg(F.min(place).alias("first")))
     # Numbers of rows already written: they stay the same however often a task runs.
     numbered = least.withColumn("node", F.monotonically_increasing_id())
-    return cut_lineage(
-        numbered.select(
-            "node", "digest", F.col("first.doc_id").alias("id"), F.coalesce("first.copies", F.lit(2)).alias("copies")
-        )
-    )
+    return cut_lineage(numbered.select("node", "digest", F.col("first.doc_id").alias("id"), F.col("first.h").alias("h")))
 
 
-def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
+def sets_of(docs: DataFrame, nodes: DataFrame, seed: int) -> DataFrame:
     """(node, n, tokens) of ``nodes``: the sets are made again from the texts named.
 
-    Texts of other documents are left out before the shuffle, by a bit set of fixed size.
+    Texts of other documents are left out before the shuffle, by a bit set of fixed size;
+    of rows with equal doc_id and text every task sends one.
     """
-    may_be_wanted = membership(nodes.select(F.xxhash64("id").alias("h")), "h")
+    may_be_wanted = membership(nodes.select(F.xxhash64("id", "h").alias("k")), "k")
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start, stop in slices(batch.column("text")):
-                sets = shingle_sets(*flat(batch.column("text")[start:stop]))
+                sets = shingle_sets(*flat(batch.column("text")[start:stop]), seed)
                 own = digests(sets)
                 named = batch.column("digest")[start:stop].to_pylist()
-                # Rows of one doc_id can have different texts.
                 right = [i for i in range(stop - start) if own[i] == named[i]]
                 sizes = np.array([len(sets[i]) for i in right], np.int64)
                 values = np.concatenate([sets[i] for i in right]) if right else np.zeros(0, np.uint64)
@@ -241,13 +241,10 @@ def sets_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
                     names=["node", "n", "tokens"],
                 )
 
-    texts = docs.select("doc_id", "text").where(may_be_wanted(F.xxhash64("doc_id")))
-    joined = texts.join(nodes, F.col("doc_id").eqNullSafe(F.col("id")))
-
-    def made(rows: DataFrame) -> DataFrame:
-        return rows.select("node", "digest", "text").mapInArrow(tokens, "node long, n long, tokens array<long>")
-
-    return made(joined.where("copies = 1")).union(made(joined.where("copies > 1")).dropDuplicates(["node"]))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("own"), "text").where(may_be_wanted(F.xxhash64("doc_id", "own")))
+    once = texts.groupBy("doc_id", "own").agg(F.first("text").alias("text"))
+    joined = once.join(nodes, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("own") == F.col("h")))
+    return joined.select("node", "digest", "text").mapInArrow(tokens, "node long, n long, tokens array<long>")
 
 
 def _token_arrays(batch: pa.RecordBatch) -> list[np.ndarray]:
@@ -365,9 +362,10 @@ def rare_members(sets: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """documents_able_to_link() of ``docs``, and (digest, id, root) of every set able to link: ``root`` names its component."""
-    rows = cut_lineage(documents_able_to_link(docs))
+    seed = secrets.randbits(128)
+    rows = cut_lineage(documents_able_to_link(docs, seed))
     nodes = node_table(rows)
-    sets = cut_lineage(sets_of(docs, nodes))
+    sets = cut_lineage(sets_of(docs, nodes, seed))
     near = cut_lineage(links_in_blocks(sets, near_members(sets)))
     labels = connected_components(near)
     rare = links_in_blocks(sets, rare_members(sets, labels))
@@ -377,9 +375,9 @@ def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _with_sets(rows: DataFrame, by_set: DataFrame) -> DataFrame:
     """``rows`` with the columns of ``by_set``, NULL for sets not in it."""
-    # A third of all rows may be copies of one text: their set is salted.
+    # A third of all rows may be copies of one text: their set is salted, by row, as they may lack a doc_id.
     every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))).alias("salt")
-    salt = F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int")
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALT)).cast("int")
     return rows.withColumn("salt", salt).join(by_set.select("*", every_salt), ["digest", "salt"], "left")
 
 

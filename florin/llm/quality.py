@@ -220,7 +220,10 @@ def _sampled(docs: DataFrame, text: str, sample_docs: int) -> DataFrame:
 
 
 def train(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -> Scorer | None:
-    """Vote statistics of all rows; the driver gets their patterns (at most 3^heuristics) and the sample."""
+    """Vote statistics of all rows; the driver gets their patterns (at most 3^heuristics) and the weights.
+
+    One task fits the scorer; it holds the sample's features, ``sample_docs`` x SLOTS at most.
+    """
     patterns = docs.where(F.length(text) > 0).groupBy(vote_pattern(F.col(text)).alias("pattern")).count().toArrow()
     if not patterns.num_rows:
         return None
@@ -245,14 +248,18 @@ def train(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -
                     names=["h", "pattern", "x"],
                 )
 
-    rows = _sampled(docs, text, sample_docs).mapInArrow(featured, "h long, pattern int, x binary").toArrow()
-    rows = rows.sort_by("h")
-    x = np.empty((rows.num_rows, SLOTS), np.float32)
-    for i, row in enumerate(rows.column("x")):
-        x[i] = np.frombuffer(row.as_buffer(), np.float16)
-    label = np.array([label_of[p] for p in rows.column("pattern").to_pylist()], np.float32)
-    del rows
-    return Scorer(*fit(x, label), table)
+    def fitted(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("h")
+        x = np.empty((rows.num_rows, SLOTS), np.float32)
+        for i, row in enumerate(rows.column("x")):
+            x[i] = np.frombuffer(row.as_buffer(), np.float16)
+        label = np.array([label_of[p] for p in rows.column("pattern").to_pylist()], np.float32)
+        weights, bias = fit(x, label)
+        return pa.table({"weights": pa.array([weights], pa.list_(pa.float64())), "bias": pa.array([bias])})
+
+    sample = _sampled(docs, text, sample_docs).mapInArrow(featured, "h long, pattern int, x binary")
+    scorer = sample.groupBy(F.lit(0).alias("all")).applyInArrow(fitted, "weights array<double>, bias double").first()
+    return Scorer(np.array(scorer["weights"]), scorer["bias"], table)
 
 
 def quality_score(docs: DataFrame, scorer: Scorer | None) -> Column:

@@ -10,7 +10,9 @@ ranges (then fraction ranges), are numbered inside a range, and the ranges' size
 summed up.
 
 Defined results: a NULL source is a source of its own; a NULL text has no bytes; rows
-with equal identifier and text are interchangeable; fewer rows than shards leave shards
+with equal identifier and text are interchangeable, and where they are many (more than one
+row in RANGES) their hash also depends on their place in the input, which spreads them over
+the ranges; texts of any length count by their bytes; fewer rows than shards leave shards
 empty; extra columns are carried along.
 """
 
@@ -46,6 +48,17 @@ def _numbered(rows: DataFrame, within: Sequence[str], order: Sequence[Column | s
     return numbered.withColumn(name, F.col("_before") + F.col("_inside")).drop("_inside", "_before")
 
 
+def _spread(hashed: DataFrame) -> DataFrame:
+    """``hashed``, already written, with hashes of their own for rows whose ``_hash`` more than one row in RANGES has."""
+    many = hashed.count() // RANGES
+    # At most RANGES hashes.
+    frequent = hashed.groupBy("_hash").count().where((F.col("count") > F.lit(many)) & (F.col("count") > 1))
+    frequent = frequent.select("_hash", F.lit(True).alias("_frequent"))
+    own = F.xxhash64("_hash", F.monotonically_increasing_id())
+    marked = hashed.withColumn("_own", own).join(F.broadcast(frequent), "_hash", "left")
+    return marked.withColumn("_hash", F.when(F.col("_frequent"), F.col("_own")).otherwise(F.col("_hash"))).drop("_own", "_frequent")
+
+
 def interleave(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, identifier: str = "doc_id",
                stratum: str = "source", content: Sequence[str] = ()) -> DataFrame:
     """``rows`` with ``shard`` (0 to shards - 1) and ``slot`` (from 0, without gaps).
@@ -60,8 +73,8 @@ def interleave(rows: DataFrame, shards: int = SHARDS, seed: int = SEED, identifi
         F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_row"),
         source.alias("_source"),
         F.xxhash64(F.lit(seed), identifier, *content).alias("_hash"),
-    ).withColumn("_range", F.pmod(F.shiftright("_hash", 32), F.lit(RANGES)))
-    hashed = cut_lineage(hashed)
+    )
+    hashed = _spread(cut_lineage(hashed)).withColumn("_range", F.pmod(F.shiftright("_hash", 32), F.lit(RANGES)))
     ties = [F.col("_hash"), *[F.col("_row").getField(c) for c in (identifier, *content)]]
     ranked = _numbered(hashed, ["_source"], ties, "_rank")
     shift = F.pmod(F.xxhash64(F.lit(seed), "_source"), F.lit(1 << 20)) / F.lit(float(1 << 20))

@@ -18,12 +18,13 @@ def byte_lengths(texts: pa.Array) -> np.ndarray:
     return pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
-def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges (first, after last) whose texts stay together under the limit."""
+def slices(texts: pa.Array, limit: int = SLICE_BYTES, rows: int | None = None) -> Iterator[tuple[int, int]]:
+    """Row ranges (first, after last) whose texts stay together under the limit, of so many rows at most."""
     ends = np.cumsum(byte_lengths(texts))
     start, done = 0, 0
     while start < len(texts):
         stop = max(start + 1, int(np.searchsorted(ends, done + limit, side="right")))
+        stop = stop if rows is None else min(stop, start + rows)
         yield start, stop
         start, done = stop, int(ends[stop - 1])
 
@@ -121,9 +122,13 @@ class Words:
 
     ``in_word`` and ``folded`` are tables of 256: whether a byte belongs to a word, and
     the byte it counts as. ``first`` has the offsets (n + 1) of each text's words.
+
+    Without ``seed`` a hash is a polynomial in the bytes, which texts made for it can defeat.
+    With one, drawn after the texts are fixed, every byte adds a number that depends on the
+    seed, the byte and its place in the word, so that no text is known to collide.
     """
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray, folded: np.ndarray):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, in_word: np.ndarray, folded: np.ndarray, seed: int | None = None):
         inside = in_word[data]
         border = np.zeros(len(data) + 1, bool)
         border[offsets] = True
@@ -133,12 +138,25 @@ class Words:
         self.end = np.flatnonzero(inside & (~after | border[1:])) + 1
         self.first = np.searchsorted(self.start, offsets)
         self.text = np.repeat(np.arange(len(offsets) - 1), np.diff(self.first))
+        if seed is not None:
+            self.hash = self._seeded(folded[data[inside]], seed)
+            return
         _grow_powers(len(data) + 1)
         weighted = (folded[data].astype(np.uint64) + np.uint64(1)) * _powers[: len(data)]
         running = np.concatenate([np.zeros(1, np.uint64), np.cumsum(weighted, dtype=np.uint64)])
         own = (running[self.end] - running[self.start]) * _inverse_powers[self.start]
         self.hash = mixed(own + (self.end - self.start).astype(np.uint64))
 
+    def _seeded(self, word_bytes: np.ndarray, seed: int) -> np.ndarray:
+        size = self.end - self.start
+        if not len(size):
+            return np.zeros(0, np.uint64)
+        first = np.concatenate([[0], np.cumsum(size)[:-1]])
+        place = np.arange(len(word_bytes)) - np.repeat(first, size)
+        asked = (place.astype(np.uint64) << np.uint64(8)) | word_bytes
+        added = mixed(mixed(asked + np.uint64(seed & (2**64 - 1))) ^ np.uint64(seed >> 64 & (2**64 - 1)))
+        return mixed(np.add.reduceat(added, first) + size.astype(np.uint64))
+
     def grams(self, k: int) -> np.ndarray:
         """Hash of the k words from every word on; the last k - 1 of all have none and are cut."""
         n = max(0, len(self.hash) - k + 1)
