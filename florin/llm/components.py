@@ -73,7 +73,7 @@ def connected_components(links: DataFrame) -> DataFrame:
     A link to itself, u = v, makes no node. The driver sees a count and a checksum per
     round; a round halves the distances at least. What one task can hold needs no round.
     """
-    edges = cut_lineage(links.where("u <> v").select("u", "v").mapInArrow(_joined_in_task, "u long, v long"))
+    edges = cut_lineage(links.where("u <> v").select("u", "v"))
     before = None
     while True:
         state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()

@@ -235,7 +235,7 @@ def train(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -
     def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
-            for start, stop in slices(texts, 1 << 18):
+            for start, stop in slices(texts, 1 << 18, rows=256):
                 data, offsets = flat(texts[start:stop])
                 x = features(data, offsets).astype(np.float16)
                 pattern = pattern_of(votes(measures(data, offsets)))
@@ -249,11 +249,11 @@ def train(docs: DataFrame, text: str = "text", sample_docs: int = SAMPLE_DOCS) -
                 )
 
     def fitted(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("h")
-        x = np.empty((rows.num_rows, SLOTS), np.float32)
-        for i, row in enumerate(rows.column("x")):
-            x[i] = np.frombuffer(row.as_buffer(), np.float16)
-        label = np.array([label_of[p] for p in rows.column("pattern").to_pylist()], np.float32)
+        order = np.argsort(rows.column("h").to_numpy())
+        x, packed = np.empty((rows.num_rows, SLOTS), np.float32), rows.column("x")
+        for i, at in enumerate(order.tolist()):
+            x[i] = np.frombuffer(packed[at].as_buffer(), np.float16)
+        label = np.array([label_of[p] for p in rows.column("pattern").to_numpy()[order].tolist()], np.float32)
         weights, bias = fit(x, label)
         return pa.table({"weights": pa.array([weights], pa.list_(pa.float64())), "bias": pa.array([bias])})
 

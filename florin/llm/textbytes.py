@@ -117,6 +117,15 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(32))
 
 
+PLACES = 32  # whose numbers are drawn once for all words
+
+
+def _drawn(asked: np.ndarray, seed: int) -> np.ndarray:
+    """A 64-bit number for each, from a seed of 128 bits."""
+    one, two = np.uint64(seed & (2**64 - 1)), np.uint64(seed >> 64 & (2**64 - 1))
+    return mixed(mixed(asked.astype(np.uint64) + one) ^ two)
+
+
 class Words:
     """The words of many texts: where each starts and ends, its text, and a 64-bit hash of its bytes.
 
@@ -153,8 +162,14 @@ class Words:
             return np.zeros(0, np.uint64)
         first = np.concatenate([[0], np.cumsum(size)[:-1]])
         place = np.arange(len(word_bytes)) - np.repeat(first, size)
-        asked = (place.astype(np.uint64) << np.uint64(8)) | word_bytes
-        added = mixed(mixed(asked + np.uint64(seed & (2**64 - 1))) ^ np.uint64(seed >> 64 & (2**64 - 1)))
+        near = place < PLACES
+        far = np.flatnonzero(~near)
+        beyond = _drawn(place[far] * 256 + word_bytes[far], seed)
+        place *= near
+        place *= 256
+        place += word_bytes
+        added = _drawn(np.arange(PLACES * 256), seed)[place]
+        added[far] = beyond
         return mixed(np.add.reduceat(added, first) + size.astype(np.uint64))
 
     def grams(self, k: int) -> np.ndarray:

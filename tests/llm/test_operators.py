@@ -241,4 +241,4 @@ def test_pipeline_stages(spark, documents, make_documents):
 
 
 def test_every_operator_is_registered():
-    assert {int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")} == set(range(1, 11)) and "pipeline" in QUERIES
+    assert {int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")} == set(range(1, 14)) and "pipeline" in QUERIES
