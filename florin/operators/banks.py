@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from florin import params
 from florin.functions.amounts import FACT, amount, convert, line
+from florin.operators import losses
 from florin.operators.facts import entry, one_of, pivoted, tagged
 from florin.operators.report_dates import BANK_T0, BANK_T1, PREVIOUS, REPORT, ReportSpan, on_dates
 
@@ -29,7 +30,7 @@ def scan_bank_balances(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFr
     return rows.withColumn("cut", F.when(F.col("cut") == BANK_T0, "t0").otherwise("t1"))
 
 
-def balance_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+def balance_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows: bool = False) -> DataFrame:
     """(report_date, cut, metric, amount): final balance per account group, and clearing of USD accounts."""
     account = F.col("numero_cuenta")
     held = F.col("nombre_titular_cuenta") == params.HOLDER
@@ -42,14 +43,15 @@ def balance_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     rows = scan_bank_balances(span, src).select(
         "report_date", "cut", "saldo_bancario_final", "saldo_en_canje", group.alias("group"), usd.alias("usd")
     )
-    return tagged(
-        rows.where(F.col("group").isNotNull()),
-        [
-            entry(F.col("group"), amount("saldo_bancario_final")),
-            entry(F.concat("usd", F.lit("_clearing")), amount("saldo_en_canje")),
-        ],
-        keep=("report_date", "cut"),
-    )
+    entries = [
+        entry(F.col("group"), amount("saldo_bancario_final")),
+        entry(F.concat("usd", F.lit("_clearing")), amount("saldo_en_canje")),
+    ]
+    no_group = F.col("group").isNull()
+    if count_rows:
+        entries += losses.counted("bank_balances", F.col("saldo_bancario_final").isNull())
+        entries.append(losses.unmatched("bank_balances", no_group))
+    return tagged(rows if count_rows else rows.where(~no_group), entries, keep=("report_date", "cut"))
 
 
 def net_of_clearing(group: str, prefix: str = "") -> str:
@@ -101,11 +103,12 @@ def available_expressions(cut: str) -> dict[str, str]:
     }
 
 
-def report_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+def report_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows: bool = False) -> DataFrame:
     """Balance facts with the cut as metric prefix, for the whole-report aggregate."""
-    return balance_facts(span, src).select(
-        "report_date", F.concat_ws("_", "cut", "metric").alias("metric"), "amount"
-    )
+    metric = F.concat_ws("_", "cut", "metric")
+    if count_rows:
+        metric = F.when(F.col("metric").isin(losses.METRICS), F.col("metric")).otherwise(metric)
+    return balance_facts(span, src, count_rows).select("report_date", metric.alias("metric"), "amount")
 
 
 REPORT_METRICS = [f"{cut}_{metric}" for cut in CUT_NAMES for metric in BALANCE_METRICS]

@@ -9,7 +9,21 @@ from pyspark.sql import functions as F
 
 from florin import params
 from florin.functions.amounts import amount
-from florin.operators.facts import compact, entry, of_window, one_of, per_report_date, tagged
+from florin.operators import losses
+from florin.operators.facts import (
+    TRANSFER,
+    compact,
+    count_by,
+    entry,
+    held,
+    matched,
+    matched_entry,
+    of_window,
+    one_of,
+    per_report_date,
+    tagged,
+    times_n,
+)
 from florin.operators.report_dates import REPORT, ReportSpan, on_dates
 
 SLOT_METRICS = [f"{kind}_{i}" for kind in ("ret", "dep", "dev") for i in range(len(params.DEPOSIT_SLOTS))]
@@ -37,23 +51,50 @@ def _used_accounts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     return of_window(src["accounts"], "clave_codificada", transactions, "clave_cuenta_padre")
 
 
-def _with_channel(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
-    transactions = on_dates(src["transactions"], "fecha_valor", span, [REPORT])
-    channels = src["channels"].select(F.col("clave_codificada").alias("_channel"), F.col("nombre").alias("canal"))
-    return transactions.join(channels, F.col("clave_canal") == F.col("_channel")).drop("_channel", "clave_canal", "cut")
+def _channel_names(src: Mapping[str, DataFrame]) -> DataFrame:
+    return src["channels"].select(F.col("clave_codificada").alias("_channel"), F.col("nombre").alias("canal"))
+
+
+def _with_channel(span: ReportSpan, src: Mapping[str, DataFrame], how: str = "inner") -> DataFrame:
+    """(account, report date, channel name, value, time slots, n): transactions, equal ones counted where that helps.
+
+    A short list of channels is held and broadcast. With a longer one the rows are counted per
+    account, channel and value first, so that no raw row is shuffled by its channel.
+    """
+    second = F.hour("fecha_hora_valor") * 3600 + F.minute("fecha_hora_valor") * 60 + F.second("fecha_hora_valor")
+    rows = on_dates(src["transactions"], "fecha_valor", span, [REPORT]).select(
+        "clave_cuenta_padre",
+        "report_date",
+        "clave_canal",
+        amount("monto").alias("value"),
+        F.col("fecha_hora_valor").isNull().alias("timeless"),
+        _slot("ret", second, params.WITHDRAWAL_SLOTS).alias("ret"),
+        _slot("dep", second, params.DEPOSIT_SLOTS).alias("dep"),
+        _slot("dev", second, params.DEPOSIT_SLOTS).alias("dev"),
+    )
+    names = held(_channel_names(src))
+    if names is None:
+        names = _channel_names(src)
+        rows = count_by(rows, *rows.columns)
+    else:
+        rows = rows.withColumn("n", F.lit(1))
+    return rows.join(names, F.col("clave_canal") == F.col("_channel"), how)
 
 
 def scan_channel_transactions(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Row-level transactions with channel name and account id."""
     latest = latest_accounts(_used_accounts(span, src)).drop("version")
-    rows = _with_channel(span, src)
+    names = held(_channel_names(src))
+    rows = on_dates(src["transactions"], "fecha_valor", span, [REPORT])
+    rows = rows.join(_channel_names(src) if names is None else names, F.col("clave_canal") == F.col("_channel"))
+    rows = rows.drop("_channel", "clave_canal", "cut")
     return rows.join(latest, rows["clave_cuenta_padre"] == latest["clave_codificada"]).drop("clave_codificada")
 
 
 def scan_totals(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Rows and amount of ``scan_channel_transactions`` per date and channel."""
     per_account = _with_channel(span, src).groupBy("clave_cuenta_padre", "report_date", "canal").agg(
-        F.count(F.lit(1)).alias("n_rows"), F.sum(amount("monto")).alias("amount")
+        F.sum("n").alias("n_rows"), F.sum(times_n("value")).alias("amount")
     )
     keys = _used_accounts(span, src).select(F.col("clave_codificada").alias("clave_cuenta_padre")).distinct()
     return per_account.join(keys, "clave_cuenta_padre").groupBy("report_date", "canal").agg(
@@ -73,19 +114,20 @@ def _slot(prefix: str, second_of_day: Column, slots: list[tuple[str, str]]) -> C
     )
 
 
-def channel_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+def channel_facts(
+    span: ReportSpan, src: Mapping[str, DataFrame], transfers: bool = False, count_rows: bool = False
+) -> DataFrame:
     """Slot totals, transfer totals, and credit/confirming totals.
 
     Transactions are summed per account before the account join; which account
-    is the credit or the confirming one is only known after it.
+    is the credit or the confirming one is only known after it. With ``transfers`` the
+    same pass gives the distinct amounts (match_amount) of transfers on these two.
     """
-    channel, at = F.col("canal"), F.col("fecha_hora_valor")
-    value = amount("monto")
-    second = F.hour(at) * 3600 + F.minute(at) * 60 + F.second(at)
+    channel, value, n = F.col("canal"), F.col("value"), F.col("n")
     metric = (
-        F.when(channel == params.ACH_WITHDRAWAL, _slot("ret", second, params.WITHDRAWAL_SLOTS))
-        .when(channel == params.ACH_DEPOSIT, _slot("dep", second, params.DEPOSIT_SLOTS))
-        .when(channel == params.ACH_RETURN, _slot("dev", second, params.DEPOSIT_SLOTS))
+        F.when(channel == params.ACH_WITHDRAWAL, F.col("ret"))
+        .when(channel == params.ACH_DEPOSIT, F.col("dep"))
+        .when(channel == params.ACH_RETURN, F.col("dev"))
         .when(channel == params.TRANSFER_DEBIT, "debit_sebra")
         .when(channel == params.TRANSFER_CREDIT, "credit_sebra")
         .when(channel == params.TRANSFER_DEBIT_RETURN, "debit_returns_sebra")
@@ -100,40 +142,51 @@ def channel_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     by_account = F.when(
         ~channel.isin(params.EXCLUDED_CHANNELS), F.when(value >= 0, "account_in").when(value < 0, "account_out")
     )
-    facts = tagged(
-        _with_channel(span, src),
-        [entry(metric, metric_value), entry(by_account, value)],
-        keep=("clave_cuenta_padre", "report_date"),
+    entries = [matched_entry(metric, metric_value * n), matched_entry(by_account, value * n)]
+    if transfers:
+        is_transfer = channel.isin(params.TRANSFER_CHANNELS) & value.isNotNull()
+        entries.append(matched_entry(F.when(is_transfer, TRANSFER), F.lit(0), F.when(is_transfer, value)))
+    if count_rows:
+        known = F.col("_channel").isNotNull()
+        entries += [matched_entry(F.when(known, READ_TRANSACTIONS).otherwise(LOST_TRANSACTIONS), n)]
+        malformed = losses.name(losses.MALFORMED, "transactions")
+        entries += [matched_entry(F.when(value.isNull() | F.col("timeless"), malformed), n)]
+    rows = _with_channel(span, src, "left" if count_rows else "inner")
+    facts = matched(rows, entries, keep=("clave_cuenta_padre", "report_date"))
+    latest = latest_accounts(_used_accounts(span, src)).select(
+        F.col("clave_codificada").alias("clave_cuenta_padre"), "id", F.lit(True).alias("is_known")
     )
-    latest = latest_accounts(_used_accounts(span, src)).select(F.col("clave_codificada").alias("clave_cuenta_padre"), "id")
-    known = compact(facts, "clave_cuenta_padre").join(latest, "clave_cuenta_padre")
+    per_account = compact(facts, "clave_cuenta_padre", "match_amount")
+    joined = per_account.join(latest, "clave_cuenta_padre", "left" if count_rows else "inner")
     owner = F.when(F.col("id") == params.CREDIT_ACCOUNT, "credit").when(
         F.col("id") == params.CONFIRMING_ACCOUNT, "confirming"
     )
     final = (
         F.when(F.col("metric") == "account_in", F.concat(owner, F.lit("_income")))
         .when(F.col("metric") == "account_out", F.concat(owner, F.lit("_negative")))
+        .when(F.col("metric") == TRANSFER, F.when(owner.isNotNull(), TRANSFER))
         .otherwise(F.col("metric"))
     )
-    return tagged(known, [entry(final, F.col("amount"))])
+    if not count_rows:
+        return tagged(joined, [entry(final, F.col("amount"))], keep=("report_date", "match_amount"))
+    name, summed = F.col("metric"), F.col("amount")
+    # Rows without a channel give counts only; their account does not matter.
+    row_count = F.when(name.isin(READ_TRANSACTIONS, LOST_TRANSACTIONS), READ_TRANSACTIONS)
+    row_count = row_count.when(name == losses.name(losses.MALFORMED, "transactions"), name)
+    lost = (name == LOST_TRANSACTIONS) | ((name == READ_TRANSACTIONS) & F.col("is_known").isNull())
+    first = F.coalesce(row_count, F.when(F.col("is_known"), final))
+    entries = [entry(first, summed), losses.unmatched("transactions", lost, summed)]
+    return tagged(joined, entries, keep=("report_date", "match_amount"))
+
+
+READ_TRANSACTIONS = losses.name(losses.READ, "transactions")
+LOST_TRANSACTIONS = "lost_transactions"
 
 
 def credit_amounts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Distinct (report_date, amount) of transfers on the credit and confirming accounts."""
-    transfers = (
-        _with_channel(span, src)
-        .where(F.col("canal").isin(params.TRANSFER_CHANNELS))
-        .select("clave_cuenta_padre", "report_date", amount("monto").alias("amount"))
-        .distinct()
-    )
-    own = latest_accounts(_used_accounts(span, src)).where(
-        F.col("id").isin(params.CREDIT_ACCOUNT, params.CONFIRMING_ACCOUNT)
-    )
-    return (
-        transfers.join(own, transfers["clave_cuenta_padre"] == own["clave_codificada"], "left_semi")
-        .select("report_date", "amount")
-        .distinct()
-    )
+    found = channel_facts(span, src, transfers=True).where(F.col("metric") == TRANSFER)
+    return found.select("report_date", F.col("match_amount").alias("amount")).distinct()
 
 
 def ach_time_slots(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from florin import params
 from florin.functions.amounts import AMOUNT, FACT, amount
-from florin.operators.facts import compact, count_by, entry, per_report_date, tagged, times_n
+from florin.operators import losses
+from florin.operators.facts import compact, count_by, entry, held, per_report_date, tagged, times_n
 from florin.operators.report_dates import PREVIOUS, REPORT, STATEMENTS, ReportSpan, on_dates, read_dates
 
 STATEMENT_METRICS = ["cop_in", "cop_out", "usd_in", "usd_out"]
@@ -19,7 +20,14 @@ BALANCE_METRICS = ["balance_today", "balance_prev", "balance_today_n", "balance_
 def own_accounts(src: Mapping[str, DataFrame]) -> DataFrame:
     """Active accounts of the holder by statement account number, without leading zeros."""
     active = src["umbrella"].where((F.col("titular") == params.HOLDER) & (F.col("estado") == params.ACTIVE))
-    return count_by(active, F.regexp_replace("cuenta_bancaria", "^0+", "").alias("cuenta_bancaria"))
+    own = count_by(active, F.regexp_replace("cuenta_bancaria", "^0+", "").alias("cuenta_bancaria"))
+    return _small(own)
+
+
+def _small(dimension: DataFrame) -> DataFrame:
+    """Held where it is small; the other side of its joins is summed by the key either way."""
+    local = held(dimension)
+    return dimension if local is None else local
 
 
 def scan_bank_transactions(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
@@ -42,15 +50,21 @@ def scan_transaction_totals(span: ReportSpan, src: Mapping[str, DataFrame]) -> D
     )
 
 
-def statement_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+def statement_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows: bool = False) -> DataFrame:
     value = amount("monto")
     currency = F.when(F.col("moneda") == "COP", "cop").when(F.col("moneda") == "USD", "usd")
     metric = F.concat(currency, F.when(value >= 0, "_in").when(value < 0, "_out"))
     rows = on_dates(src["multicash"], "fecha_mvto", span, [STATEMENTS]).where(
         ~F.col("cuenta_bancaria").isin(params.STATEMENT_EXCLUDED_ACCOUNTS)
     )
-    facts = tagged(rows, [entry(metric, value)], keep=("cuenta_bancaria", "report_date"))
-    weighted = compact(facts, "cuenta_bancaria").join(own_accounts(src), "cuenta_bancaria")
+    entries = [entry(metric, value)]
+    if count_rows:
+        entries += losses.counted("multicash", value.isNull() | F.col("moneda").isNull())
+    summed = compact(tagged(rows, entries, keep=("cuenta_bancaria", "report_date")), "cuenta_bancaria")
+    if count_rows:
+        joined = summed.join(own_accounts(src), "cuenta_bancaria", "left")
+        return losses.through_join(joined, "multicash", F.col("n"))
+    weighted = summed.join(own_accounts(src), "cuenta_bancaria")
     return weighted.select("report_date", "metric", times_n())
 
 
@@ -64,7 +78,7 @@ def bank_transaction_totals(span: ReportSpan, src: Mapping[str, DataFrame]) -> D
 
 def _product_accounts(src: Mapping[str, DataFrame]) -> DataFrame:
     accepted = src["deposit_account"].where(F.col("id_producto").isin(params.DEPOSIT_PRODUCTS))
-    return count_by(accepted, F.col("id_cuenta_deposito").alias("id_cuenta"))
+    return _small(count_by(accepted, F.col("id_cuenta_deposito").alias("id_cuenta")))
 
 
 def _balance() -> Column:
@@ -79,17 +93,36 @@ def deposit_balance_by_date(span: ReportSpan, src: Mapping[str, DataFrame]) -> D
     return weighted.groupBy("fecha_saldo").agg(F.sum(times_n()).cast(FACT).alias("total_balance"))
 
 
-def balance_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
-    """Balance of the report date and of the day before; ``*_n`` tells whether a date has one."""
-    rows = on_dates(
-        deposit_balance_by_date(span, src), "fecha_saldo", span, [REPORT, PREVIOUS]
+def _balances_and_rows(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+    """``deposit_balance_by_date`` with the rows read, unmatched and malformed; no balance where none matches."""
+    rows = read_dates(src["balance"], "fecha_saldo", span, [REPORT, PREVIOUS])
+    per_account = rows.groupBy("id_cuenta", "fecha_saldo").agg(
+        F.sum(_balance()).alias("amount"), F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("total_balance").isNull()).alias("n_bad")
     )
-    name = F.when(F.col("cut") == REPORT, "balance_today").otherwise("balance_prev")
-    return tagged(
-        rows, [entry(name, F.col("total_balance")), entry(F.concat(name, F.lit("_n")), F.lit(1))]
+    joined = per_account.join(_product_accounts(src), "id_cuenta", "left")
+    return joined.groupBy("fecha_saldo").agg(
+        F.sum(times_n()).cast(FACT).alias("total_balance"),
+        F.sum("n_rows").alias("n_rows"),
+        F.sum(F.when(F.col("n").isNull(), F.col("n_rows"))).alias("n_lost"),
+        F.sum("n_bad").alias("n_bad"),
     )
 
 
+def balance_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows: bool = False) -> DataFrame:
+    """Balance of the report date and of the day before; ``*_n`` tells whether a date has one."""
+    by_date = _balances_and_rows(span, src) if count_rows else deposit_balance_by_date(span, src)
+    rows = on_dates(by_date, "fecha_saldo", span, [REPORT, PREVIOUS])
+    name = F.when(F.col("cut") == REPORT, "balance_today").otherwise("balance_prev")
+    if not count_rows:
+        return tagged(rows, [entry(name, F.col("total_balance")), entry(F.concat(name, F.lit("_n")), F.lit(1))])
+    name = F.when(F.col("total_balance").isNotNull(), name)
+    entries = [entry(name, F.col("total_balance")), entry(F.concat(name, F.lit("_n")), F.lit(1))]
+    entries.append(entry(losses.name(losses.READ, "balance"), F.col("n_rows")))
+    entries.append(entry(losses.name(losses.UNMATCHED, "balance"), F.col("n_lost")))
+    entries.append(entry(losses.name(losses.MALFORMED, "balance"), F.col("n_bad")))
+    return tagged(rows, entries)
+
+
 # Today's balance minus the previous one; zero unless both dates have a balance.
 VARIATION = (
     "CASE WHEN balance_today_n > 0 AND balance_prev_n > 0 THEN balance_today - balance_prev ELSE 0 END"

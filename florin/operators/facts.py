@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from florin.functions.amounts import FACT
+from florin.functions.amounts import AMOUNT, FACT
 from florin.operators.report_dates import ReportSpan
 
 
@@ -70,6 +70,23 @@ def of_window(history: DataFrame, key: str, window: DataFrame, window_key: str)
     return joined.select(*[history[c] for c in history.columns])
 
 
+# A list of so many rows and bytes at most is held as a local table and broadcast.
+HELD_ROWS = 100_000
+HELD_BYTES = 32 << 20
+
+
+def held(rows: DataFrame) -> DataFrame | None:
+    """``rows`` as a local table to broadcast, or None where they are more than HELD_ROWS or HELD_BYTES.
+
+    The size is found by reading one row more than may be held, not from statistics. Where
+    it is None, sum the other side by the join's key first: the result is the same.
+    """
+    table = rows.limit(HELD_ROWS + 1).toArrow()
+    if table.num_rows > HELD_ROWS or table.nbytes > HELD_BYTES:
+        return None
+    return F.broadcast(rows.sparkSession.createDataFrame(table, rows.schema))
+
+
 def one_of(cases: Mapping[str, Column]) -> Column:
     """Name of the first true predicate; NULL when none is true."""
     pairs = iter(cases.items())
@@ -80,11 +97,27 @@ def one_of(cases: Mapping[str, Column]) -> Column:
     return chosen
 
 
+# The metric of credit transfers, which only tell the amounts to net third-party movements of.
+TRANSFER = "transfer"
+
+
 def entry(metric: Column | str, amount: Column) -> Column:
     tag = F.lit(metric) if isinstance(metric, str) else metric
     return F.struct(tag.alias("metric"), amount.cast(FACT).alias("amount"))
 
 
+def matched_entry(metric: Column | str, amount: Column, match: Column | None = None) -> Column:
+    """An entry with ``match_amount``, the amount by which it is netted; NULL where it is not."""
+    own = F.lit(None) if match is None else match
+    return F.struct(entry(metric, amount).alias("fact"), own.cast(AMOUNT).alias("match_amount"))
+
+
+def matched(rows: DataFrame, entries: Sequence[Column], keep: Sequence[str] = ("report_date",)) -> DataFrame:
+    """``tagged`` for entries with a match_amount."""
+    facts = rows.select(*keep, F.inline(F.array(*entries)))
+    return facts.select(*keep, "fact.metric", "fact.amount", "match_amount").where(F.col("metric").isNotNull())
+
+
 def tagged(rows: DataFrame, entries: Sequence[Column], keep: Sequence[str] = ("report_date",)) -> DataFrame:
     """Facts of the rows: one per non-NULL metric among the entries."""
     if len(entries) == 1:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from florin import params
 from florin.functions.amounts import amount
+from florin.operators import losses
 from florin.operators.facts import compact, count_by, entry, of_window, per_report_date, tagged, times_n
 from florin.operators.report_dates import REPORT, ReportSpan, on_dates
 
@@ -110,7 +111,7 @@ def metric_names(same_day: Column) -> tuple[Column, Column]:
     return name, F.when(simultaneous & private, F.concat(F.lit("sim_priv_"), stance))
 
 
-def market_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+def market_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows: bool = False) -> DataFrame:
     """Facts of both variants: ``mm_*`` traded earlier, ``sd_*`` traded on the report date.
 
     A metric needs the settlement date and the control date to equal the report
@@ -121,12 +122,14 @@ def market_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     prefix = F.when(same_day, "sd_").when(~same_day, "mm_")
     first, second = metric_names(same_day)
     value = amount("valor_de_giro")
-    facts = tagged(
-        rows,
-        [entry(F.concat(prefix, first), value), entry(F.concat(prefix, second), value)],
-        keep=("consecutivo", "report_date"),
-    )
-    weighted = compact(facts, "consecutivo").join(operation_counts(span, src), ["consecutivo", "report_date"])
+    entries = [entry(F.concat(prefix, first), value), entry(F.concat(prefix, second), value)]
+    if count_rows:
+        entries += losses.counted("money_market", value.isNull())
+    summed = compact(tagged(rows, entries, keep=("consecutivo", "report_date")), "consecutivo")
+    if count_rows:
+        joined = summed.join(operation_counts(span, src), ["consecutivo", "report_date"], "left")
+        return losses.through_join(joined, "money_market", F.col("n"))
+    weighted = summed.join(operation_counts(span, src), ["consecutivo", "report_date"])
     return weighted.select("report_date", "metric", times_n())
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from florin import params
 from florin.functions.amounts import AMOUNT, FACT, amount
-from florin.operators.facts import count_by, entry, of_window, one_of, per_report_date, tagged, times_n
+from florin.operators import losses
+from florin.operators.facts import TRANSFER, count_by, entry, held, of_window, one_of, per_report_date, tagged, times_n
 from florin.operators.report_dates import MOVEMENTS, ReportSpan, on_dates
 
 VALUE_CONCEPTS = {
@@ -90,18 +91,23 @@ def summed_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFram
     except that a movement whose concept is, or can still become, the third-party
     one keeps its signed amount in ``match_amount``: those are netted by amount.
     """
-    third_codes = (
+    third_codes = held(
         src["homologation"]
         .where(F.col("concepto_cud") == params.THIRD_PARTY_CONCEPT)
         .select(F.col("codigo_contable").alias("third_code"))
         .distinct()
     )
     moves = on_dates(src["cc_movements"], "fecha", span, [MOVEMENTS])
-    moves = moves.join(third_codes, moves["concepto"] == third_codes["third_code"], "left")
+    if third_codes is None:
+        # Not known here: every given concept may be a third-party one.
+        may_be_given = F.col("concepto").isNotNull()
+    else:
+        moves = moves.join(third_codes, moves["concepto"] == third_codes["third_code"], "left")
+        may_be_given = F.col("third_code").isNotNull()
     value = amount("valor")
     has_yield = F.col("rendimiento").isNotNull()
     undecided = F.col("concepto").isNull() & F.col("operacion").isNotNull()
-    may_be_third = ~has_yield & (undecided | F.col("third_code").isNotNull())
+    may_be_third = ~has_yield & (undecided | may_be_given)
     rows = moves.select(
         "operacion",
         "report_date",
@@ -145,7 +151,9 @@ def summed_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFram
 def named_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """``summed_movements`` under their concept names; only third-party ones keep a match_amount."""
     summed = summed_movements(span, src)
-    named = summed.join(src["homologation"], summed["code"] == src["homologation"]["codigo_contable"], "left")
+    names = src["homologation"].select("codigo_contable", "concepto_cud")
+    local = held(names)
+    named = summed.join(names if local is None else local, F.col("code") == F.col("codigo_contable"), "left")
     name = concept_name(F.col("code"), F.col("concepto_cud"), F.col("has_yield"))
     return named.select(
         "report_date",
@@ -177,33 +185,49 @@ def unmapped_concepts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFra
     return rows.groupBy("concepto").agg(F.sum("n_rows").alias("n_rows"))
 
 
+def third_party_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows: bool = False) -> DataFrame:
+    """Concept totals, and third-party movements with the amount they are netted by; see ``netted``."""
+    name, sign, value = F.col("name"), F.col("sign"), F.col("amount")
+    way = F.when(sign > 0, "_in").when(sign < 0, "_out")
+    family = one_of({m: name.isin(c) for m, c in SIGNED_CONCEPTS.items()})
+    value_metric = one_of({m: name.isin(c) for m, c in VALUE_CONCEPTS.items()})
+    third = F.when(name == params.THIRD_PARTY_CONCEPT, F.concat(F.lit("third"), way))
+    entries = [entry(value_metric, value), entry(F.concat(family, way), value), entry(third, value)]
+    if count_rows:
+        n, unnamed = F.col("n_rows"), name.isNull() | name.startswith(params.UNMAPPED_PREFIX)
+        entries += [*losses.counted("cc_movements", sign.isNull(), n), losses.unmatched("cc_movements", unnamed, n)]
+    facts = tagged(named_movements(span, src), entries, keep=("report_date", "match_amount"))
+    return facts.withColumn("match_amount", F.col("match_amount").cast(AMOUNT))
+
+
+def netted(facts: DataFrame) -> DataFrame:
+    """``facts`` without third-party movements whose amount a credit transfer of the date has, and without transfers.
+
+    One row per date, amount and metric comes together, so that a list holds one row per
+    metric at most; nothing is read twice and no list of amounts is kept.
+    """
+    summed = facts.groupBy("report_date", "match_amount", "metric").agg(F.sum("amount").cast(FACT).alias("amount"))
+    by_amount = summed.groupBy("report_date", "match_amount").agg(F.collect_list(F.struct("metric", "amount")).alias("facts"))
+    credited = F.col("match_amount").isNotNull() & F.exists("facts", lambda f: f["metric"] == TRANSFER)
+    kept = F.filter("facts", lambda f: (f["metric"] != TRANSFER) & ~(credited & f["metric"].isin(THIRD_METRICS)))
+    return by_amount.select("report_date", F.inline(kept))
+
+
 def movement_facts(
     span: ReportSpan, src: Mapping[str, DataFrame], credits: DataFrame | None = None
 ) -> DataFrame:
     """Concept totals; with ``credits`` (report_date, amount) also the third-party
     movements whose amount is not among the credit transfers of the date."""
-    name, sign = F.col("name"), F.col("sign")
-    way = F.when(sign > 0, "_in").when(sign < 0, "_out")
-    family = one_of({m: name.isin(c) for m, c in SIGNED_CONCEPTS.items()})
-    value_metric = one_of({m: name.isin(c) for m, c in VALUE_CONCEPTS.items()})
-    entries = [entry(value_metric, F.col("amount")), entry(F.concat(family, way), F.col("amount"))]
-    rows = named_movements(span, src)
+    facts = third_party_facts(span, src)
     if credits is None:
-        return tagged(rows, entries)
-    third = F.when(name == params.THIRD_PARTY_CONCEPT, F.concat(F.lit("third"), way))
-    facts = tagged(rows, [*entries, entry(third, F.col("amount"))], keep=("report_date", "match_amount"))
-    summed = facts.groupBy("report_date", "metric", "match_amount").agg(F.sum("amount").cast(FACT).alias("amount"))
-    credited = credits.select(
-        F.col("report_date").alias("credit_date"), F.col("amount").cast(AMOUNT).alias("credit_amount")
-    )
-    netted = summed.join(
-        credited,
-        (F.col("report_date") == F.col("credit_date"))
-        & (F.col("match_amount").cast(AMOUNT) == F.col("credit_amount"))
-        & F.col("metric").isin(THIRD_METRICS),
-        "left_anti",
+        return facts.where(~F.col("metric").isin(THIRD_METRICS)).drop("match_amount")
+    transfers = credits.select(
+        "report_date",
+        F.lit(TRANSFER).alias("metric"),
+        F.lit(0).cast(FACT).alias("amount"),
+        F.col("amount").cast(AMOUNT).alias("match_amount"),
     )
-    return netted.select("report_date", "metric", "amount")
+    return netted(facts.unionByName(transfers))
 
 
 def unity_totals(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:

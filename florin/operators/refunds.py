@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from florin import params
 from florin.functions.amounts import FACT, drop_last_two, second_token_int
+from florin.operators import losses
 from florin.operators.facts import entry, per_report_date, tagged
 from florin.operators.report_dates import PREVIOUS, REPORT, ReportSpan, on_dates, read_dates
 
@@ -80,19 +81,39 @@ def matched_by_date(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame
     per_key = by_role.groupBy("fecha_consulta", "amount", *MATCH_KEYS).agg(
         F.sum("is_out").alias("n_out"), F.sum(1 - F.col("is_out")).alias("n_sent")
     )
-    matched = F.least("n_out", "n_sent") * F.col("amount")
-    return per_key.groupBy("fecha_consulta").agg(F.sum(matched).cast(FACT).alias("matched"))
+    pairs = F.least("n_out", "n_sent")
+    return per_key.groupBy("fecha_consulta").agg(
+        F.sum(pairs * F.col("amount")).cast(FACT).alias("matched"), F.sum(F.col("n_out") - pairs).alias("n_unmatched")
+    )
 
 
-def matched_refunds(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
-    """Matched amount of each report date's two days (today, yesterday), 0 where nothing matches."""
+def _matches_of_days(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+    """Matched amount of each report date's two days, and how many late refunds found no counterpart."""
     days = span.bridge.where(F.col("cut").isin(REPORT, PREVIOUS))
-    rows = days.join(matched_by_date(span, src), F.col("source_date") == F.col("fecha_consulta"), "left")
+    found = matched_by_date(span, src)
+    if span.is_held:
+        # One row per date of the bridge at most.
+        found = F.broadcast(found)
+    rows = days.join(found, F.col("source_date") == F.col("fecha_consulta"), "left")
     none = F.lit(0).cast(FACT)
-    return rows.select("report_date", _which_day().alias("which_day"), F.coalesce("matched", none).alias("matched"))
+    return rows.select(
+        "report_date", _which_day().alias("which_day"), F.coalesce("matched", none).alias("matched"), "n_unmatched"
+    )
 
 
-def refund_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+def matched_refunds(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+    """Matched amount of each report date's two days (today, yesterday), 0 where nothing matches."""
+    return _matches_of_days(span, src).drop("n_unmatched")
+
+
+def _malformed() -> Column:
+    """Refunds whose cycle or amount cannot be read."""
+    sent = F.col("transaction_type") == params.SENT_REFUND
+    unread = F.col("amount").isNull() | (_outgoing() & F.col("cycle").isNull())
+    return F.coalesce(_outgoing() | sent, F.lit(False)) & unread
+
+
+def refund_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows: bool = False) -> DataFrame:
     rows = parsed(scan_adapter(span, src))
     today = F.col("which_day") == "today"
     cycle_metric = F.when(
@@ -105,10 +126,12 @@ def refund_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     text = F.trim("reg6_valor_transaccion")
     paid = F.when(F.length(text) > 2, drop_last_two(text)).otherwise(F.lit(0).cast(FACT))
     adaptor = F.when(today & (originator == params.ORIGINATOR_ACCOUNT), "adaptor")
-    matched = matched_refunds(span, src).select(
-        "report_date", F.concat(F.lit("matched_"), "which_day").alias("metric"), F.col("matched").alias("amount")
-    )
-    return tagged(rows, [entry(cycle_metric, F.col("amount")), entry(adaptor, -paid)]).unionByName(matched)
+    entries = [entry(cycle_metric, F.col("amount")), entry(adaptor, -paid)]
+    of_day = [entry(F.concat(F.lit("matched_"), "which_day"), F.col("matched"))]
+    if count_rows:
+        entries += losses.counted("adapter", _malformed())
+        of_day.append(losses.unmatched("adapter", F.col("n_unmatched") > 0, F.col("n_unmatched")))
+    return tagged(rows, entries).unionByName(tagged(_matches_of_days(span, src), of_day))
 
 
 # Returns to send: late ones of yesterday still unmatched, today's early cycles, today's matches.

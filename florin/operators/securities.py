@@ -9,27 +9,28 @@ from pyspark.sql import functions as F
 
 from florin import params
 from florin.functions.amounts import FACT, amount
+from florin.operators import losses
 from florin.operators.facts import entry, of_window, per_report_date, tagged
 from florin.operators.report_dates import AGREED, PREVIOUS, REPORT, ReportSpan, on_dates
 
 ISSUANCE_METRICS = ["iss_repurchases", "iss_repurchases_n", "iss_cdt", "iss_cdt_n", "iss_bonds", "iss_bonds_n"]
 
 
-def renewal_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
-    rows = on_dates(src["renewals"], "fecha_operacion", span, [REPORT])
-    return tagged(rows, [entry("renewals", amount("total_renovacion"))])
+def renewal_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows: bool = False) -> DataFrame:
+    rows, value = on_dates(src["renewals"], "fecha_operacion", span, [REPORT]), amount("total_renovacion")
+    return tagged(rows, [entry("renewals", value), *(losses.counted("renewals", value.isNull()) if count_rows else [])])
 
 
 def cdt_renewals(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     return per_report_date(span, renewal_facts(span, src), ["renewals"])
 
 
-def derivative_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+def derivative_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows: bool = False) -> DataFrame:
     own = src["derivatives"].where(
         (F.col("descripcion") == params.HOLDER) & (F.col("tipo_cumplimiento") == params.DERIVATIVE_SETTLEMENT)
     )
-    rows = on_dates(own, "fecha_inicial", span, [PREVIOUS])
-    return tagged(rows, [entry("pnl", amount("utilidad"))])
+    rows, value = on_dates(own, "fecha_inicial", span, [PREVIOUS]), amount("utilidad")
+    return tagged(rows, [entry("pnl", value), *(losses.counted("derivatives", value.isNull()) if count_rows else [])])
 
 
 def derivatives_pnl(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:

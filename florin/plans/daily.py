@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from florin import params
 from florin.functions.amounts import FACT, convert, line, money, total
-from florin.operators import banks, channels, deposits, market, movements, refunds, securities
+from florin.operators import banks, channels, deposits, losses, market, movements, refunds, securities
 from florin.operators.facts import per_report_date
 from florin.operators.report_dates import ReportSpan
 
@@ -40,28 +40,38 @@ def available_metrics(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFra
     return per_report_date(span, facts, banks.REPORT_METRICS + banks.RATE_METRICS)
 
 
-def daily_metrics(span: ReportSpan, src: Mapping[str, DataFrame], as_of: date | None = None) -> DataFrame:
+def daily_metrics(
+    span: ReportSpan, src: Mapping[str, DataFrame], as_of: date | None = None, count_rows: bool = False
+) -> DataFrame:
     """One row per report date with every metric of every source.
 
-    ``as_of`` is the current day; a report date equal to it gets zero day inputs.
+    ``as_of`` is the current day; a report date equal to it gets zero day inputs. With
+    ``count_rows`` the metrics of ``losses`` are there, too, from the same aggregate.
     """
+    moved = movements.third_party_facts(span, src, count_rows)
+    booked = channels.channel_facts(span, src, transfers=True, count_rows=count_rows)
     facts = reduce(
         DataFrame.unionByName,
         [
-            banks.report_facts(span, src),
+            banks.report_facts(span, src, count_rows),
             banks.rate_facts(span, src),
-            market.market_facts(span, src),
-            movements.movement_facts(span, src, channels.credit_amounts(span, src)),
-            channels.channel_facts(span, src),
-            refunds.refund_facts(span, src),
-            deposits.statement_facts(span, src),
-            deposits.balance_facts(span, src),
-            securities.renewal_facts(span, src),
-            securities.derivative_facts(span, src),
+            market.market_facts(span, src, count_rows),
+            movements.netted(moved.unionByName(booked)),
+            refunds.refund_facts(span, src, count_rows),
+            deposits.statement_facts(span, src, count_rows),
+            deposits.balance_facts(span, src, count_rows),
+            securities.renewal_facts(span, src, count_rows),
+            securities.derivative_facts(span, src, count_rows),
             securities.issuance_facts(span, src),
         ],
     )
-    return without_day_inputs(per_report_date(span, facts, METRICS), as_of)
+    names = METRICS + losses.METRICS if count_rows else METRICS
+    return without_day_inputs(per_report_date(span, facts, names), as_of)
+
+
+def uncounted_rows(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+    """report_date, source, rows_read, unmatched, malformed of every report date."""
+    return losses.uncounted_rows(daily_metrics(span, src, count_rows=True))
 
 
 def without_day_inputs(metrics: DataFrame, as_of: date | None) -> DataFrame:
@@ -202,6 +212,7 @@ def statements(metrics: DataFrame) -> DataFrame:
         *[f"{cut}_{name}" for cut in CUTS for name in params.AVAILABLE_COLUMNS],
         *[f"{line(sql)} AS {_income(name)}" for name, sql in INCOME.items()],
         *[f"{line(sql)} AS {_expense(name)}" for name, sql in EXPENSE.items()],
+        *[m for m in losses.METRICS if m in metrics.columns],
     )
     totals = lines.selectExpr(
         "*",

@@ -10,7 +10,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from florin import params
-from florin.operators import refunds
+from florin.operators import losses, refunds
 from florin.operators.merge import upsert
 from florin.operators.report_dates import ReportSpan, window_span
 from florin.operators.transpose import Section, transposed, unpivoted
@@ -36,6 +36,7 @@ class Targets:
     summary: str
     report: str | None = None  # one CSV with a column per report date, for its readers
     long_report: str | None = None  # its lines by report date, for spans of any length
+    losses: str | None = None  # rows read, unmatched and malformed per report date and source
 
 
 def parse_report_date(text: str) -> date:
@@ -69,8 +70,12 @@ def transposed_report(span: ReportSpan, stated: DataFrame) -> DataFrame:
 def run_report(
     span: ReportSpan, src: Mapping[str, DataFrame], targets: Targets, as_of: date | None = None
 ) -> DataFrame:
-    """Compute the report once, upsert its tables, write the transposed report; returns the statements."""
-    stated = cut_lineage(daily.statements(daily.daily_metrics(span, src, as_of)))
+    """Compute the report once, upsert its tables, write the transposed report; returns the statements.
+
+    ``losses.uncounted_rows`` over what is returned says, per report date and source, how many
+    rows were read, unmatched and malformed; it reads the stored statements and no source again.
+    """
+    stated = cut_lineage(daily.statements(daily.daily_metrics(span, src, as_of, count_rows=True)))
     tables = [
         (daily.income_statement(stated), targets.income, params.MERGE_KEYS),
         (daily.expense_statement(stated), targets.expense, params.MERGE_KEYS),
@@ -79,6 +84,9 @@ def run_report(
     ]
     for table, target, keys in tables:
         upsert(daily.stamped(table), target, keys, params.PARTITION_KEYS)
+    if targets.losses:
+        lost = losses.uncounted_rows(stated).withColumnRenamed("report_date", "fecha_reporte")
+        upsert(daily.stamped(lost), targets.losses, [*params.MERGE_KEYS, "source"], params.PARTITION_KEYS)
     if targets.report:
         # 68 lines, whatever the size of the sources.
         ordered = transposed_report(span, stated).orderBy("section_no", "line_no")

@@ -12,7 +12,7 @@ from florin import params
 from florin.functions import calendar
 from florin.functions.amounts import amount
 from florin.operators import banks, channels, deposits, market, movements, refunds, securities
-from florin.operators.facts import per_report_date
+from florin.operators.facts import TRANSFER, per_report_date
 from florin.operators.merge import merge_by_keys, read_partitioned, schema_sync, upsert_partitioned
 from florin.operators.report_dates import ReportSpan, business_day_span, window_span
 from florin.plans import daily, job
@@ -164,7 +164,8 @@ def rates(span: ReportSpan, src: Sources) -> DataFrame:
 
 
 def sebra_net_movements(span: ReportSpan, src: Sources) -> DataFrame:
-    facts = movements.movement_facts(span, src, channels.credit_amounts(span, src))
+    transfers = channels.channel_facts(span, src, transfers=True).where(F.col("metric") == TRANSFER)
+    facts = movements.netted(movements.third_party_facts(span, src).unionByName(transfers))
     wide = per_report_date(span, facts, movements.THIRD_METRICS)
     return wide.select("report_date", F.col("third_in").alias("sebra_in"), F.col("third_out").alias("sebra_out"))
 
@@ -263,6 +264,7 @@ QUERIES: dict[str, Query] = {
     "cash_summary": _over_window(lambda span, src: daily.cash_summary(_statements(span, src))),
     "cash_summary_backfill": cash_summary_backfill,
     "report_transpose": _over_window(lambda span, src: job.transposed_report(span, _statements(span, src))),
+    "uncounted_rows": _over_window(daily.uncounted_rows),
     "schema_sync_union": _over_window(schema_sync_union),
     "upsert_merge_result": _over_window(upsert_merge_result),
     "upsert_partitioned": _over_window(upsert_written),

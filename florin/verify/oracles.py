@@ -715,6 +715,64 @@ _MERGED = """
 """
 _MERGE_SQL = _query(f"WITH {BALANCES}, {RATES}, {AVAILABLE}, unioned AS ({_UNION}) {_MERGED}", "bank_balances", "trm")
 
+# --- rows that were not counted -------------------------------------------------------------
+
+_GROUPED = " OR ".join(
+    [f"numero_cuenta IN ({a})" for a in CENTRAL.values()]
+    + [f"(numero_cuenta IN ({a}) AND {_OWN})" for a in (*COMMERCIAL.values(), *USD.values())]
+)
+_SAME_KEYS = " AND ".join(f"s.{k} = o.{k}" for k in ("report_date", "which_day", "k1", "k2", "k3", "k4", "k5", "k6", "amount"))
+_ALL_KEYS = " AND ".join(f"o.{k} IS NOT NULL" for k in ("k1", "k2", "k3", "k4", "k5", "k6", "amount"))
+
+
+def _lost(source: str, rows: str, unmatched: str, malformed: str) -> str:
+    return (
+        f"SELECT report_date, '{source}' AS source, COUNT(*) AS rows_read, COUNT(*) FILTER ({unmatched}) AS unmatched, "
+        f"COUNT(*) FILTER ({malformed}) AS malformed FROM ({rows}) GROUP BY report_date"
+    )
+
+
+UNCOUNTED = f"""
+    {MOVES}, {REFUND_ROWS}, {MATCHED},
+    lost AS (
+      {_lost("bank_balances", "SELECT * FROM rd r CROSS JOIN (VALUES ('t0'), ('t1')) AS c(cut) JOIN bank_balances b "
+             "ON b.fecha_movimiento = CASE c.cut WHEN 't0' THEN r.bank_t0 ELSE r.bank_t1 END",
+             f"NOT COALESCE({_GROUPED}, FALSE)", "saldo_bancario_final IS NULL")}
+      UNION ALL {_lost("money_market", "SELECT r.report_date, m.*, EXISTS (SELECT 1 FROM unity_operations o WHERE o.consecutivo = m.consecutivo "
+             "AND o.fecha_cuadre = r.report_date) AS is_known FROM rd r JOIN money_market m ON m.fecha_cumplimiento = r.report_date "
+             "WHERE m.tipo_operacion IN ('C', 'V')", "NOT is_known", "valor_de_giro IS NULL")}
+      UNION ALL {_lost("cc_movements", "SELECT * FROM named",
+             "concepto IS NULL OR starts_with(concepto, 'Falta Homologación: ')", "valor IS NULL")}
+      UNION ALL {_lost("multicash", "SELECT r.report_date, m.*, EXISTS (SELECT 1 FROM umbrella u WHERE u.titular = 'HOLDER SA' "
+             "AND u.estado = 'ACTIVA' AND regexp_replace(u.cuenta_bancaria, '^0+', '') = m.cuenta_bancaria) AS is_own "
+             "FROM rd r JOIN multicash m ON m.fecha_mvto BETWEEN r.tx_from AND r.tx_to "
+             "WHERE NOT m.cuenta_bancaria IN ('62015991', '62015990', '64011480')", "NOT is_own", "monto IS NULL OR moneda IS NULL")}
+      UNION ALL {_lost("transactions", "SELECT r.report_date, t.*, c.clave_codificada AS channel, EXISTS (SELECT 1 FROM accounts a "
+             "WHERE a.clave_codificada = t.clave_cuenta_padre) AS is_known FROM rd r JOIN transactions t ON t.fecha_valor = r.report_date "
+             "LEFT JOIN channels c ON c.clave_codificada = t.clave_canal", "channel IS NULL OR NOT is_known",
+             "monto IS NULL OR fecha_hora_valor IS NULL")}
+      UNION ALL {_lost("balance", "SELECT r.report_date, b.*, EXISTS (SELECT 1 FROM deposit_account d WHERE d.id_producto IN ('P1', 'P2', 'P3') "
+             "AND d.id_cuenta_deposito = b.id_cuenta) AS is_known FROM rd r JOIN balance b ON b.fecha_saldo IN (r.report_date, r.prev_bd)",
+             "NOT is_known", "total_balance IS NULL")}
+      UNION ALL {_lost("renewals", "SELECT * FROM rd r JOIN renewals n ON n.fecha_operacion = r.report_date", "FALSE", "total_renovacion IS NULL")}
+      UNION ALL {_lost("derivatives", "SELECT * FROM rd r JOIN derivatives v ON v.fecha_inicial = r.prev_bd "
+             "WHERE v.descripcion = 'HOLDER SA' AND v.tipo_cumplimiento = 'F'", "FALSE", "utilidad IS NULL")}
+      UNION ALL
+      SELECT x.report_date, 'adapter', x.n, COALESCE(y.n, 0), x.bad FROM (
+        SELECT report_date, COUNT(*) AS n, COUNT(*) FILTER (COALESCE(({_OUT}) OR transaction_type = '_ach_dev_enviada', FALSE)
+          AND (amount IS NULL OR (({_OUT}) AND cycle IS NULL))) AS bad FROM refund_rows GROUP BY report_date) x
+      LEFT JOIN (
+        SELECT o.report_date, SUM(o.n - LEAST(o.n, COALESCE(s.n, 0))) AS n
+        FROM out_groups o LEFT JOIN sent_groups s ON {_SAME_KEYS} WHERE {_ALL_KEYS} GROUP BY o.report_date) y
+      ON y.report_date = x.report_date),
+    every AS (
+      SELECT report_date, unnest(['bank_balances', 'money_market', 'cc_movements', 'multicash', 'transactions', 'balance', 'adapter',
+        'renewals', 'derivatives']) AS source FROM rd)
+    SELECT e.report_date, e.source, COALESCE(CAST(rows_read AS BIGINT), 0) AS rows_read,
+      COALESCE(CAST(unmatched AS BIGINT), 0) AS unmatched, COALESCE(CAST(malformed AS BIGINT), 0) AS malformed
+    FROM every e LEFT JOIN lost l ON l.report_date = e.report_date AND l.source = e.source
+"""
+
 ORACLES: dict[str, str] = {
     "business_calendar": _query(
         f"""WITH {_calendar(1993, 2003)}
@@ -941,6 +999,11 @@ ORACLES: dict[str, str] = {
         f"WITH {REFUND_ROWS}, {MATCHED}, {REFUNDS} SELECT report_date, {out('adaptor')} AS credit_adaptor_outcome FROM refunds",
         "adapter",
     ),
+    "uncounted_rows": _query(
+        f"WITH {UNCOUNTED}",
+        "bank_balances", "money_market", "unity_operations", "cc_movements", "homologation", "multicash", "umbrella",
+        "transactions", "channels", "accounts", "balance", "deposit_account", "adapter", "renewals", "derivatives",
+    ),
     "sebra_net_movements": _query(
         f"WITH {MOVES}, {TX}, {NET} SELECT report_date, {outs('sebra_in', 'sebra_out')} FROM net",
         "cc_movements",

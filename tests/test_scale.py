@@ -37,7 +37,7 @@ def test_no_query_multiplies_rows_or_leaves_the_jvm(spark, name):
 
 
 def test_no_unhinted_source_is_broadcast_when_statistics_say_it_is_large(spark):
-    """With the size check failing, only the bounded date bridge is still broadcast."""
+    """With Spark's size check failing, the bounded date bridge, what belongs to its dates, and held lists are still broadcast."""
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         span = window_span(spark, date(2024, 1, 12))
@@ -45,16 +45,17 @@ def test_no_unhinted_source_is_broadcast_when_statistics_say_it_is_large(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     joins = [line for line in plan.splitlines() if "BroadcastHashJoin" in line]
-    assert joins and all("source_date" in line or "agreed_on" in line for line in joins)
+    bounded = ("source_date", "agreed_on", "_channel", "third_code", "codigo_contable", "cuenta_bancaria", "id_cuenta")
+    assert joins and all(any(name in line for name in bounded) for line in joins)
     assert "SortMergeJoin" in plan
 
 
 def test_report_reads_each_source_once(spark):
-    """Eighteen sources; operations, transactions, accounts and the adapter feed two joins each."""
+    """Lists are read before the plan; unity operations and the adapter feed two joins each."""
     span = window_span(spark, date(2024, 1, 12))
     src = sample_sources(spark, SF_DIR)
     plan = plan_of(daily.statements(daily.daily_metrics(span, src)))
-    assert plan.count("FileScan parquet") <= 19
+    assert plan.count("FileScan parquet") <= 16
 
 
 def test_plan_does_not_grow_with_the_number_of_dates(spark):
@@ -403,3 +404,52 @@ def test_scattered_report_dates_read_their_own_partitions_only(spark, tmp_path,
     assert re.search(r"PartitionFilters: \[\S", plan_of(read)) and "PartitionFilters: []" not in plan_of(read)
     totals = securities.cdt_renewals(span, from_paths(spark, str(tmp_path)))
     assert totals.count() == len(days) and totals.where("renewals >= 2").count() == len(days)
+
+
+def test_report_has_few_exchanges_without_broadcasts_by_size(spark):
+    """Small lists are held, transactions and accounts feed one pass, whatever the statistics say."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        span = window_span(spark, date(2024, 1, 12))
+        plan = plan_of(daily.cash_summary(daily.statements(daily.daily_metrics(span, sample_sources(spark, SF_DIR)))))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") <= 25
+    # Their columns in the sample tables: the time of a transaction, the last change of an account.
+    for column in ("ts", "o_orderdate"):
+        assert len(re.findall(rf"FileScan parquet \[[^\]]*\b{column}#\d+", plan)) <= {"ts": 4, "o_orderdate": 1}[column]
+
+
+RAW_KEYS = r"Exchange hashpartitioning\((clave_canal|concepto)#"
+
+
+@pytest.mark.parametrize("held_rows", [100_000, 0])
+@pytest.mark.parametrize("build", [channels.ach_time_slots, channels.scan_totals, movements.unity_totals, movements.concept_derivation])
+def test_raw_rows_are_not_shuffled_by_a_small_list(spark, monkeypatch, build, held_rows):
+    """A list is broadcast when a look at it shows its size; rows are counted or summed before a longer one meets them."""
+    src, span = sample_sources(spark, SF_DIR), window_span(spark, date(2024, 1, 12))
+    expected = sorted(map(repr, build(span, src).collect()))
+    monkeypatch.setattr(facts, "HELD_ROWS", held_rows)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        result = build(span, src)
+        lines = plan_of(result).splitlines()
+        assert sorted(map(repr, result.collect())) == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    for i, line in enumerate(lines):
+        if re.search(RAW_KEYS, line):
+            assert "HashAggregate" in next(x for x in lines[i + 1 :] if re.search("HashAggregate|FileScan", x))
+    assert held_rows == 0 or not re.search(RAW_KEYS, "\n".join(lines))
+
+
+def test_lists_are_held_by_rows_and_bytes(spark, monkeypatch):
+    rows = spark.createDataFrame([(1, "a"), (None, None)], "k long, v string")
+    local = facts.held(rows)
+    assert sorted(map(tuple, local.collect()), key=str) == sorted(map(tuple, rows.collect()), key=str) and local.schema == rows.schema
+    assert facts.held(rows.limit(0)).collect() == []
+    monkeypatch.setattr(facts, "HELD_ROWS", 1)
+    assert facts.held(rows) is None
+    monkeypatch.setattr(facts, "HELD_ROWS", 10)
+    monkeypatch.setattr(facts, "HELD_BYTES", 1)
+    assert facts.held(rows) is None
