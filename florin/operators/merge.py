@@ -1,8 +1,9 @@
 """Keyed merge into partitioned tables without a table format.
 
-With a table format that supports ``MERGE INTO`` the catalog does this. On plain
-parquet, only the partitions the batch touches are read and rewritten, through
-dynamic partition overwrite.
+With a table format that supports ``MERGE INTO`` the catalog does this. Of tables of plain
+files, only the partitions the batch touches are read and rewritten: a catalog table's
+beside the old ones, to which the catalog then points, a folder's through dynamic
+partition overwrite.
 """
 
 from __future__ import annotations
@@ -11,12 +12,13 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 from operator import and_
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from florin.session import cut_lineage
+from florin.session import cut_lineage, folders, remove
 
 
 def schema_sync(current: DataFrame, batch: DataFrame) -> DataFrame:
@@ -87,7 +89,7 @@ def upsert_partitioned(
     not atomic: a driver lost while it commits can leave a partition without its old rows.
     """
     result = checked = cut_lineage(unique_by(batch, keys))
-    current = _existing(batch.sparkSession, path)
+    current = existing(batch.sparkSession, path)
     if current is not None:
         # Stored before the overwrite: the rows survive in the checkpoint if the commit fails.
         result = cut_lineage(merge_by_keys(affected_partitions(current, checked, partition_keys), checked, keys))
@@ -101,10 +103,12 @@ def upsert_partitioned(
     )
 
 
-def _existing(spark: SparkSession, path: str) -> DataFrame | None:
+def existing(spark: SparkSession, target: str) -> DataFrame | None:
     """The table, or None where there is none yet or a first write left no data."""
+    if not is_path(target):
+        return spark.table(target) if spark.catalog.tableExists(target) else None
     try:
-        return read_partitioned(spark, path)
+        return read_partitioned(spark, target)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -128,7 +132,8 @@ def upsert_table(batch: DataFrame, table: str, keys: Sequence[str], partition_ke
     """Create the catalog table, or add the batch's new columns and merge the batch into it.
 
     A table whose format takes row-level changes gets ``MERGE INTO``. Tables of plain files
-    get the touched partitions rewritten, as ``upsert_partitioned`` does.
+    get the touched partitions written to a new folder, to which the catalog then points;
+    see ``replace_partitions``.
     """
     spark = batch.sparkSession
     if not spark.catalog.tableExists(table):
@@ -147,6 +152,9 @@ def upsert_table(batch: DataFrame, table: str, keys: Sequence[str], partition_ke
     current = spark.table(table)
     result = cut_lineage(merge_by_keys(affected_partitions(current, checked, partition_keys), checked, keys))
     ordered = result.hint("rebalance", *partition_keys).select(*[f"`{c}`" for c in current.columns])
+    if holds_partitions(spark, table, partition_keys):
+        replace_partitions(ordered, table, partition_keys)
+        return
     before = spark.conf.get(OVERWRITE_MODE)
     spark.conf.set(OVERWRITE_MODE, "dynamic")
     try:
@@ -155,7 +163,74 @@ def upsert_table(batch: DataFrame, table: str, keys: Sequence[str], partition_ke
         spark.conf.set(OVERWRITE_MODE, before)
 
 
+VERSIONS = "_versions"  # a hidden folder of the table: readers of its files do not look into it
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
+def described(spark: SparkSession, table: str) -> dict[str, str]:
+    """Provider, location and the like of a catalog table."""
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()}
+
+
+def holds_partitions(spark: SparkSession, table: str, partition_keys: Sequence[str]) -> bool:
+    """Whether the catalog holds where each partition of a table of plain files lies, by these keys."""
+    if table_format(spark, table) not in SELF_DESCRIBING:
+        return False
+    columns = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    return columns == list(partition_keys) and described(spark, table).get("Partition Provider") == "Catalog"
+
+
+def _partition_spec(folder: str, partition_keys: Sequence[str]) -> str:
+    """SQL of the partition whose files a folder ``.../key=value/...`` holds."""
+    parts = (unquote(p).split("=", 1) for p in folder.rstrip("/").split("/")[-len(partition_keys) :])
+    return ", ".join(f"`{k}` = " + ("NULL" if v == NO_VALUE else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'") for k, v in parts)
+
+
+def point_partition(spark: SparkSession, table: str, spec: str, folder: str) -> None:
+    """Make the catalog read a partition from a folder: one change, seen wholly or not at all."""
+    place = folder.replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{place}'")
+    spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{place}'")
+
+
+def replace_partitions(rows: DataFrame, table: str, partition_keys: Sequence[str]) -> None:
+    """Replace the partitions that ``rows`` has, each as a whole.
+
+    All files are written to a new folder first; then the catalog is pointed to it, partition by
+    partition. A run that ends before leaves every old row readable, one that ends in between
+    has some partitions new and the others old, and running it again completes it. Replaced
+    files stay for readers under way, until ``remove_replaced``.
+    """
+    spark = rows.sparkSession
+    facts = described(spark, table)
+    folder = f"{facts['Location'].rstrip('/')}/{VERSIONS}/{uuid.uuid4().hex}"
+    kind = table_format(spark, table)
+    rows.write.format(kind).partitionBy(*partition_keys).save(folder)
+    files = spark.read.format(kind).load(folder).inputFiles()
+    for place in sorted({f.rsplit("/", 1)[0] for f in files}):
+        # Names of folders are encoded twice in the list of files: as partition values and as addresses.
+        place = unquote(place)
+        point_partition(spark, table, _partition_spec(place, partition_keys), place)
+    spark.catalog.refreshTable(table)
+
+
+def remove_replaced(spark: SparkSession, table: str) -> int:
+    """Delete the written partitions to which the catalog points no more; returns how many went."""
+    root = f"{described(spark, table)['Location'].rstrip('/')}/{VERSIONS}"
+    depth = sum(c.isPartition for c in spark.catalog.listColumns(table))
+    files = (unquote(f) for f in spark.table(table).inputFiles())
+    used = {f.split(f"/{VERSIONS}/", 1)[1].rsplit("/", 1)[0] for f in files if f"/{VERSIONS}/" in f}
+    places = folders(spark, root)
+    for _ in range(depth):
+        places = [f"{place}/{name}" for place in places for name in folders(spark, f"{root}/{place}")]
+    gone = [place for place in places if place not in used]
+    for place in gone:
+        remove(spark, f"{root}/{place}")
+    return len(gone)
+
+
 OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+SELF_DESCRIBING = {"parquet", "orc", "json"}  # files that name their columns
 PLAIN_FORMATS = {"parquet", "orc", "csv", "json", "hive"}
 
 

@@ -12,6 +12,7 @@ from florin.functions.amounts import FACT, drop_last_two, second_token_int
 from florin.operators import losses
 from florin.operators.facts import entry, per_report_date, tagged
 from florin.operators.report_dates import PREVIOUS, REPORT, ReportSpan, on_dates, read_dates
+from florin.sources.catalog import Sources
 
 CYCLES = list(range(1, params.CYCLES + 1))
 METRICS = [f"cud_{i}" for i in CYCLES] + ["late_yesterday", "matched_today", "matched_yesterday", "adaptor"]
@@ -34,8 +35,19 @@ def scan_adapter(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def latest_date(src: Mapping[str, DataFrame]) -> DataFrame:
-    """The date taken as today when no report date is given."""
-    return src["adapter"].agg(F.max("fecha_consulta").alias("latest"))
+    """The date taken as today when no report date is given.
+
+    Where the catalog lists the adapter's partitions by date, only the newest one that is
+    not empty is read; else the column of the whole table.
+    """
+    rows = src["adapter"]
+    days = src.partition_days("adapter", "fecha_consulta") if isinstance(src, Sources) else None
+    for day in reversed(days or []):
+        of_day = rows.where(F.col("fecha_consulta") == F.lit(day))
+        if not of_day.isEmpty():
+            rows = of_day
+            break
+    return rows.agg(F.max("fecha_consulta").alias("latest"))
 
 
 def parsed(rows: DataFrame) -> DataFrame:

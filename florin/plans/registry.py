@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping
 from datetime import date
 
@@ -14,10 +15,12 @@ from florin.functions.amounts import amount
 from florin.operators import banks, channels, deposits, market, movements, refunds, securities
 from florin.operators.facts import TRANSFER, per_report_date
 from florin.operators.merge import merge_by_keys, read_partitioned, schema_sync, upsert_partitioned
+from florin.operators.newest import maintain_newest
 from florin.operators.report_dates import ReportSpan, business_day_span, window_span
 from florin.plans import daily, job
+from florin.plans.incremental import run_incremental, statements_of
 from florin.session import fresh_path
-from florin.sources.catalog import Sources
+from florin.sources.catalog import CONTRACTS, Sources, from_frames, from_tables
 from florin.sources.samples import sample_sources
 
 REPORT_DATE = date(2024, 1, 12)
@@ -207,6 +210,36 @@ def cash_summary_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.cash_summary(_statements(business_day_span(spark, *BACKFILL), sample_sources(spark, sf_dir)))
 
 
+def latest_account_maintained(src: Sources) -> DataFrame:
+    """The newest version of every account, merged from changes in batches, late ones and a repeated one among them."""
+    path = fresh_path(src.spark, "newest-accounts")
+    changes = src["accounts"].withColumn("_batch", F.year("fecha_ultima_modificacion") % 3)
+    for batch in (F.col("_batch") == 2, F.col("_batch") == 0, (F.col("_batch") == 1) | F.col("_batch").isNull(), F.col("_batch") == 0):
+        maintain_newest(changes.where(batch).drop("_batch"), path, buckets=8)
+    return channels.latest_accounts(read_partitioned(src.spark, path))
+
+
+def adapter_latest_partition(src: Sources) -> DataFrame:
+    """The latest adapter date, from the catalog's list of partitions."""
+    table = f"florin_adapter_{uuid.uuid4().hex}"
+    rows = src["adapter"].where(F.col("fecha_consulta").isNotNull())
+    files = fresh_path(src.spark, "adapter")
+    rows.hint("rebalance", "fecha_consulta").write.partitionBy("fecha_consulta").option("path", files).saveAsTable(table)
+    return refunds.latest_date(from_tables(src.spark, {"adapter": table}))
+
+
+def cash_summary_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The month's summary by two runs: one before some rows came, and one that computes what they concern."""
+    src, span = sample_sources(spark, sf_dir), business_day_span(spark, *BACKFILL)
+    late = {"transactions": ("fecha_valor", "2024-01-17"), "balance": ("fecha_saldo", "2024-01-23"), "adapter": ("fecha_consulta", "2024-01-30")}
+    early = {name: src[name] for name in CONTRACTS}
+    early |= {name: src[name].where(f"NOT {day} <=> DATE '{on}'") for name, (day, on) in late.items()}
+    folder = fresh_path(spark, "statements")
+    run_incremental(span, from_frames(spark, early), folder)
+    run_incremental(span, src, folder)
+    return daily.cash_summary(statements_of(span, folder))
+
+
 QUERIES: dict[str, Query] = {
     "business_calendar": _over_sources(business_calendar),
     "business_window": _over_sources(business_window),
@@ -228,10 +261,12 @@ QUERIES: dict[str, Query] = {
     "trm_validity_join": _over_window(rates),
     "scan_repurchases": _over_window(securities.scan_totals),
     "latest_account_version": _over_sources(lambda src: channels.latest_accounts(src["accounts"])),
+    "latest_account_maintained": _over_sources(latest_account_maintained),
     "scan_channel_transactions": _over_window(channels.scan_totals),
     "deposit_balance_by_date": _over_window(deposits.deposit_balance_by_date),
     "scan_adapter": _over_window(scan_adapter),
     "adapter_latest_date": _over_sources(refunds.latest_date),
+    "adapter_latest_partition": _over_sources(adapter_latest_partition),
     "bank_account_balances": _over_window(banks.bank_account_balances),
     "available_funds_t0": _over_window(lambda span, src: daily.available_funds(_balances(span, src), "t0")),
     "available_funds_t1": _over_window(lambda span, src: daily.available_funds(_balances(span, src), "t1")),
@@ -263,6 +298,7 @@ QUERIES: dict[str, Query] = {
     "expense_statement": _over_window(lambda span, src: daily.expense_statement(_statements(span, src))),
     "cash_summary": _over_window(lambda span, src: daily.cash_summary(_statements(span, src))),
     "cash_summary_backfill": cash_summary_backfill,
+    "cash_summary_incremental": cash_summary_incremental,
     "report_transpose": _over_window(lambda span, src: job.transposed_report(span, _statements(span, src))),
     "uncounted_rows": _over_window(daily.uncounted_rows),
     "schema_sync_union": _over_window(schema_sync_union),

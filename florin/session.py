@@ -70,6 +70,13 @@ def remove(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none where it is missing."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    store = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in store.listStatus(hadoop) if s.isDirectory()] if store.exists(hadoop) else []
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses."""
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

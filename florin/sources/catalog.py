@@ -7,11 +7,15 @@ date column on a real cluster), or by any other DataFrames.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
+from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
-# Column -> kind. "measure" may be any numeric type, "key" any equi-joinable one.
+# Column -> kind. "measure" may be any numeric type, "key" a text, a date or a whole number.
 CONTRACTS: dict[str, dict[str, str]] = {
     "bank_balances": {
         "numero_cuenta": "string",
@@ -103,12 +107,56 @@ CONTRACTS: dict[str, dict[str, str]] = {
 }
 
 
+# Columns that are joined to each other: both texts, or both numbers.
+JOINED = [
+    (("money_market", "consecutivo"), ("unity_operations", "consecutivo")),
+    (("cc_movements", "operacion"), ("unity_operations", "consecutivo")),
+    (("operations_a", "id"), ("operations_b", "id_padre")),
+    (("transactions", "clave_cuenta_padre"), ("accounts", "clave_codificada")),
+    (("transactions", "clave_canal"), ("channels", "clave_codificada")),
+    (("balance", "id_cuenta"), ("deposit_account", "id_cuenta_deposito")),
+]
+_KEYS = (T.StringType, T.IntegralType, T.DecimalType, T.DateType)
+KINDS: dict[str, tuple[type, ...]] = {
+    "string": (T.StringType, T.CharType, T.VarcharType),
+    "measure": (T.NumericType,),
+    "date": (T.DateType,),
+    "timestamp": (T.TimestampType, T.TimestampNTZType),
+    "key": _KEYS,
+}
+
+
+def check_types(table: str, frame: DataFrame) -> None:
+    """Fail, before anything is planned, where a column is not of the kind its contract says."""
+    wrong = [
+        f"{c} is {frame.schema[c].dataType.simpleString()}, not a {kind}"
+        for c, kind in CONTRACTS[table].items()
+        if not isinstance(frame.schema[c].dataType, KINDS[kind])
+    ]
+    if wrong:
+        raise ValueError(f"source {table}: {'; '.join(wrong)}")
+
+
+def check_joined(frames: Mapping[str, DataFrame], table: str) -> None:
+    """Fail where a key of ``table`` and the one it is joined to are a text and a number."""
+
+    def family(at: tuple[str, str]) -> str:
+        kind = frames[at[0]].schema[at[1]].dataType
+        return "number" if isinstance(kind, T.NumericType) else kind.typeName()
+
+    for pair in JOINED:
+        if any(t == table for t, _ in pair) and all(t in frames for t, _ in pair) and family(pair[0]) != family(pair[1]):
+            (a, x), (b, y) = pair
+            raise ValueError(f"keys of two types: {a}.{x} is a {family(pair[0])}, {b}.{y} a {family(pair[1])}")
+
+
 class Sources(Mapping[str, DataFrame]):
     """Lazily read source tables, projected to their contract columns."""
 
-    def __init__(self, spark: SparkSession, read: Callable[[str], DataFrame]):
+    def __init__(self, spark: SparkSession, read: Callable[[str], DataFrame], tables: Mapping[str, str] | None = None):
         self.spark = spark
         self._read = read
+        self._tables = tables or {}
         self._frames: dict[str, DataFrame] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -118,9 +166,23 @@ class Sources(Mapping[str, DataFrame]):
             missing = [c for c in columns if c not in frame.columns]
             if missing:
                 raise ValueError(f"source {name} lacks columns {missing}")
+            check_types(name, frame)
             self._frames[name] = frame.select(*columns)
+            check_joined(self._frames, name)
         return self._frames[name]
 
+    def partition_days(self, name: str, column: str) -> list[date] | None:
+        """The dates that a catalog table has partitions of, by that column; None where the catalog holds none."""
+        table = self._tables.get(name)
+        if table is None or column not in [c.name for c in self.spark.catalog.listColumns(table) if c.isPartition]:
+            return None
+        try:
+            listed = self.spark.sql(f"SHOW PARTITIONS {table}").collect()
+        except AnalysisException:  # partitions that only the files tell
+            return None
+        values = (dict(p.split("=", 1) for p in row["partition"].split("/"))[column] for row in listed)
+        return sorted({date.fromisoformat(v) for v in values if re.fullmatch(r"\d{4}-\d{2}-\d{2}", v)})
+
     def __iter__(self):
         return iter(CONTRACTS)
 
@@ -130,7 +192,7 @@ class Sources(Mapping[str, DataFrame]):
 
 def from_tables(spark: SparkSession, tables: Mapping[str, str]) -> Sources:
     """Sources from catalog tables: logical name -> qualified table name."""
-    return Sources(spark, lambda name: spark.read.table(tables[name]))
+    return Sources(spark, lambda name: spark.read.table(tables[name]), tables)
 
 
 def from_paths(spark: SparkSession, root: str, fmt: str = "parquet") -> Sources:

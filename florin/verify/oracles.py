@@ -896,6 +896,7 @@ ORACLES: dict[str, str] = {
         "operations_b",
     ),
     "latest_account_version": _query(f"WITH {LATEST} SELECT clave_codificada, id, version FROM latest", "accounts", rd=None),
+    "latest_account_maintained": _query(f"WITH {LATEST} SELECT clave_codificada, id, version FROM latest", "accounts", rd=None),
     "scan_channel_transactions": _query(
         f"WITH {TX} SELECT report_date, canal, COUNT(*) AS n_rows, {out('SUM(monto)')} AS total FROM tx GROUP BY 1, 2",
         "transactions",
@@ -909,6 +910,7 @@ ORACLES: dict[str, str] = {
         f"WITH {REFUND_ROWS} SELECT report_date, which_day, COUNT(*) AS n_rows FROM refund_rows GROUP BY 1, 2", "adapter"
     ),
     "adapter_latest_date": _query("SELECT MAX(fecha_consulta) AS latest FROM adapter", "adapter", rd=None),
+    "adapter_latest_partition": _query("SELECT MAX(fecha_consulta) AS latest FROM adapter", "adapter", rd=None),
     "bank_account_balances": _query(
         f"WITH {BALANCES} SELECT report_date, cut, {outs(*CENTRAL, *COMMERCIAL, *USD)} FROM balances", "bank_balances"
     ),
@@ -1037,6 +1039,7 @@ ORACLES: dict[str, str] = {
     ),
     "cash_summary": _whole(_SUMMARY),
     "cash_summary_backfill": _whole(_SUMMARY, rd=RD_MONTH),
+    "cash_summary_incremental": _whole(_SUMMARY, rd=RD_MONTH),
     "report_transpose": _whole(_transposed()),
     "schema_sync_union": _query(
         f"WITH {BALANCES}, {RATES}, {AVAILABLE}, unioned AS ({_UNION}) SELECT * REPLACE "
