@@ -343,12 +343,13 @@ def rare_members(sets: DataFrame, labels: DataFrame) -> DataFrame:
         F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("names"),
         F.min("label").alias("a"),
         F.max("label").alias("b"),
+        F.min("node").alias("least"),
     )
-    blocks = alike.where("a < b").groupBy("size", "names").agg(F.min("token").alias("token"))
-    placed = cut_lineage(first.join(blocks.select("token", "size"), "token"))
+    blocks = alike.where("a < b").groupBy("size", "names").agg(F.min("token").alias("token"), F.min("least").alias("least"))
+    placed = cut_lineage(first.join(blocks.select("token", "size", "least"), "token"))
     # Blocks that overlap become one, so that a set moves once; very large ones stay apart.
-    stars = placed.join(placed.groupBy("token").agg(F.min("node").alias("v")), "token").select(F.col("node").alias("u"), "v")
-    joined = placed.join(connected_components(stars).withColumnRenamed("root", "whole"), "node")
+    stars = placed.select(F.col("node").alias("u"), F.col("least").alias("v"))
+    joined = placed.drop("least").join(connected_components(stars).withColumnRenamed("root", "whole"), "node")
     small = joined.groupBy("whole").agg(F.count_distinct("node").alias("sets")).where(f"sets <= {CHUNK}").select("whole")
     together = joined.join(small, "whole").select("node", "label", F.concat(F.lit("="), F.col("whole")).alias("block")).distinct()
     apart = joined.join(small, "whole", "left_anti").withColumn("parts", F.ceil(F.col("size") / CHUNK).cast("int"))
