@@ -161,10 +161,26 @@ def on_dates(source: DataFrame, day: str, span: ReportSpan, cuts: Iterable[str])
     gives every row its report dates.
     """
     bridge = span.bridge_for(cuts)
-    return source.where(span.reads(day, cuts)).join(bridge, F.col(day) == bridge["source_date"]).drop("source_date")
+    return _read(source, day, span, cuts).join(bridge, F.col(day) == bridge["source_date"]).drop("source_date")
 
 
 def read_dates(source: DataFrame, day: str, span: ReportSpan, cuts: Iterable[str]) -> DataFrame:
     """Source rows that some report date reads, each once and without the report date."""
+    if not span.is_held:
+        return _read(source, day, span, cuts)
     bridge = span.bridge_for(cuts)
     return source.where(span.reads(day, cuts)).join(bridge, F.col(day) == bridge["source_date"], "left_semi")
+
+
+def _read(source: DataFrame, day: str, span: ReportSpan, cuts: Iterable[str]) -> DataFrame:
+    """Source rows of the dates that the cuts read.
+
+    Where the bridge is not held, its distinct dates are broadcast instead, a row per day of
+    the span and its surroundings at most: they prune the partitions of the range when the
+    query runs, so that only those of the asked dates are read.
+    """
+    rows = source.where(span.reads(day, cuts))
+    if span.is_held:
+        return rows
+    asked = span.bridge.where(F.col("cut").isin(list(cuts))).select(F.col("source_date").alias("_asked")).distinct()
+    return rows.join(F.broadcast(asked), F.col(day) == F.col("_asked"), "left_semi")

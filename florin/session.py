@@ -20,6 +20,8 @@ def build_session(app: str = "florin", **confs: str) -> SparkSession:
         "spark.sql.parquet.datetimeRebaseModeInWrite": "CORRECTED",
         "spark.sql.parquet.datetimeRebaseModeInRead": "CORRECTED",
         "spark.ui.enabled": "false",
+        # A checkpoint goes when nothing refers to its frame any more.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # The whole report generates more classes than the default cache holds.
         "spark.sql.codegen.cache.maxEntries": "2000",
         # Call-site capture on every column expression is only useful while debugging.

@@ -453,3 +453,36 @@ def test_lists_are_held_by_rows_and_bytes(spark, monkeypatch):
     monkeypatch.setattr(facts, "HELD_ROWS", 10)
     monkeypatch.setattr(facts, "HELD_BYTES", 1)
     assert facts.held(rows) is None
+
+
+def test_dates_beyond_the_held_bridge_prune_partitions_at_run_time(spark, monkeypatch, tmp_path):
+    """The lazy bridge's distinct dates reach the partitions of the scan."""
+    from florin.operators import report_dates
+
+    rows = spark.range(0, 400).selectExpr("CAST(1 AS DOUBLE) AS total_renovacion", "date_add(DATE '2023-06-01', CAST(id AS INT)) AS fecha_operacion")
+    rows.coalesce(1).write.partitionBy("fecha_operacion").parquet(str(tmp_path / "renewals"))
+    days = [date(2023, 7, 3), date(2024, 1, 10), date(2024, 5, 20)]
+    monkeypatch.setattr(report_dates, "MAX_HELD_ROWS", 10)
+    span, src = listed_span(spark, days), from_paths(spark, str(tmp_path))
+    assert not span.is_held
+    result = securities.cdt_renewals(span, src)
+    assert "dynamicpruning" in plan_of(result)
+    assert sorted((r.report_date, float(r.renewals)) for r in result.collect()) == [(d, 1.0) for d in days]
+    scan = report_dates.read_dates(src["renewals"], "fecha_operacion", span, ["report"])
+    assert scan.count() == 3
+    read = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if name.startswith(("ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage")):
+            return walk(node.plan())
+        if name.startswith("Scan parquet"):
+            read.append(node.metrics().apply("numPartitions").value())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    scan.collect()
+    walk(scan._jdf.queryExecution().executedPlan())
+    assert read == [3]
