@@ -30,6 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from florin.llm.columns import free_name
 from florin.llm.shipping import ship_package
 from florin.llm.textbytes import byte_set, flat, folded_ascii, slices
 
@@ -198,9 +199,10 @@ def find_notices(docs: DataFrame, notices: list[tuple[str, str]] = NOTICES) -> D
         )
         return pa.array(rows, pa.struct([("n_words", pa.int64()), ("notices", pa.list_(span))]))
 
-    found = scanned(F.col("text"))
-    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_words", "notices", "found")]
-    return docs.select(*rest, found.alias("found")).select(*rest, "found.n_words", "found.notices")
+    own = free_name(docs, "found")
+    rest = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in ("n_words", "notices")]
+    found = docs.select(*rest, scanned(F.col("text")).alias(own))
+    return found.select(*rest, f"{own}.n_words", f"{own}.notices")
 
 
 def license_scan(docs: DataFrame) -> DataFrame:

@@ -1,0 +1,107 @@
+"""Sharding, packing and the pipeline's stages against plain Python."""
+
+import random
+
+import pytest
+from plain import ODD, bench_words, components
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from conftest import SF_DIR
+from florin.llm import packing, sharding
+
+
+def plain_best_fit(sizes, sources, clusters, capacity, per_source):
+    """Every item looks at all bins: the tightest that holds it and has no conflict."""
+    bins, chosen = [], [0] * len(sizes)
+    for item in sorted(range(len(sizes)), key=lambda i: -sizes[i]):
+        fits = [
+            (capacity - sum(sizes[i] for i in held), number)
+            for number, held in enumerate(bins)
+            if sum(sizes[i] for i in held) + sizes[item] <= capacity
+            and (clusters[item] is None or all(clusters[i] != clusters[item] for i in held))
+            and (sources[item] is None or sum(sources[i] == sources[item] for i in held) < per_source)
+        ]
+        if fits:
+            number = min(fits)[1]
+        else:
+            number = len(bins)
+            bins.append([])
+        bins[number].append(item)
+        chosen[item] = number
+    return chosen
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_best_fit_by_looking_at_every_bin(seed):
+    rng = random.Random(seed)
+    n, capacity = 160, rng.choice([20, 100, 1000])
+    sizes = [rng.choice([0, 1, capacity, rng.randint(0, capacity), rng.randint(0, capacity // 5)]) for _ in range(n)]
+    sources = [rng.choice([None, "a", "a", "b", "c"]) for _ in range(n)]
+    clusters = [rng.choice([None, None, *range(rng.choice([3, 40]))]) for _ in range(n)]
+    per_source = rng.choice([1, 2, 5])
+    assert packing.best_fit(sizes, sources, clusters, capacity, per_source) == plain_best_fit(sizes, sources, clusters, capacity, per_source)
+
+
+def test_shards_by_plain_ranks(documents, make_documents):
+    frame = documents.unionByName(make_documents(ODD)).unionByName(make_documents([(70_000 + i, f"t{i}", None, "rare", 2) for i in range(3)]))
+    text = F.coalesce("text", F.lit(""))
+    crc, size = F.crc32(text.cast("binary")), (F.octet_length(text) + 16).cast("long")
+    key = F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))
+    rows = frame.select(
+        "doc_id", key.alias("source"), F.xxhash64(F.lit(sharding.SEED), "doc_id", crc, size).alias("h"),
+        F.pmod(F.xxhash64(F.lit(sharding.SEED), key), F.lit(1 << 20)).alias("shift"),
+    ).collect()
+    placed = []
+    for source in {r["source"] for r in rows}:
+        own = sorted((r for r in rows if r["source"] == source), key=lambda r: ((r["h"] >> 32) % sharding.RANGES, r["h"]))
+        placed += [((rank - r["shift"] / float(1 << 20)) / len(own), source, rank, r["doc_id"]) for rank, r in enumerate(own, 1)]
+    n, want = len(rows), {}
+    for place, (_, _, _, doc_id) in enumerate(sorted(placed)):
+        shard = place * sharding.SHARDS // n
+        want[doc_id] = (shard, place - -(-shard * n // sharding.SHARDS))
+    assert {r["doc_id"]: (r["shard"], r["slot"]) for r in sharding.sharding(frame).collect()} == want
+
+
+def plain_clean(rows, items):
+    """The rows that share no ten words in a row, or no whole shorter item, with an item."""
+    windows = set()
+    for text in items:
+        words = bench_words(text)
+        windows |= {tuple(words[i : i + 10]) for i in range(max(1, len(words) - 9))} if words else set()
+    sizes = {len(w) for w in windows}
+
+    def dirty(text):
+        words = bench_words(text)
+        return any(tuple(words[i : i + k]) in windows for k in sizes for i in range(len(words) - k + 1))
+
+    return {i for i, text in rows if not dirty(text)}
+
+
+def test_pipeline_stages_by_plain_forms(spark, documents, make_documents):
+    """Each stage on all that the stage before it kept."""
+    docs = documents.select(*corpus_pipeline.COLUMNS).unionByName(make_documents(ODD))
+    stages = dict(corpus_pipeline.STAGES)
+    good = stages["quality_classifier"](spark, docs, SF_DIR)
+    kept = [(r["doc_id"], r["text"]) for r in good.collect()]
+    assert {i for i, _ in kept} < {r["doc_id"] for r in docs.collect()}
+
+    single = stages["ngram_jaccard_join"](spark, good, SF_DIR)
+    rows = [(r["doc_id"], r["text"]) for r in single.collect()]
+    assert sorted(i for i, _ in rows) == sorted({least for _, least in components(kept).values()})
+    assert dict(rows).items() <= dict(kept).items()
+
+    clean = stages["benchmark_decontamination"](spark, single, SF_DIR)
+    items = [r["text"] for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    rest = {r["doc_id"]: r["text"] for r in clean.collect()}
+    assert set(rest) == plain_clean(rows, items) and rest.items() <= dict(rows).items()
+
+    masked = stages["personal_data"](spark, clean, SF_DIR)
+    after = {r["doc_id"]: r["text"] for r in masked.collect()}
+    assert set(after) == set(rest)
+
+    placed = stages["best_fit_packing"](spark, masked, SF_DIR).collect()
+    length = {}
+    for r in placed:
+        length[r["doc_id"]] = length.get(r["doc_id"], 0) + r["length"]
+    assert length == {i: len(t or "") for i, t in after.items()}

@@ -12,6 +12,7 @@ from florin.llm import (
     fingerprints,
     jaccard_join,
     language_id,
+    license_scan,
     packing,
     personal_data,
     quality,
@@ -24,7 +25,7 @@ from florin.llm import (
 CLASHES = [
     "h", "_h", "n", "k", "node", "spans", "_email", "_found", "_hash", "_range", "_source", "_rank", "_place", "_whole",
     "_total", "_fraction", "shard", "slot", "score", "lang_pred", "cluster", "size", "group", "found", "salt", "item_id",
-    "n_words", "place", "held_out", "host", "path", "rule", "verdict", "difference", "rule_verdict", "component_id", "label",
+    "n_words", "place", "held_out", "host", "path", "rule", "verdict", "difference", "rule_verdict", "component_id", "label", "notices", "found_", "base", "row",
 ]
 
 OVER_DOCUMENTS = {
@@ -36,6 +37,7 @@ OVER_DOCUMENTS = {
     "op7": token_counts.token_counts,
     "op9": sharding.sharding,
     "op10": quality.quality_classifier,
+    "op11": license_scan.license_scan,
 }
 
 
@@ -96,6 +98,7 @@ def test_general_forms_keep_clashing_columns(make_documents):
         (lambda d: language_id.identify(d, None), set(language_id.RESULT.names)),
         (lambda d: quality.accepted(d, 0.0), set()),
         (lambda d: jaccard_join.one_of_each(d), set()),
+        (lambda d: license_scan.find_notices(d), {"n_words", "notices"}),
     ):
         found = build(frame)
         rest = [c for c in CLASHES if c not in own]
