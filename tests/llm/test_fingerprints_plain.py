@@ -1,0 +1,87 @@
+"""Feature selection, filters and likeness of fingerprints, text by text and window by window."""
+
+import math
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+from plain import ODD
+
+from florin.llm import fingerprints as fp
+from florin.llm.textbytes import flat
+
+
+def plain_levels(data):
+    def share(c):
+        return round(c * math.log2(c) * (1 << 16))
+
+    whole = share(fp.WINDOW)
+    windows = (data[i : i + fp.WINDOW] for i in range(len(data) - fp.WINDOW + 1))
+    return [fp.LEVELS - sum(share(c) for c in Counter(w).values()) * fp.LEVELS // whole for w in windows]
+
+
+def plain_rank(counts):
+    order = sorted(range(fp.LEVELS + 1), key=lambda level: (counts[level], level))
+    rank = {level: place for place, level in enumerate(order)}
+    return [fp.LEVELS + 1 if level < fp.LEAST_LEVEL else rank[level] for level in range(fp.LEVELS + 1)]
+
+
+def plain_selected(data, rank):
+    """First bytes of the windows that win often enough among their neighbours."""
+    levels = plain_levels(data)
+    if not levels:
+        return []
+    stretches = max(1, len(levels) - fp.NEIGHBOURS + 1)
+    wins = Counter(min(range(i, min(i + fp.NEIGHBOURS, len(levels))), key=lambda p: (rank[levels[p]], p)) for i in range(stretches))
+    least = min(fp.POPULARITY, max(wins.values()))
+    return sorted(p for p, n in wins.items() if n >= least)
+
+
+def plain_likeness(a, b):
+    """Of chains as sets of bits."""
+    if not a or not b:
+        return 1.0 if len(a) == len(b) else 0.0
+    if len(a) > len(b):
+        a, b = b, a
+    total = 0.0
+    for x in a:
+        best = 0.0
+        for y in b:
+            most, chance = min(len(x), len(y)), len(x) * len(y) / fp.FILTER_BITS
+            border = chance + fp.CHANCE * (most - chance)
+            best = max(best, min(1.0, max(0.0, (len(x & y) - border) / max(most - border, 1e-9))))
+        total += best
+    return total / len(a)
+
+
+def bits_of(chain):
+    return [set(np.flatnonzero(np.unpackbits(row)).tolist()) for row in chain]
+
+
+def test_against_plain_windows(documents, make_documents):
+    frame = documents.where("length(text) < 2500").select("text").unionByName(make_documents(ODD).where("length(text) < 3500 OR text IS NULL").select("text"))
+    texts = [(r["text"] or "") for r in frame.collect()]
+    counts = Counter(level for t in texts for level in plain_levels(t.encode()))
+    found = fp.level_counts(frame)
+    assert {i: n for i, n in enumerate(found.tolist()) if n} == dict(counts)
+    rank = plain_rank(counts)
+    assert fp.rarity(found).tolist() == rank
+    data, offsets = flat(pa.array(texts, pa.large_string()))
+    owner, at = fp.selected_windows(data, offsets, np.array(rank))
+    chosen = {}
+    for i, p in zip(owner.tolist(), at.tolist(), strict=True):
+        chosen.setdefault(i, []).append(p - int(offsets[i]))
+    assert chosen == {i: s for i, t in enumerate(texts) if (s := plain_selected(t.encode(), rank))}
+
+    prints = fp.Fingerprints(data, offsets, np.array(rank))
+    for i, t in enumerate(texts):
+        raw = t.encode()
+        features = {raw[p : p + fp.WINDOW] for p in chosen.get(i, ())} or ({raw} if raw else set())
+        chain = prints.chain(i)
+        assert prints.features[i] == len(features) and len(chain) == -(-len(features) // fp.FILTER_FEATURES)
+        assert sum(map(len, bits_of(chain))) <= fp.HASHES * len(features)
+        assert (fp.read_fingerprint(prints.text(i)) == chain).all()
+    for i in range(0, len(texts) - 1, 3):
+        for j in (i, i + 1):
+            plain = plain_likeness(bits_of(prints.chain(i)), bits_of(prints.chain(j)))
+            assert abs(fp.likeness(prints.chain(i), prints.chain(j)) - plain) < 1e-9
