@@ -116,7 +116,7 @@ def with_calendar(df: DataFrame, day: str) -> DataFrame:
     )
 
 
-def with_report_dates(df: DataFrame, day: str) -> DataFrame:
+def with_report_dates(df: DataFrame, day: str, cutover: date = params.BANK_CUTOVER) -> DataFrame:
     """Add every date offset a report date needs: neighbours, bank dates, source intervals."""
     d = F.col(day)
     settles = F.array_contains("_settle", d)
@@ -129,8 +129,8 @@ def with_report_dates(df: DataFrame, day: str) -> DataFrame:
         *df.columns,
         "prev_bd",
         "next_bd",
-        bank_date(d, F.col("prev_bd")).alias("bank_t0"),
-        bank_date(F.col("next_bd"), d).alias("bank_t1"),
+        bank_date(d, F.col("prev_bd"), cutover).alias("bank_t0"),
+        bank_date(F.col("next_bd"), d, cutover).alias("bank_t1"),
         F.when(settles, F.date_add(before(F.col("_settle"), d), 1)).otherwise(d).alias("unity_from"),
         d.alias("unity_to"),
         d.alias("tx_from"),

@@ -7,23 +7,27 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from florin import params
 from florin.functions.amounts import FACT, amount, convert, line
 from florin.operators import losses
 from florin.operators.facts import entry, one_of, pivoted, tagged
 from florin.operators.report_dates import BANK_T0, BANK_T1, PREVIOUS, REPORT, ReportSpan, on_dates
+from florin.settings import DEFAULT, Settings
 
-CENTRAL = list(params.CENTRAL_BANK_ACCOUNTS)
-COMMERCIAL = list(params.COMMERCIAL_ACCOUNTS)
-USD = list(params.USD_ACCOUNTS)
-GROUPS = CENTRAL + COMMERCIAL + USD
-CLEARING = [f"{name}_clearing" for name in USD]
-BALANCE_METRICS = GROUPS + CLEARING
 RATE_METRICS = ["rate_t0", "rate_t1"]
 
 CUT_NAMES = {"t0": BANK_T0, "t1": BANK_T1}
 
 
+def balance_metrics(conf: Settings = DEFAULT) -> list[str]:
+    """The account groups, and the clearing of those in dollars."""
+    groups = [*conf.central_bank_accounts, *conf.commercial_accounts, *conf.usd_accounts]
+    return groups + [f"{name}_clearing" for name in conf.usd_accounts]
+
+
+def report_metrics(conf: Settings = DEFAULT) -> list[str]:
+    return [f"{cut}_{metric}" for cut in CUT_NAMES for metric in balance_metrics(conf)]
+
+
 def scan_bank_balances(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Balances on the bank dates of each report date; ``cut`` is t0 or t1."""
     rows = on_dates(src["bank_balances"], "fecha_movimiento", span, CUT_NAMES.values())
@@ -32,12 +36,12 @@ def scan_bank_balances(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFr
 
 def balance_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows: bool = False) -> DataFrame:
     """(report_date, cut, metric, amount): final balance per account group, and clearing of USD accounts."""
-    account = F.col("numero_cuenta")
-    held = F.col("nombre_titular_cuenta") == params.HOLDER
-    usd = one_of({g: account.isin(a) & held for g, a in params.USD_ACCOUNTS.items()})
+    conf, account = span.settings, F.col("numero_cuenta")
+    held = F.col("nombre_titular_cuenta") == conf.holder
+    usd = one_of({g: account.isin(a) & held for g, a in conf.usd_accounts.items()})
     group = F.coalesce(
-        one_of({g: account.isin(a) for g, a in params.CENTRAL_BANK_ACCOUNTS.items()}),
-        one_of({g: account.isin(a) & held for g, a in params.COMMERCIAL_ACCOUNTS.items()}),
+        one_of({g: account.isin(a) for g, a in conf.central_bank_accounts.items()}),
+        one_of({g: account.isin(a) & held for g, a in conf.commercial_accounts.items()}),
         usd,
     )
     rows = scan_bank_balances(span, src).select(
@@ -67,9 +71,14 @@ def bank_account_balances(span: ReportSpan, src: Mapping[str, DataFrame]) -> Dat
         F.lit(None).cast("string").alias("metric"),
         F.lit(None).cast(FACT).alias("amount"),
     )
-    wide = pivoted(balance_facts(span, src).unionByName(present), BALANCE_METRICS, "report_date", "cut")
+    conf = span.settings
+    wide = pivoted(balance_facts(span, src).unionByName(present), balance_metrics(conf), "report_date", "cut")
     return wide.selectExpr(
-        "report_date", "cut", *CENTRAL, *COMMERCIAL, *[f"CAST({net_of_clearing(g)} AS {FACT}) AS {g}" for g in USD]
+        "report_date",
+        "cut",
+        *conf.central_bank_accounts,
+        *conf.commercial_accounts,
+        *[f"CAST({net_of_clearing(g)} AS {FACT}) AS {g}" for g in conf.usd_accounts],
     )
 
 
@@ -91,14 +100,14 @@ def rate_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     return tagged(rows, [entry(F.when(F.col("cut") == PREVIOUS, "rate_t0").otherwise("rate_t1"), amount("valor"))])
 
 
-def available_expressions(cut: str) -> dict[str, str]:
+def available_expressions(cut: str, conf: Settings = DEFAULT) -> dict[str, str]:
     """SQL of the available-funds measures of one cut over the wide balances, unrounded."""
     prefix, rate = f"{cut}_", f"rate_{cut}"
-    net = " + ".join(net_of_clearing(g, prefix) for g in USD)
+    net = " + ".join(net_of_clearing(g, prefix) for g in conf.usd_accounts)
     return {
-        "banco_republica": line(" + ".join(prefix + g for g in CENTRAL)),
-        "bancos_comerciales": line(" + ".join(prefix + g for g in COMMERCIAL)),
-        "bancos_usd": convert(net, rate),
+        "banco_republica": line(" + ".join(prefix + g for g in conf.central_bank_accounts) or "0"),
+        "bancos_comerciales": line(" + ".join(prefix + g for g in conf.commercial_accounts) or "0"),
+        "bancos_usd": convert(net or "0", rate),
         "trm": line(rate),
     }
 
@@ -110,5 +119,3 @@ def report_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows: boo
         metric = F.when(F.col("metric").isin(losses.METRICS), F.col("metric")).otherwise(metric)
     return balance_facts(span, src, count_rows).select("report_date", metric.alias("metric"), "amount")
 
-
-REPORT_METRICS = [f"{cut}_{metric}" for cut in CUT_NAMES for metric in BALANCE_METRICS]

@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from florin import params
 from florin.functions.amounts import amount
 from florin.operators import losses
 from florin.operators.facts import (
@@ -25,11 +24,19 @@ from florin.operators.facts import (
     times_n,
 )
 from florin.operators.report_dates import REPORT, ReportSpan, on_dates
+from florin.settings import DEFAULT, Settings, Slots, seconds_of_day
 
-SLOT_METRICS = [f"{kind}_{i}" for kind in ("ret", "dep", "dev") for i in range(len(params.DEPOSIT_SLOTS))]
 TRANSFER_METRICS = ["debit_sebra", "credit_sebra", "debit_returns_sebra", "credit_returns_sebra"]
 CREDIT_METRICS = ["credit_income", "credit_negative", "deposit_cros", "confirming_income", "confirming_negative"]
-METRICS = SLOT_METRICS + TRANSFER_METRICS + CREDIT_METRICS
+
+
+def slot_metrics(conf: Settings = DEFAULT) -> list[str]:
+    slots = {"ret": conf.withdrawal_slots, "dep": conf.deposit_slots, "dev": conf.deposit_slots}
+    return [f"{kind}_{i}" for kind, listed in slots.items() for i in range(len(listed))]
+
+
+def metrics(conf: Settings = DEFAULT) -> list[str]:
+    return slot_metrics(conf) + TRANSFER_METRICS + CREDIT_METRICS
 
 
 def latest_accounts(accounts: DataFrame) -> DataFrame:
@@ -61,6 +68,7 @@ def _with_channel(span: ReportSpan, src: Mapping[str, DataFrame], how: str = "in
     A short list of channels is held and broadcast. With a longer one the rows are counted per
     account, channel and value first, so that no raw row is shuffled by its channel.
     """
+    conf = span.settings
     second = F.hour("fecha_hora_valor") * 3600 + F.minute("fecha_hora_valor") * 60 + F.second("fecha_hora_valor")
     rows = on_dates(src["transactions"], "fecha_valor", span, [REPORT]).select(
         "clave_cuenta_padre",
@@ -68,9 +76,9 @@ def _with_channel(span: ReportSpan, src: Mapping[str, DataFrame], how: str = "in
         "clave_canal",
         amount("monto").alias("value"),
         F.col("fecha_hora_valor").isNull().alias("timeless"),
-        _slot("ret", second, params.WITHDRAWAL_SLOTS).alias("ret"),
-        _slot("dep", second, params.DEPOSIT_SLOTS).alias("dep"),
-        _slot("dev", second, params.DEPOSIT_SLOTS).alias("dev"),
+        _slot("ret", second, conf.withdrawal_slots).alias("ret"),
+        _slot("dep", second, conf.deposit_slots).alias("dep"),
+        _slot("dev", second, conf.deposit_slots).alias("dev"),
     )
     names = held(_channel_names(src))
     if names is None:
@@ -102,16 +110,10 @@ def scan_totals(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def _slot(prefix: str, second_of_day: Column, slots: list[tuple[str, str]]) -> Column:
+def _slot(prefix: str, second_of_day: Column, slots: Slots) -> Column:
     """Name of the time slot. Bounds are whole seconds, inclusive; fractions were truncated."""
-
-    def seconds(text: str) -> int:
-        hours, minutes, secs = (int(part) for part in text.split(":"))
-        return hours * 3600 + minutes * 60 + secs
-
-    return one_of(
-        {f"{prefix}_{i}": second_of_day.between(seconds(a), seconds(b)) for i, (a, b) in enumerate(slots)}
-    )
+    within = [second_of_day.between(seconds_of_day(a), seconds_of_day(b)) for a, b in slots]
+    return one_of({f"{prefix}_{i}": inside for i, inside in enumerate(within)})
 
 
 def channel_facts(
@@ -123,28 +125,29 @@ def channel_facts(
     is the credit or the confirming one is only known after it. With ``transfers`` the
     same pass gives the distinct amounts (match_amount) of transfers on these two.
     """
+    conf = span.settings
     channel, value, n = F.col("canal"), F.col("value"), F.col("n")
     metric = (
-        F.when(channel == params.ACH_WITHDRAWAL, F.col("ret"))
-        .when(channel == params.ACH_DEPOSIT, F.col("dep"))
-        .when(channel == params.ACH_RETURN, F.col("dev"))
-        .when(channel == params.TRANSFER_DEBIT, "debit_sebra")
-        .when(channel == params.TRANSFER_CREDIT, "credit_sebra")
-        .when(channel == params.TRANSFER_DEBIT_RETURN, "debit_returns_sebra")
-        .when(channel == params.TRANSFER_CREDIT_RETURN, "credit_returns_sebra")
-        .when((channel == params.CROSS_DEPOSIT) & (value > 0), "deposit_cros")
+        F.when(channel == conf.ach_withdrawal, F.col("ret"))
+        .when(channel == conf.ach_deposit, F.col("dep"))
+        .when(channel == conf.ach_return, F.col("dev"))
+        .when(channel == conf.transfer_debit, "debit_sebra")
+        .when(channel == conf.transfer_credit, "credit_sebra")
+        .when(channel == conf.transfer_debit_return, "debit_returns_sebra")
+        .when(channel == conf.transfer_credit_return, "credit_returns_sebra")
+        .when((channel == conf.cross_deposit) & (value > 0), "deposit_cros")
     )
     metric_value = (
-        F.when(channel == params.ACH_WITHDRAWAL, -value)
-        .when(channel.isin(params.TRANSFER_DEBIT, params.TRANSFER_CREDIT_RETURN), F.abs(value))
+        F.when(channel == conf.ach_withdrawal, -value)
+        .when(channel.isin(conf.transfer_debit, conf.transfer_credit_return), F.abs(value))
         .otherwise(value)
     )
     by_account = F.when(
-        ~channel.isin(params.EXCLUDED_CHANNELS), F.when(value >= 0, "account_in").when(value < 0, "account_out")
+        ~channel.isin(conf.excluded_channels), F.when(value >= 0, "account_in").when(value < 0, "account_out")
     )
     entries = [matched_entry(metric, metric_value * n), matched_entry(by_account, value * n)]
     if transfers:
-        is_transfer = channel.isin(params.TRANSFER_CHANNELS) & value.isNotNull()
+        is_transfer = channel.isin(conf.transfer_channels) & value.isNotNull()
         entries.append(matched_entry(F.when(is_transfer, TRANSFER), F.lit(0), F.when(is_transfer, value)))
     if count_rows:
         known = F.col("_channel").isNotNull()
@@ -158,8 +161,8 @@ def channel_facts(
     )
     per_account = compact(facts, "clave_cuenta_padre", "match_amount")
     joined = per_account.join(latest, "clave_cuenta_padre", "left" if count_rows else "inner")
-    owner = F.when(F.col("id") == params.CREDIT_ACCOUNT, "credit").when(
-        F.col("id") == params.CONFIRMING_ACCOUNT, "confirming"
+    owner = F.when(F.col("id") == conf.credit_account, "credit").when(
+        F.col("id") == conf.confirming_account, "confirming"
     )
     final = (
         F.when(F.col("metric") == "account_in", F.concat(owner, F.lit("_income")))
@@ -190,7 +193,7 @@ def credit_amounts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def ach_time_slots(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
-    return per_report_date(span, channel_facts(span, src), SLOT_METRICS)
+    return per_report_date(span, channel_facts(span, src), slot_metrics(span.settings))
 
 
 def sebra_transfer_totals(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:

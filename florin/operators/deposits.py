@@ -7,19 +7,19 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from florin import params
 from florin.functions.amounts import AMOUNT, FACT, amount
 from florin.operators import losses
 from florin.operators.facts import compact, count_by, entry, held, per_report_date, tagged, times_n
 from florin.operators.report_dates import PREVIOUS, REPORT, STATEMENTS, ReportSpan, on_dates, read_dates
+from florin.settings import DEFAULT, Settings
 
 STATEMENT_METRICS = ["cop_in", "cop_out", "usd_in", "usd_out"]
 BALANCE_METRICS = ["balance_today", "balance_prev", "balance_today_n", "balance_prev_n"]
 
 
-def own_accounts(src: Mapping[str, DataFrame]) -> DataFrame:
+def own_accounts(src: Mapping[str, DataFrame], conf: Settings = DEFAULT) -> DataFrame:
     """Active accounts of the holder by statement account number, without leading zeros."""
-    active = src["umbrella"].where((F.col("titular") == params.HOLDER) & (F.col("estado") == params.ACTIVE))
+    active = src["umbrella"].where((F.col("titular") == conf.holder) & (F.col("estado") == conf.active))
     own = count_by(active, F.regexp_replace("cuenta_bancaria", "^0+", "").alias("cuenta_bancaria"))
     return _small(own)
 
@@ -32,8 +32,8 @@ def _small(dimension: DataFrame) -> DataFrame:
 
 def scan_bank_transactions(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Row-level statement movements of active own accounts."""
-    rows = on_dates(src["multicash"], "fecha_mvto", span, [STATEMENTS])
-    own = src["umbrella"].where((F.col("titular") == params.HOLDER) & (F.col("estado") == params.ACTIVE))
+    conf, rows = span.settings, on_dates(src["multicash"], "fecha_mvto", span, [STATEMENTS])
+    own = src["umbrella"].where((F.col("titular") == conf.holder) & (F.col("estado") == conf.active))
     account = own.select(F.regexp_replace("cuenta_bancaria", "^0+", "").alias("cuenta_bancaria"))
     return rows.join(account, "cuenta_bancaria").drop("cut")
 
@@ -44,7 +44,7 @@ def scan_transaction_totals(span: ReportSpan, src: Mapping[str, DataFrame]) -> D
     per_account = rows.groupBy("cuenta_bancaria", "report_date").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(amount("monto")).alias("amount")
     )
-    joined = per_account.join(own_accounts(src), "cuenta_bancaria")
+    joined = per_account.join(own_accounts(src, span.settings), "cuenta_bancaria")
     return joined.groupBy("report_date").agg(
         F.sum(F.col("n_rows") * F.col("n")).alias("n_rows"), F.sum(times_n()).alias("total")
     )
@@ -55,16 +55,16 @@ def statement_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows:
     currency = F.when(F.col("moneda") == "COP", "cop").when(F.col("moneda") == "USD", "usd")
     metric = F.concat(currency, F.when(value >= 0, "_in").when(value < 0, "_out"))
     rows = on_dates(src["multicash"], "fecha_mvto", span, [STATEMENTS]).where(
-        ~F.col("cuenta_bancaria").isin(params.STATEMENT_EXCLUDED_ACCOUNTS)
+        ~F.col("cuenta_bancaria").isin(list(span.settings.statement_excluded_accounts))
     )
     entries = [entry(metric, value)]
     if count_rows:
         entries += losses.counted("multicash", value.isNull() | F.col("moneda").isNull())
     summed = compact(tagged(rows, entries, keep=("cuenta_bancaria", "report_date")), "cuenta_bancaria")
     if count_rows:
-        joined = summed.join(own_accounts(src), "cuenta_bancaria", "left")
+        joined = summed.join(own_accounts(src, span.settings), "cuenta_bancaria", "left")
         return losses.through_join(joined, "multicash", F.col("n"))
-    weighted = summed.join(own_accounts(src), "cuenta_bancaria")
+    weighted = summed.join(own_accounts(src, span.settings), "cuenta_bancaria")
     return weighted.select("report_date", "metric", times_n())
 
 
@@ -76,8 +76,8 @@ def bank_transaction_totals(span: ReportSpan, src: Mapping[str, DataFrame]) -> D
     )
 
 
-def _product_accounts(src: Mapping[str, DataFrame]) -> DataFrame:
-    accepted = src["deposit_account"].where(F.col("id_producto").isin(params.DEPOSIT_PRODUCTS))
+def _product_accounts(src: Mapping[str, DataFrame], conf: Settings) -> DataFrame:
+    accepted = src["deposit_account"].where(F.col("id_producto").isin(conf.deposit_products))
     return _small(count_by(accepted, F.col("id_cuenta_deposito").alias("id_cuenta")))
 
 
@@ -89,7 +89,7 @@ def deposit_balance_by_date(span: ReportSpan, src: Mapping[str, DataFrame]) -> D
     """Total balance of the accepted products per balance date the report reads."""
     rows = read_dates(src["balance"], "fecha_saldo", span, [REPORT, PREVIOUS])
     per_account = rows.groupBy("id_cuenta", "fecha_saldo").agg(F.sum(_balance()).alias("amount"))
-    weighted = per_account.join(_product_accounts(src), "id_cuenta")
+    weighted = per_account.join(_product_accounts(src, span.settings), "id_cuenta")
     return weighted.groupBy("fecha_saldo").agg(F.sum(times_n()).cast(FACT).alias("total_balance"))
 
 
@@ -99,7 +99,7 @@ def _balances_and_rows(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFr
     per_account = rows.groupBy("id_cuenta", "fecha_saldo").agg(
         F.sum(_balance()).alias("amount"), F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("total_balance").isNull()).alias("n_bad")
     )
-    joined = per_account.join(_product_accounts(src), "id_cuenta", "left")
+    joined = per_account.join(_product_accounts(src, span.settings), "id_cuenta", "left")
     return joined.groupBy("fecha_saldo").agg(
         F.sum(times_n()).cast(FACT).alias("total_balance"),
         F.sum("n_rows").alias("n_rows"),

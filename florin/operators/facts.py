@@ -89,6 +89,8 @@ def held(rows: DataFrame) -> DataFrame | None:
 
 def one_of(cases: Mapping[str, Column]) -> Column:
     """Name of the first true predicate; NULL when none is true."""
+    if not cases:
+        return F.lit(None).cast("string")
     pairs = iter(cases.items())
     name, condition = next(pairs)
     chosen = F.when(condition, F.lit(name))

@@ -7,11 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from florin import params
 from florin.functions.amounts import amount
 from florin.operators import losses
 from florin.operators.facts import compact, count_by, entry, of_window, per_report_date, tagged, times_n
 from florin.operators.report_dates import REPORT, ReportSpan, on_dates
+from florin.settings import DEFAULT, Settings
 
 SETTLING = [
     "sim_tes_active",
@@ -52,8 +52,8 @@ SAME_DAY = [
 METRICS = [f"mm_{name}" for name in SETTLING] + [f"sd_{name}" for name in SAME_DAY]
 
 
-def _traded(src: Mapping[str, DataFrame]) -> DataFrame:
-    return src["money_market"].where(F.col("tipo_operacion").isin(params.TRADED_SIDES))
+def _traded(src: Mapping[str, DataFrame], conf: Settings) -> DataFrame:
+    return src["money_market"].where(F.col("tipo_operacion").isin(conf.traded_sides))
 
 
 def operation_counts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
@@ -65,13 +65,13 @@ def operation_counts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFram
 def scan_money_market(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Row-level join of traded operations with their control dates."""
     control = on_dates(src["unity_operations"], "fecha_cuadre", span, [REPORT]).select("consecutivo", "fecha_cuadre")
-    return of_window(_traded(src), "consecutivo", control, "consecutivo").join(control, "consecutivo")
+    return of_window(_traded(src, span.settings), "consecutivo", control, "consecutivo").join(control, "consecutivo")
 
 
 def scan_totals(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Rows and turnover of ``scan_money_market`` per control date, without building its rows."""
     control = on_dates(src["unity_operations"], "fecha_cuadre", span, [REPORT])
-    per_operation = of_window(_traded(src), "consecutivo", control, "consecutivo").groupBy("consecutivo").agg(
+    per_operation = of_window(_traded(src, span.settings), "consecutivo", control, "consecutivo").groupBy("consecutivo").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(amount("valor_de_giro")).alias("amount")
     )
     joined = per_operation.join(operation_counts(span, src), "consecutivo")
@@ -80,24 +80,24 @@ def scan_totals(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def metric_names(same_day: Column) -> tuple[Column, Column]:
+def metric_names(same_day: Column, conf: Settings = DEFAULT) -> tuple[Column, Column]:
     """The metric of an operation, and its second one: private simultaneous operations
     may also match the government pattern."""
     kind = F.col("clasificacion")
-    deposited = F.col("cod_central_deposito").isin(params.DEPOSITORIES)
-    government = F.col("codigo_especie").rlike(params.GOVERNMENT_SPECIES)
-    private = F.col("codigo_especie").rlike(params.PRIVATE_SPECIES)
+    deposited = F.col("cod_central_deposito").isin(conf.depositories)
+    government = F.col("codigo_especie").rlike(conf.government_species)
+    private = F.col("codigo_especie").rlike(conf.private_species)
     stance = F.when(F.col("tipo_sim") == "A", "active").when(F.col("tipo_sim") == "P", "passive")
     side = F.when(F.col("tipo_operacion") == "C", "buy").when(F.col("tipo_operacion") == "V", "sell")
     simultaneous = (kind == "SIM") & deposited
     name = (
         F.when(simultaneous & government, F.concat(F.lit("sim_tes_"), stance))
         .when(
-            (kind == "NORMAL") & (F.col("nemotecnico") != params.DOLLAR_NEMO) & deposited,
+            (kind == "NORMAL") & (F.col("nemotecnico") != conf.dollar_nemo) & deposited,
             F.concat(side, F.when(government, "_tes").when(~government, "_priv")),
         )
         .when(
-            (kind == "NORMAL") & (F.col("nemotecnico") == params.DOLLAR_NEMO) & (F.col("genera_detalle") == "SI"),
+            (kind == "NORMAL") & (F.col("nemotecnico") == conf.dollar_nemo) & (F.col("genera_detalle") == "SI"),
             F.concat(F.lit("dollar_"), side),
         )
         .when(
@@ -117,10 +117,10 @@ def market_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows: boo
     A metric needs the settlement date and the control date to equal the report
     date, so the report date is part of the join key.
     """
-    rows = on_dates(_traded(src), "fecha_cumplimiento", span, [REPORT])
+    rows = on_dates(_traded(src, span.settings), "fecha_cumplimiento", span, [REPORT])
     same_day = F.col("fecha_operacion") == F.col("report_date")
     prefix = F.when(same_day, "sd_").when(~same_day, "mm_")
-    first, second = metric_names(same_day)
+    first, second = metric_names(same_day, span.settings)
     value = amount("valor_de_giro")
     entries = [entry(F.concat(prefix, first), value), entry(F.concat(prefix, second), value)]
     if count_rows:

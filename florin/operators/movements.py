@@ -2,66 +2,75 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from florin import params
 from florin.functions.amounts import AMOUNT, FACT, amount
 from florin.operators import losses
 from florin.operators.facts import TRANSFER, count_by, entry, held, of_window, one_of, per_report_date, tagged, times_n
 from florin.operators.report_dates import MOVEMENTS, ReportSpan, on_dates
+from florin.params import INSTANT_PAYMENT_EXPENSE, INSTANT_PAYMENT_INCOME
+from florin.settings import DEFAULT, Settings
+
+
+def value_concepts(conf: Settings = DEFAULT) -> dict[str, Sequence[str]]:
+    return {
+        "repurchases": [conf.repurchase_concept],
+        "due_cdt": [conf.issuer_payment_concept],
+        "yields": [conf.yield_concept],
+        "gmf": [conf.gmf_concept],
+        "pay_findeter": [conf.credit_interest_concept],
+        "expense_sebra": conf.clearing_expense_concepts,
+    }
+
+
+def signed_concepts(conf: Settings = DEFAULT) -> dict[str, Sequence[str]]:
+    """Concepts whose movements count by their sign, in and out."""
+    return {
+        "sebra_fx": [conf.fx_concept],
+        "otc": [conf.otc_concept],
+        "other": conf.other_concepts,
+        "other_ops": conf.other_operation_concepts,
+    }
+
 
-VALUE_CONCEPTS = {
-    "repurchases": [params.REPURCHASE_CONCEPT],
-    "due_cdt": [params.ISSUER_PAYMENT_CONCEPT],
-    "yields": [params.YIELD_CONCEPT],
-    "gmf": [params.GMF_CONCEPT],
-    "pay_findeter": [params.CREDIT_INTEREST_CONCEPT],
-    "expense_sebra": params.CLEARING_EXPENSE_CONCEPTS,
-}
-SIGNED_CONCEPTS = {
-    "sebra_fx": [params.FX_CONCEPT],
-    "otc": [params.OTC_CONCEPT],
-    "other": params.OTHER_CONCEPTS,
-    "other_ops": params.OTHER_OPERATION_CONCEPTS,
-}
 THIRD_METRICS = ["third_in", "third_out"]
-METRICS = list(VALUE_CONCEPTS) + [f"{n}_{way}" for n in SIGNED_CONCEPTS for way in ("in", "out")]
+METRICS = list(value_concepts()) + [f"{n}_{way}" for n in signed_concepts() for way in ("in", "out")]
 # Reported with the sign flipped.
-FLIPPED = {"repurchases", "due_cdt", "gmf", "pay_findeter", "expense_sebra"} | {f"{n}_out" for n in SIGNED_CONCEPTS}
+FLIPPED = {"repurchases", "due_cdt", "gmf", "pay_findeter", "expense_sebra"} | {f"{n}_out" for n in signed_concepts()}
 
 
-def derived_code() -> Column:
+def derived_code(conf: Settings = DEFAULT) -> Column:
     """Accounting code of a movement without a concept, from its operation."""
     kind, side, suffix = F.col("clasificacion"), F.col("tipo_operacion"), F.right("liquidacion", F.lit(2))
     spot = F.col("fecha_futura").isNull()
-    normal = F.when(suffix == "SB", params.CODE_NORMAL_SB).when(suffix == "OF", params.CODE_NORMAL_OF).when(
-        suffix.isNotNull(), params.CODE_NORMAL_OTHER
+    normal = F.when(suffix == "SB", conf.code_normal_sb).when(suffix == "OF", conf.code_normal_of).when(
+        suffix.isNotNull(), conf.code_normal_other
     )
     simultaneous = F.when(
-        side == "V", F.when(spot, params.CODE_SIM_SELL_SPOT).otherwise(params.CODE_SIM_SELL_FUTURE)
-    ).when(side == "C", F.when(spot, params.CODE_SIM_BUY_SPOT).otherwise(params.CODE_SIM_BUY_FUTURE))
-    repo = F.when(side == "C", params.CODE_REPO_BUY).when(side == "V", params.CODE_REPO_SELL)
+        side == "V", F.when(spot, conf.code_sim_sell_spot).otherwise(conf.code_sim_sell_future)
+    ).when(side == "C", F.when(spot, conf.code_sim_buy_spot).otherwise(conf.code_sim_buy_future))
+    repo = F.when(side == "C", conf.code_repo_buy).when(side == "V", conf.code_repo_sell)
     return (
         F.when(kind == "NORMAL", normal)
         .when(kind == "SIM", simultaneous)
-        .when(kind == "TTV", params.CODE_TTV)
+        .when(kind == "TTV", conf.code_ttv)
         .when(kind == "REPO", repo)
     )
 
 
-def concept_name(code: Column, mapped: Column, has_yield: Column) -> Column:
+def concept_name(code: Column, mapped: Column, has_yield: Column, conf: Settings = DEFAULT) -> Column:
     """Report name of a concept code; unmapped codes stay visible under a marker."""
-    named = F.when(has_yield, params.YIELD_CONCEPT)
-    for fixed_code, name in params.NAMED_CODES.items():
+    named = F.when(has_yield, conf.yield_concept)
+    for fixed_code, name in conf.named_codes.items():
         named = named.when(code == fixed_code, F.lit(name))
-    return named.otherwise(F.coalesce(mapped, F.concat(F.lit(params.UNMAPPED_PREFIX), code)))
+    return named.otherwise(F.coalesce(mapped, F.concat(F.lit(conf.unmapped_prefix), code)))
 
 
-def signed(value: Column) -> Column:
-    return F.when(F.col("cod_tipo_movimiento") == params.DEBIT_NOTE, -value).otherwise(value)
+def signed(value: Column, conf: Settings = DEFAULT) -> Column:
+    return F.when(F.col("cod_tipo_movimiento") == conf.debit_note, -value).otherwise(value)
 
 
 def scan_unity_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
@@ -71,16 +80,16 @@ def scan_unity_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> Data
     return moves.join(operations, moves["operacion"] == operations["consecutivo"], "left").drop("consecutivo")
 
 
-def process_concept(moves: DataFrame) -> DataFrame:
+def process_concept(moves: DataFrame, conf: Settings = DEFAULT) -> DataFrame:
     """Row-level concept derivation over ``scan_unity_movements``."""
-    return moves.withColumn("concepto", F.coalesce("concepto", derived_code()))
+    return moves.withColumn("concepto", F.coalesce("concepto", derived_code(conf)))
 
 
-def process_value(moves: DataFrame, homologation: DataFrame) -> DataFrame:
+def process_value(moves: DataFrame, homologation: DataFrame, conf: Settings = DEFAULT) -> DataFrame:
     """Row-level concept naming and signing over ``process_concept``."""
     named = moves.join(homologation, moves["concepto"] == homologation["codigo_contable"], "left")
-    name = concept_name(F.col("concepto"), F.col("concepto_cud"), F.col("rendimiento").isNotNull())
-    return named.withColumns({"concepto": name, "valor": signed(F.col("valor"))})
+    name = concept_name(F.col("concepto"), F.col("concepto_cud"), F.col("rendimiento").isNotNull(), conf)
+    return named.withColumns({"concepto": name, "valor": signed(F.col("valor"), conf)})
 
 
 def summed_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
@@ -91,9 +100,10 @@ def summed_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFram
     except that a movement whose concept is, or can still become, the third-party
     one keeps its signed amount in ``match_amount``: those are netted by amount.
     """
+    conf = span.settings
     third_codes = held(
         src["homologation"]
-        .where(F.col("concepto_cud") == params.THIRD_PARTY_CONCEPT)
+        .where(F.col("concepto_cud") == conf.third_party_concept)
         .select(F.col("codigo_contable").alias("third_code"))
         .distinct()
     )
@@ -113,7 +123,7 @@ def summed_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFram
         "report_date",
         "concepto",
         has_yield.alias("has_yield"),
-        signed(value).alias("signed"),
+        signed(value, conf).alias("signed"),
         value.alias("value"),
         may_be_third.alias("may_be_third"),
     )
@@ -131,7 +141,7 @@ def summed_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFram
     )
     asked = on_dates(src["cc_movements"], "fecha", span, [MOVEMENTS])
     known = of_window(src["unity_operations"], "consecutivo", asked, "operacion")
-    derived = known.select("consecutivo", derived_code().alias("derived"))
+    derived = known.select("consecutivo", derived_code(conf).alias("derived"))
     operations = count_by(derived, "consecutivo", "derived")
     joined = per_operation.join(operations, per_operation["operacion"] == operations["consecutivo"], "left").withColumn(
         "n", F.coalesce("n", F.lit(1))
@@ -150,16 +160,16 @@ def summed_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFram
 
 def named_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """``summed_movements`` under their concept names; only third-party ones keep a match_amount."""
-    summed = summed_movements(span, src)
+    conf, summed = span.settings, summed_movements(span, src)
     names = src["homologation"].select("codigo_contable", "concepto_cud")
     local = held(names)
     named = summed.join(names if local is None else local, F.col("code") == F.col("codigo_contable"), "left")
-    name = concept_name(F.col("code"), F.col("concepto_cud"), F.col("has_yield"))
+    name = concept_name(F.col("code"), F.col("concepto_cud"), F.col("has_yield"), conf)
     return named.select(
         "report_date",
         name.alias("name"),
         "sign",
-        F.when(name == params.THIRD_PARTY_CONCEPT, F.col("match_amount")).alias("match_amount"),
+        F.when(name == conf.third_party_concept, F.col("match_amount")).alias("match_amount"),
         "amount",
         "n_rows",
     )
@@ -181,20 +191,21 @@ def concept_homologation(span: ReportSpan, src: Mapping[str, DataFrame]) -> Data
 
 def unmapped_concepts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Concepts without a homologation, for the master's owners."""
-    rows = concept_homologation(span, src).where(F.col("concepto").startswith(params.UNMAPPED_PREFIX))
+    rows = concept_homologation(span, src).where(F.col("concepto").startswith(span.settings.unmapped_prefix))
     return rows.groupBy("concepto").agg(F.sum("n_rows").alias("n_rows"))
 
 
 def third_party_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows: bool = False) -> DataFrame:
     """Concept totals, and third-party movements with the amount they are netted by; see ``netted``."""
+    conf = span.settings
     name, sign, value = F.col("name"), F.col("sign"), F.col("amount")
     way = F.when(sign > 0, "_in").when(sign < 0, "_out")
-    family = one_of({m: name.isin(c) for m, c in SIGNED_CONCEPTS.items()})
-    value_metric = one_of({m: name.isin(c) for m, c in VALUE_CONCEPTS.items()})
-    third = F.when(name == params.THIRD_PARTY_CONCEPT, F.concat(F.lit("third"), way))
+    family = one_of({m: name.isin(c) for m, c in signed_concepts(conf).items()})
+    value_metric = one_of({m: name.isin(c) for m, c in value_concepts(conf).items()})
+    third = F.when(name == conf.third_party_concept, F.concat(F.lit("third"), way))
     entries = [entry(value_metric, value), entry(F.concat(family, way), value), entry(third, value)]
     if count_rows:
-        n, unnamed = F.col("n_rows"), name.isNull() | name.startswith(params.UNMAPPED_PREFIX)
+        n, unnamed = F.col("n_rows"), name.isNull() | name.startswith(conf.unmapped_prefix)
         entries += [*losses.counted("cc_movements", sign.isNull(), n), losses.unmatched("cc_movements", unnamed, n)]
     facts = tagged(named_movements(span, src), entries, keep=("report_date", "match_amount"))
     return facts.withColumn("match_amount", F.col("match_amount").cast(AMOUNT))
@@ -236,6 +247,6 @@ def unity_totals(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     return wide.select(
         "report_date",
         *[(-F.col(m) if m in FLIPPED else F.col(m)).alias(m) for m in METRICS],
-        F.lit(params.INSTANT_PAYMENT_INCOME).cast(FACT).alias("breb_in"),
-        F.lit(params.INSTANT_PAYMENT_EXPENSE).cast(FACT).alias("breb_out"),
+        F.lit(INSTANT_PAYMENT_INCOME).cast(FACT).alias("breb_in"),
+        F.lit(INSTANT_PAYMENT_EXPENSE).cast(FACT).alias("breb_out"),
     )

@@ -7,15 +7,21 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from florin import params
 from florin.functions.amounts import FACT, drop_last_two, second_token_int
 from florin.operators import losses
 from florin.operators.facts import entry, per_report_date, tagged
 from florin.operators.report_dates import PREVIOUS, REPORT, ReportSpan, on_dates, read_dates
+from florin.settings import DEFAULT, Settings
 from florin.sources.catalog import Sources
 
-CYCLES = list(range(1, params.CYCLES + 1))
-METRICS = [f"cud_{i}" for i in CYCLES] + ["late_yesterday", "matched_today", "matched_yesterday", "adaptor"]
+
+def cycle_metrics(conf: Settings = DEFAULT) -> list[str]:
+    return [f"cud_{i}" for i in range(1, conf.cycles + 1)]
+
+
+def metrics(conf: Settings = DEFAULT) -> list[str]:
+    return cycle_metrics(conf) + ["late_yesterday", "matched_today", "matched_yesterday", "adaptor"]
+
 
 # What makes an outgoing refund and a sent refund the same one.
 MATCH_KEYS = [
@@ -57,8 +63,8 @@ def parsed(rows: DataFrame) -> DataFrame:
     )
 
 
-def _outgoing() -> Column:
-    return F.col("name").endswith(params.OUT_SUFFIX) & (F.col("status") == params.UNAUTHORIZED)
+def _outgoing(conf: Settings) -> Column:
+    return F.col("name").endswith(conf.out_suffix) & (F.col("status") == conf.unauthorized)
 
 
 def _which_day() -> Column:
@@ -72,7 +78,7 @@ def matched_by_date(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame
     so one aggregate replaces a join of two: n outgoing and m sent refunds with
     equal keys match min(n, m) times.
     """
-    rows = parsed(read_dates(src["adapter"], "fecha_consulta", span, [REPORT, PREVIOUS]))
+    conf, rows = span.settings, parsed(read_dates(src["adapter"], "fecha_consulta", span, [REPORT, PREVIOUS]))
     receiver, originator = F.col("reg6_entidad_receptora"), F.col("reg5_entidad_originadora")
 
     def role(applies: Column, to: Column, by: Column, is_out: int) -> Column:
@@ -81,8 +87,8 @@ def matched_by_date(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame
         )
 
     roles = F.array(
-        role(_outgoing() & (F.col("cycle") >= params.LATE_CYCLE), receiver, originator, 1),
-        role(F.col("transaction_type") == params.SENT_REFUND, originator, receiver, 0),
+        role(_outgoing(conf) & (F.col("cycle") >= conf.late_cycle), receiver, originator, 1),
+        role(F.col("transaction_type") == conf.sent_refund, originator, receiver, 0),
     )
     by_role = (
         rows.select("*", F.explode(roles).alias("role"))
@@ -118,48 +124,48 @@ def matched_refunds(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame
     return _matches_of_days(span, src).drop("n_unmatched")
 
 
-def _malformed() -> Column:
+def _malformed(conf: Settings) -> Column:
     """Refunds whose cycle or amount cannot be read."""
-    sent = F.col("transaction_type") == params.SENT_REFUND
-    unread = F.col("amount").isNull() | (_outgoing() & F.col("cycle").isNull())
-    return F.coalesce(_outgoing() | sent, F.lit(False)) & unread
+    sent = F.col("transaction_type") == conf.sent_refund
+    unread = F.col("amount").isNull() | (_outgoing(conf) & F.col("cycle").isNull())
+    return F.coalesce(_outgoing(conf) | sent, F.lit(False)) & unread
 
 
 def refund_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows: bool = False) -> DataFrame:
-    rows = parsed(scan_adapter(span, src))
+    conf, rows = span.settings, parsed(scan_adapter(span, src))
     today = F.col("which_day") == "today"
     cycle_metric = F.when(
-        _outgoing(),
-        F.when(today & F.col("cycle").between(CYCLES[0], CYCLES[-1]), F.concat(F.lit("cud_"), F.col("cycle"))).when(
-            ~today & (F.col("cycle") >= params.LATE_CYCLE), "late_yesterday"
+        _outgoing(conf),
+        F.when(today & F.col("cycle").between(1, conf.cycles), F.concat(F.lit("cud_"), F.col("cycle"))).when(
+            ~today & (F.col("cycle") >= conf.late_cycle), "late_yesterday"
         ),
     )
     originator = F.ltrim(F.trim("reg5_datos_originador"), F.lit("0"))
     text = F.trim("reg6_valor_transaccion")
     paid = F.when(F.length(text) > 2, drop_last_two(text)).otherwise(F.lit(0).cast(FACT))
-    adaptor = F.when(today & (originator == params.ORIGINATOR_ACCOUNT), "adaptor")
+    adaptor = F.when(today & (originator == conf.originator_account), "adaptor")
     entries = [entry(cycle_metric, F.col("amount")), entry(adaptor, -paid)]
     of_day = [entry(F.concat(F.lit("matched_"), "which_day"), F.col("matched"))]
     if count_rows:
-        entries += losses.counted("adapter", _malformed())
+        entries += losses.counted("adapter", _malformed(conf))
         of_day.append(losses.unmatched("adapter", F.col("n_unmatched") > 0, F.col("n_unmatched")))
     return tagged(rows, entries).unionByName(tagged(_matches_of_days(span, src), of_day))
 
 
 # Returns to send: late ones of yesterday still unmatched, today's early cycles, today's matches.
-SEND = ["late_yesterday - matched_yesterday"]
-SEND += [f"cud_{i}" for i in CYCLES if i < params.LATE_CYCLE]
-SEND += ["matched_today"]
+def to_send(conf: Settings = DEFAULT) -> list[str]:
+    early = cycle_metrics(conf)[: conf.late_cycle - 1]
+    return ["late_yesterday - matched_yesterday", *early, "matched_today"]
 
 
 def ach_refunds(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
-    wide = per_report_date(span, refund_facts(span, src), METRICS)
-    sends = [f"{sql} AS send_{i}" for i, sql in enumerate(SEND)]
-    return wide.selectExpr("report_date", *[f"cud_{i}" for i in CYCLES], *sends)
+    wide = per_report_date(span, refund_facts(span, src), metrics(span.settings))
+    sends = [f"{sql} AS send_{i}" for i, sql in enumerate(to_send(span.settings))]
+    return wide.selectExpr("report_date", *cycle_metrics(span.settings), *sends)
 
 
 def credit_adaptor_outcome(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
-    wide = per_report_date(span, refund_facts(span, src), METRICS)
+    wide = per_report_date(span, refund_facts(span, src), metrics(span.settings))
     return wide.select("report_date", F.col("adaptor").alias("credit_adaptor_outcome"))
 
 

@@ -7,7 +7,7 @@ yesterday), so the bridge is always a join and never a column of the source.
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, timedelta
 from functools import cached_property
 
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from florin.functions import calendar
+from florin.settings import DEFAULT, Settings
 
 # Cuts of the bridge: which source dates a report date reads.
 REPORT = "report"  # the report date itself
@@ -43,12 +44,17 @@ MAX_PUSHED_DATES = 200
 
 @dataclass(frozen=True)
 class ReportSpan:
-    """The report dates of one run, with the bounds known when the plan is built."""
+    """The report dates of one run, with the bounds known when the plan is built and the settings they are reported under."""
 
     anchors: DataFrame  # one column, report_date, distinct
     first: date
     last: date
     at_most: int | None = None  # report dates; as many as days from first to last where unknown
+    settings: Settings = DEFAULT
+
+    def under(self, settings: Settings) -> ReportSpan:
+        """The same report dates under other settings."""
+        return replace(self, settings=settings)
 
     @property
     def source_bounds(self) -> tuple[date, date]:
@@ -68,7 +74,7 @@ class ReportSpan:
     @cached_property
     def dates(self) -> DataFrame:
         """One row per report date with every offset as a column."""
-        return calendar.with_report_dates(self.anchors, "report_date")
+        return calendar.with_report_dates(self.anchors, "report_date", self.settings.bank_cutover)
 
     @cached_property
     def listed(self) -> DataFrame:

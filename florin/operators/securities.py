@@ -7,11 +7,11 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from florin import params
 from florin.functions.amounts import FACT, amount
 from florin.operators import losses
 from florin.operators.facts import entry, of_window, per_report_date, tagged
 from florin.operators.report_dates import AGREED, PREVIOUS, REPORT, ReportSpan, on_dates
+from florin.settings import Settings
 
 ISSUANCE_METRICS = ["iss_repurchases", "iss_repurchases_n", "iss_cdt", "iss_cdt_n", "iss_bonds", "iss_bonds_n"]
 
@@ -26,8 +26,9 @@ def cdt_renewals(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def derivative_facts(span: ReportSpan, src: Mapping[str, DataFrame], count_rows: bool = False) -> DataFrame:
+    conf = span.settings
     own = src["derivatives"].where(
-        (F.col("descripcion") == params.HOLDER) & (F.col("tipo_cumplimiento") == params.DERIVATIVE_SETTLEMENT)
+        (F.col("descripcion") == conf.holder) & (F.col("tipo_cumplimiento") == conf.derivative_settlement)
     )
     rows, value = on_dates(own, "fecha_inicial", span, [PREVIOUS]), amount("utilidad")
     return tagged(rows, [entry("pnl", value), *(losses.counted("derivatives", value.isNull()) if count_rows else [])])
@@ -42,8 +43,8 @@ def _parents(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
 
     The days belong to the report date, so its result does not depend on the run's other dates.
     """
-    isin = F.col("codigo_isin")
-    certificate, bond = isin.startswith(params.CERTIFICATE_ISIN), isin.startswith(params.BOND_ISIN)
+    conf, isin = span.settings, F.col("codigo_isin")
+    certificate, bond = isin.startswith(conf.certificate_isin), isin.startswith(conf.bond_isin)
     rows = src["operations_a"].where(certificate | bond).withColumn("kind", F.when(certificate, "cdt").otherwise("bonds"))
     rows = rows.where(span.reads("fecha_operacion", [AGREED]))
     agreed = span.bridge_for([AGREED]).select(F.col("report_date").alias("agreed_for"), F.col("source_date").alias("agreed_on"))
@@ -52,18 +53,18 @@ def _parents(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     return rows.join(agreed, same, "left_semi")
 
 
-def _children(parents: DataFrame, src: Mapping[str, DataFrame]) -> DataFrame:
+def _children(parents: DataFrame, src: Mapping[str, DataFrame], conf: Settings) -> DataFrame:
     kind = F.col("tipo_participacion").try_cast("int")
     return of_window(src["operations_b"], "id_padre", parents, "id").withColumn("tipo_participacion", kind).where(
-        kind.isin(params.REPURCHASE_PARTICIPATION, params.ISSUANCE_PARTICIPATION)
-        & (F.col("nombre_inversion") == params.INVESTMENT_HOLDER)
+        kind.isin(conf.repurchase_participation, conf.issuance_participation)
+        & (F.col("nombre_inversion") == conf.investment_holder)
     )
 
 
 def scan_repurchases(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Row-level join of parent and child operations."""
     parents = _parents(span, src)
-    children = _children(parents, src)
+    children = _children(parents, src, span.settings)
     return parents.join(children, parents["id"] == children["id_padre"]).drop("id_padre")
 
 
@@ -72,7 +73,7 @@ def _summed(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     parents = _parents(span, src).groupBy("id", "report_date", "kind").agg(
         F.count(F.lit(1)).alias("n_parents"), F.sum(amount("precio_contado")).alias("price")
     )
-    children = _children(_parents(span, src), src).groupBy("id_padre", "tipo_participacion").agg(
+    children = _children(_parents(span, src), src, span.settings).groupBy("id_padre", "tipo_participacion").agg(
         F.count(F.lit(1)).alias("n_children"), F.sum(amount("saldo")).alias("balance")
     )
     joined = parents.join(children, parents["id"] == children["id_padre"])
@@ -98,7 +99,7 @@ def issuance_facts(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
 
     Bonds count as issuances only; repurchases stay limited to certificates.
     """
-    issued = F.col("tipo_participacion") == params.ISSUANCE_PARTICIPATION
+    issued = F.col("tipo_participacion") == span.settings.issuance_participation
     metric = F.when(issued, F.concat(F.lit("iss_"), "kind")).when(F.col("kind") == "cdt", "iss_repurchases")
     value = F.when(issued, F.col("balance")).otherwise(F.col("price"))
     return tagged(

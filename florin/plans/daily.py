@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 from datetime import date
 from functools import reduce
 
@@ -14,20 +14,24 @@ from florin.functions.amounts import FACT, convert, line, money, total
 from florin.operators import banks, channels, deposits, losses, market, movements, refunds, securities
 from florin.operators.facts import per_report_date
 from florin.operators.report_dates import ReportSpan
+from florin.settings import DEFAULT, Settings
+
+
+def metric_names(conf: Settings = DEFAULT) -> list[str]:
+    return (
+        banks.report_metrics(conf)
+        + banks.RATE_METRICS
+        + market.METRICS
+        + movements.METRICS
+        + movements.THIRD_METRICS
+        + channels.metrics(conf)
+        + refunds.metrics(conf)
+        + deposits.STATEMENT_METRICS
+        + deposits.BALANCE_METRICS
+        + ["renewals", "pnl"]
+        + securities.ISSUANCE_METRICS
+    )
 
-METRICS = (
-    banks.REPORT_METRICS
-    + banks.RATE_METRICS
-    + market.METRICS
-    + movements.METRICS
-    + movements.THIRD_METRICS
-    + channels.METRICS
-    + refunds.METRICS
-    + deposits.STATEMENT_METRICS
-    + deposits.BALANCE_METRICS
-    + ["renewals", "pnl"]
-    + securities.ISSUANCE_METRICS
-)
 
 # Metrics that a report for the current day does not have yet.
 DAY_INPUTS = [f"sd_{n}" for n in market.SAME_DAY] + deposits.STATEMENT_METRICS + securities.ISSUANCE_METRICS
@@ -37,7 +41,7 @@ DAY_INPUTS += movements.THIRD_METRICS + deposits.BALANCE_METRICS
 def available_metrics(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """Wide balances and rates only, for the available-funds tables."""
     facts = banks.report_facts(span, src).unionByName(banks.rate_facts(span, src))
-    return per_report_date(span, facts, banks.REPORT_METRICS + banks.RATE_METRICS)
+    return per_report_date(span, facts, banks.report_metrics(span.settings) + banks.RATE_METRICS)
 
 
 def daily_metrics(
@@ -65,7 +69,7 @@ def daily_metrics(
             securities.issuance_facts(span, src),
         ],
     )
-    names = METRICS + losses.METRICS if count_rows else METRICS
+    names = metric_names(span.settings) + (losses.METRICS if count_rows else [])
     return without_day_inputs(per_report_date(span, facts, names), as_of)
 
 
@@ -90,34 +94,46 @@ def without_day_inputs(metrics: DataFrame, as_of: date | None) -> DataFrame:
 CUTS = {"t0": params.AVAILABLE_T0, "t1": params.AVAILABLE_T1}
 
 
-def _plus(prefix: str, numbers) -> str:
-    return " + ".join(f"{prefix}_{i}" for i in numbers)
+def _plus(names: Iterable[str]) -> str:
+    return " + ".join(names) or "0"
 
 
-# First step: values that need nothing but metrics.
-BASICS = {
-    "account_variation": deposits.VARIATION,
-    "credit_outcome": channels.CREDIT_OUTCOME,
-    "returns_to_send": " + ".join(refunds.SEND),
-    "cdt_issued": securities.issuance_value("iss_cdt"),
-    "bonds_issued": securities.issuance_value("iss_bonds"),
-    "dollar_comp": "mm_dollar_sell - ABS(mm_dollar_buy) + sd_dollar_sell - sd_dollar_buy",
-    "usd_income": convert("usd_in", "rate_t0"),
-    "usd_outcome": convert("ABS(usd_out)", "rate_t0"),
-    **{f"{cut}_{name}": sql for cut in CUTS for name, sql in banks.available_expressions(cut).items()},
-}
+def _available(conf: Settings) -> dict[str, str]:
+    return {f"{cut}_{name}": sql for cut in CUTS for name, sql in banks.available_expressions(cut, conf).items()}
+
+
+def basics(conf: Settings = DEFAULT) -> dict[str, str]:
+    """First step: values that need nothing but metrics."""
+    return {
+        "account_variation": deposits.VARIATION,
+        "credit_outcome": channels.CREDIT_OUTCOME,
+        "returns_to_send": " + ".join(refunds.to_send(conf)),
+        "cdt_issued": securities.issuance_value("iss_cdt"),
+        "bonds_issued": securities.issuance_value("iss_bonds"),
+        "dollar_comp": "mm_dollar_sell - ABS(mm_dollar_buy) + sd_dollar_sell - sd_dollar_buy",
+        "usd_income": convert("usd_in", "rate_t0"),
+        "usd_outcome": convert("ABS(usd_out)", "rate_t0"),
+        **_available(conf),
+    }
+
+
+TOTALS = {f"{cut}_total": f"{cut}_banco_republica + {cut}_bancos_comerciales + {cut}_bancos_usd" for cut in CUTS}
+
+
+def flows(conf: Settings = DEFAULT) -> dict[str, str]:
+    """Second step: values over the first."""
+    slots = channels.slot_metrics(conf)
+    withdrawn = [name for name in slots if name.startswith("ret_")]
+    paid_in = [name for name in slots if name not in withdrawn] + refunds.cycle_metrics(conf)
+    return {
+        "income_ach": f"{_plus(paid_in)} - (credit_income + confirming_income) - account_variation",
+        # The originated credit is added and taken away again, so it does not appear.
+        "outcome_ach": f"{_plus(withdrawn)} + returns_to_send - (ABS(credit_outcome) + ABS(confirming_negative))",
+        "dollar_variation": "t0_bancos_usd - t1_bancos_usd",
+        "change_variation": "(usd_income - usd_outcome) - (t0_bancos_usd - t1_bancos_usd)",
+        **TOTALS,
+    }
 
-# Second step: values over the first.
-FLOWS = {
-    "income_ach": _plus("dep", range(5))
-    + f" + {_plus('dev', range(5))} + {_plus('cud', refunds.CYCLES)}"
-    + " - (credit_income + confirming_income) - account_variation",
-    # The originated credit is added and taken away again, so it does not appear.
-    "outcome_ach": f"{_plus('ret', range(5))} + returns_to_send - (ABS(credit_outcome) + ABS(confirming_negative))",
-    "dollar_variation": "t0_bancos_usd - t1_bancos_usd",
-    "change_variation": "(usd_income - usd_outcome) - (t0_bancos_usd - t1_bancos_usd)",
-    **{f"{cut}_total": f"{cut}_banco_republica + {cut}_bancos_comerciales + {cut}_bancos_usd" for cut in CUTS},
-}
 
 INCOME = dict(
     zip(
@@ -191,10 +207,10 @@ EXPENSE = dict(
 )
 
 
-def with_flows(metrics: DataFrame) -> DataFrame:
+def with_flows(metrics: DataFrame, conf: Settings = DEFAULT) -> DataFrame:
     """Metrics plus the derived values the statements share."""
-    basics = metrics.selectExpr("*", *[f"{line(sql)} AS {name}" for name, sql in BASICS.items()])
-    return basics.selectExpr("*", *[f"{line(sql)} AS {name}" for name, sql in FLOWS.items()])
+    first = metrics.selectExpr("*", *[f"{line(sql)} AS {name}" for name, sql in basics(conf).items()])
+    return first.selectExpr("*", *[f"{line(sql)} AS {name}" for name, sql in flows(conf).items()])
 
 
 def _income(name: str) -> str:
@@ -205,9 +221,12 @@ def _expense(name: str) -> str:
     return f"`expense_{name}`"
 
 
-def statements(metrics: DataFrame) -> DataFrame:
-    """Unrounded statements, available funds and summary, one row per report date."""
-    lines = with_flows(metrics).selectExpr(
+def statements(metrics: DataFrame, conf: Settings = DEFAULT) -> DataFrame:
+    """Unrounded statements, available funds and summary, one row per report date.
+
+    ``conf``: the settings of the span that the metrics are of.
+    """
+    lines = with_flows(metrics, conf).selectExpr(
         "report_date",
         *[f"{cut}_{name}" for cut in CUTS for name in params.AVAILABLE_COLUMNS],
         *[f"{line(sql)} AS {_income(name)}" for name, sql in INCOME.items()],
@@ -259,14 +278,10 @@ def cash_summary(stated: DataFrame) -> DataFrame:
     return _table(stated, SUMMARY_TABLE)
 
 
-def available_balances(metrics: DataFrame) -> DataFrame:
+def available_balances(metrics: DataFrame, conf: Settings = DEFAULT) -> DataFrame:
     """Unrounded available funds of both cuts over ``available_metrics``."""
-    parts = metrics.selectExpr(
-        "report_date",
-        *[f"{sql} AS {cut}_{name}" for cut in CUTS for name, sql in banks.available_expressions(cut).items()],
-    )
-    totals = {name: sql for name, sql in FLOWS.items() if name.endswith("_total")}
-    return parts.selectExpr("*", *[f"{line(sql)} AS {name}" for name, sql in totals.items()])
+    parts = metrics.selectExpr("report_date", *[f"{sql} AS {name}" for name, sql in _available(conf).items()])
+    return parts.selectExpr("*", *[f"{line(sql)} AS {name}" for name, sql in TOTALS.items()])
 
 
 def available_funds(balances: DataFrame, cut: str) -> DataFrame:
@@ -333,14 +348,14 @@ def daily_inputs(metrics: DataFrame) -> DataFrame:
     return metrics.selectExpr("report_date", *[f"{money(line(sql))} AS {n}" for n, sql in DAILY_INPUTS.items()])
 
 
-def ach_net_flow(metrics: DataFrame) -> DataFrame:
+def ach_net_flow(metrics: DataFrame, conf: Settings = DEFAULT) -> DataFrame:
     names = ["dollar_comp", "income_ach", "outcome_ach"]
     withdrawals = EXPENSE["045_retiros_ach"]
-    return with_flows(metrics).selectExpr(
+    return with_flows(metrics, conf).selectExpr(
         "report_date", *[f"{money(n)} AS {n}" for n in names], f"{money(withdrawals)} AS retiros_ach"
     )
 
 
-def fx_variation(metrics: DataFrame) -> DataFrame:
+def fx_variation(metrics: DataFrame, conf: Settings = DEFAULT) -> DataFrame:
     names = ["usd_income", "usd_outcome", "dollar_variation", "change_variation"]
-    return with_flows(metrics).selectExpr("report_date", *[f"{money(n)} AS {n}" for n in names])
+    return with_flows(metrics, conf).selectExpr("report_date", *[f"{money(n)} AS {n}" for n in names])

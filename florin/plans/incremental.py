@@ -55,8 +55,9 @@ KEYED = {
     "deposit_account": ("id_cuenta_deposito", [("balance", "id_cuenta")]),
     "umbrella": ("cuenta_bancaria", [("multicash", "cuenta_bancaria")]),
 }
-# A change of these concerns every date.
+# A change of these concerns every date; settings are a part of their own.
 WHOLE = ["homologation"]
+SETTINGS = "settings"
 RATES = "trm"  # valid from day to day: a part is a day
 RATE_CUTS = [PREVIOUS, REPORT]
 KEY_RANGES = 1 << 20
@@ -95,6 +96,8 @@ def source_state(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     days = F.sequence(F.greatest("vigencia_desde", first), F.least("vigencia_hasta", last))
     by_day = valid.select("valor", F.explode(days).alias("fecha"))
     parts.append(_summed(by_day, RATES, F.col("fecha").cast("string")))
+    told = F.lit(span.settings.digest()).alias("digest")
+    parts.append(_summed(span.anchors.sparkSession.range(0, 1, 1, 1).select(told), SETTINGS, F.lit("all")))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -106,7 +109,7 @@ def changed_parts(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def dates_to_redo(span: ReportSpan, src: Mapping[str, DataFrame], changes: DataFrame) -> list[date]:
     """The report dates of the span that read a changed part; the driver gets these dates only."""
-    if not changes.where(F.col("source").isin(WHOLE)).isEmpty():
+    if not changes.where(F.col("source").isin([*WHOLE, SETTINGS])).isEmpty():
         return sorted(r[0] for r in span.listed.distinct().collect())
 
     def of(source: str) -> DataFrame:
@@ -134,8 +137,8 @@ def refreshed(
     days = sorted({r[0] for r in absent} | set(dates_to_redo(span, src, changes)))
     if not days:
         return None, []
-    again = listed_span(span.anchors.sparkSession, days)
-    return daily.statements(daily.daily_metrics(again, src)), days
+    again = listed_span(span.anchors.sparkSession, days).under(span.settings)
+    return daily.statements(daily.daily_metrics(again, src), again.settings), days
 
 
 def run_incremental(span: ReportSpan, src: Mapping[str, DataFrame], folder: str) -> list[date]:
@@ -150,7 +153,7 @@ def run_incremental(span: ReportSpan, src: Mapping[str, DataFrame], folder: str)
     stored, stored_state = existing(spark, kept), existing(spark, notes)
     if stored is None or stored_state is None:
         days = sorted(r[0] for r in span.listed.distinct().collect())
-        stated = daily.statements(daily.daily_metrics(span, src))
+        stated = daily.statements(daily.daily_metrics(span, src), span.settings)
     else:
         stated, days = refreshed(span, src, state, stored_state, stored)
         # Parts that only other report dates read stay as they were.

@@ -16,6 +16,7 @@ from florin.operators.report_dates import ReportSpan, window_span
 from florin.operators.transpose import Section, transposed, unpivoted
 from florin.plans import daily
 from florin.session import cut_lineage
+from florin.settings import DEFAULT, Settings
 
 SECTIONS: list[Section] = [
     (params.SECTION_INCOME, daily.INCOME_TABLE),
@@ -48,14 +49,16 @@ def parse_report_date(text: str) -> date:
     return date.fromisoformat(found[1])
 
 
-def requested_span(spark: SparkSession, src: Mapping[str, DataFrame], text: str | None = None) -> ReportSpan:
+def requested_span(
+    spark: SparkSession, src: Mapping[str, DataFrame], text: str | None = None, settings: Settings = DEFAULT
+) -> ReportSpan:
     """The window of a report date given as text, or of the latest adapter date when none is given."""
     if text:
-        return window_span(spark, parse_report_date(text))
+        return window_span(spark, parse_report_date(text)).under(settings)
     latest = refunds.latest_date(src).first()["latest"]
     if latest is None:
         raise ValueError("no report date given and the adapter source is empty")
-    return window_span(spark, latest)
+    return window_span(spark, latest).under(settings)
 
 
 def report_days(span: ReportSpan) -> list[date]:
@@ -75,7 +78,7 @@ def run_report(
     ``losses.uncounted_rows`` over what is returned says, per report date and source, how many
     rows were read, unmatched and malformed; it reads the stored statements and no source again.
     """
-    stated = cut_lineage(daily.statements(daily.daily_metrics(span, src, as_of, count_rows=True)))
+    stated = cut_lineage(daily.statements(daily.daily_metrics(span, src, as_of, count_rows=True), span.settings))
     tables = [
         (daily.income_statement(stated), targets.income, params.MERGE_KEYS),
         (daily.expense_statement(stated), targets.expense, params.MERGE_KEYS),
@@ -100,7 +103,12 @@ def run_report(
 
 
 def run_for(
-    spark: SparkSession, src: Mapping[str, DataFrame], targets: Targets, text: str | None = None, as_of: date | None = None
+    spark: SparkSession,
+    src: Mapping[str, DataFrame],
+    targets: Targets,
+    text: str | None = None,
+    as_of: date | None = None,
+    settings: Settings = DEFAULT,
 ) -> DataFrame:
     """The whole job from a report date given as text, or from the latest adapter date."""
-    return run_report(requested_span(spark, src, text), src, targets, as_of)
+    return run_report(requested_span(spark, src, text, settings), src, targets, as_of)
