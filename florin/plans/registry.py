@@ -20,11 +20,19 @@ from florin.operators.report_dates import ReportSpan, business_day_span, window_
 from florin.plans import daily, job
 from florin.plans.incremental import run_incremental, statements_of
 from florin.session import fresh_path
+from florin.settings import DEFAULT, Settings
 from florin.sources.catalog import CONTRACTS, Sources, from_frames, from_tables
 from florin.sources.samples import sample_sources
 
 REPORT_DATE = date(2024, 1, 12)
 BACKFILL = (date(2024, 1, 1), date(2024, 1, 31))
+# A second institution over the same sources.
+OTHER = Settings(
+    holder="OTHER HOLDER",
+    central_bank_accounts={"central": ["62015990", "62015991"]},
+    commercial_accounts={"payroll": ["423816990", "434381323"], "operating": ["61100001577"]},
+    usd_accounts={"dollars": ["86110", "1901751916"]},
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,7 +69,16 @@ def _statements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _balances(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
-    return daily.available_balances(daily.available_metrics(span, src))
+    return daily.available_balances(daily.available_metrics(span, src), span.settings)
+
+
+def available_by_institution(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+    """Available funds of two institutions in one plan."""
+    parts = [
+        daily.available_union(_balances(span.under(settings), src)).withColumn("institution", F.lit(name))
+        for name, settings in (("first", DEFAULT), ("second", OTHER))
+    ]
+    return parts[0].unionByName(parts[1])
 
 
 # --- calendar over the dates found in the tables ------------------------------------
@@ -271,6 +288,7 @@ QUERIES: dict[str, Query] = {
     "available_funds_t0": _over_window(lambda span, src: daily.available_funds(_balances(span, src), "t0")),
     "available_funds_t1": _over_window(lambda span, src: daily.available_funds(_balances(span, src), "t1")),
     "available_union": _over_window(lambda span, src: daily.available_union(_balances(span, src))),
+    "available_by_institution": _over_window(available_by_institution),
     "money_market_settlement": _over_window(market.money_market_settlement),
     "money_market_same_day": _over_window(market.money_market_same_day),
     "concept_derivation": _over_window(movements.concept_derivation),

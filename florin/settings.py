@@ -108,6 +108,8 @@ class Settings:
     def __post_init__(self) -> None:
         for f in fields(self):
             object.__setattr__(self, f.name, _plain(getattr(self, f.name)))
+        for name in ("withdrawal_slots", "deposit_slots"):
+            object.__setattr__(self, name, [(start, end) for start, end in getattr(self, name)])
         _check_groups([*self.central_bank_accounts, *self.commercial_accounts, *self.usd_accounts], self.usd_accounts)
         _check_slots("withdrawal_slots", self.withdrawal_slots)
         _check_slots("deposit_slots", self.deposit_slots)
@@ -154,9 +156,8 @@ def seconds_of_day(clock: str) -> int:
 
 
 def _check_slots(name: str, slots: Slots) -> None:
-    bounds = [seconds_of_day(clock) for slot in slots for clock in slot]
-    ordered = all(a <= b for a, b in zip(bounds[::2], bounds[1::2], strict=True))
-    if not ordered or any(a >= b for a, b in pairwise(bounds) if bounds.index(a) % 2):
+    bounds = [(seconds_of_day(start), seconds_of_day(end)) for start, end in slots]
+    if any(start > end for start, end in bounds) or any(a[1] >= b[0] for a, b in pairwise(bounds)):
         raise ValueError(f"{name} must be in order and apart")
 
 

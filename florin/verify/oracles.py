@@ -137,29 +137,41 @@ USD = {
 }
 _OWN = "nombre_titular_cuenta = 'HOLDER SA'"
 
+# A second institution over the same sources: central bank, commercial and dollar accounts, holder.
+OTHER = (
+    {"central": "'62015990','62015991'"},
+    {"payroll": "'423816990','434381323'", "operating": "'61100001577'"},
+    {"dollars": "'86110','1901751916'"},
+)
+_OTHER_OWN = "nombre_titular_cuenta = 'OTHER HOLDER'"
+
 
-def _bank_sums() -> str:
+def _bank_sums(central: dict[str, str], commercial: dict[str, str], usd: dict[str, str], own: str) -> str:
     columns = []
-    for name, accounts in CENTRAL.items():
+    for name, accounts in central.items():
         columns.append(f"{zsum(f'CASE WHEN numero_cuenta IN ({accounts}) THEN ' + d('saldo_bancario_final') + ' END')} AS {name}")
-    for name, accounts in COMMERCIAL.items():
+    for name, accounts in commercial.items():
         columns.append(
-            f"{zsum(f'CASE WHEN numero_cuenta IN ({accounts}) AND {_OWN} THEN ' + d('saldo_bancario_final') + ' END')} AS {name}"
+            f"{zsum(f'CASE WHEN numero_cuenta IN ({accounts}) AND {own} THEN ' + d('saldo_bancario_final') + ' END')} AS {name}"
         )
-    for name, accounts in USD.items():
-        final = zsum(f"CASE WHEN numero_cuenta IN ({accounts}) AND {_OWN} THEN {d('saldo_bancario_final')} END")
-        clearing = zsum(f"CASE WHEN numero_cuenta IN ({accounts}) AND {_OWN} THEN {d('saldo_en_canje')} END")
+    for name, accounts in usd.items():
+        final = zsum(f"CASE WHEN numero_cuenta IN ({accounts}) AND {own} THEN {d('saldo_bancario_final')} END")
+        clearing = zsum(f"CASE WHEN numero_cuenta IN ({accounts}) AND {own} THEN {d('saldo_en_canje')} END")
         columns.append(f"{final} - ABS({clearing}) AS {name}")
     return ", ".join(columns)
 
 
-BALANCES = f"""
-    balances AS (
-      SELECT r.report_date, c.cut, {_bank_sums()}
+def _balances(name: str, sums: str) -> str:
+    return f"""
+    {name} AS (
+      SELECT r.report_date, c.cut, {sums}
       FROM rd r CROSS JOIN (VALUES ('t0'), ('t1')) AS c(cut)
       LEFT JOIN bank_balances b ON b.fecha_movimiento = CASE c.cut WHEN 't0' THEN r.bank_t0 ELSE r.bank_t1 END
       GROUP BY r.report_date, c.cut)
 """
+
+
+BALANCES = _balances("balances", _bank_sums(CENTRAL, COMMERCIAL, USD, _OWN))
 RATES = f"""
     rates AS (
       SELECT r.report_date,
@@ -167,13 +179,19 @@ RATES = f"""
         (SELECT {zsum(d('valor'))} FROM trm WHERE r.report_date BETWEEN vigencia_desde AND vigencia_hasta) AS rate_t1
       FROM rd r)
 """
-AVAILABLE = f"""
-    available AS (
-      SELECT b.report_date, b.cut, {' + '.join(CENTRAL)} AS banco_republica, {' + '.join(COMMERCIAL)} AS bancos_comerciales,
-        CAST({' + '.join(USD)} AS DECIMAL(20,4)) * CAST(CASE b.cut WHEN 't0' THEN rate_t0 ELSE rate_t1 END AS DECIMAL(14,4)) AS bancos_usd,
+
+
+def _available_of(name: str, balances: str, central: dict[str, str], commercial: dict[str, str], usd: dict[str, str]) -> str:
+    return f"""
+    {name} AS (
+      SELECT b.report_date, b.cut, {' + '.join(central)} AS banco_republica, {' + '.join(commercial)} AS bancos_comerciales,
+        CAST({' + '.join(usd)} AS DECIMAL(20,4)) * CAST(CASE b.cut WHEN 't0' THEN rate_t0 ELSE rate_t1 END AS DECIMAL(14,4)) AS bancos_usd,
         CASE b.cut WHEN 't0' THEN rate_t0 ELSE rate_t1 END AS trm
-      FROM balances b JOIN rates r ON b.report_date = r.report_date)
+      FROM {balances} b JOIN rates r ON b.report_date = r.report_date)
 """
+
+
+AVAILABLE = _available_of("available", "balances", CENTRAL, COMMERCIAL, USD)
 _AVAILABLE_COLUMNS = (
     outs("banco_republica", "bancos_comerciales", "bancos_usd", "trm")
     + f", {out('banco_republica + bancos_comerciales + bancos_usd')} AS total"
@@ -193,6 +211,14 @@ _UNION = (
     f"SELECT {_AVAILABLE_COLUMNS}, CASE cut WHEN 't0' THEN 'disponible_t-0' ELSE 'disponible_t-1' END AS tipo_disponible, "
     "report_date AS fecha_reporte FROM available"
 )
+_BY_INSTITUTION = _query(
+    f"""WITH {BALANCES}, {_balances("other_balances", _bank_sums(*OTHER, _OTHER_OWN))}, {RATES}, {AVAILABLE},
+      {_available_of("other", "other_balances", *OTHER)}
+      SELECT 'first' AS institution, * FROM ({_UNION})
+      UNION ALL SELECT 'second' AS institution, * FROM ({_UNION.replace("FROM available", "FROM other")})""",
+    "bank_balances",
+    "trm",
+)
 
 # --- money market -------------------------------------------------------------------------
 
@@ -917,6 +943,7 @@ ORACLES: dict[str, str] = {
     "available_funds_t0": _available("t0"),
     "available_funds_t1": _available("t1"),
     "available_union": _query(f"WITH {BALANCES}, {RATES}, {AVAILABLE} {_UNION}", "bank_balances", "trm"),
+    "available_by_institution": _BY_INSTITUTION,
     "money_market_settlement": _query(
         f"WITH {TRADES}, {MM} SELECT report_date, "
         + ", ".join(f"{out(('-' if n in _NEGATIVE else '') + 'mm_' + n)} AS {n}" for n in _SETTLING)
