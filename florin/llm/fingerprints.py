@@ -9,7 +9,9 @@ alike as far as the bits of their filters overlap beyond chance.
 Defined results: NULL is an empty text; the empty text has the fingerprint ``0:`` and is
 like another empty one (1) and unlike all others (0); a text shorter than a window is one
 feature; equal texts have equal fingerprints; rows of equal doc_id follow each other by
-hash of the text, rows without doc_id come last; a table of one row is its own next.
+hash of the text, rows equal in both in any order, rows without doc_id come last; a table of
+one row is its own next. A very long text is one item of its range; its bytes take about forty
+times their number in a task. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -24,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florin.llm.textbytes import flat, mixed, slices
+from florin.session import cut_lineage
 
 WINDOW = 32
 NEIGHBOURS = 32
@@ -204,43 +207,86 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - cut] + following[:cut]
 
 
+LOWEST = -(1 << 63)
+
+
+def _places(doc_id: pa.Array, not_h: pa.Array, no: pa.Array) -> np.ndarray:
+    """Places in ascending order as bytes: rows without doc_id, then by doc_id, not_h and no."""
+    whole = np.zeros((len(doc_id), 4), ">u8")
+    whole[:, 0] = doc_id.is_valid().to_numpy(zero_copy_only=False)
+    for i, column in enumerate((doc_id, not_h, no), 1):
+        numbers = column.cast(pa.int64()).fill_null(0).to_numpy(zero_copy_only=False)
+        whole[:, i] = numbers.view(np.uint64) ^ np.uint64(1 << 63)
+    return whole.view("S32").ravel()
+
+
+def _by_doc_id(rows: DataFrame, n_ranges: int) -> list[tuple] | None:
+    """Borders that part the rows by doc_id, with those without one in a range below all.
+
+    None where a doc_id, or the rows without one, would fill more than one range.
+    """
+    steps = [i / n_ranges for i in range(1, n_ranges)] or [0.5]
+    found = rows.agg(
+        F.percentile_approx("doc_id", steps, max(10_000, 4 * n_ranges)).alias("borders"),
+        F.count(F.lit(1)).alias("n"),
+        F.count("doc_id").alias("known"),
+    ).first()
+    borders = found["borders"] or []
+    # In a table of few doc_ids borders repeat, too, but a range of it is small.
+    crowded = found["n"] > n_ranges and len(set(borders)) < len(borders)
+    if crowded or (found["n"] - found["known"]) * n_ranges > 2 * found["n"]:
+        return None
+    return [(LOWEST, LOWEST, LOWEST), *((value, LOWEST, LOWEST) for value in sorted(set(borders)))]
+
+
+def _by_number(rows: DataFrame, n_ranges: int) -> list[tuple]:
+    """Borders that part numbered rows evenly, also rows of one doc_id and equal ones."""
+    key = [F.col("doc_id").asc_nulls_first(), "not_h", "no"]
+    parts = rows.select("doc_id", "not_h", "no").repartitionByRange(n_ranges, *key)
+    least = parts.groupBy(F.spark_partition_id()).agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "not_h", "no")).alias("least"))
+    found = sorted((r["least"] for r in least.collect()), key=lambda b: (b["known"], b["doc_id"] or 0, b["not_h"], b["no"]))
+    return [(b["doc_id"], b["not_h"], b["no"]) for b in found[1:]]
+
+
 def followed(docs: DataFrame, n_ranges: int) -> DataFrame:
     """(doc_id, text, h, range_, borrowed): ranges of doc_id, each with the first row of the range after it.
 
-    Texts move once. The driver gets the ranges' borders and first rows, two numbers each.
+    Texts move once. Where one doc_id has, or rows without doc_id are, more than a range's share, the
+    rows are written and numbered first and the ranges part them by text hash and number, too.
+    The driver gets the ranges' borders and first rows, three numbers each.
     """
     spark = docs.sparkSession
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    steps = [i / n_ranges for i in range(1, n_ranges)] or [0.5]
-    borders = rows.agg(F.percentile_approx("doc_id", steps, 10_000).alias("b")).collect()[0]["b"]
-    borders = np.array(sorted(set(borders or [])), np.int64)
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    found = _by_doc_id(rows, n_ranges)
+    if found is None:
+        rows = cut_lineage(rows).withColumn("no", F.monotonically_increasing_id())
+    else:
+        rows = rows.withColumn("no", F.lit(0).cast("long"))
+    rows = rows.withColumn("not_h", F.bitwise_not("h"))
+    if found is None:
+        found = _by_number(rows, n_ranges)
+    borders = _places(*(pa.array([b[i] for b in found], pa.int64()) for i in range(3)))
 
     @F.arrow_udf("int")
-    def range_of(ids: pa.Array) -> pa.Array:
-        known = ids.fill_null(0).to_numpy(zero_copy_only=False)
-        # Rows without doc_id come last, in a range below all.
-        found = np.searchsorted(borders, known, side="right") + 1
-        found[ids.is_null().to_numpy(zero_copy_only=False)] = 0
-        return pa.array(found.astype(np.int32))
-
-    ranged = rows.withColumn("range_", range_of(F.col("doc_id"))).withColumn("h", F.xxhash64("text"))
-    first = ranged.groupBy("range_").agg(F.max(F.struct("doc_id", F.bitwise_not("h").alias("not_h"))).alias("f"))
+    def range_of(ids: pa.Array, not_h: pa.Array, no: pa.Array) -> pa.Array:
+        return pa.array(np.searchsorted(borders, _places(ids, not_h, no), side="right").astype(np.int32))
+
+    ranged = rows.withColumn("range_", range_of("doc_id", "not_h", "no"))
+    first = ranged.groupBy("range_").agg(F.max(F.struct("doc_id", "not_h", "no")).alias("f"))
     heads = sorted(first.collect(), key=lambda r: r["range_"])
     # In descending order the range before another is the next higher one; the lowest wraps to the top.
-    lent = [
-        (r["range_"], r["f"]["doc_id"], ~r["f"]["not_h"], heads[(i + 1) % len(heads)]["range_"])
-        for i, r in enumerate(heads)
-    ]
-    table = spark.createDataFrame(lent, "r int, id long, id_h long, borrower int")
-    same = (F.col("range_") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("h") == F.col("id_h"))
+    lent = [(r["range_"], *r["f"], heads[(i + 1) % len(heads)]["range_"]) for i, r in enumerate(heads)]
+    table = spark.createDataFrame(lent, "r int, id long, id_not_h long, id_no long, borrower int")
+    same = (F.col("range_") == F.col("r")) & F.col("doc_id").eqNullSafe(F.col("id"))
+    same &= (F.col("not_h") == F.col("id_not_h")) & (F.col("no") == F.col("id_no"))
     own = F.struct(F.col("range_").alias("range_"), F.lit(False).alias("borrowed"))
     copy = F.struct(F.col("borrower").alias("range_"), F.lit(True).alias("borrowed"))
-    # At most n_ranges + 2 rows of four numbers.
+    # At most n_ranges + 2 rows of five numbers.
     lending = ranged.join(F.broadcast(table), same, "left")
     where = F.when(F.col("borrower").isNotNull(), F.array(own, copy)).otherwise(F.array(own))
-    dealt = lending.select("doc_id", "text", "h", F.inline(where))
+    dealt = lending.select("doc_id", "text", "h", "no", F.inline(where))
     return dealt.repartitionById(n_ranges + 1, "range_").sortWithinPartitions(
-        "range_", "borrowed", F.desc_nulls_last("doc_id"), "h"
+        "range_", "borrowed", F.desc_nulls_last("doc_id"), "h", F.desc("no")
     )
 
 
