@@ -10,7 +10,8 @@ number of languages.
 
 Defined results: NULL text, empty text and text without a letter give ``und`` and
 score 0; equal code lengths give the first language by name; without any training row
-every text is ``und``; repeated rows and extra columns pass through unchanged.
+every text is ``und``; repeated rows and extra columns pass through unchanged. A very long
+text is scored whole, with about forty bytes of a task's memory for each of its bytes.
 """
 
 from __future__ import annotations
@@ -32,6 +33,7 @@ from florin.session import cut_lineage
 
 ORDER = 4  # bytes of the longest context
 SAMPLE_DOCS = 300  # training documents per language at most
+SAMPLE_GROUPS = 64  # of a language's rows, by which its first rows are found
 LANGUAGES_AT_ONCE = 4  # languages that share tables
 UNKNOWN = "und"
 
@@ -59,18 +61,19 @@ def offsets_in_text(offsets: np.ndarray) -> np.ndarray:
 
 
 def training_rows(docs: DataFrame, sample_docs: int) -> DataFrame:
-    """(lang, text) of a bounded, seeded sample: whole texts, the same number of rows per language, every language."""
+    """(lang, text) of a bounded, seeded sample: whole texts, the same number of rows per language, every language.
+
+    The first rows by hash are found in groups of a language's rows, then among the groups'
+    first ones, so that no task gets what every task of the scan has of a common language.
+    """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull())
     place = F.struct(F.xxhash64("doc_id", F.lit(11)).alias("h"), "doc_id")
-    by_hash = Window.partitionBy("lang").orderBy("h", "doc_id")
-    last = (
-        labelled.select("lang", place.alias("place"))
-        .select("lang", "place", "place.*")
-        .withColumn("nth", F.row_number().over(by_hash))
-        .where(F.col("nth") <= sample_docs)
-        .groupBy("lang")
-        .agg(F.max("place").alias("last"))
-    )
+    group = F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(SAMPLE_GROUPS))
+    first = labelled.select("lang", place.alias("place"), group.alias("group")).select("*", "place.*")
+    for part in (["lang", "group"], ["lang"]):
+        by_hash = Window.partitionBy(*part).orderBy("h", "doc_id")
+        first = first.withColumn("nth", F.row_number().over(by_hash)).where(F.col("nth") <= sample_docs).drop("nth")
+    last = first.groupBy("lang").agg(F.max("place").alias("last"))
     # One row per language.
     chosen = labelled.select("lang", "text", place.alias("place")).join(F.broadcast(last), "lang")
     return chosen.where(F.col("place") <= F.col("last")).select("lang", "text")

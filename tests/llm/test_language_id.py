@@ -44,3 +44,16 @@ def test_sample_is_the_first_rows_by_hash(make_documents):
     first = {doc_id for _, doc_id in hashed[:20]}
     found = [(r["lang"], r["text"]) for r in language_id.training_rows(docs, 20).collect()]
     assert sorted(found) == sorted((name, text) for doc_id, text, name in rows if doc_id in first)
+
+
+def test_sample_is_the_same_by_groups(spark, make_documents, monkeypatch):
+    """A common language over many tasks: the first rows by hash, however they are grouped; few rows meet in one task."""
+    rows = [(i, f"text {i}", "aa" if i % 10 else "bb") for i in range(4000)]
+    docs = make_documents(rows).repartition(40)
+    hashed = sorted(map(tuple, docs.where("lang = 'aa'").select(F.xxhash64("doc_id", F.lit(11)), "doc_id").collect()))
+    expected = sorted(f"text {doc_id}" for _, doc_id in hashed[:30])
+    for groups in (1, 7, 64, 5000):
+        monkeypatch.setattr(language_id, "SAMPLE_GROUPS", groups)
+        sample = language_id.training_rows(docs, 30).collect()
+        assert sorted(r["text"] for r in sample if r["lang"] == "aa") == expected
+        assert sum(r["lang"] == "bb" for r in sample) == 30
