@@ -11,7 +11,6 @@ from florin.functions.amounts import AMOUNT, FACT, amount
 from florin.operators import losses
 from florin.operators.facts import TRANSFER, count_by, entry, held, of_window, one_of, per_report_date, tagged, times_n
 from florin.operators.report_dates import MOVEMENTS, ReportSpan, on_dates
-from florin.params import INSTANT_PAYMENT_EXPENSE, INSTANT_PAYMENT_INCOME
 from florin.settings import DEFAULT, Settings
 
 
@@ -158,6 +157,17 @@ def summed_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFram
     )
 
 
+def concept_codes(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+    """(report_date, code): the concept codes, given or derived, of each report date's movements, once each."""
+    moves = on_dates(src["cc_movements"], "fecha", span, [MOVEMENTS]).select("report_date", "operacion", "concepto")
+    asked = moves.where("concepto IS NULL AND operacion IS NOT NULL").select("report_date", "operacion").distinct()
+    operations = of_window(src["unity_operations"], "consecutivo", asked, "operacion")
+    derived = operations.select("consecutivo", derived_code(span.settings).alias("code")).distinct()
+    by_operation = asked.join(derived, asked["operacion"] == derived["consecutivo"]).select("report_date", "code")
+    given = moves.select("report_date", F.col("concepto").alias("code"))
+    return given.union(by_operation).where("code IS NOT NULL").distinct()
+
+
 def named_movements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     """``summed_movements`` under their concept names; only third-party ones keep a match_amount."""
     conf, summed = span.settings, summed_movements(span, src)
@@ -242,11 +252,12 @@ def movement_facts(
 
 
 def unity_totals(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
-    """The concept totals with expenses turned positive, plus the instant-payment zeros."""
+    """The concept totals with expenses turned positive, plus the instant-payment amounts of the settings."""
+    conf = span.settings
     wide = per_report_date(span, movement_facts(span, src), METRICS)
     return wide.select(
         "report_date",
         *[(-F.col(m) if m in FLIPPED else F.col(m)).alias(m) for m in METRICS],
-        F.lit(INSTANT_PAYMENT_INCOME).cast(FACT).alias("breb_in"),
-        F.lit(INSTANT_PAYMENT_EXPENSE).cast(FACT).alias("breb_out"),
+        F.lit(conf.instant_payment_income).cast(FACT).alias("breb_in"),
+        F.lit(conf.instant_payment_expense).cast(FACT).alias("breb_out"),
     )

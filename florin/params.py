@@ -231,6 +231,77 @@ EXPENSE_LINES = [
     "045_otros_egresos",
 ]
 
+# Lines of the statements in order: SQL over the metrics and the values derived from them.
+INCOME_STATEMENT = dict(
+    zip(
+        INCOME_LINES,
+        [
+            "credit_income",
+            "confirming_income",
+            "mm_sell_tes + sd_sell_tes",
+            "mm_sell_priv + sd_sell_priv",
+            "yields",
+            "mm_sim_tes_active",
+            "mm_sim_priv_active",
+            "mm_repo_active + sd_repo_active_sell",
+            "sd_sim_tes_passive",
+            "sd_sim_priv_passive",
+            "sd_repo_passive_sell",
+            "mm_ttv_sell + sd_ttv_sell",
+            "account_variation",
+            "renewals",
+            "cdt_issued",
+            "GREATEST(pnl, 0)",
+            "otc_in",
+            "bonds_issued",
+            "0",
+            "income_ach",
+            "cop_in + instant_income",
+            "usd_income",
+            "dollar_comp",
+            "sebra_fx_in",
+            "other_in + other_ops_in + third_in + LEAST(change_variation, 0)",
+        ],
+        strict=True,
+    )
+)
+# Movement expenses are negative metrics, market metrics are unsigned.
+EXPENSE_STATEMENT = dict(
+    zip(
+        EXPENSE_LINES,
+        [
+            "ABS(mm_sim_tes_passive)",
+            "ABS(mm_sim_priv_passive)",
+            "ABS(mm_repo_passive) + sd_repo_passive_buy",
+            "ABS(mm_ttv_buy) + sd_ttv_buy",
+            "sd_sim_tes_active",
+            "sd_sim_priv_active",
+            "sd_repo_active_buy",
+            "ABS(renewals - due_cdt)",
+            "0",
+            "ABS(repurchases)",
+            "ABS(LEAST(pnl, 0))",
+            "-otc_out",
+            "0",
+            "0",
+            "ABS(credit_outcome) + ABS(adaptor)",
+            "ABS(confirming_negative)",
+            "ABS(mm_buy_tes) + sd_buy_tes",
+            "ABS(mm_buy_priv) + sd_buy_priv",
+            "ABS(pay_findeter)",
+            "CASE WHEN income_ach >= 0 THEN ABS(outcome_ach) ELSE outcome_ach + ABS(income_ach) END",
+            "ABS(gmf)",
+            "ABS(cop_out) + instant_expense",
+            "usd_outcome",
+            "ABS(LEAST(dollar_comp, 0))",
+            "ABS(expense_sebra)",
+            "ABS(sebra_fx_out)",
+            "ABS(third_out - other_out - other_ops_out) + GREATEST(change_variation, 0)",
+        ],
+        strict=True,
+    )
+)
+
 # Instant-payment totals are not sourced yet; the statements carry them as zero.
 INSTANT_PAYMENT_INCOME = 0
 INSTANT_PAYMENT_EXPENSE = 0

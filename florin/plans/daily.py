@@ -6,6 +6,7 @@ from collections.abc import Iterable, Mapping
 from datetime import date
 from functools import reduce
 
+from pyspark.errors import AnalysisException, ParseException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -113,6 +114,8 @@ def basics(conf: Settings = DEFAULT) -> dict[str, str]:
         "dollar_comp": "mm_dollar_sell - ABS(mm_dollar_buy) + sd_dollar_sell - sd_dollar_buy",
         "usd_income": convert("usd_in", "rate_t0"),
         "usd_outcome": convert("ABS(usd_out)", "rate_t0"),
+        "instant_income": f"{conf.instant_payment_income:f}",
+        "instant_expense": f"{conf.instant_payment_expense:f}",
         **_available(conf),
     }
 
@@ -135,78 +138,6 @@ def flows(conf: Settings = DEFAULT) -> dict[str, str]:
     }
 
 
-INCOME = dict(
-    zip(
-        params.INCOME_LINES,
-        [
-            "credit_income",
-            "confirming_income",
-            "mm_sell_tes + sd_sell_tes",
-            "mm_sell_priv + sd_sell_priv",
-            "yields",
-            "mm_sim_tes_active",
-            "mm_sim_priv_active",
-            "mm_repo_active + sd_repo_active_sell",
-            "sd_sim_tes_passive",
-            "sd_sim_priv_passive",
-            "sd_repo_passive_sell",
-            "mm_ttv_sell + sd_ttv_sell",
-            "account_variation",
-            "renewals",
-            "cdt_issued",
-            "GREATEST(pnl, 0)",
-            "otc_in",
-            "bonds_issued",
-            "0",
-            "income_ach",
-            f"cop_in + {params.INSTANT_PAYMENT_INCOME}",
-            "usd_income",
-            "dollar_comp",
-            "sebra_fx_in",
-            "other_in + other_ops_in + third_in + LEAST(change_variation, 0)",
-        ],
-        strict=True,
-    )
-)
-
-# Movement expenses are negative metrics, market metrics are unsigned.
-EXPENSE = dict(
-    zip(
-        params.EXPENSE_LINES,
-        [
-            "ABS(mm_sim_tes_passive)",
-            "ABS(mm_sim_priv_passive)",
-            "ABS(mm_repo_passive) + sd_repo_passive_buy",
-            "ABS(mm_ttv_buy) + sd_ttv_buy",
-            "sd_sim_tes_active",
-            "sd_sim_priv_active",
-            "sd_repo_active_buy",
-            "ABS(renewals - due_cdt)",
-            "0",
-            "ABS(repurchases)",
-            "ABS(LEAST(pnl, 0))",
-            "-otc_out",
-            "0",
-            "0",
-            "ABS(credit_outcome) + ABS(adaptor)",
-            "ABS(confirming_negative)",
-            "ABS(mm_buy_tes) + sd_buy_tes",
-            "ABS(mm_buy_priv) + sd_buy_priv",
-            "ABS(pay_findeter)",
-            "CASE WHEN income_ach >= 0 THEN ABS(outcome_ach) ELSE outcome_ach + ABS(income_ach) END",
-            "ABS(gmf)",
-            f"ABS(cop_out) + {params.INSTANT_PAYMENT_EXPENSE}",
-            "usd_outcome",
-            "ABS(LEAST(dollar_comp, 0))",
-            "ABS(expense_sebra)",
-            "ABS(sebra_fx_out)",
-            "ABS(third_out - other_out - other_ops_out) + GREATEST(change_variation, 0)",
-        ],
-        strict=True,
-    )
-)
-
-
 def with_flows(metrics: DataFrame, conf: Settings = DEFAULT) -> DataFrame:
     """Metrics plus the derived values the statements share."""
     first = metrics.selectExpr("*", *[f"{line(sql)} AS {name}" for name, sql in basics(conf).items()])
@@ -221,22 +152,38 @@ def _expense(name: str) -> str:
     return f"`expense_{name}`"
 
 
+def _unplanned(shared: DataFrame, lines: Mapping[str, str]) -> ValueError | None:
+    """What is wrong with the first line that cannot be planned; None where all can."""
+    for name, sql in lines.items():
+        try:
+            shared.selectExpr("report_date", sql)
+        except (AnalysisException, ParseException) as error:
+            return ValueError(f"statement line {name}: {error}")
+    return None
+
+
 def statements(metrics: DataFrame, conf: Settings = DEFAULT) -> DataFrame:
     """Unrounded statements, available funds and summary, one row per report date.
 
-    ``conf``: the settings of the span that the metrics are of.
+    ``conf``: the settings of the span that the metrics are of; ``report`` takes them from there.
     """
-    lines = with_flows(metrics, conf).selectExpr(
-        "report_date",
-        *[f"{cut}_{name}" for cut in CUTS for name in params.AVAILABLE_COLUMNS],
-        *[f"{line(sql)} AS {_income(name)}" for name, sql in INCOME.items()],
-        *[f"{line(sql)} AS {_expense(name)}" for name, sql in EXPENSE.items()],
-        *[m for m in losses.METRICS if m in metrics.columns],
-    )
+    shared = with_flows(metrics, conf)
+    columns = {_income(name): sql for name, sql in conf.income_statement.items()}
+    columns |= {_expense(name): sql for name, sql in conf.expense_statement.items()}
+    own = {name: f"{line(sql)} AS {name}" for name, sql in columns.items()}
+    try:
+        lines = shared.selectExpr(
+            "report_date",
+            *[f"{cut}_{name}" for cut in CUTS for name in params.AVAILABLE_COLUMNS],
+            *own.values(),
+            *[m for m in losses.METRICS if m in metrics.columns],
+        )
+    except (AnalysisException, ParseException) as error:
+        raise _unplanned(shared, own) or error from error
     totals = lines.selectExpr(
         "*",
-        f"{total(map(_income, INCOME))} AS income_total",
-        f"{total(map(_expense, EXPENSE))} AS expense_total",
+        f"{total(map(_income, conf.income_statement))} AS income_total",
+        f"{total(map(_expense, conf.expense_statement))} AS expense_total",
         f"{line('t0_total - t1_total')} AS variation",
     )
     flows = totals.selectExpr("*", f"{line('income_total - expense_total')} AS flow")
@@ -247,9 +194,30 @@ def statements(metrics: DataFrame, conf: Settings = DEFAULT) -> DataFrame:
     )
 
 
+def report(
+    span: ReportSpan, src: Mapping[str, DataFrame], as_of: date | None = None, count_rows: bool = False
+) -> DataFrame:
+    """``statements`` of the span under its own settings."""
+    return statements(daily_metrics(span, src, as_of, count_rows), span.settings)
+
+
 # Output tables: column -> SQL over statements().
-INCOME_TABLE = {**{f"`{n}`": money(_income(n)) for n in INCOME}, "total": money("income_total")}
-EXPENSE_TABLE = {**{f"`{n}`": money(_expense(n)) for n in EXPENSE}, "total": money("expense_total")}
+
+
+def _statement_table(stated: DataFrame, side: str) -> dict[str, str]:
+    names = [c.removeprefix(f"{side}_") for c in stated.columns if c.startswith(f"{side}_") and c != f"{side}_total"]
+    return {**{f"`{n}`": money(f"`{side}_{n}`") for n in names}, "total": money(f"{side}_total")}
+
+
+def income_table(stated: DataFrame) -> dict[str, str]:
+    """The lines that ``stated`` has, so that no settings are needed again."""
+    return _statement_table(stated, "income")
+
+
+def expense_table(stated: DataFrame) -> dict[str, str]:
+    return _statement_table(stated, "expense")
+
+
 SUMMARY_TABLE = {
     "variacion_disponible": money("variation"),
     "total_flujo": money("flow"),
@@ -267,11 +235,11 @@ def _table(stated: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def income_statement(stated: DataFrame) -> DataFrame:
-    return _table(stated, INCOME_TABLE)
+    return _table(stated, income_table(stated))
 
 
 def expense_statement(stated: DataFrame) -> DataFrame:
-    return _table(stated, EXPENSE_TABLE)
+    return _table(stated, expense_table(stated))
 
 
 def cash_summary(stated: DataFrame) -> DataFrame:
@@ -350,7 +318,7 @@ def daily_inputs(metrics: DataFrame) -> DataFrame:
 
 def ach_net_flow(metrics: DataFrame, conf: Settings = DEFAULT) -> DataFrame:
     names = ["dollar_comp", "income_ach", "outcome_ach"]
-    withdrawals = EXPENSE["045_retiros_ach"]
+    withdrawals = params.EXPENSE_STATEMENT["045_retiros_ach"]
     return with_flows(metrics, conf).selectExpr(
         "report_date", *[f"{money(n)} AS {n}" for n in names], f"{money(withdrawals)} AS retiros_ach"
     )

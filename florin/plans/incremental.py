@@ -3,7 +3,8 @@
 With every run a count and a checksum of each source's parts is stored: a part is a source
 date, or, of a source without dates of its own, a hash range of its key. A changed part
 leads to report dates through the bridge, or through the rows of the dated source that its
-key is joined to; these dates are computed again, all others keep their stored rows.
+key is joined to (a concept name: through the codes, given or derived, of the movements);
+these dates are computed again, all others keep their stored rows.
 
 Checksums are sums of row hashes: they depend on neither order nor files. The state is
 read before the report, so that what changes while it runs is found by the next run.
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from florin.operators.merge import existing, upsert
+from florin.operators.movements import concept_codes
 from florin.operators.report_dates import (
     BANK_T0,
     BANK_T1,
@@ -55,8 +57,9 @@ KEYED = {
     "deposit_account": ("id_cuenta_deposito", [("balance", "id_cuenta")]),
     "umbrella": ("cuenta_bancaria", [("multicash", "cuenta_bancaria")]),
 }
-# A change of these concerns every date; settings are a part of their own.
-WHOLE = ["homologation"]
+# Concept names are joined to codes that are in part derived: see ``movements.concept_codes``.
+CONCEPTS, CONCEPT_KEY = "homologation", "codigo_contable"
+# A change of the settings concerns every date; they are a part of their own.
 SETTINGS = "settings"
 RATES = "trm"  # valid from day to day: a part is a day
 RATE_CUTS = [PREVIOUS, REPORT]
@@ -88,9 +91,8 @@ def source_state(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     for source, (day, cuts) in DATED.items():
         rows = src[source].where(span.reads(day, cuts))
         parts.append(_summed(rows, source, F.col(day).cast("string")))
-    for source, (key, _) in KEYED.items():
+    for source, key in [*((s, key) for s, (key, _) in KEYED.items()), (CONCEPTS, CONCEPT_KEY)]:
         parts.append(_summed(src[source], source, _key_part(key)))
-    parts += [_summed(src[source], source, F.lit("all")) for source in WHOLE]
     first, last = (F.lit(d) for d in span.source_bounds)
     valid = src[RATES].where("vigencia_desde <= vigencia_hasta").where((F.col("vigencia_desde") <= last) & (F.col("vigencia_hasta") >= first))
     days = F.sequence(F.greatest("vigencia_desde", first), F.least("vigencia_hasta", last))
@@ -109,18 +111,26 @@ def changed_parts(before: DataFrame, after: DataFrame) -> DataFrame:
 
 def dates_to_redo(span: ReportSpan, src: Mapping[str, DataFrame], changes: DataFrame) -> list[date]:
     """The report dates of the span that read a changed part; the driver gets these dates only."""
-    if not changes.where(F.col("source").isin([*WHOLE, SETTINGS])).isEmpty():
+    concerned = {r[0] for r in changes.select("source").distinct().collect()}
+    if SETTINGS in concerned:
         return sorted(r[0] for r in span.listed.distinct().collect())
+    if not concerned:
+        return []
 
     def of(source: str) -> DataFrame:
         return changes.where(F.col("source") == source).select("part")
 
-    found = [_read_dates(span, source).join(of(source), "part", "left_semi") for source in [*DATED, RATES]]
-    for source, (_, partners) in KEYED.items():
-        for partner, key in partners:
+    found = [
+        _read_dates(span, source).join(of(source), "part", "left_semi") for source in [*DATED, RATES] if source in concerned
+    ]
+    for source in concerned & set(KEYED):
+        for partner, key in KEYED[source][1]:
             day, cuts = DATED[partner]
             rows = on_dates(src[partner], day, span, cuts).select("report_date", _key_part(key).alias("part")).distinct()
             found.append(rows.join(of(source), "part", "left_semi"))
+    if CONCEPTS in concerned:
+        rows = concept_codes(span, src).select("report_date", _key_part("code").alias("part")).distinct()
+        found.append(rows.join(of(CONCEPTS), "part", "left_semi"))
     days = reduce(DataFrame.union, [f.select("report_date") for f in found]).distinct()
     return sorted(r[0] for r in days.collect())
 
@@ -138,7 +148,7 @@ def refreshed(
     if not days:
         return None, []
     again = listed_span(span.anchors.sparkSession, days).under(span.settings)
-    return daily.statements(daily.daily_metrics(again, src), again.settings), days
+    return daily.report(again, src), days
 
 
 def run_incremental(span: ReportSpan, src: Mapping[str, DataFrame], folder: str) -> list[date]:
@@ -153,7 +163,7 @@ def run_incremental(span: ReportSpan, src: Mapping[str, DataFrame], folder: str)
     stored, stored_state = existing(spark, kept), existing(spark, notes)
     if stored is None or stored_state is None:
         days = sorted(r[0] for r in span.listed.distinct().collect())
-        stated = daily.statements(daily.daily_metrics(span, src), span.settings)
+        stated = daily.report(span, src)
     else:
         stated, days = refreshed(span, src, state, stored_state, stored)
         # Parts that only other report dates read stay as they were.
@@ -167,6 +177,12 @@ def run_incremental(span: ReportSpan, src: Mapping[str, DataFrame], folder: str)
 
 
 def statements_of(span: ReportSpan, folder: str) -> DataFrame:
-    """The stored statements of the span's report dates."""
-    stored = existing(span.anchors.sparkSession, f"{folder.rstrip('/')}/statements")
-    return stored.join(span.listed.distinct(), "report_date", "left_semi")
+    """The stored statements of the span's report dates, with the lines of its settings in their order.
+
+    Lines that only runs under other settings had are left out.
+    """
+    stored, conf = existing(span.anchors.sparkSession, f"{folder.rstrip('/')}/statements"), span.settings
+    lines = [f"income_{n}" for n in conf.income_statement] + [f"expense_{n}" for n in conf.expense_statement]
+    own = [c for c in stored.columns if c.endswith("_total") or not c.startswith(("income_", "expense_"))]
+    kept = stored.select(*[F.col(f"`{c}`") for c in own if c not in lines], *[F.col(f"`{c}`") for c in lines])
+    return kept.join(span.listed.distinct(), "report_date", "left_semi")

@@ -18,13 +18,17 @@ from florin.plans import daily
 from florin.session import cut_lineage
 from florin.settings import DEFAULT, Settings
 
-SECTIONS: list[Section] = [
-    (params.SECTION_INCOME, daily.INCOME_TABLE),
-    (params.SECTION_EXPENSE, daily.EXPENSE_TABLE),
-    (params.SECTION_T0, daily.available_table("t0")),
-    (params.SECTION_T1, daily.available_table("t1")),
-    (params.SECTION_SUMMARY, daily.SUMMARY_TABLE),
-]
+
+
+def sections(stated: DataFrame) -> list[Section]:
+    """Sections of the transposed report, with the lines that ``stated`` has."""
+    return [
+        (params.SECTION_INCOME, daily.income_table(stated)),
+        (params.SECTION_EXPENSE, daily.expense_table(stated)),
+        (params.SECTION_T0, daily.available_table("t0")),
+        (params.SECTION_T1, daily.available_table("t1")),
+        (params.SECTION_SUMMARY, daily.SUMMARY_TABLE),
+    ]
 
 
 @dataclass(frozen=True)
@@ -67,7 +71,7 @@ def report_days(span: ReportSpan) -> list[date]:
 
 
 def transposed_report(span: ReportSpan, stated: DataFrame) -> DataFrame:
-    return transposed(stated, SECTIONS, report_days(span))
+    return transposed(stated, sections(stated), report_days(span))
 
 
 def run_report(
@@ -77,8 +81,10 @@ def run_report(
 
     ``losses.uncounted_rows`` over what is returned says, per report date and source, how many
     rows were read, unmatched and malformed; it reads the stored statements and no source again.
+    A line that the settings no longer have keeps what a target's row had of it, as in any
+    merge: statements with other lines belong into targets of their own.
     """
-    stated = cut_lineage(daily.statements(daily.daily_metrics(span, src, as_of, count_rows=True), span.settings))
+    stated = cut_lineage(daily.report(span, src, as_of, count_rows=True))
     tables = [
         (daily.income_statement(stated), targets.income, params.MERGE_KEYS),
         (daily.expense_statement(stated), targets.expense, params.MERGE_KEYS),
@@ -91,11 +97,11 @@ def run_report(
         lost = losses.uncounted_rows(stated).withColumnRenamed("report_date", "fecha_reporte")
         upsert(daily.stamped(lost), targets.losses, [*params.MERGE_KEYS, "source"], params.PARTITION_KEYS)
     if targets.report:
-        # 68 lines, whatever the size of the sources.
+        # One row per line of the report, whatever the size of the sources.
         ordered = transposed_report(span, stated).orderBy("section_no", "line_no")
         ordered.coalesce(1).write.mode("overwrite").option("header", "true").csv(targets.report)
     if targets.long_report:
-        lines = unpivoted(stated, SECTIONS).hint("rebalance", "report_date")
+        lines = unpivoted(stated, sections(stated)).hint("rebalance", "report_date")
         lines.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("report_date").parquet(
             targets.long_report
         )

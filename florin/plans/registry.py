@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable, Mapping
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,6 +18,7 @@ from florin.operators.facts import TRANSFER, per_report_date
 from florin.operators.merge import merge_by_keys, read_partitioned, schema_sync, upsert_partitioned
 from florin.operators.newest import maintain_newest
 from florin.operators.report_dates import ReportSpan, business_day_span, window_span
+from florin.operators.transpose import unpivoted
 from florin.plans import daily, job
 from florin.plans.incremental import run_incremental, statements_of
 from florin.session import fresh_path
@@ -33,6 +35,22 @@ OTHER = Settings(
     commercial_accounts={"payroll": ["423816990", "434381323"], "operating": ["61100001577"]},
     usd_accounts={"dollars": ["86110", "1901751916"]},
 )
+# The first one, with statements of a few lines and instant payments.
+CONDENSED = replace(
+    DEFAULT,
+    income_statement={
+        "treasury": "mm_sell_tes + sd_sell_tes + mm_sell_priv + sd_sell_priv + yields",
+        "deposits": "account_variation + renewals + cdt_issued + bonds_issued",
+        "payments": "income_ach + cop_in + usd_income + instant_income",
+    },
+    expense_statement={
+        "treasury": "ABS(mm_buy_tes) + sd_buy_tes + ABS(mm_buy_priv) + sd_buy_priv",
+        "certificates": "ABS(repurchases) + ABS(renewals - due_cdt)",
+        "payments": "ABS(outcome_ach) + ABS(cop_out) + usd_outcome + instant_expense",
+    },
+    instant_payment_income="1250.75",
+    instant_payment_expense=300,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,7 +83,21 @@ def _metrics(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def _statements(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
-    return daily.statements(daily.daily_metrics(span, src))
+    return daily.report(span, src)
+
+
+def condensed_report(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+    """The long report of an institution with lines of its own."""
+    stated = _statements(span.under(CONDENSED), src)
+    return unpivoted(stated, job.sections(stated))
+
+
+def concept_codes(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
+    """The concept codes of each report date, with the number of their names."""
+    names = src["homologation"].groupBy("codigo_contable").agg(F.count_distinct("concepto_cud").alias("n_names"))
+    codes = movements.concept_codes(span, src)
+    named = codes.join(names, codes["code"] == names["codigo_contable"], "left")
+    return named.select("report_date", "code", F.coalesce("n_names", F.lit(0)).alias("n_names"))
 
 
 def _balances(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
@@ -292,6 +324,7 @@ QUERIES: dict[str, Query] = {
     "money_market_settlement": _over_window(market.money_market_settlement),
     "money_market_same_day": _over_window(market.money_market_same_day),
     "concept_derivation": _over_window(movements.concept_derivation),
+    "concept_codes": _over_window(concept_codes),
     "concept_homologation": _over_window(movements.concept_homologation),
     "unmapped_concepts": _over_window(movements.unmapped_concepts),
     "unity_totals": _over_window(movements.unity_totals),
@@ -317,6 +350,7 @@ QUERIES: dict[str, Query] = {
     "cash_summary": _over_window(lambda span, src: daily.cash_summary(_statements(span, src))),
     "cash_summary_backfill": cash_summary_backfill,
     "cash_summary_incremental": cash_summary_incremental,
+    "condensed_report": _over_window(condensed_report),
     "report_transpose": _over_window(lambda span, src: job.transposed_report(span, _statements(span, src))),
     "uncounted_rows": _over_window(daily.uncounted_rows),
     "schema_sync_union": _over_window(schema_sync_union),

@@ -2,7 +2,8 @@
 
 ``ReportSpan.settings`` holds it, and every plan takes it from its span, so that reports of
 several institutions can be planned in one session. The defaults are those of ``params``.
-Names of output lines are no settings: the report's readers share them.
+The lines of the statements are settings, too: a name and SQL over the metrics of
+``plans.daily`` and the values derived from them.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import re
 from collections.abc import Mapping, Sequence
 from dataclasses import asdict, dataclass, field, fields
 from datetime import date
+from decimal import Decimal
 from itertools import pairwise
 
 from florin import params
@@ -104,6 +106,11 @@ class Settings:
     late_cycle: int = params.LATE_CYCLE
     cycles: int = params.CYCLES
     originator_account: str = params.ORIGINATOR_ACCOUNT
+    # Statement lines in order, and what instant payments add to every report date (an expense is positive)
+    income_statement: Mapping[str, str] = _copy(params.INCOME_STATEMENT)
+    expense_statement: Mapping[str, str] = _copy(params.EXPENSE_STATEMENT)
+    instant_payment_income: Decimal | int | float | str = params.INSTANT_PAYMENT_INCOME
+    instant_payment_expense: Decimal | int | float | str = params.INSTANT_PAYMENT_EXPENSE
 
     def __post_init__(self) -> None:
         for f in fields(self):
@@ -113,6 +120,10 @@ class Settings:
         _check_groups([*self.central_bank_accounts, *self.commercial_accounts, *self.usd_accounts], self.usd_accounts)
         _check_slots("withdrawal_slots", self.withdrawal_slots)
         _check_slots("deposit_slots", self.deposit_slots)
+        for name in ("income_statement", "expense_statement"):
+            _check_lines(name, getattr(self, name))
+        for name in ("instant_payment_income", "instant_payment_expense"):
+            object.__setattr__(self, name, _amount(name, getattr(self, name)))
         if not 1 <= self.late_cycle <= self.cycles:
             raise ValueError(f"late_cycle {self.late_cycle} is none of the {self.cycles} cycles")
 
@@ -122,7 +133,8 @@ class Settings:
 
     def digest(self) -> str:
         """Equal for equal settings only, whatever the order of their account groups."""
-        text = json.dumps(asdict(self), sort_keys=True, default=str)
+        values = asdict(self) | {n: list(getattr(self, n).items()) for n in ("income_statement", "expense_statement")}
+        text = json.dumps(values, sort_keys=True, default=str)
         return hashlib.sha256(text.encode()).hexdigest()
 
 
@@ -155,6 +167,28 @@ def seconds_of_day(clock: str) -> int:
     return hours * 3600 + minutes * 60 + seconds
 
 
+def _check_lines(name: str, lines: Mapping[str, str]) -> None:
+    """Names of lines become column names of the output tables, next to their own columns."""
+    reserved = {"total", "fecha_reporte", "fecha_generacion", params.PERCENTAGE_COLUMN}
+    wrong = [n for n in lines if not re.fullmatch(r"[\w-]+", n) or n.lower() in reserved]
+    lower = [n.lower() for n in lines]
+    wrong += [n for n in lines if lower.count(n.lower()) > 1]
+    wrong += [n for n, sql in lines.items() if not isinstance(sql, str) or not sql.strip()]
+    if wrong or not lines:
+        raise ValueError(f"{name} cannot have lines {', '.join(dict.fromkeys(wrong))}" if wrong else f"{name} has no line")
+
+
+def _amount(name: str, value: object) -> Decimal:
+    """An amount of the statements' precision."""
+    try:
+        found = Decimal(str(value))
+    except ArithmeticError:
+        raise ValueError(f"{name} {value!r} is no amount") from None
+    if not found.is_finite() or abs(found) >= 10**14 or found != round(found, 4):
+        raise ValueError(f"{name} {value!r} is no amount of 14 digits and four decimals")
+    return found.quantize(Decimal("0.0001"))
+
+
 def _check_slots(name: str, slots: Slots) -> None:
     bounds = [(seconds_of_day(start), seconds_of_day(end)) for start, end in slots]
     if any(start > end for start, end in bounds) or any(a[1] >= b[0] for a, b in pairwise(bounds)):

@@ -733,6 +733,50 @@ def _transposed() -> str:
     return " UNION ALL ".join(parts)
 
 
+# Statements of a few lines, and instant payments.
+_FEW_INCOME = {
+    "treasury": "mm_sell_tes + sd_sell_tes + mm_sell_priv + sd_sell_priv + yields",
+    "deposits": "account_variation + renewals + cdt_issuances + bond_issuances",
+    "payments": "income_ach + cop_in + usd_income + 1250.75",
+}
+_FEW_EXPENSE = {
+    "treasury": "ABS(-mm_buy_tes) + sd_buy_tes + ABS(-mm_buy_priv) + sd_buy_priv",
+    "certificates": "ABS(repurchases) + ABS(due_cdt + renewals)",
+    "payments": "ABS(outcome_ach) + ABS(cop_out) + usd_outcome + 300",
+}
+
+
+def _condensed() -> str:
+    def rows(section_no: int, section: str, columns: dict[str, str], table: str) -> list[str]:
+        return [
+            f"SELECT report_date, {section_no} AS section_no, {i} AS line_no, '{section}' AS section, '{name}' AS metric, "
+            f"'{'percentage' if name == 'porcentaje_diferencia' else 'currency'}' AS format, {sql} AS value FROM {table}"
+            for i, (name, sql) in enumerate(columns.items(), 1)
+        ]
+
+    def lines(prefix: str, columns: dict[str, str]) -> str:
+        return ", ".join(f"CAST({sql} AS DECIMAL(30,8)) AS {prefix}_{n}" for n, sql in columns.items())
+
+    def summed(prefix: str, columns: dict[str, str]) -> str:
+        return " + ".join(f"{prefix}_{n}" for n in columns)
+
+    steps = (
+        f"few AS (SELECT report_date, {lines('i', _FEW_INCOME)}, {lines('e', _FEW_EXPENSE)}, "
+        "CAST((z_rep + z_com + z_usd) - (o_rep + o_com + o_usd) AS DECIMAL(30,8)) AS v FROM m), "
+        f"few_sums AS (SELECT *, {summed('i', _FEW_INCOME)} AS i_total, {summed('e', _FEW_EXPENSE)} AS e_total FROM few), "
+        "few_stated AS (SELECT *, i_total - e_total AS f, v - (i_total - e_total) AS diff FROM few_sums)"
+    )
+    funds = {n: out(n) for n in ("banco_republica", "bancos_comerciales", "bancos_usd", "trm")}
+    funds["total"] = out("banco_republica + bancos_comerciales + bancos_usd")
+    summary = {"variacion_disponible": out("v"), "total_flujo": out("f"), "diferencia": out("diff"), "porcentaje_diferencia": _PERCENT}
+    parts = rows(1, "INGRESOS", {n: out(f"i_{n}") for n in [*_FEW_INCOME, "total"]}, "few_stated")
+    parts += rows(2, "EGRESOS", {n: out(f"e_{n}") for n in [*_FEW_EXPENSE, "total"]}, "few_stated")
+    parts += rows(3, "DISPONIBLE T-0", funds, "available WHERE cut = 't0'")
+    parts += rows(4, "DISPONIBLE T-1", funds, "available WHERE cut = 't1'")
+    parts += rows(5, "RESUMEN DISPONIBLE", summary, "few_stated")
+    return _query(f"WITH {EVERYTHING}, {steps} {' UNION ALL '.join(parts)}", *ALL_TABLES)
+
+
 _MOVE_DAYS = "anchors AS (SELECT fecha AS report_date, COUNT(*) AS n_rows FROM cc_movements GROUP BY fecha)"
 _MERGED = """
     SELECT banco_republica, bancos_comerciales, bancos_usd, trm,
@@ -958,6 +1002,14 @@ ORACLES: dict[str, str] = {
         "money_market",
         "unity_operations",
     ),
+    "concept_codes": _query(
+        f"WITH {MOVES}, names AS (SELECT codigo_contable, COUNT(DISTINCT concepto_cud) AS n FROM homologation GROUP BY 1) "
+        "SELECT DISTINCT report_date, code, COALESCE(n, 0) AS n_names FROM moves LEFT JOIN names ON code = codigo_contable "
+        "WHERE code IS NOT NULL",
+        "cc_movements",
+        "unity_operations",
+        "homologation",
+    ),
     "concept_derivation": _query(
         f"WITH {MOVES} SELECT report_date, code AS concepto, COUNT(*) AS n_rows, {out(f'SUM({d("valor")})')} AS total "
         "FROM moves GROUP BY 1, 2",
@@ -1067,6 +1119,7 @@ ORACLES: dict[str, str] = {
     "cash_summary": _whole(_SUMMARY),
     "cash_summary_backfill": _whole(_SUMMARY, rd=RD_MONTH),
     "cash_summary_incremental": _whole(_SUMMARY, rd=RD_MONTH),
+    "condensed_report": _condensed(),
     "report_transpose": _whole(_transposed()),
     "schema_sync_union": _query(
         f"WITH {BALANCES}, {RATES}, {AVAILABLE}, unioned AS ({_UNION}) SELECT * REPLACE "

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from florin import params
-from florin.operators import losses
+from florin.operators import losses, movements
 from florin.operators.merge import read_partitioned
 from florin.operators.report_dates import business_day_span, window_span
 from florin.plans import daily, job
@@ -67,7 +67,7 @@ def test_a_change_on_one_date_computes_the_dates_that_read_it(spark, sample, tmp
 
 
 def test_changes_of_sources_without_dates(spark, sample, tmp_path):
-    """A key leads to the dates on which it occurs, a rate to the days it is valid, a concept name to all."""
+    """A key leads to the dates on which it occurs, a rate to the days it is valid, a concept name to its code's dates."""
     span, folder = business_day_span(spark, FIRST, LAST), str(tmp_path / "run")
     src = from_frames(spark, sample)
     run_incremental(span, src, folder)
@@ -89,12 +89,45 @@ def test_changes_of_sources_without_dates(spark, sample, tmp_path):
     changed["trm"] = sample["trm"].unionByName(rate.select(*[F.col(c).cast(sample["trm"].schema[c].dataType) for c in sample["trm"].columns]))
     assert run_incremental(span, from_frames(spark, changed), folder) == [DAY, date(2024, 1, 17)]
 
-    changed["homologation"] = without_one(sample["homologation"], "true")
-    assert len(run_incremental(span, from_frames(spark, changed), folder)) == 9
+    by_code = {}
+    for r in movements.concept_derivation(span, src).collect():
+        by_code.setdefault(r["concepto"], set()).add(r["report_date"])
+    known = {r[0] for r in sample["homologation"].select("codigo_contable").collect()}
+    code = min(known & set(by_code), key=lambda c: (len(by_code[c]), c))
+    changed["homologation"] = sample["homologation"].where(F.col("codigo_contable") != code)
+    assert run_incremental(span, from_frames(spark, changed), folder) == sorted(by_code[code])
     whole = daily.statements(daily.daily_metrics(span, from_frames(spark, changed)))
     assert rows(statements_of(span, folder).select(*whole.columns)) == rows(whole)
 
 
+def test_a_concept_name_concerns_the_dates_of_its_code(spark, tmp_path):
+    """Given codes and derived ones; a code that no date has, and one with leading zeros, which only redo too much."""
+    days = [date(2024, 1, 10), date(2024, 1, 11), date(2024, 1, 12)]
+    operation = {"consecutivo": 5, "clasificacion": "TTV"}
+    moves = [
+        {"fecha": days[0], "concepto": "7001", "valor": 3.0},
+        {"fecha": days[1], "operacion": 5, "valor": 4.0},
+        {"fecha": days[2], "operacion": 6, "valor": 5.0},
+        {"fecha": days[2], "valor": 6.0},
+    ]
+    span, folder = span_of(spark, *days), str(tmp_path / "run")
+
+    def src(**names):
+        homologation = [{"codigo_contable": c, "concepto_cud": n} for c, n in names.items()]
+        return tiny_sources(spark, cc_movements=moves, unity_operations=[operation] * 2, homologation=homologation)
+
+    gmf = params.GMF_CONCEPT
+    assert run_incremental(span, src(), folder) == days
+    assert run_incremental(span, src(**{"9": gmf}), folder) == []
+    assert run_incremental(span, src(**{"9": gmf, "7001": gmf}), folder) == days[:1]
+    assert run_incremental(span, src(**{"7001": gmf, params.CODE_TTV: gmf}), folder) == days[1:2]
+    found = statements_of(span, folder)
+    whole = daily.report(span, src(**{"7001": gmf, params.CODE_TTV: gmf}))
+    assert rows(found.select(*whole.columns)) == rows(whole)
+    codes = {(r["report_date"], r["code"]) for r in movements.concept_codes(span, src()).collect()}
+    assert codes == {(days[0], "7001"), (days[1], params.CODE_TTV)}
+
+
 def test_other_spans_and_runs_that_end_early(spark, sample, tmp_path, monkeypatch):
     folder, src = str(tmp_path / "run"), from_frames(spark, sample)
     early, late = business_day_span(spark, FIRST, date(2024, 1, 12)), business_day_span(spark, date(2024, 1, 12), DAY)

@@ -6,7 +6,8 @@ from datetime import date, datetime
 import pytest
 
 from florin import params
-from florin.operators import banks, channels, deposits, refunds
+from florin.operators import banks, channels, deposits, movements, refunds
+from florin.operators.merge import read_partitioned
 from florin.plans import daily, job
 from florin.plans.incremental import run_incremental, statements_of
 from florin.settings import DEFAULT, Settings, settings_of
@@ -136,6 +137,63 @@ def test_own_accounts_of_the_holder(spark):
     assert one(deposits.bank_transaction_totals(span.under(OTHER), src))["cop_in"] == 1
 
 
+LINES = replace(
+    DEFAULT,
+    income_statement={"banks": "cop_in + instant_income", "dollars-in": "usd_income"},
+    expense_statement={"fees": "ABS(cop_out) + instant_expense"},
+    instant_payment_income="0.25",
+    instant_payment_expense=2,
+)
+MOVES = [{"cuenta_bancaria": "21", "fecha_mvto": DAY, "moneda": "COP", "monto": v} for v in (10.5, -4.0)]
+OWN = [{"cuenta_bancaria": "0021", "titular": params.HOLDER, "estado": params.ACTIVE}]
+
+
+def test_lines_of_an_institution(spark):
+    src, span = tiny_sources(spark, multicash=MOVES, umbrella=OWN, trm=RATES), span_of(spark, DAY).under(LINES)
+    stated = daily.report(span, src)
+    income, expense, summary = (one(t(stated)) for t in (daily.income_statement, daily.expense_statement, daily.cash_summary))
+    assert income == {"banks": 10.75, "dollars-in": 0, "total": 10.75, "fecha_reporte": DAY}
+    assert expense == {"fees": 6, "total": 6, "fecha_reporte": DAY}
+    assert summary["total_flujo"] == 4.75
+    usual = daily.report(span_of(spark, DAY), src)
+    assert list(one(daily.income_statement(usual)))[:-2] == params.INCOME_LINES
+    assert one(daily.income_statement(usual))["060_multicash_cop"] == 10.5
+    totals = one(movements.unity_totals(span, src))
+    assert (totals["breb_in"], totals["breb_out"]) == (0.25, 2)
+
+
+def test_the_job_writes_the_lines_of_the_settings(spark, tmp_path):
+    src = tiny_sources(spark, multicash=MOVES, umbrella=OWN, trm=RATES)
+    paths = {name: str(tmp_path / name) for name in ("income", "expense", "available", "summary", "report", "long_report")}
+    job.run_for(spark, src, job.Targets(**paths), DAY.isoformat(), settings=LINES)
+    # Other lines become new columns of the same table; what the merge does not have stays.
+    job.run_for(spark, src, job.Targets(**paths), DAY.isoformat())
+    written = {r["fecha_reporte"]: r for r in read_partitioned(spark, paths["income"]).collect()}
+    assert written[DAY]["060_multicash_cop"] == 10.5 and written[DAY]["banks"] == 10.75
+    job.run_for(spark, src, job.Targets(**paths), DAY.isoformat(), settings=LINES)
+    lines = spark.read.option("header", True).csv(paths["report"])
+    named = {(r["section"], r["metric"]): r[DAY.isoformat()] for r in lines.collect()}
+    assert float(named[params.SECTION_INCOME, "dollars-in"]) == 0 and float(named[params.SECTION_EXPENSE, "fees"]) == 6
+    assert len(named) == 3 + 2 + 5 + 5 + 4
+
+
+def test_stored_statements_have_the_lines_of_the_asked_settings(spark, tmp_path):
+    src, span, folder = tiny_sources(spark, multicash=MOVES, umbrella=OWN, trm=RATES), span_of(spark, DAY), str(tmp_path / "run")
+    run_incremental(span.under(LINES), src, folder)
+    run_incremental(span, src, folder)
+    assert run_incremental(span.under(LINES), src, folder) == [DAY]
+    stored = statements_of(span.under(LINES), folder)
+    assert one(daily.income_statement(stored)) == one(daily.income_statement(daily.report(span.under(LINES), src)))
+
+
+def test_a_line_that_cannot_be_planned_fails_by_its_name(spark):
+    src = tiny_sources(spark)
+    for sql in ("no_such_metric + 1", "cop_in +", "SUM(cop_in)"):
+        wrong = replace(LINES, expense_statement={"fine": "cop_out", "wrong_one": sql})
+        with pytest.raises(ValueError, match="expense_wrong_one"):
+            daily.report(span_of(spark, DAY).under(wrong), src)
+
+
 def test_other_settings_compute_all_dates_again(spark, tmp_path):
     src, span, folder = tiny_sources(spark, bank_balances=BALANCES, trm=RATES), span_of(spark, DAY), str(tmp_path / "run")
     assert run_incremental(span, src, folder) == [DAY]
@@ -172,6 +230,14 @@ def test_settings_from_json():
         {"deposit_slots": [("00:00:00", "09:00:00"), ("09:00:00", "10:00:00")]},
         {"deposit_slots": [("24:00:00", "24:00:01")]},
         {"late_cycle": 6},
+        {"income_statement": {}},
+        {"income_statement": {"total": "0"}},
+        {"income_statement": {"a b": "0"}},
+        {"expense_statement": {"a": "0", "A": "1"}},
+        {"expense_statement": {"a": " "}},
+        {"instant_payment_income": "many"},
+        {"instant_payment_expense": "NaN"},
+        {"instant_payment_expense": "0.00001"},
     ],
 )
 def test_wrong_settings_fail(wrong):
@@ -182,3 +248,5 @@ def test_wrong_settings_fail(wrong):
 def test_digest_tells_settings_apart():
     assert DEFAULT.digest() == Settings().digest() != OTHER.digest()
     assert replace(OTHER, holder="X").digest() != OTHER.digest()
+    turned = replace(LINES, income_statement=dict(reversed(LINES.income_statement.items())))
+    assert turned.digest() != LINES.digest() == replace(LINES, instant_payment_expense="2.0").digest()
