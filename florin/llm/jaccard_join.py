@@ -25,6 +25,7 @@ not matter, and ``one_of_each`` carries them along.
 
 from __future__ import annotations
 
+import math
 import secrets
 from collections.abc import Callable, Iterator
 
@@ -52,6 +53,9 @@ IN_WORD = ~byte_set(b" \t\n\x0b\x0c\r")
 FOLDED = folded_ascii()
 SHARED_HERE = 65535  # in place of a document: the hash has several in its block
 BLOCK_DOCS = 60_000  # of a block, whose documents are numbered in 16 bits
+BLOCK_HASHES = 1 << 20  # of a block of several slices
+RANGE_TEXT = 256 << 20  # bytes of text whose hashes make one range
+HOT = 1024  # a token with more than this share of all is joined apart
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, seed: int) -> list[np.ndarray]:
@@ -91,42 +95,60 @@ PACKED = "block long, part int, kind int, payload binary"
 HASHES, DOCUMENTS = 0, 1
 
 
+def _block_rows(held: list[tuple[pa.Table, np.ndarray, np.ndarray]], block: int, n_parts: int) -> pa.RecordBatch:
+    """PACKED rows of one block of (documents, hashes, their owners)."""
+    table = pa.concat_tables([t for t, _, _ in held])
+    hashes = np.concatenate([h for _, h, _ in held])
+    owner = np.concatenate([o for _, _, o in held])
+    # Hashes of several documents of the block are counted here and sent once.
+    order = np.argsort(hashes)
+    hashes, owner = hashes[order], owner[order]
+    same = np.concatenate([[False], hashes[1:] == hashes[:-1], [False]]) if len(hashes) else np.zeros(1, bool)
+    several = same[:-1] | same[1:]
+    here = np.bincount(owner[several], minlength=table.num_rows)
+    once = ~same[:-1]
+    hashes = hashes[once]
+    owner = np.where(several[once], SHARED_HERE, owner[once]).astype(np.uint16)
+    low = ((hashes >> np.uint64(20)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    rows = [
+        (block, p, HASHES, low[at].tobytes() + owner[at].tobytes())
+        for p, at in _by_part((hashes % np.uint64(n_parts)).astype(np.int32), n_parts)
+    ]
+    table = table.append_column("here", pa.array(here))
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as out:
+        out.write_table(table)
+    rows.append((block, block % n_parts, DOCUMENTS, sink.getvalue().to_pybytes()))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
+        names=["block", "part", "kind", "payload"],
+    )
+
+
 def _packed_blocks(n_parts: int, seed: int) -> Callable:
+    """Blocks of a task's documents, as many as have BLOCK_HASHES hashes, so that a row has many hashes of its part."""
+
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 32
+        held, documents, kept = [], 0, 0
         for batch in batches:
             for start, stop in slices(batch.column("text"), rows=BLOCK_DOCS):
-                texts = batch.column("text")[start:stop]
-                sets = shingle_sets(*flat(texts), seed)
+                sets = shingle_sets(*flat(batch.column("text")[start:stop]), seed)
                 size = np.array([len(s) for s in sets], np.int64)
-                half = [s[: (len(s) + 1) // 2] for s in sets]
-                hashes = np.concatenate(half)
-                owner = np.repeat(np.arange(len(sets)), (size + 1) // 2)
-                # Hashes of several documents of the block are counted here and sent once.
-                order = np.argsort(hashes)
-                hashes, owner = hashes[order], owner[order]
-                same = np.concatenate([[False], hashes[1:] == hashes[:-1], [False]]) if len(hashes) else np.zeros(1, bool)
-                several = same[:-1] | same[1:]
-                here = np.bincount(owner[several], minlength=len(sets))
-                once = ~same[:-1]
-                hashes = hashes[once]
-                owner = np.where(several[once], SHARED_HERE, owner[once]).astype(np.uint16)
-                low = ((hashes >> np.uint64(20)) & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-                rows = [
-                    (block, p, HASHES, low[at].tobytes() + owner[at].tobytes())
-                    for p, at in _by_part((hashes % np.uint64(n_parts)).astype(np.int32), n_parts)
-                ]
+                half = (size + 1) // 2
+                n = int(half.sum())
+                if held and (documents + len(sets) > BLOCK_DOCS or kept + n > BLOCK_HASHES):
+                    yield _block_rows(held, block, n_parts)
+                    block += 1
+                    held, documents, kept = [], 0, 0
                 ids = batch.column("doc_id")[start:stop]
-                table = pa.table({"doc_id": ids, "h": batch.column("h")[start:stop], "n": size, "digest": digests(sets), "here": here})
-                sink = pa.BufferOutputStream()
-                with pa.ipc.new_stream(sink, table.schema) as out:
-                    out.write_table(table)
-                rows.append((block, block % n_parts, DOCUMENTS, sink.getvalue().to_pybytes()))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int32(), pa.int32(), pa.binary()), strict=True)],
-                    names=["block", "part", "kind", "payload"],
-                )
-                block += 1
+                table = pa.table({"doc_id": ids, "h": batch.column("h")[start:stop], "n": size, "digest": digests(sets)})
+                owner = np.repeat(np.arange(documents, documents + len(sets)), half).astype(np.uint16)
+                held.append((table, np.concatenate([s[:k] for s, k in zip(sets, half.tolist(), strict=True)]), owner))
+                documents += len(sets)
+                kept += n
+        if held:
+            yield _block_rows(held, block, n_parts)
 
     return pack
 
@@ -148,14 +170,24 @@ def _shared_in_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                 owner.append(np.frombuffer(payload, np.uint16, n, 4 * n))
     if not blocks:
         return
-    number = np.repeat(np.arange(len(blocks)), [len(x) for x in low])
+    number = np.repeat(np.arange(len(blocks), dtype=np.int32), [len(x) for x in low])
     hashes, owners = np.concatenate(low), np.concatenate(owner)
-    order = np.argsort(hashes)
-    hashes = hashes[order]
-    same = np.concatenate([[False], hashes[1:] == hashes[:-1], [False]])
-    shared = order[same[:-1] | same[1:]]
-    shared = shared[owners[shared] != SHARED_HERE]
-    key, n = np.unique(number[shared] * 65536 + owners[shared], return_counts=True)
+    del low, owner
+    keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    # One share of the hashes after the other, so that what sorting takes is small next to the hashes.
+    share = hashes >> np.uint32(28)
+    for own in range(16):
+        at = np.flatnonzero(share == own)
+        order = at[np.argsort(hashes[at])]
+        in_order = hashes[order]
+        same = np.concatenate([[False], in_order[1:] == in_order[:-1], [False]]) if len(order) else np.zeros(1, bool)
+        shared = order[same[:-1] | same[1:]]
+        shared = shared[owners[shared] != SHARED_HERE]
+        key, n = np.unique(number[shared].astype(np.int64) * 65536 + owners[shared], return_counts=True)
+        keys.append(key)
+        counts.append(n)
+    key, place = np.unique(np.concatenate(keys), return_inverse=True)
+    n = np.bincount(place, np.concatenate(counts), len(key)).astype(np.int64)
     rows = [
         (blocks[b], HASHES, (key[at] & 0xFFFF).astype(np.uint16).tobytes() + n[at].astype(np.uint32).tobytes())
         for b, at in _by_part((key >> 16).astype(np.int64), len(blocks))
@@ -192,9 +224,16 @@ def _documents_of_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         yield finished(table, count)
 
 
+def hash_ranges(docs: DataFrame) -> int:
+    """How many ranges the hashes are parted into: one worker holds the hashes of RANGE_TEXT bytes of text at most on average."""
+    configured = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    return max(configured, math.ceil(size / RANGE_TEXT))
+
+
 def documents_able_to_link(docs: DataFrame, seed: int) -> DataFrame:
     """(doc_id, h, n, digest, able) of every row; ``h`` hashes its text, ``digest`` names its shingle set."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = hash_ranges(docs)
     kind = docs.schema["doc_id"].dataType.simpleString()
     packed = docs.select("doc_id", F.xxhash64("text").alias("h"), "text").mapInArrow(_packed_blocks(parts, seed), PACKED)
     counted = packed.repartitionById(parts, "part").mapInArrow(_shared_in_part, "block long, kind int, payload binary")
@@ -312,30 +351,40 @@ def near_members(sets: DataFrame) -> DataFrame:
     return placed.select("node", F.col("node").alias("label"), F.concat_ws("/", "first", "part").alias("block"))
 
 
+def held_across(tokens: DataFrame) -> DataFrame:
+    """The rows of ``tokens`` (label, token, ...) whose token several labels have, with its number of rows, ``holders``.
+
+    Tokens are summed where they lie, and rows of others go before the join. A token that
+    has more than one in HOT of all rows left is one of fewer than HOT: these are broadcast,
+    so that a line that many documents hold comes into no task whole.
+    """
+    summed = tokens.groupBy("token").agg(F.min("label").alias("a"), F.max("label").alias("b"), F.count(F.lit(1)).alias("holders"))
+    spread = cut_lineage(summed.where("a < b").select("token", "holders"))
+    may_be = membership(spread.select(F.xxhash64("token").alias("k")), "k")
+    total = spread.agg(F.sum("holders")).first()[0] or 0
+    hot = F.broadcast(spread.where(F.col("holders") * HOT > total))
+    left = tokens.where(may_be(F.xxhash64("token")))
+    others = left.join(hot, "token", "left_anti").join(spread.where(F.col("holders") * HOT <= total), "token")
+    return left.join(hot, "token").unionByName(others)
+
+
 def rare_members(sets: DataFrame, labels: DataFrame) -> DataFrame:
     """(node, label, block) such that two sets of different labels that link share a block."""
     labelled = sets.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
 
-    def marked(tokens: DataFrame) -> DataFrame:
-        """With how many sets have the token: 0 where all that have it are of one label."""
-        placed = tokens.repartition("token")
-        spread = placed.groupBy("token").agg(
-            F.when(F.min("label") < F.max("label"), F.count(F.lit(1))).otherwise(0).alias("holders")
-        )
-        return placed.join(spread, "token")
-
     half = F.explode(F.slice("tokens", F.lit(1), F.ceil(F.col("n") / 2).cast("int"))).alias("token")
-    counted = marked(labelled.select("node", "label", half)).where("holders > 0").groupBy("node").agg(F.count(F.lit(1)).alias("c"))
+    counted = held_across(labelled.select("node", "label", half)).groupBy("node").agg(F.count(F.lit(1)).alias("c"))
     # The smaller half of a linked set has at least 3/16 of its size in common tokens.
-    able = labelled.join(counted, "node").where("16 * c >= 3 * n")
-    whole = marked(able.select("node", "n", "label", F.explode("tokens").alias("token")))
-    # Of two linked sets' tokens in any common order, the first quarter and one more share one.
+    able = labelled.join(counted, "node").where("16 * c >= 3 * n").drop("c")
+    across = held_across(able.select("node", "n", "label", F.explode("tokens").alias("token")))
+    # Of two linked sets' tokens in any common order, the first quarter and one more share one;
+    # here those that sets of one label alone have come first, and need no place of their own.
     by_node = Window.partitionBy("node")
-    ranked = whole.withColumn("place", F.row_number().over(by_node.orderBy("holders", "token"))).withColumn(
-        "across", F.count_if(F.col("holders") > 0).over(by_node)
+    ranked = across.withColumn("across", F.count(F.lit(1)).over(by_node)).withColumn(
+        "place", F.col("n") - F.col("across") + F.row_number().over(by_node.orderBy("holders", "token"))
     )
+    first = ranked.where(f"100 * across >= {PERCENT} * n AND place <= n div 4 + 1")
     # All that a linked set has in common with the other is common across labels.
-    first = ranked.where(f"holders > 0 AND 100 * across >= {PERCENT} * n AND place <= n div 4 + 1")
     first = cut_lineage(first.select("node", "label", "token"))
     # Tokens with the same holders make one block.
     alike = first.groupBy("token").agg(

@@ -96,3 +96,43 @@ def test_components_of_chains_stars_and_rings(spark, monkeypatch, per_task):
     assert {r["node"]: r["root"] for r in found.collect()} == want and found.count() == len(want)
     assert connected_components(spark.createDataFrame([], "u long, v long")).collect() == []
     assert sorted(joined_links([(3, 2), (2, 1), (9, 8)])) == [(2, 1), (3, 1), (9, 8)]
+
+def test_hash_ranges_grow_with_the_text(make_documents, monkeypatch):
+    """More text, more ranges, whatever the session's partitions; the result is the same."""
+    rows = [(i, " ".join(f"w{i % 60}x{j}" for j in range(30))) for i in range(240)]
+    frame = make_documents(rows)
+    configured = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    assert jaccard_join.hash_ranges(frame) == configured
+    monkeypatch.setattr(jaccard_join, "RANGE_TEXT", 2000)
+    ranges = jaccard_join.hash_ranges(frame)
+    assert ranges > configured and ranges == -(-sum(len(text) for _, text in rows) // 2000)
+    found = {r["doc_id"]: r["component_id"] for r in jaccard_join.ngram_jaccard(frame).collect()}
+    assert found == {i: i % 60 for i in range(240)}
+
+
+def test_a_task_sends_one_row_per_range_for_many_slices(spark, make_documents, monkeypatch):
+    """Slices of a task share a block, so that rows do not grow with the slices."""
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(30))) for i in range(400)]
+    frame = make_documents(rows).coalesce(1).select("doc_id", F.xxhash64("text").alias("h"), "text")
+
+    def sent(hashes):
+        monkeypatch.setattr(jaccard_join, "BLOCK_HASHES", hashes)
+        monkeypatch.setattr(jaccard_join, "slices", lambda texts, rows=None: ((i, i + 1) for i in range(len(texts))))
+        return frame.mapInArrow(jaccard_join._packed_blocks(16, 5), jaccard_join.PACKED).where("kind = 0").count()
+
+    assert sent(1 << 20) == 16
+    assert sent(1) > 400
+
+
+def test_a_token_of_many_rows_is_joined_apart(spark):
+    """Hot, rare and one-label tokens against a plain count."""
+    rows = [(i, i % 7, 1) for i in range(6000)] + [(i, 3, 2 + i % 4) for i in range(400)]
+    rows += [(i, i % 2, 100 + i // 2) for i in range(2000)]
+    tokens = spark.createDataFrame(rows, "node long, label long, token long")
+    found = sorted(tuple(r) for r in jaccard_join.held_across(tokens).select("node", "label", "token", "holders").collect())
+    holders, labels = {}, {}
+    for _, label, token in rows:
+        holders[token] = holders.get(token, 0) + 1
+        labels.setdefault(token, set()).add(label)
+    assert found == sorted((*r, holders[r[2]]) for r in rows if len(labels[r[2]]) > 1)
+    assert jaccard_join.held_across(tokens.limit(0)).count() == 0
