@@ -68,14 +68,33 @@ KEY_RANGES = 1 << 20
 
 def _key_part(key: str) -> Column:
     """The hash range of a key, equal for all forms in which the report joins it."""
-    text = F.regexp_replace(F.col(key).cast("string"), "^0+", "")
-    return F.pmod(F.xxhash64(text), F.lit(KEY_RANGES)).cast("string")
+    text = F.ltrim(F.col(key).cast("string"), F.lit("0"))
+    return F.pmod(F.xxhash64(text), F.lit(KEY_RANGES))
+
+
+# A row hash is summed in three pieces, lowest first: as longs, that 2^39 rows of a part do not overflow.
+PIECES = (20, 20, 24)
+
+
+def _checksum() -> Column:
+    """The sum of the row hashes, out of the sums of their pieces."""
+    low, middle, high = (F.col(f"_sum{i}").cast("decimal(20,0)") for i in range(3))
+    scale = [F.lit(1 << sum(PIECES[:i])).cast("decimal(13,0)") for i in (1, 2)]
+    return (high * scale[1] + middle * scale[0] + low).cast("decimal(38,0)")
 
 
 def _summed(rows: DataFrame, source: str, part: Column) -> DataFrame:
-    checksum = F.sum(F.xxhash64(*[F.col(c) for c in rows.columns]).cast("decimal(38,0)")).alias("checksum")
-    return rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n"), checksum).select(
-        F.lit(source).alias("source"), "part", "n", "checksum"
+    """(source, part, n, checksum): parts are compared as they are and become text once summed."""
+    hashed = rows.select(part.alias("part"), F.xxhash64(*[F.col(c) for c in rows.columns]).alias("_hash"))
+    mask = F.lit((1 << PIECES[0]) - 1).cast("bigint")
+    pieces = [
+        F.col("_hash").bitwiseAND(mask),
+        F.shiftright("_hash", PIECES[0]).bitwiseAND(mask),
+        F.shiftright("_hash", PIECES[0] + PIECES[1]),
+    ]
+    sums = [F.sum(piece).alias(f"_sum{i}") for i, piece in enumerate(pieces)]
+    return hashed.groupBy("part").agg(F.count(F.lit(1)).alias("n"), *sums).select(
+        F.lit(source).alias("source"), F.col("part").cast("string").alias("part"), "n", _checksum().alias("checksum")
     )
 
 
@@ -90,14 +109,14 @@ def source_state(span: ReportSpan, src: Mapping[str, DataFrame]) -> DataFrame:
     parts = []
     for source, (day, cuts) in DATED.items():
         rows = src[source].where(span.reads(day, cuts))
-        parts.append(_summed(rows, source, F.col(day).cast("string")))
+        parts.append(_summed(rows, source, F.col(day)))
     for source, key in [*((s, key) for s, (key, _) in KEYED.items()), (CONCEPTS, CONCEPT_KEY)]:
         parts.append(_summed(src[source], source, _key_part(key)))
     first, last = (F.lit(d) for d in span.source_bounds)
     valid = src[RATES].where("vigencia_desde <= vigencia_hasta").where((F.col("vigencia_desde") <= last) & (F.col("vigencia_hasta") >= first))
     days = F.sequence(F.greatest("vigencia_desde", first), F.least("vigencia_hasta", last))
     by_day = valid.select("valor", F.explode(days).alias("fecha"))
-    parts.append(_summed(by_day, RATES, F.col("fecha").cast("string")))
+    parts.append(_summed(by_day, RATES, F.col("fecha")))
     told = F.lit(span.settings.digest()).alias("digest")
     parts.append(_summed(span.anchors.sparkSession.range(0, 1, 1, 1).select(told), SETTINGS, F.lit("all")))
     return reduce(DataFrame.unionByName, parts)
@@ -126,10 +145,10 @@ def dates_to_redo(span: ReportSpan, src: Mapping[str, DataFrame], changes: DataF
     for source in concerned & set(KEYED):
         for partner, key in KEYED[source][1]:
             day, cuts = DATED[partner]
-            rows = on_dates(src[partner], day, span, cuts).select("report_date", _key_part(key).alias("part")).distinct()
+            rows = on_dates(src[partner], day, span, cuts).select("report_date", _key_part(key).cast("string").alias("part")).distinct()
             found.append(rows.join(of(source), "part", "left_semi"))
     if CONCEPTS in concerned:
-        rows = concept_codes(span, src).select("report_date", _key_part("code").alias("part")).distinct()
+        rows = concept_codes(span, src).select("report_date", _key_part("code").cast("string").alias("part")).distinct()
         found.append(rows.join(of(CONCEPTS), "part", "left_semi"))
     days = reduce(DataFrame.union, [f.select("report_date") for f in found]).distinct()
     return sorted(r[0] for r in days.collect())
@@ -168,11 +187,14 @@ def run_incremental(span: ReportSpan, src: Mapping[str, DataFrame], folder: str)
         stated, days = refreshed(span, src, state, stored_state, stored)
         # Parts that only other report dates read stay as they were.
         read = reduce(DataFrame.union, [_read_dates(span, s).select(F.lit(s).alias("source"), "part") for s in [*DATED, RATES]])
-        others = stored_state.where(F.col("source").isin([*DATED, RATES])).join(read, ["source", "part"], "left_anti")
-        state = state.unionByName(others.join(state.select("source", "part"), ["source", "part"], "left_anti"))
+        dated = F.col("source").isin([*DATED, RATES])
+        others = stored_state.where(dated).join(read, ["source", "part"], "left_anti")
+        others = others.join(state.where(dated).select("source", "part"), ["source", "part"], "left_anti")
+        # What is left of the stored state is read before it is overwritten; the new one lies stored already.
+        state = state.unionByName(cut_lineage(others))
     if stated is not None:
         upsert(stated, kept, ["report_date"], ["report_date"])
-    cut_lineage(state).write.mode("overwrite").parquet(notes)
+    state.write.mode("overwrite").parquet(notes)
     return days
 
 

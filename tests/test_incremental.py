@@ -9,8 +9,8 @@ from florin import params
 from florin.operators import losses, movements
 from florin.operators.merge import read_partitioned
 from florin.operators.report_dates import business_day_span, window_span
-from florin.plans import daily, job
-from florin.plans.incremental import run_incremental, statements_of
+from florin.plans import daily, incremental, job
+from florin.plans.incremental import run_incremental, source_state, statements_of
 from florin.sources.catalog import CONTRACTS, from_frames
 from florin.sources.samples import sample_sources
 from tiny import schema_of, span_of, tiny_sources
@@ -153,6 +153,39 @@ def test_other_spans_and_runs_that_end_early(spark, sample, tmp_path, monkeypatc
     assert rows(statements_of(late, folder).select(*whole.columns)) == rows(whole)
 
 
+def test_checksums_are_exact_and_summed_as_longs(spark, sample):
+    span, src = business_day_span(spark, FIRST, DAY), from_frames(spark, sample)
+    state = source_state(span, src)
+    plan = state._jdf.queryExecution().optimizedPlan().toString()
+    assert "RegExpReplace" not in plan and "regexp_replace" not in plan
+    assert "sum(cast(xxhash64" not in plan
+    found = {r["part"]: (r["n"], r["checksum"]) for r in state.where("source = 'accounts'").collect()}
+    plain = {}
+    text = F.regexp_replace(F.col("clave_codificada").cast("string"), "^0+", "")
+    part = F.pmod(F.xxhash64(text), F.lit(incremental.KEY_RANGES)).cast("string")
+    for key, value in src["accounts"].select(part, F.xxhash64(*src["accounts"].columns)).collect():
+        n, total = plain.get(key, (0, 0))
+        plain[key] = (n + 1, total + value)
+    assert found and found == plain
+
+
+def test_the_state_is_stored_once_a_run(spark, sample, tmp_path, monkeypatch):
+    folder, src, span = str(tmp_path / "run"), from_frames(spark, sample), business_day_span(spark, FIRST, DAY)
+    real, cut = incremental.cut_lineage, []
+
+    def counting(frame):
+        stored = real(frame)
+        cut.append(stored.count())
+        return stored
+
+    monkeypatch.setattr(incremental, "cut_lineage", counting)
+    run_incremental(span, src, folder)
+    assert cut[1:] == []
+    assert run_incremental(span, src, folder) == []
+    # The state again, no change, and nothing of the stored state that other dates alone read.
+    assert cut[1:] == [cut[0], 0, 0]
+
+
 # --- rows that were not counted ---------------------------------------------------------
 
 
