@@ -67,13 +67,16 @@ def _joined_in_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield stars()
 
 
-def connected_components(links: DataFrame) -> DataFrame:
+def connected_components(links: DataFrame, stored: bool = False) -> DataFrame:
     """(node, root) of every node of ``links`` (u, v), root the least node reachable.
 
     A link to itself, u = v, makes no node. The driver sees a count and a checksum per
     round; a round halves the distances at least. What one task can hold needs no round.
+    ``stored``: the links lie in reliable storage already and are not written once more.
     """
-    edges = cut_lineage(links.where("u <> v").select("u", "v"))
+    edges = links.where("u <> v").select("u", "v")
+    if not stored:
+        edges = cut_lineage(edges)
     before = None
     while True:
         state = edges.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()

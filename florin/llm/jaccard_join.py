@@ -398,7 +398,7 @@ def rare_members(sets: DataFrame, labels: DataFrame) -> DataFrame:
     placed = cut_lineage(first.join(blocks.select("token", "size", "least"), "token"))
     # Blocks that overlap become one, so that a set moves once; very large ones stay apart.
     stars = placed.select(F.col("node").alias("u"), F.col("least").alias("v"))
-    joined = placed.drop("least").join(connected_components(stars).withColumnRenamed("root", "whole"), "node")
+    joined = placed.drop("least").join(connected_components(stars, stored=True).withColumnRenamed("root", "whole"), "node")
     small = joined.groupBy("whole").agg(F.count_distinct("node").alias("sets")).where(f"sets <= {CHUNK}").select("whole")
     together = joined.join(small, "whole").select("node", "label", F.concat(F.lit("="), F.col("whole")).alias("block")).distinct()
     apart = joined.join(small, "whole", "left_anti").withColumn("parts", F.ceil(F.col("size") / CHUNK).cast("int"))
@@ -417,9 +417,10 @@ def _groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     nodes = node_table(rows)
     sets = cut_lineage(sets_of(docs, nodes, seed))
     near = cut_lineage(links_in_blocks(sets, near_members(sets)))
-    labels = connected_components(near)
+    labels = connected_components(near, stored=True)
     rare = links_in_blocks(sets, rare_members(sets, labels))
-    roots = connected_components(near.union(rare))
+    # The labels link what the first links do, in fewer rows and files.
+    roots = connected_components(labels.select(F.col("node").alias("u"), F.col("root").alias("v")).union(rare))
     return rows, nodes.join(roots, "node", "left").select("digest", "id", F.coalesce("root", "node").alias("root"))
 
 

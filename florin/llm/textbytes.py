@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 
 # Numpy needs some forty bytes of temporaries per byte of text; a slice holds at
 # least one text, so the longest text bounds memory beyond this.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 
 
 def byte_lengths(texts: pa.Array) -> np.ndarray:
